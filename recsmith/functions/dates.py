@@ -25,12 +25,12 @@ def date_from_parts(y, m, d) -> Column:
     """Date from year/month/day numbers; impossible dates -> missing (DAT-01)."""
     txt = F.format_string("%04d-%02d-%02d", col(y).cast("int"), col(m).cast("int"),
                           col(d).cast("int"))
-    return F.try_to_date(txt, F.lit("yyyy-MM-dd"))
+    return F.try_to_date(txt, "yyyy-MM-dd")
 
 
 def parse_date(c, pattern: str = "yyyy-MM-dd") -> Column:
     """Text -> date, invalid -> missing (SRC-07 / DAT-02)."""
-    return F.try_to_date(col(c), F.lit(pattern))
+    return F.try_to_date(col(c), pattern)
 
 
 def date_parts(c) -> dict[str, Column]:

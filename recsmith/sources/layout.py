@@ -69,7 +69,7 @@ class Layout:
         if f.kind == "x":
             return unpack_hex(F.substring(record, f.start, 2 * f.width), f.scale)
         if f.kind == "d":
-            return F.try_to_date(F.trim(raw), F.lit(f.pattern))
+            return F.try_to_date(F.trim(raw), f.pattern)
         raise ValueError(f"unknown field kind {f.kind!r}")
 
     def decode(self, df: DataFrame, record: str = "value", keep: Sequence[str] = (),
