@@ -1,29 +1,36 @@
 """Row positions without single-task groups (WIN-01, and the slot numbers used
 by the positional match-merge JON-10).
 
-A plain ``row_number().over(Window.partitionBy(k).orderBy(o))`` puts a whole
-key group into one task; a global ``row_number().over(Window.orderBy(o))``
-puts the whole table into one task. Both are avoided here:
-
-* rows are range-partitioned on ``(keys, order)``, so a hot key that holds a
-  third of the table is spread over many tasks;
-* a position is ``local index inside (key, range partition)`` plus the number
-  of rows of the same key in earlier range partitions. The offsets table has
-  one row per (key, range partition) and the global variant one row per
-  partition, which is bounded by the partition count and safe to broadcast.
-
-The order must be total (append tie-breaking columns) so that recomputation
-after a lost executor yields the same positions.
+A plain ``row_number().over(Window.orderBy(o))`` puts the whole table into one
+task, and ``row_number().over(Window.partitionBy(k).orderBy(o))`` puts a
+whole key group into one task. Both are avoided:
+
+* ``global_row_number``: rows are range-partitioned and sorted on the order;
+  each row records its range partition and its index inside it; that frame
+  is written once to the shared checkpoint folder, so every later branch
+  (counts and data) reads the very same numbering even if tasks are retried
+  or AQE re-plans the readers. Per-partition counts (one row per partition,
+  a proven bound) are broadcast as offsets.
+* ``group_positions``: the global number over ``(keys, order)`` minus the
+  number of the key's first row. The first numbers come from a map-side
+  combined ``min`` per key and are joined back with an equi-join, which AQE
+  splits when one key holds a large share of the rows.
+
+The order must be total (append tie-breaking columns) for the numbering to
+be reproducible.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsmith.functions.strings import col
+from recsmith.session import materialize
 
 
 def _n_parts(df: DataFrame, n: int | None) -> int:
@@ -32,30 +39,24 @@ def _n_parts(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def _asc_names(order: Sequence) -> list[Column]:
-    return [col(o) for o in order]
-
-
 def global_row_number(df: DataFrame, order: Sequence, name: str = "row_no",
                       partitions: int | None = None) -> DataFrame:
-    """1-based row number over the whole frame in ``order`` (WIN-01).
-
-    Range partitioning + per-partition counts; only the tiny
-    ``(partition -> offset)`` table is broadcast (bounded by ``partitions``).
-    """
+    """1-based row number over the whole frame in ``order`` (WIN-01)."""
     n = _n_parts(df, partitions)
-    ords = _asc_names(order)
+    ords = [col(o) for o in order]
     srt = (df.repartitionByRange(n, *ords).sortWithinPartitions(*ords)
            .withColumn("_pid", F.spark_partition_id())
            .withColumn("_mid", F.monotonically_increasing_id()))
+    srt = materialize(srt, "rownum")
     counts = srt.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    # One row per range partition: bounded by ``n``, so broadcasting is safe.
     offsets = counts.select(
         "_pid",
-        (F.coalesce(F.sum("_cnt").over(
+        F.coalesce(F.sum("_cnt").over(
             Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0))).alias("_off"))
+            F.lit(0)).alias("_off"))
     out = srt.join(F.broadcast(offsets), "_pid")
-    # monotonically_increasing_id = (partition id << 33) + index in partition
+    # monotonically_increasing_id = (partition index << 33) + index in partition
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     return out.withColumn(name, F.col("_off") + local + F.lit(1)).drop("_pid", "_mid", "_off")
 
@@ -65,28 +66,18 @@ def group_positions(df: DataFrame, keys: Sequence[str], order: Sequence,
                     skew_safe: bool = True) -> DataFrame:
     """1-based position of each row inside its key group, in ``order``.
 
-    With ``skew_safe`` a hot key is split across range partitions (two
-    shuffles, every task bounded); without it a plain window is used (one
-    shuffle, one task per key group).
+    ``skew_safe`` (default): every task is bounded even when one key holds a
+    third of the table. ``skew_safe=False``: a plain window, one task per key
+    group, for inputs whose groups are known to be small.
     """
-    ords = _asc_names(order)
+    keys = list(keys)
+    ords = [col(o) for o in order]
     if not skew_safe:
         w = Window.partitionBy(*keys).orderBy(*ords)
         return df.withColumn(name, F.row_number().over(w).cast("long"))
-    n = _n_parts(df, partitions)
-    ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *ords) \
-        .withColumn("_pid", F.spark_partition_id())
-    wl = Window.partitionBy(*keys, "_pid")
-    local = (ranged
-             .withColumn("_lp", F.row_number().over(wl.orderBy(*ords)).cast("long"))
-             .withColumn("_ln", F.count(F.lit(1)).over(wl)))
-    per_part = local.groupBy(*keys, "_pid").agg(F.max("_ln").alias("_ln"))
-    offsets = per_part.select(
-        *keys, "_pid",
-        F.coalesce(F.sum("_ln").over(
-            Window.partitionBy(*keys).orderBy("_pid")
-            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    cond = [local[k].eqNullSafe(offsets[k]) for k in keys] + [local["_pid"] == offsets["_pid"]]
-    out = local.join(offsets, cond, "inner").select(local["*"], offsets["_off"])
-    return (out.withColumn(name, F.col("_off") + F.col("_lp"))
-            .drop("_pid", "_lp", "_ln", "_off"))
+    numbered = global_row_number(df, [F.col(k) for k in keys] + ords, "_g", partitions)
+    firsts = numbered.groupBy(*keys).agg(F.min("_g").alias("_g0"))
+    firsts = firsts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_g0")
+    cond = reduce(and_, [numbered[k].eqNullSafe(firsts[f"_k{i}"]) for i, k in enumerate(keys)])
+    out = numbered.join(firsts, cond, "inner")
+    return out.select(*df.columns, (F.col("_g") - F.col("_g0") + F.lit(1)).alias(name))

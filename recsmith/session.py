@@ -62,3 +62,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate written table inside the shared checkpoint folder."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read
+    it back: cuts the lineage and pins values that depend on the physical
+    layout (partition ids, row indexes) so every reader sees the same rows.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
