@@ -23,3 +23,166 @@ FROM ca JOIN cc ON ca.CUSTNO = cc.CUSTNO
 """)
 def owners(spark, sf):
     return account_owners(roles.account_rel(spark, sf), roles.cust_rel(spark, sf))
+
+
+# =====================================================================
+# Role-mapped inputs for the remaining jobs (Spark and SQL side by side)
+# =====================================================================
+from pyspark.sql import functions as F  # noqa: E402
+
+from recsmith.catalog.registry import table  # noqa: E402
+from recsmith.catalog.sqlgen import first_sql, positional_merge_sql, render_sql, zero_pad_sql  # noqa: E402
+from recsmith.plans import names as NM  # noqa: E402
+from recsmith.plans import taxid as TX  # noqa: E402
+
+ACCT = roles.ACCT_SQL
+
+
+# --------------------------------------------------------------- PIPE-05
+NAMES_SQL = """
+SELECT CAST(c_custkey AS VARCHAR) AS CUSTNO, c_name AS CUSTNAME, lpad(CAST(c_custkey AS VARCHAR), 11, '0') AS ADREFNO,
+       lpad(CAST(c_custkey * 13 % 100000 AS VARCHAR), 11, '0') AS PRIPHONE, '' AS SECPHONE,
+       substr(c_mktsegment, 1, 1) AS CUSTTYPE, '' AS MOBILEPHONE FROM customer
+UNION ALL
+SELECT CAST(c_custkey AS VARCHAR), 'ZZ' || c_name, '', '', '', 'X', '' FROM customer WHERE c_custkey % 5 = 0"""
+
+REMARKS_SQL = """
+SELECT CAST(o_custkey AS VARCHAR) AS CUSTNO, strftime(o_orderdate, '%Y%m%d') || lpad(CAST(o_orderkey AS VARCHAR), 7, '0') AS EFFDATE,
+       'REMARK ' || CAST(o_orderkey AS VARCHAR) || ' ' || o_orderpriority AS LONGNAME
+FROM orders WHERE o_orderstatus <> 'F'"""
+
+
+def _names(spark, sf):
+    c = table(spark, sf, "customer")
+    base = c.select(c.c_custkey.cast("string").alias("CUSTNO"), F.col("c_name").alias("CUSTNAME"),
+                    F.lpad(c.c_custkey.cast("string"), 11, "0").alias("ADREFNO"),
+                    F.lpad((c.c_custkey * 13 % 100000).cast("string"), 11, "0").alias("PRIPHONE"),
+                    F.lit("").alias("SECPHONE"), F.substring("c_mktsegment", 1, 1).alias("CUSTTYPE"),
+                    F.lit("").alias("MOBILEPHONE"))
+    dup = c.filter(c.c_custkey % 5 == 0).select(
+        c.c_custkey.cast("string").alias("CUSTNO"), F.concat(F.lit("ZZ"), "c_name").alias("CUSTNAME"),
+        F.lit("").alias("ADREFNO"), F.lit("").alias("PRIPHONE"), F.lit("").alias("SECPHONE"),
+        F.lit("X").alias("CUSTTYPE"), F.lit("").alias("MOBILEPHONE"))
+    return base.unionByName(dup)
+
+
+def _remarks(spark, sf):
+    o = table(spark, sf, "orders")
+    return o.filter(o.o_orderstatus != "F").select(
+        o.o_custkey.cast("string").alias("CUSTNO"),
+        F.concat(F.date_format("o_orderdate", "yyyyMMdd"), F.lpad(o.o_orderkey.cast("string"), 7, "0")).alias("EFFDATE"),
+        F.concat(F.lit("REMARK "), o.o_orderkey.cast("string"), F.lit(" "), "o_orderpriority").alias("LONGNAME"))
+
+
+_NAME_COLS = ["CUSTNO", "CUSTNAME", "ADREFNO", "PRIPHONE", "SECPHONE", "CUSTTYPE", "MOBILEPHONE"]
+_NAME_LINE = render_sql([("n.CUSTNO", 1, 11), ("n.CUSTNAME", 12, 40), ("n.ADREFNO", 52, 11), ("n.PRIPHONE", 63, 11),
+                         ("n.SECPHONE", 74, 11), ("n.CUSTTYPE", 85, 1), ("n.CUSTNAME", 86, 40),
+                         ("n.MOBILEPHONE", 126, 11), ("COALESCE(r.LONGNAME, '')", 137, 150)], 350)
+
+
+@query("names_long", "PIPE-05 DED-01 JON-02 SNK-04 SRC-08", sql=f"""
+SELECT {', '.join('n.' + c for c in _NAME_COLS)}, COALESCE(r.LONGNAME, '') AS LONGNAME, {_NAME_LINE} AS value
+FROM ({first_sql(NAMES_SQL, ['CUSTNO'], ['CUSTNAME', 'ADREFNO', 'PRIPHONE', 'SECPHONE', 'CUSTTYPE', 'MOBILEPHONE'], _NAME_COLS)}) n
+LEFT JOIN ({first_sql(REMARKS_SQL, ['CUSTNO'], ['EFFDATE', 'LONGNAME'], ['CUSTNO', 'LONGNAME'])}) r ON n.CUSTNO = r.CUSTNO""")
+def names_long(spark, sf):
+    out = NM.names_with_long_name(_names(spark, sf), _remarks(spark, sf))
+    return out.select("*", NM.NAME_OUT_LAYOUT.render_expr({"CUSTNAME_2": F.col("CUSTNAME")}).alias("value"))
+
+
+# --------------------------------------------------------------- PIPE-07
+def _types_sql():
+    return ", ".join(f"substr(o_orderstatus || o_orderpriority, {i}, 1) AS NA_LINE_TYP{i}" for i in range(1, 9))
+
+
+OWN_SQL = f"""
+SELECT {ACCT} AS ACCTNO, CASE WHEN o_orderkey % 4 = 0 THEN 'LN   ' ELSE 'DP   ' END AS O_APPL_CODE, {_types_sql()}
+FROM orders
+UNION ALL
+SELECT {ACCT}, 'DP', {', '.join("'Z'" for _ in range(8))} FROM orders WHERE o_orderkey % 7 = 0"""
+
+ADDR_SQL = f"""
+SELECT {ACCT} AS ACCTNO, 'NAME ' || CAST(o_custkey AS VARCHAR) AS ADD_NAME_1, 'NO ' || CAST(o_orderkey AS VARCHAR) AS ADD_NAME_2,
+       o_orderpriority AS ADD_NAME_3, '' AS ADD_NAME_4, '' AS ADD_NAME_5, '' AS ADD_NAME_6, '' AS ADD_NAME_7, '' AS ADD_NAME_8
+FROM orders WHERE o_orderstatus <> 'P'"""
+
+
+def _ownership(spark, sf):
+    o = table(spark, sf, "orders")
+    tag = F.concat("o_orderstatus", "o_orderpriority")
+    base = o.select(roles.acct_no().alias("ACCTNO"),
+                    F.when(o.o_orderkey % 4 == 0, F.lit("LN   ")).otherwise(F.lit("DP   ")).alias("O_APPL_CODE"),
+                    *[F.substring(tag, i, 1).alias(f"NA_LINE_TYP{i}") for i in range(1, 9)])
+    dup = o.filter(o.o_orderkey % 7 == 0).select(roles.acct_no().alias("ACCTNO"), F.lit("DP").alias("O_APPL_CODE"),
+                                                 *[F.lit("Z").alias(f"NA_LINE_TYP{i}") for i in range(1, 9)])
+    return base.unionByName(dup)
+
+
+def _addresses(spark, sf):
+    o = table(spark, sf, "orders")
+    return o.filter(o.o_orderstatus != "P").select(
+        roles.acct_no().alias("ACCTNO"), F.concat(F.lit("NAME "), o.o_custkey.cast("string")).alias("ADD_NAME_1"),
+        F.concat(F.lit("NO "), o.o_orderkey.cast("string")).alias("ADD_NAME_2"),
+        F.col("o_orderpriority").alias("ADD_NAME_3"), *[F.lit("").alias(f"ADD_NAME_{i}") for i in range(4, 9)])
+
+
+_DP_COLS = ["O_APPL_CODE", "ACCTNO"] + [c for i in range(1, 9) for c in (f"NA_LINE_TYP{i}", f"ADD_NAME_{i}")]
+_DP_LINE = render_sql([("O_APPL_CODE", 1, 5), ("ACCTNO", 6, 20)] + [
+    f for i in range(8) for f in ((f"NA_LINE_TYP{i + 1}", 26 + 41 * i, 1), (f"ADD_NAME_{i + 1}", 27 + 41 * i, 40))], 400)
+
+
+@query("deposit_addresses", "PIPE-07 FLT-03 FLT-05 DED-01 JON-03 SNK-04", sql=f"""
+SELECT {', '.join(_DP_COLS)}, {_DP_LINE} AS value FROM (
+  SELECT a.*, o.O_APPL_CODE, {', '.join(f'o.NA_LINE_TYP{i}' for i in range(1, 9))}
+  FROM ({first_sql(ADDR_SQL + " ", ['ACCTNO'], ['ADD_NAME_1', 'ADD_NAME_2', 'ADD_NAME_3', 'ADD_NAME_4', 'ADD_NAME_5', 'ADD_NAME_6', 'ADD_NAME_7', 'ADD_NAME_8'], ['ACCTNO'] + [f'ADD_NAME_{i}' for i in range(1, 9)])}) a
+  JOIN ({first_sql(f"SELECT * FROM ({OWN_SQL}) _o WHERE rtrim(O_APPL_CODE) = 'DP' AND ACCTNO > '010000000000'", ['ACCTNO'], ['O_APPL_CODE'] + [f'NA_LINE_TYP{i}' for i in range(1, 9)], ['ACCTNO', 'O_APPL_CODE'] + [f'NA_LINE_TYP{i}' for i in range(1, 9)])}) o
+  ON a.ACCTNO = o.ACCTNO WHERE a.ACCTNO > '010000000000')""")
+def deposit_addresses(spark, sf):
+    out = NM.deposit_addresses(_ownership(spark, sf), _addresses(spark, sf))
+    return out.select("*", NM.DEPOSIT_ADDR_LAYOUT.render_expr().alias("value"))
+
+
+# --------------------------------------------------------------- PIPE-09
+OLD_SQL = """SELECT CAST(c_custkey AS VARCHAR) AS CUSTNO, CASE WHEN c_custkey % 2 = 0 THEN 'O' ELSE 'I' END AS INDORG,
+  lpad(CAST(c_custkey * 7 AS VARCHAR), 9, '0') AS OLDIC, lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS CUSTBRCH FROM customer"""
+NEW_SQL = """SELECT CAST(c_custkey AS VARCHAR) AS CUSTNO, 'NIC' || lpad(CAST(c_custkey * 11 AS VARCHAR), 20, '0') AS NEWIC
+  FROM customer WHERE c_custkey % 3 <> 0"""
+WATCH_SQL = """SELECT CASE WHEN o_orderstatus = 'P' THEN lpad(CAST(o_custkey * 11 AS VARCHAR), 20, '0') ELSE '' END AS ID1,
+  CASE WHEN o_orderkey % 4 = 0 THEN lpad(CAST(o_custkey * 7 AS VARCHAR), 9, '0') ELSE '' END AS ID2 FROM orders"""
+
+
+def _tax_inputs(spark, sf):
+    c = table(spark, sf, "customer")
+    o = table(spark, sf, "orders")
+    old = c.select(c.c_custkey.cast("string").alias("CUSTNO"),
+                   F.when(c.c_custkey % 2 == 0, F.lit("O")).otherwise(F.lit("I")).alias("INDORG"),
+                   F.lpad((c.c_custkey * 7).cast("string"), 9, "0").alias("OLDIC"),
+                   F.lpad(c.c_nationkey.cast("string"), 5, "0").alias("CUSTBRCH"))
+    new = c.filter(c.c_custkey % 3 != 0).select(
+        c.c_custkey.cast("string").alias("CUSTNO"),
+        F.concat(F.lit("NIC"), F.lpad((c.c_custkey * 11).cast("string"), 20, "0")).alias("NEWIC"))
+    watch = o.select(F.when(o.o_orderstatus == "P", F.lpad((o.o_custkey * 11).cast("string"), 20, "0"))
+                     .otherwise(F.lit("")).alias("ID1"),
+                     F.when(o.o_orderkey % 4 == 0, F.lpad((o.o_custkey * 7).cast("string"), 9, "0"))
+                     .otherwise(F.lit("")).alias("ID2"))
+    return old, new, watch
+
+
+_TAX_LINE = render_sql([("CUSTNO", 1, 11), ("OLDIC", 12, 20), ("NEWIC", 32, 23), ("BUSREG", 55, 23),
+                        ("CUSTBRCH", 78, 5), ("RHOLD_IND", 83, 1), ("MATCHID", 84, 1)], 133)
+
+
+@query("tax_watch", "PIPE-09 SET-07 DED-07 JON-02 JON-07 CLS-08 CND-04 CND-06", sql=f"""
+WITH ids AS (SELECT DISTINCT v AS ALIAS FROM (SELECT ID1 AS v FROM ({WATCH_SQL}) UNION ALL SELECT ID2 FROM ({WATCH_SQL}))
+             WHERE trim(COALESCE(v, '')) <> ''),
+t AS (SELECT o.CUSTNO, o.INDORG, o.OLDIC, o.CUSTBRCH, COALESCE(n.NEWIC, '') AS NEWIC,
+             COALESCE(CASE WHEN o.INDORG = 'O' THEN n.NEWIC END, '') AS BUSREG,
+             rtrim(substr(COALESCE(n.NEWIC, ''), 4, 20)) AS NEWIC1
+      FROM ({OLD_SQL}) o LEFT JOIN ({NEW_SQL}) n ON o.CUSTNO = n.CUSTNO),
+f AS (SELECT t.*, EXISTS (SELECT 1 FROM ids WHERE ids.ALIAS = t.NEWIC1) AS C,
+             EXISTS (SELECT 1 FROM ids WHERE ids.ALIAS = t.OLDIC) AS F FROM t)
+SELECT CUSTNO, OLDIC, NEWIC, BUSREG, CUSTBRCH, RHOLD_IND, MATCHID, {_TAX_LINE} AS value FROM (
+  SELECT *, CASE WHEN C OR F THEN 'Y' ELSE 'N' END AS RHOLD_IND,
+         CASE WHEN C AND F THEN 'B' WHEN C THEN 'N' WHEN F THEN 'O' ELSE 'X' END AS MATCHID FROM f)""")
+def tax_watch(spark, sf):
+    out = TX.tax_matches(*_tax_inputs(spark, sf))
+    return out.select("*", TX.TAX_LAYOUT.render_expr().alias("value"))
