@@ -186,3 +186,113 @@ SELECT CUSTNO, OLDIC, NEWIC, BUSREG, CUSTBRCH, RHOLD_IND, MATCHID, {_TAX_LINE} A
 def tax_watch(spark, sf):
     out = TX.tax_matches(*_tax_inputs(spark, sf))
     return out.select("*", TX.TAX_LAYOUT.render_expr().alias("value"))
+
+
+# ------------------------------------------------------------ PIPE-01 / 02
+from recsmith.plans import relationships as RL  # noqa: E402
+
+REL_SQL = """SELECT CAST(o_custkey AS VARCHAR) AS CUSTNO, CAST((o_orderkey * 7) % 1500 AS VARCHAR) AS CUST2,
+  CAST(o_orderkey % 30 AS INTEGER) AS CODE1, CAST(o_custkey % 30 AS INTEGER) AS CODE2,
+  CAST(strftime(o_orderdate, '%Y%m%d') AS BIGINT) AS EFFDATE,
+  CASE WHEN o_orderkey % 10 = 0 THEN '2001-01-01' ELSE '' END AS EXPDATE1 FROM orders"""
+CODES_SQL = "SELECT n_nationkey AS CODE, n_name AS CDESC FROM nation"
+RNAMES_SQL = """SELECT CAST(c_custkey AS VARCHAR) AS CUSTNO, CASE WHEN c_mktsegment = 'BUILDING' THEN 'O' ELSE 'I' END AS INDORG,
+  c_name AS CUSTNAME FROM customer"""
+RCUST_SQL = """SELECT CAST(c_custkey AS VARCHAR) AS CUSTNO, lpad(CAST(c_custkey * 7 AS VARCHAR), 9, '0') AS OLDIC,
+  substr(c_mktsegment, 1, 3) AS BASICGRPCODE FROM customer"""
+RALIAS_SQL = "SELECT CAST(o_custkey AS VARCHAR) AS CUSTNO, 'AL' || CAST(o_orderkey AS VARCHAR) AS ALIAS FROM orders WHERE o_orderstatus = 'P'"
+
+
+def _rel_inputs(spark, sf):
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer")
+    rel = o.select(o.o_custkey.cast("string").alias("CUSTNO"), ((o.o_orderkey * 7) % 1500).cast("string").alias("CUST2"),
+                   (o.o_orderkey % 30).cast("int").alias("CODE1"), (o.o_custkey % 30).cast("int").alias("CODE2"),
+                   F.date_format("o_orderdate", "yyyyMMdd").cast("long").alias("EFFDATE"),
+                   F.when(o.o_orderkey % 10 == 0, F.lit("2001-01-01")).otherwise(F.lit("")).alias("EXPDATE1"))
+    codes = table(spark, sf, "nation").select(F.col("n_nationkey").alias("CODE"), F.col("n_name").alias("DESC"))
+    names = c.select(c.c_custkey.cast("string").alias("CUSTNO"),
+                     F.when(c.c_mktsegment == "BUILDING", F.lit("O")).otherwise(F.lit("I")).alias("INDORG"),
+                     F.col("c_name").alias("CUSTNAME"))
+    aliases = o.filter(o.o_orderstatus == "P").select(
+        o.o_custkey.cast("string").alias("CUSTNO"), F.concat(F.lit("AL"), o.o_orderkey.cast("string")).alias("ALIAS"))
+    cust = c.select(c.c_custkey.cast("string").alias("CUSTNO"), F.lpad((c.c_custkey * 7).cast("string"), 9, "0").alias("OLDIC"),
+                    F.substring("c_mktsegment", 1, 3).alias("BASICGRPCODE"))
+    return rel, codes, names, aliases, cust
+
+
+def _side_sql(src: str, party: str, code: str, side: str, order: list[str]) -> str:
+    codes = first_sql(CODES_SQL, ["CODE"], ["CDESC"], ["CODE", "CDESC"])
+    names = first_sql(RNAMES_SQL, ["CUSTNO"], ["INDORG", "CUSTNAME"], ["CUSTNO", "INDORG", "CUSTNAME"])
+    cust = first_sql(RCUST_SQL, ["CUSTNO"], ["OLDIC", "BASICGRPCODE"], ["CUSTNO", "OLDIC", "BASICGRPCODE"])
+    s1 = (f"SELECT x.*, c.CDESC AS DESC{side}, n.INDORG AS INDORG{side}, n.CUSTNAME AS CUSTNAME{side} "
+          f"FROM ({src}) x LEFT JOIN ({codes}) c ON x.{code} = c.CODE LEFT JOIN ({names}) n ON x.{party} = n.CUSTNO")
+    lcols = [c for c in _SIDE_COLS[side] if c != party]
+    al = f"SELECT CUSTNO AS {party}, ALIAS AS ALIAS{side} FROM ({RALIAS_SQL}) _al"
+    s2 = positional_merge_sql(s1, al, party, order, [f"ALIAS{side}"], lcols, [f"ALIAS{side}"])
+    return (f"SELECT y.*, u.OLDIC AS OLDIC{side}, u.BASICGRPCODE AS BASICGRPCODE{side} FROM ({s2}) y "
+            f"LEFT JOIN ({cust}) u ON y.{party} = u.CUSTNO")
+
+
+_BASE = ["CUSTNO1", "CUSTNO2", "CODE1", "CODE2", "EFFDATE"]
+_SIDE_COLS = {"1": _BASE + ["DESC1", "INDORG1", "CUSTNAME1"],
+              "2": _BASE + ["DESC1", "INDORG1", "CUSTNAME1", "ALIAS1", "OLDIC1", "BASICGRPCODE1",
+                            "DESC2", "INDORG2", "CUSTNAME2"]}
+
+
+def _both_sql() -> str:
+    rel = (f"SELECT CUSTNO AS CUSTNO1, CUST2 AS CUSTNO2, CODE1, CODE2, EFFDATE FROM ({REL_SQL}) _r "
+           f"WHERE trim(COALESCE(EXPDATE1, '')) = ''")
+    left = _side_sql(rel, "CUSTNO1", "CODE1", "1", ["CODE1", "CUSTNO2", "CODE2", "EFFDATE"])
+    both = _side_sql(left, "CUSTNO2", "CODE2", "2", ["CODE2", "CUSTNO1", "CODE1", "EFFDATE", "DESC1", "INDORG1",
+                                                     "CUSTNAME1", "ALIAS1", "OLDIC1", "BASICGRPCODE1"])
+    t = lambda c: f"COALESCE({c}, '') AS {c}"
+    return (f"SELECT CUSTNO1, {t('INDORG1')}, {zero_pad_sql('CODE1', 3)} AS CODE1, {t('DESC1')}, CUSTNO2, {t('INDORG2')}, "
+            f"{zero_pad_sql('CODE2', 3)} AS CODE2, {t('DESC2')}, CAST(NULL AS DATE) AS EXPDATE, "
+            + ", ".join(t(c) for c in ["CUSTNAME1", "ALIAS1", "CUSTNAME2", "ALIAS2", "OLDIC1", "BASICGRPCODE1",
+                                        "OLDIC2", "BASICGRPCODE2"])
+            + f", {zero_pad_sql('EFFDATE', 8)} AS EFFDATE FROM ({both}) _b")
+
+
+BOTH_SQL = _both_sql()
+
+
+@query("relationship_both", "PIPE-01 JON-10 JON-13 DED-01 STR-06", sql=BOTH_SQL)
+def relationship_both(spark, sf):
+    return RL.enrich_both_sides(*_rel_inputs(spark, sf))
+
+
+def _record_sql(src: str) -> str:
+    fields = []
+    for f in RL.BOTH_LAYOUT.fields:
+        expr = f"strftime({f.name}, '%Y-%m-%d')" if f.kind == "d" else f.name
+        fields.append((expr, f.start, f.width))
+    return render_sql(fields, 300)
+
+
+def _flip_sql(src: str) -> str:
+    swap = {}
+    for a, b in RL.SIDE_PAIRS:
+        swap[a], swap[b] = b, a
+    cols = [f.name for f in RL.BOTH_LAYOUT.fields]
+    return "SELECT " + ", ".join(f"{swap.get(c, c)} AS {c}" for c in cols) + f" FROM ({src}) _f"
+
+
+SEARCH_RECS_SQL = f"""
+SELECT 1 AS _src, {_record_sql('b')} AS record FROM ({BOTH_SQL}) b WHERE EXPDATE IS NULL OR EXPDATE >= DATE '1997-01-01'
+UNION ALL
+SELECT 2 AS _src, {_record_sql('f')} AS record FROM ({_flip_sql(BOTH_SQL)}) f WHERE EXPDATE IS NULL OR EXPDATE >= DATE '1997-01-01'"""
+
+
+@query("relationship_search", "PIPE-02 SET-04 PRJ-10 FLT-09 DED-06 SNK-04", sql=f"""
+SELECT record FROM (SELECT record, row_number() OVER (PARTITION BY substr(record, 1, 150) ORDER BY _src, record) AS rn
+                    FROM ({SEARCH_RECS_SQL}) s) WHERE rn = 1""")
+def relationship_search(spark, sf):
+    return RL.search_file(RL.enrich_both_sides(*_rel_inputs(spark, sf)), "1997-01-01")
+
+
+@query("relationship_dups", "PIPE-02 AGG-01", sql=f"""
+SELECT record FROM (SELECT record, count(*) OVER (PARTITION BY substr(record, 1, 150)) AS n FROM ({SEARCH_RECS_SQL}) s)
+WHERE n > 1""")
+def relationship_dups(spark, sf):
+    return RL.duplicate_file(RL.enrich_both_sides(*_rel_inputs(spark, sf)), "1997-01-01")
