@@ -296,3 +296,109 @@ SELECT record FROM (SELECT record, count(*) OVER (PARTITION BY substr(record, 1,
 WHERE n > 1""")
 def relationship_dups(spark, sf):
     return RL.duplicate_file(RL.enrich_both_sides(*_rel_inputs(spark, sf)), "1997-01-01")
+
+
+# --------------------------------------------------------------- PIPE-03
+from recsmith.plans import parties as PT  # noqa: E402
+
+PREL_SQL = """SELECT CAST(o_orderkey AS VARCHAR) AS CUSTNO1, CASE WHEN o_orderkey % 2 = 0 THEN 'O' ELSE 'I' END AS CUSTTYPE1,
+  lpad(CAST(o_orderkey % 40 AS VARCHAR), 3, '0') AS RLENCODE1, 'REL ' || CAST(o_orderkey % 40 AS VARCHAR) AS DESC1,
+  CAST(o_custkey AS VARCHAR) AS CUSTNO,
+  CASE WHEN o_custkey % 3 = 0 THEN 'O' WHEN o_custkey % 3 = 1 THEN 'I' ELSE 'X' END AS CUSTTYPE,
+  lpad(CAST(o_custkey % 40 AS VARCHAR), 3, '0') AS RLENCODE, 'REL ' || CAST(o_custkey % 40 AS VARCHAR) AS "DESC",
+  'PARTY ' || CAST(o_orderkey AS VARCHAR) AS CUSTNAME1, 'A' || CAST(o_orderkey AS VARCHAR) AS ALIAS1,
+  'CUSTOMER ' || CAST(o_custkey AS VARCHAR) AS CUSTNAME, 'B' || CAST(o_custkey AS VARCHAR) AS ALIAS
+FROM orders WHERE o_orderstatus <> 'P'"""
+PACCT_SQL = f"""SELECT {ACCT} AS ACCTNO, substr(o_orderpriority, 1, 5) AS ACCTCODE, CAST(o_custkey AS VARCHAR) AS CUSTNO
+FROM orders WHERE o_orderstatus = 'P'"""
+
+
+def _party_inputs(spark, sf):
+    o = table(spark, sf, "orders")
+    k, c = o.o_orderkey, o.o_custkey
+    rel = o.filter(o.o_orderstatus != "P").select(
+        k.cast("string").alias("CUSTNO1"), F.when(k % 2 == 0, F.lit("O")).otherwise(F.lit("I")).alias("CUSTTYPE1"),
+        F.lpad((k % 40).cast("string"), 3, "0").alias("RLENCODE1"), F.concat(F.lit("REL "), (k % 40).cast("string")).alias("DESC1"),
+        c.cast("string").alias("CUSTNO"),
+        F.when(c % 3 == 0, F.lit("O")).when(c % 3 == 1, F.lit("I")).otherwise(F.lit("X")).alias("CUSTTYPE"),
+        F.lpad((c % 40).cast("string"), 3, "0").alias("RLENCODE"), F.concat(F.lit("REL "), (c % 40).cast("string")).alias("DESC"),
+        F.concat(F.lit("PARTY "), k.cast("string")).alias("CUSTNAME1"), F.concat(F.lit("A"), k.cast("string")).alias("ALIAS1"),
+        F.concat(F.lit("CUSTOMER "), c.cast("string")).alias("CUSTNAME"), F.concat(F.lit("B"), c.cast("string")).alias("ALIAS"))
+    acct = o.filter(o.o_orderstatus == "P").select(roles.acct_no().alias("ACCTNO"),
+                                                   F.substring("o_orderpriority", 1, 5).alias("ACCTCODE"),
+                                                   c.cast("string").alias("CUSTNO"))
+    return rel, acct
+
+
+_PARTY_ROWS_SQL = f"""
+SELECT r.CUSTNO1, r.CUSTTYPE1, r.RLENCODE1, r.DESC1, r.CUSTNO, r.CUSTTYPE, r.RLENCODE, r."DESC", r.CUSTNAME1, r.ALIAS1,
+       r.CUSTNAME, r.ALIAS, a.ACCTCODE, a.ACCTNO
+FROM ({PREL_SQL}) r JOIN ({PACCT_SQL}) a ON r.CUSTNO = a.CUSTNO WHERE r.CUSTTYPE = 'O'
+UNION ALL
+SELECT CUSTNO1, CUSTTYPE1, RLENCODE1, DESC1, CUSTNO, CUSTTYPE, RLENCODE, "DESC", CUSTNAME1, ALIAS1, CUSTNAME, ALIAS, '', ''
+FROM ({PREL_SQL}) r WHERE CUSTTYPE = 'I'"""
+def _sqlname(c):
+    return '"DESC"' if c == "DESC" else c
+
+
+_PARTY_FIXED = render_sql([(_sqlname(f.name), f.start, f.width) for f in PT.PARTY_LAYOUT.fields], 300)
+_PARTY_QUOTED = ("'\"' || " + " || '\",\"' || ".join(f"rpad({_sqlname(c)}, {w}, ' ')" for c, w in PT.QUOTED_WIDTHS)
+                 + " || '\", \\N'")
+
+
+@query("parties_accounts", "PIPE-03 SET-05 JON-01 SET-02 SNK-03 SNK-04 SNK-08", sql=f"""
+SELECT 'F' AS layout, {_PARTY_FIXED} AS value FROM ({_PARTY_ROWS_SQL}) p
+UNION ALL SELECT 'Q' AS layout, {_PARTY_QUOTED} AS value FROM ({_PARTY_ROWS_SQL}) p""")
+def parties_accounts(spark, sf):
+    rows = PT.parties_with_accounts(*_party_inputs(spark, sf))
+    return (PT.fixed_layout(rows).select(F.lit("F").alias("layout"), "value")
+            .unionByName(PT.quoted_layout(rows).select(F.lit("Q").alias("layout"), "value")))
+
+
+# --------------------------------------------------------------- PIPE-04
+from recsmith.plans import masters as MS  # noqa: E402
+from recsmith.catalog.rows import GENDER_SQL, _gender  # noqa: E402
+
+MAIN_SQL = f"""SELECT CAST(c_custkey AS VARCHAR) AS CUSTNO, c_mktsegment AS MAIN_ENTITY_TYPE,
+  'M' || CAST(c_nationkey AS VARCHAR) AS BRANCH, c_name AS CUSTNAME, {GENDER_SQL} AS GENDER FROM customer"""
+DETAIL_SQL = """SELECT CAST(o_custkey AS VARCHAR) AS CUSTNO, substr(o_orderpriority, 1, 1) AS IDTYPE,
+  CAST(o_orderkey AS VARCHAR) AS ID, 'D' || CAST(o_orderkey % 10 AS VARCHAR) AS BRANCH, o_orderstatus AS STATUS FROM orders"""
+LINKS_SQL = """SELECT CAST(o.o_custkey AS VARCHAR) AS CUSTNO, substr(o.o_orderpriority, 1, 1) AS IDTYPE,
+  CAST(o.o_orderkey AS VARCHAR) AS ID, 'AP' || CAST(l.l_linenumber AS VARCHAR) AS APPL_NO
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE l.l_returnflag = 'R'"""
+
+
+def _master_inputs(spark, sf):
+    c = table(spark, sf, "customer")
+    o = table(spark, sf, "orders")
+    li = table(spark, sf, "lineitem")
+    main = c.select(c.c_custkey.cast("string").alias("CUSTNO"), F.col("c_mktsegment").alias("MAIN_ENTITY_TYPE"),
+                    F.concat(F.lit("M"), c.c_nationkey.cast("string")).alias("BRANCH"),
+                    F.col("c_name").alias("CUSTNAME"), _gender().alias("GENDER"))
+    detail = o.select(o.o_custkey.cast("string").alias("CUSTNO"), F.substring("o_orderpriority", 1, 1).alias("IDTYPE"),
+                      o.o_orderkey.cast("string").alias("ID"),
+                      F.concat(F.lit("D"), (o.o_orderkey % 10).cast("string")).alias("BRANCH"),
+                      F.col("o_orderstatus").alias("STATUS"))
+    links = li.filter(li.l_returnflag == "R").join(o, li.l_orderkey == o.o_orderkey).select(
+        o.o_custkey.cast("string").alias("CUSTNO"), F.substring("o_orderpriority", 1, 1).alias("IDTYPE"),
+        o.o_orderkey.cast("string").alias("ID"), F.concat(F.lit("AP"), li.l_linenumber.cast("string")).alias("APPL_NO"))
+    return main, detail, links
+
+
+@query("daily_masters", "PIPE-04 SET-06 FLT-02 JON-04 JON-03 JON-11", sql=f"""
+WITH info_i AS (SELECT d.CUSTNO, d.IDTYPE, d.ID, d.STATUS, k.APPL_NO FROM ({DETAIL_SQL}) d
+                LEFT JOIN ({LINKS_SQL}) k ON d.CUSTNO = k.CUSTNO AND d.IDTYPE = k.IDTYPE AND d.ID = k.ID),
+     info_o AS (SELECT d.CUSTNO, d.IDTYPE, d.ID, d.BRANCH, d.STATUS, k.APPL_NO FROM ({DETAIL_SQL}) d
+                LEFT JOIN ({LINKS_SQL}) k ON d.CUSTNO = k.CUSTNO AND d.IDTYPE = k.IDTYPE AND d.ID = k.ID)
+SELECT 'I' AS part, m.CUSTNO, m.MAIN_ENTITY_TYPE, m.BRANCH, m.CUSTNAME, m.GENDER, i.IDTYPE, i.ID, i.STATUS, i.APPL_NO
+FROM ({MAIN_SQL}) m JOIN info_i i ON m.CUSTNO = i.CUSTNO WHERE m.GENDER IS DISTINCT FROM 'O'
+UNION ALL
+SELECT 'O' AS part, m.CUSTNO, m.MAIN_ENTITY_TYPE, i.BRANCH, m.CUSTNAME, m.GENDER, i.IDTYPE, i.ID, i.STATUS, i.APPL_NO
+FROM ({MAIN_SQL}) m JOIN info_o i ON m.CUSTNO = i.CUSTNO WHERE m.GENDER = 'O'""")
+def daily_masters(spark, sf):
+    main, detail, links = _master_inputs(spark, sf)
+    indvs, orgs = MS.split_main(main)
+    cols = ["CUSTNO", "MAIN_ENTITY_TYPE", "BRANCH", "CUSTNAME", "GENDER", "IDTYPE", "ID", "STATUS", "APPL_NO"]
+    ind = MS.daily_master(indvs, detail.drop("BRANCH"), links).select(F.lit("I").alias("part"), *cols)
+    org = MS.daily_master(orgs, detail, links).select(F.lit("O").alias("part"), *cols)
+    return ind.unionByName(org)
