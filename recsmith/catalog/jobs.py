@@ -402,3 +402,86 @@ def daily_masters(spark, sf):
     ind = MS.daily_master(indvs, detail.drop("BRANCH"), links).select(F.lit("I").alias("part"), *cols)
     org = MS.daily_master(orgs, detail, links).select(F.lit("O").alias("part"), *cols)
     return ind.unionByName(org)
+
+
+# --------------------------------------------------------------- PIPE-08
+from recsmith.catalog.columns import _line_n, _line_n_sql, _zip_ok_sql, _zip_state_sql  # noqa: E402
+from recsmith.operators.filters import FOREIGN_COUNTRIES, FOREIGN_WORDS  # noqa: E402
+from recsmith.plans import addresses as AD  # noqa: E402
+
+
+def _q(v):
+    return "'" + v.replace("'", "''") + "'"
+
+
+def _line3_sql():
+    return f"CASE WHEN o_orderkey % 17 = 0 THEN 'HONG KONG ROAD' ELSE {_line_n_sql(3)} END"
+
+
+LINES_SQL = f"""SELECT o_orderkey AS ADDREF, CAST(o_custkey AS VARCHAR) AS CUSTNO, 'NO ' || CAST(o_orderkey AS VARCHAR) AS LINE1ADR,
+  {_line_n_sql(2)} AS LINE2ADR, {_line3_sql()} AS LINE3ADR, {_line_n_sql(4)} AS LINE4ADR, {_line_n_sql(5)} AS LINE5ADR FROM orders"""
+ELEM_SQL = """SELECT o_orderkey AS ADDREF, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'TOWN' END AS CITY,
+  CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE '12345' END AS ZIP,
+  CASE WHEN o_orderkey % 11 = 0 THEN 'SINGAPORE' WHEN o_orderkey % 13 = 0 THEN '' ELSE 'MALAYSIA' END AS COUNTRY FROM orders"""
+
+
+def _address_inputs(spark, sf):
+    o = table(spark, sf, "orders")
+    k = o.o_orderkey
+    lines = o.select(k.alias("ADDREF"), o.o_custkey.cast("string").alias("CUSTNO"),
+                     F.concat(F.lit("NO "), k.cast("string")).alias("LINE1ADR"), _line_n(2).alias("LINE2ADR"),
+                     F.when(k % 17 == 0, F.lit("HONG KONG ROAD")).otherwise(_line_n(3)).alias("LINE3ADR"),
+                     _line_n(4).alias("LINE4ADR"), _line_n(5).alias("LINE5ADR"))
+    elems = o.select(k.alias("ADDREF"), F.when(k % 3 == 0, F.lit("")).otherwise(F.lit("TOWN")).alias("CITY"),
+                     F.when(k % 4 == 0, F.lit("")).otherwise(F.lit("12345")).alias("ZIP"),
+                     F.when(k % 11 == 0, F.lit("SINGAPORE")).when(k % 13 == 0, F.lit(""))
+                     .otherwise(F.lit("MALAYSIA")).alias("COUNTRY"))
+    return lines, elems
+
+
+def _pick_sql(part):
+    cases = " ".join(f"WHEN {_zip_ok_sql(c)} THEN substr({c}, {1 if part == 'zip' else 7}, {5 if part == 'zip' else 25})"
+                     for c in ["LINE2ADR", "LINE3ADR", "LINE4ADR", "LINE5ADR"])
+    return f"CASE {cases} END"
+
+
+REPAIRED_SQL = f"""
+SELECT *, {_zip_state_sql('NEW_ZIP')} AS STATEX FROM (
+  SELECT ADDREF, CUSTNO, LINE1ADR, LINE2ADR, LINE3ADR, LINE4ADR, LINE5ADR, CITY, ZIP, COUNTRY,
+         ltrim(COALESCE(z0, '')) AS NEW_ZIP, ltrim(COALESCE(c0, '')) AS NEW_CITY,
+         CASE WHEN z0 IS NOT NULL THEN 'MALAYSIA' ELSE '' END AS NEW_COUNTRY,
+         {' || '.join(f"rpad(COALESCE(LINE{i}ADR, ''), 40, ' ')" for i in range(1, 6))} AS ADDRLINE
+  FROM (SELECT l.*, e.CITY, e.ZIP, e.COUNTRY, {_pick_sql('zip')} AS z0, {_pick_sql('city')} AS c0
+        FROM ({LINES_SQL}) l JOIN ({ELEM_SQL}) e ON l.ADDREF = e.ADDREF
+        WHERE (trim(COALESCE(e.CITY, '')) = '' OR trim(COALESCE(e.ZIP, '')) = '')
+          AND NOT COALESCE(rtrim(e.COUNTRY) IN ({', '.join(_q(c) for c in FOREIGN_COUNTRIES)}), false)))
+WHERE NOT ({' OR '.join(f'contains(ADDRLINE, {_q(w)})' for w in FOREIGN_WORDS)}) AND NEW_ZIP <> ''"""
+
+
+def _layout_sql(layout, values):
+    fields = []
+    for f in layout.fields:
+        if f.name in values:
+            expr = values[f.name]
+        elif f.kind == "z":
+            expr = f"lpad({zero_pad_sql(f.name, f.width)}, {f.width}, '0')"
+        else:
+            expr = f.name
+        fields.append((expr, f.start, f.width))
+    return render_sql(fields, layout.lrecl)
+
+
+@query("address_update", "PIPE-08 JON-03 FLT-04 FLT-07 FLT-08 FLT-13 CND-03 CLS-04 STR-13 STR-09", sql=f"""
+SELECT {_layout_sql(AD.UPDATE_LAYOUT, {'NEW_CITY': 'upper(NEW_CITY)'})} AS value FROM ({REPAIRED_SQL}) r""")
+def address_update(spark, sf):
+    return AD.update_records(AD.repaired(*_address_inputs(spark, sf)))
+
+
+@query("address_verify", "PIPE-08 SNK-05 SNK-08 WIN-02", sql=f"""
+SELECT 0::BIGINT AS line_no, {_q(AD._header_text())} AS value
+UNION ALL
+SELECT row_number() OVER (ORDER BY CUSTNO, ADDREF, value) AS line_no, value FROM (
+  SELECT CUSTNO, ADDREF, {_layout_sql(AD.VERIFY_LAYOUT, {'DASH': "'-'", 'OLD': "'*OLD*'", 'NEW': "'*NEW*'"})} AS value
+  FROM ({REPAIRED_SQL}) r)""")
+def address_verify(spark, sf):
+    return AD.verify_report(AD.repaired(*_address_inputs(spark, sf)))
