@@ -485,3 +485,109 @@ SELECT row_number() OVER (ORDER BY CUSTNO, ADDREF, value) AS line_no, value FROM
   FROM ({REPAIRED_SQL}) r)""")
 def address_verify(spark, sf):
     return AD.verify_report(AD.repaired(*_address_inputs(spark, sf)))
+
+
+# --------------------------------------------------------------- PIPE-10
+from recsmith.plans import combined as CB  # noqa: E402
+from recsmith.sources.readers import control_date  # noqa: E402
+
+CB_KEEP = ["CUSTNAME", "RESIDENCY", "CORPSTATUS", "CITIZENSHIP"]
+_OPEN_SQL = ("CASE WHEN c_custkey % 6 = 0 THEN '00002000000' WHEN c_custkey % 6 = 1 THEN '' "
+             "WHEN c_custkey % 6 = 2 THEN ' 1011999000' ELSE lpad(CAST((c_custkey % 12 + 1) * 1000000000 + "
+             "(c_custkey % 28 + 1) * 10000000 + 1990000 + c_custkey % 1000 AS VARCHAR), 11, '0') END")
+CDLY_SQL = f"""SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS CUSTNO, c_name AS CUSTNAME,
+  c_custkey * 1009 AS PRIPHONE, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_custkey * 7 END AS SECPHONE,
+  c_custkey * 3 AS MOBILEPH, CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE c_custkey END AS FAX, c_custkey * 3 AS ADDREF,
+  c_custkey % 7 AS HRC01, c_nationkey AS HRC02, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_custkey % 11 END AS HRC03,
+  (c_custkey * 3) % 1000 AS HRC04, {_OPEN_SQL} AS CUSTOPENDATE,
+  lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS RESIDENCY, substr(c_mktsegment, 1, 3) AS CORPSTATUS,
+  lpad(CAST(c_nationkey % 5 AS VARCHAR), 2, '0') AS CITIZENSHIP FROM customer"""
+IDLY_SQL = """SELECT CASE WHEN o_orderkey % 50 = 0 THEN '' ELSE lpad(CAST(o_custkey AS VARCHAR), 8, '0') END AS CUSTNO,
+  substr(o_orderpriority, 1, 1) AS IDTYPE, CAST(o_orderkey AS VARCHAR) AS ID,
+  lpad(CAST(o_orderkey % 300 AS VARCHAR), 5, '0') AS CUSTBRANCH, strftime(o_orderdate, '%Y-%m-%d') AS LAST_UPDATE_DATE,
+  lpad(CAST(o_orderkey % 86400 AS VARCHAR), 6, '0') AS LAST_UPDATE_TIME, o_orderstatus AS LAST_UPDATE_OPER,
+  'MY' AS PRCOUNTRY FROM orders"""
+DEMO_SQL = """SELECT 'RESTR' AS DEMOCATEGORY, lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS DEMOCODE, n_name AS CODEDESC FROM nation
+UNION ALL SELECT DISTINCT 'SALES', substr(c_mktsegment, 1, 3), c_mktsegment FROM customer
+UNION ALL SELECT 'CITZN', lpad(CAST(r_regionkey AS VARCHAR), 2, '0') || 'X', r_name FROM region
+UNION ALL SELECT 'OTHER', CAST(p_partkey AS VARCHAR), p_type FROM part"""
+
+
+def _combined_inputs(spark, sf):
+    c = table(spark, sf, "customer")
+    o = table(spark, sf, "orders")
+    k = c.c_custkey
+    open_txt = (F.when(k % 6 == 0, F.lit("00002000000")).when(k % 6 == 1, F.lit(""))
+                .when(k % 6 == 2, F.lit(" 1011999000"))
+                .otherwise(F.lpad(((k % 12 + 1) * 1000000000 + (k % 28 + 1) * 10000000 + 1990000 + k % 1000)
+                                  .cast("string"), 11, "0")))
+    cust = c.select(F.lpad(k.cast("string"), 8, "0").alias("CUSTNO"), F.col("c_name").alias("CUSTNAME"),
+                    (k * 1009).alias("PRIPHONE"), F.when(k % 4 != 0, k * 7).alias("SECPHONE"),
+                    (k * 3).alias("MOBILEPH"), F.when(k % 2 != 0, k).alias("FAX"), (k * 3).alias("ADDREF"),
+                    (k % 7).alias("HRC01"), F.col("c_nationkey").alias("HRC02"),
+                    F.when(k % 5 != 0, k % 11).alias("HRC03"), ((k * 3) % 1000).alias("HRC04"),
+                    open_txt.alias("CUSTOPENDATE"),
+                    F.lpad(c.c_nationkey.cast("string"), 3, "0").alias("RESIDENCY"),
+                    F.substring("c_mktsegment", 1, 3).alias("CORPSTATUS"),
+                    F.lpad((c.c_nationkey % 5).cast("string"), 2, "0").alias("CITIZENSHIP"))
+    ok = o.o_orderkey
+    indv = o.select(F.when(ok % 50 == 0, F.lit("")).otherwise(F.lpad(o.o_custkey.cast("string"), 8, "0")).alias("CUSTNO"),
+                    F.substring("o_orderpriority", 1, 1).alias("IDTYPE"), ok.cast("string").alias("ID"),
+                    F.lpad((ok % 300).cast("string"), 5, "0").alias("CUSTBRANCH"),
+                    F.date_format("o_orderdate", "yyyy-MM-dd").alias("LAST_UPDATE_DATE"),
+                    F.lpad((ok % 86400).cast("string"), 6, "0").alias("LAST_UPDATE_TIME"),
+                    F.col("o_orderstatus").alias("LAST_UPDATE_OPER"), F.lit("MY").alias("PRCOUNTRY"))
+    n = table(spark, sf, "nation")
+    r = table(spark, sf, "region")
+    p = table(spark, sf, "part")
+    codes = (n.select(F.lit("RESTR").alias("DEMOCATEGORY"), F.lpad(n.n_nationkey.cast("string"), 3, "0").alias("DEMOCODE"),
+                      F.col("n_name").alias("CODEDESC"))
+             .unionByName(c.select(F.lit("SALES").alias("DEMOCATEGORY"), F.substring("c_mktsegment", 1, 3).alias("DEMOCODE"),
+                                   F.col("c_mktsegment").alias("CODEDESC")).distinct())
+             .unionByName(r.select(F.lit("CITZN").alias("DEMOCATEGORY"),
+                                   F.concat(F.lpad(r.r_regionkey.cast("string"), 2, "0"), F.lit("X")).alias("DEMOCODE"),
+                                   F.col("r_name").alias("CODEDESC")))
+             .unionByName(p.select(F.lit("OTHER").alias("DEMOCATEGORY"), p.p_partkey.cast("string").alias("DEMOCODE"),
+                                   F.col("p_type").alias("CODEDESC"))))
+    ctl = o.agg(F.max("o_orderdate").alias("d")).select(F.year("d").alias("YY"), F.month("d").alias("MM"),
+                                                        F.dayofmonth("d").alias("DD"))
+    run_ts = control_date(ctl).replace("-", "") + "120000"
+    return cust, indv, codes, run_ts
+
+
+_CB_DERIVED = (["CUSTNOX"] + CB_KEEP + list(CB.PHONES) + ["HRCALL", "OPENDT"])
+_CB_INDV = ["CUSTNO", "IDTYPE", "ID", "CUSTBRANCH", "LAST_UPDATE_DATE", "LAST_UPDATE_TIME", "LAST_UPDATE_OPER", "PRCOUNTRY"]
+_HRC_SQL = " || ".join(f"lpad(CAST(COALESCE({h}, 0) AS VARCHAR), 3, '0')" for h in ["HRC01", "HRC02", "HRC03", "HRC04"])
+_OPENDT_SQL = ("CASE WHEN z = '00002000000' THEN '20000101' ELSE substr(z, 5, 4) || substr(z, 1, 2) || substr(z, 3, 2) END")
+_CDER_SQL = f"""SELECT CUSTNO AS CUSTNOX, {', '.join(CB_KEEP)},
+  {zero_pad_sql('PRIPHONE', 11)} AS PRIPHONEX, {zero_pad_sql('SECPHONE', 11)} AS SECPHONEX,
+  {zero_pad_sql('MOBILEPH', 11)} AS MOBILEPHX, {zero_pad_sql('FAX', 11)} AS FAXX, {zero_pad_sql('ADDREF', 11)} AS ADDREFX,
+  {_HRC_SQL} AS HRCALL, {_OPENDT_SQL} AS OPENDT
+FROM (SELECT *, translate(lpad(COALESCE(CUSTOPENDATE, ''), 11, ' '), ' ', '0') AS z FROM ({CDLY_SQL}) _c)"""
+
+
+def _lookup_sql(cat, col, desc, width):
+    src = (f"SELECT rtrim(substr(DEMOCODE, 1, {width})) AS {col}, CODEDESC AS {desc} FROM ({DEMO_SQL}) _d "
+           f"WHERE DEMOCATEGORY = '{cat}'")
+    return first_sql(src, [col], [desc], [col, desc])
+
+
+_CB_OUT = (_CB_DERIVED + ["IDTYPE", "ID", "CUSTBRANCH", "LAST_UPDATE_DATE", "LAST_UPDATE_TIME", "LAST_UPDATE_OPER",
+                          "PRCOUNTRY", "RESDESC", "SALDESC", "CTZDESC", "RUNTIMESTAMP"])
+
+
+@query("combined_file", "PIPE-10 SRC-14 STR-17 STR-06 STR-05 DAT-06 DAT-07 DAT-05 SET-05 DED-04 JON-13", sql=f"""
+SELECT c.CUSTNOX, {', '.join('c.' + k for k in CB_KEEP)}, c.PRIPHONEX, c.SECPHONEX, c.MOBILEPHX, c.FAXX, c.ADDREFX,
+       c.HRCALL, c.OPENDT, i.IDTYPE, i.ID, i.CUSTBRANCH, i.LAST_UPDATE_DATE, i.LAST_UPDATE_TIME, i.LAST_UPDATE_OPER,
+       i.PRCOUNTRY, COALESCE(r.RESDESC, '') AS RESDESC, COALESCE(s.SALDESC, '') AS SALDESC,
+       COALESCE(z.CTZDESC, '') AS CTZDESC,
+       (SELECT strftime(max(o_orderdate), '%Y%m%d') FROM orders) || '120000' AS RUNTIMESTAMP
+FROM ({first_sql(_CDER_SQL, ['CUSTNOX'], _CB_DERIVED[1:], _CB_DERIVED)}) c
+LEFT JOIN (SELECT CUSTNO AS CUSTNOX, * EXCLUDE (CUSTNO) FROM ({first_sql(IDLY_SQL, ['CUSTNO'], _CB_INDV[4:5] + _CB_INDV[1:4] + _CB_INDV[5:], _CB_INDV, desc=True)}) _i
+           WHERE trim(CUSTNO) <> '') i ON c.CUSTNOX = i.CUSTNOX
+LEFT JOIN ({_lookup_sql('RESTR', 'RESIDENCY', 'RESDESC', 3)}) r ON c.RESIDENCY = r.RESIDENCY
+LEFT JOIN ({_lookup_sql('SALES', 'CORPSTATUS', 'SALDESC', 3)}) s ON c.CORPSTATUS = s.CORPSTATUS
+LEFT JOIN ({_lookup_sql('CITZN', 'CITIZENSHIP', 'CTZDESC', 2)}) z ON c.CITIZENSHIP = z.CITIZENSHIP""")
+def combined_file(spark, sf):
+    cust, indv, codes, run_ts = _combined_inputs(spark, sf)
+    return CB.combined_file(cust, indv, codes, run_ts, CB_KEEP).select(*_CB_OUT)
