@@ -591,3 +591,132 @@ LEFT JOIN ({_lookup_sql('CITZN', 'CITIZENSHIP', 'CTZDESC', 2)}) z ON c.CITIZENSH
 def combined_file(spark, sf):
     cust, indv, codes, run_ts = _combined_inputs(spark, sf)
     return CB.combined_file(cust, indv, codes, run_ts, CB_KEEP).select(*_CB_OUT)
+
+
+# --------------------------------------------------------------- PIPE-11
+from recsmith.catalog.columns import OPENIND_SQL, PACKED_DATE_SQL, _fcy_sql, _openind, _packed_date, _range_case_sql  # noqa: E402,E501
+from recsmith.functions import rules as RU  # noqa: E402
+from recsmith.functions.numbers import money  # noqa: E402
+from recsmith.plans import report as RP  # noqa: E402
+
+ACCT_NUM_SQL = "((o_orderkey % 9 + 1) * 1000000000 + o_orderkey)"
+CROWS_SQL = f"""SELECT {ACCT} AS ACCTNOC, CAST(o_custkey AS VARCHAR) AS CUSTNO, 'IC' AS ALIASKEY, c_name AS ALIAS,
+  c_name AS CUSTNAME, lpad(CAST(c_nationkey + 3 AS VARCHAR), 3, '0') AS DEMOCODE,
+  lpad(CAST(c_nationkey % 5 AS VARCHAR), 5, '0') AS MASCO2008, lpad(CAST(o_custkey % 2000 AS VARCHAR), 5, '0') AS MSICCODE
+FROM orders JOIN customer ON o_custkey = c_custkey"""
+REQ_SQL = "SELECT DISTINCT 'IC' AS ALIASKEY, c_name AS ALIAS FROM customer WHERE c_mktsegment <> 'MACHINERY'"
+OCC_SQL = "SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS DEMOCODE, n_name AS DEMODESC FROM nation"
+MASCO_SQL = "SELECT lpad(CAST(r_regionkey AS VARCHAR), 5, '0') AS MASCO2008, r_name AS MASCODESC FROM region"
+MSIC_SQL = "SELECT lpad(CAST(p_partkey AS VARCHAR), 5, '0') AS MSICCODE, p_type AS MSICDESC FROM part"
+BOX_SQL = "SELECT c_name AS ALIAS, 'BR' || CAST(c_nationkey AS VARCHAR) AS BRANCH_ABBR FROM customer WHERE c_acctbal < 0"
+DP_SQL = f"""SELECT {ACCT_NUM_SQL} AS ACCTNO, o_custkey % 500 AS PRODTYPE, o_orderkey % 5000 AS COSTCTR, {OPENIND_SQL} AS OPENIND,
+  CASE WHEN o_orderkey % 23 = 0 THEN '' ELSE 'P' END AS PURPOSECD,
+  CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS LEDGERBAL1,
+  CAST(CAST(o_totalprice AS DECIMAL(18,2)) - 150000 AS DECIMAL(18,2)) AS CURBAL,
+  {PACKED_DATE_SQL} AS OPENDATE, CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE {PACKED_DATE_SQL} END AS CLSEDATE
+FROM orders WHERE substr({ACCT}, 1, 2) IN ('01', '03', '04', '05', '06', '07', '09')"""
+LN_SQL = f"""SELECT {ACCT_NUM_SQL} AS ACCTNO, o_orderkey % 5000 AS COSTCENTER,
+  CASE WHEN o_orderkey % 4 = 0 THEN '3' ELSE '0' END AS NPLINDC,
+  CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_custkey % 120 END AS ARREARDAY,
+  CASE WHEN o_orderstatus = 'F' AND o_orderkey % 3 = 0 THEN 'P' ELSE '' END AS NOTEPAID,
+  CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) - 15000000 AS NOTECURBAL,
+  {PACKED_DATE_SQL} AS ACCTOPENDATE, {PACKED_DATE_SQL} AS LASTTRANDATE
+FROM orders WHERE substr({ACCT}, 1, 2) IN ('02', '08')"""
+
+
+def _report_inputs(spark, sf):
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer")
+    k = o.o_orderkey
+    acct_num = (k % 9 + 1) * F.lit(1000000000) + k
+    prefix = F.substring(roles.acct_no(), 1, 2)
+    rows = o.join(c, o.o_custkey == c.c_custkey).select(
+        roles.acct_no().alias("ACCTNOC"), o.o_custkey.cast("string").alias("CUSTNO"), F.lit("IC").alias("ALIASKEY"),
+        F.col("c_name").alias("ALIAS"), F.col("c_name").alias("CUSTNAME"),
+        F.lpad((c.c_nationkey + 3).cast("string"), 3, "0").alias("DEMOCODE"),
+        F.lpad((c.c_nationkey % 5).cast("string"), 5, "0").alias("MASCO2008"),
+        F.lpad((o.o_custkey % 2000).cast("string"), 5, "0").alias("MSICCODE"))
+    req = c.filter(c.c_mktsegment != "MACHINERY").select(F.lit("IC").alias("ALIASKEY"), F.col("c_name").alias("ALIAS"))
+    occ = table(spark, sf, "nation").select(F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("DEMOCODE"),
+                                            F.col("n_name").alias("DEMODESC"))
+    masco = table(spark, sf, "region").select(F.lpad(F.col("r_regionkey").cast("string"), 5, "0").alias("MASCO2008"),
+                                              F.col("r_name").alias("MASCODESC"))
+    msic = table(spark, sf, "part").select(F.lpad(F.col("p_partkey").cast("string"), 5, "0").alias("MSICCODE"),
+                                           F.col("p_type").alias("MSICDESC"))
+    boxes = c.filter(c.c_acctbal < 0).select(F.col("c_name").alias("ALIAS"),
+                                             F.concat(F.lit("BR"), c.c_nationkey.cast("string")).alias("BRANCH_ABBR"))
+    cents = (money("o_totalprice") * 100).cast("long")
+    dp = o.filter(prefix.isin("01", "03", "04", "05", "06", "07", "09")).select(
+        acct_num.alias("ACCTNO"), (o.o_custkey % 500).alias("PRODTYPE"), (k % 5000).alias("COSTCTR"),
+        _openind().alias("OPENIND"), F.when(k % 23 == 0, F.lit("")).otherwise(F.lit("P")).alias("PURPOSECD"),
+        cents.alias("LEDGERBAL1"), (money("o_totalprice") - 150000).cast("decimal(18,2)").alias("CURBAL"),
+        _packed_date().alias("OPENDATE"),
+        F.when(k % 3 == 0, F.lit(0).cast("long")).otherwise(_packed_date()).alias("CLSEDATE"))
+    ln = o.filter(prefix.isin("02", "08")).select(
+        acct_num.alias("ACCTNO"), (k % 5000).alias("COSTCENTER"),
+        F.when(k % 4 == 0, F.lit("3")).otherwise(F.lit("0")).alias("NPLINDC"),
+        F.when(k % 5 != 0, o.o_custkey % 120).alias("ARREARDAY"),
+        F.when((o.o_orderstatus == "F") & (k % 3 == 0), F.lit("P")).otherwise(F.lit("")).alias("NOTEPAID"),
+        (cents - 15000000).alias("NOTECURBAL"), _packed_date().alias("ACCTOPENDATE"), _packed_date().alias("LASTTRANDATE"))
+    return rows, req, occ, masco, msic, boxes, dp, ln
+
+
+def _packed_sql(e):
+    z = f"lpad(CAST({e} AS VARCHAR), 11, '0')"
+    return f"substr({z}, 5, 4) || substr({z}, 1, 2) || substr({z}, 3, 2)"
+
+
+def _loan_status_sql():
+    return ("CASE WHEN rtrim(NOTEPAID) = 'P' THEN 'PAID-OFF' WHEN ARREARDAY > 1 AND ARREARDAY < 92 THEN 'ACCOUNT IN ARREARS' "
+            "WHEN rtrim(NPLINDC) = '3' OR ARREARDAY > 92 THEN 'NPL' WHEN NOTECURBAL > 0 THEN 'ACTIVE' ELSE '' END")
+
+
+_DP_APPL_SQL = _fcy_sql(_range_case_sql(zero_pad_sql("ACCTNO", 11), RU.DEPOSIT_RANGES)).replace(
+    "lpad(CAST(o_custkey % 500 AS VARCHAR), 3, '0')", zero_pad_sql("PRODTYPE", 3))
+_DEPOSITS_SQL = f"""SELECT {zero_pad_sql('ACCTNO', 11)} AS ACCTNOC, {zero_pad_sql('PRODTYPE', 3)} AS PRODTY,
+  {_DP_APPL_SQL} AS APPL_CODE,
+  CASE WHEN COSTCTR > 3000 AND COSTCTR < 3999 THEN 'I' ELSE 'C' END AS BANKINDC,
+  CASE WHEN COALESCE(rtrim(OPENIND), '') = '' THEN 'ACTIVE' WHEN rtrim(OPENIND) IN ('B', 'C', 'P') THEN 'CLOSED'
+       WHEN rtrim(OPENIND) = 'Z' THEN 'ZERO BALANCE' ELSE '' END AS ACCTSTATUS,
+  {_packed_sql('OPENDATE')} AS DATEOPEN, {_packed_sql('CLSEDATE')} AS DATECLSE,
+  CAST(LEDGERBAL1 / 100 AS DECIMAL(18,2)) AS LEDGERBAL, CURBAL
+FROM ({DP_SQL}) d WHERE trim(COALESCE(PURPOSECD, '')) <> ''"""
+_LOANS_SQL = f"""SELECT {zero_pad_sql('ACCTNO', 11)} AS ACCTNOC, '' AS PRODTY,
+  {_range_case_sql(zero_pad_sql('ACCTNO', 11), RU.LOAN_RANGES)} AS APPL_CODE,
+  CASE WHEN COSTCENTER BETWEEN 3000 AND 3999 THEN 'I' ELSE 'C' END AS BANKINDC, {_loan_status_sql()} AS ACCTSTATUS,
+  {_packed_sql('ACCTOPENDATE')} AS DATEOPEN, {_packed_sql('LASTTRANDATE')} AS DATECLSE,
+  CAST(NOTECURBAL / 100 AS DECIMAL(18,2)) AS LEDGERBAL, CAST(NULL AS DECIMAL(18,2)) AS CURBAL,
+  {zero_pad_sql(f"TRY_CAST(trim(substr({zero_pad_sql('COSTCENTER', 7)}, 5, 3)) AS BIGINT)", 3)} AS ACCTBRCH
+FROM ({LN_SQL}) l"""
+_CUSTS_SQL = f"""SELECT r.*, CASE WHEN trim(COALESCE(oc.DEMODESC, '')) = '' THEN 'NIL' ELSE oc.DEMODESC END AS DEMODESC,
+  CASE WHEN trim(COALESCE(ma.MASCODESC, '')) = '' THEN 'NIL' ELSE ma.MASCODESC END AS MASCODESC,
+  CASE WHEN trim(COALESCE(ms.MSICDESC, '')) = '' THEN 'NIL' ELSE ms.MSICDESC END AS MSICDESC,
+  CASE WHEN bx.ALIAS IS NOT NULL THEN 'YES' ELSE 'NIL' END AS SDBIND,
+  CASE WHEN bx.ALIAS IS NOT NULL THEN bx.BRANCH_ABBR ELSE 'NIL' END AS SDBBRH
+FROM ({CROWS_SQL}) r JOIN ({REQ_SQL}) q ON r.ALIASKEY = q.ALIASKEY AND r.ALIAS = q.ALIAS
+LEFT JOIN ({first_sql(OCC_SQL, ['DEMOCODE'], ['DEMODESC'], ['DEMOCODE', 'DEMODESC'])}) oc ON r.DEMOCODE = oc.DEMOCODE
+LEFT JOIN ({first_sql(MASCO_SQL, ['MASCO2008'], ['MASCODESC'], ['MASCO2008', 'MASCODESC'])}) ma ON r.MASCO2008 = ma.MASCO2008
+LEFT JOIN ({first_sql(MSIC_SQL, ['MSICCODE'], ['MSICDESC'], ['MSICCODE', 'MSICDESC'])}) ms ON r.MSICCODE = ms.MSICCODE
+LEFT JOIN ({first_sql(BOX_SQL, ['ALIAS'], ['BRANCH_ABBR'], ['ALIAS', 'BRANCH_ABBR'])}) bx ON r.ALIAS = bx.ALIAS"""
+_ROWS_SQL = f"""SELECT *, CAST(CASE WHEN rtrim(APPL_CODE) IN ('FD', 'CA', 'SA')
+     THEN CASE WHEN CURBAL < 0 OR CURBAL > 0 THEN CURBAL ELSE 0 END ELSE 0 END AS DECIMAL(18,2)) AS TEMP_CURBAL
+FROM (SELECT 1 AS SRC, c.*, d.* EXCLUDE (ACCTNOC), NULL AS ACCTBRCH FROM ({_CUSTS_SQL}) c JOIN ({_DEPOSITS_SQL}) d USING (ACCTNOC)
+      UNION ALL
+      SELECT 2 AS SRC, c.*, l.* EXCLUDE (ACCTNOC) FROM ({_CUSTS_SQL}) c JOIN ({_LOANS_SQL}) l USING (ACCTNOC))"""
+_LINE_COLS = ["NO", "CUSTNO", "ACCTNOC", "APPL_CODE", "PRODTY", "CUSTNAME", "DEMODESC", "ACCTSTATUS", "DATEOPEN",
+              "DATECLSE", "TEMP_CURBAL", "SDBIND", "SDBBRH"]
+_LINE_SQL = "concat_ws(';', " + ", ".join(
+    f"rpad(COALESCE(CAST({c} AS VARCHAR), ''), {w}, ' ')" for c, (_, w) in zip(_LINE_COLS, RP.REPORT_COLUMNS)) + ")"
+
+
+@query("customer_report", "PIPE-11 JON-05 JON-07 JON-13 JON-14 CLS-02 CLS-03 CLS-05 CLS-06 CLS-07 DAT-06 MTH-01 "
+       "MTH-03 MTH-04 MTH-05 NUL-01 SET-03 WIN-01 SNK-06", sql=f"""
+SELECT -1::BIGINT AS line_no, {_q(RP.REPORT_TITLE)} AS value
+UNION ALL SELECT 0::BIGINT, {_q(';'.join(h.ljust(w)[:w] for h, w in RP.REPORT_COLUMNS))}
+UNION ALL SELECT NO AS line_no, {_LINE_SQL} AS value
+FROM (SELECT *, row_number() OVER (ORDER BY SRC, ACCTNOC) AS NO FROM ({_ROWS_SQL}) _r)""")
+def customer_report(spark, sf):
+    rows, req, occ, masco, msic, boxes, dp, ln = _report_inputs(spark, sf)
+    custs = RP.safe_box_flag(RP.describe(RP.requested_customers(req, rows), occ, masco, msic), boxes)
+    body = RP.report_rows(custs, RP.deposit_accounts(dp), RP.loan_accounts(ln))
+    return RP.report_lines(body)

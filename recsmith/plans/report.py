@@ -32,7 +32,7 @@ from recsmith.operators.reshape import union_widen
 
 BALANCE_APPLS = ["FD", "CA", "SA"]
 REPORT_TITLE = "LIST OF CUSTOMERS INFORMATION"
-# Report columns (heading, width) in print order.
+# Report columns (heading, width) in print order.
 REPORT_COLUMNS = [("NO", 5), ("CUST NO", 11), ("ACCOUNT NO", 20), ("APPL", 5), ("PRODUCT", 3),
                   ("CUST NAME", 40), ("OCCUPATION", 20), ("STATUS", 24), ("DATE OPEN", 8),
                   ("DATE CLOSE", 8), ("BALANCE", 16), ("SDB", 3), ("SDB BRANCH", 7)]
