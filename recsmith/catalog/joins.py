@@ -185,3 +185,10 @@ def overlay_merge(spark, sf):
         "c_custkey", F.concat(F.lit("ORG"), (c.c_custkey % 10).cast("string")).alias("BRANCH"),
         F.col("c_mktsegment").alias("SEGMENT"))
     return J.overlay_merge(main, org, "c_custkey")
+
+
+@query("match_merge_hot", "JON-10 WIN-01 (skew-safe path forced)", sql=MM_SQL.format(has_r="s.slot <= s.nr"))
+def match_merge_hot(spark, sf):
+    left, right = _mm_inputs(spark, sf)
+    return J.match_merge(left, right, "CUSTNO", ["ORDERNO"], ["ALIAS"], keep="left", overlay="positional",
+                         skew_safe=True)

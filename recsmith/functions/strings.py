@@ -95,14 +95,30 @@ def contains_text(c, needle: str) -> Column:
     return F.contains(col(c), F.lit(needle))
 
 
+def literal_alternation(needles: Iterable[str]) -> str:
+    """Java regex matching any of the literals (each quoted with \\Q..\\E),
+    guarded by a look-ahead on the possible first characters so that most
+    positions are rejected with a single character-class test."""
+    needles = list(needles)
+    alts = "|".join("\\Q" + n.replace("\\E", "\\E\\\\E\\Q") + "\\E" for n in needles)
+    firsts = "".join(ch if ch.isalnum() else "\\" + ch for ch in sorted({n[0] for n in needles if n}))
+    return f"(?=[{firsts}])(?:{alts})" if firsts else alts
+
+
 def contains_any(c, needles: Iterable[str]) -> Column:
-    """True if any literal occurs (STR-10 / FLT-08); kept as plain ``contains``
-    calls so the predicate stays inside whole-stage codegen."""
-    return reduce(or_, [contains_text(c, n) for n in needles])
+    """True if any literal occurs (STR-10 / FLT-08).
+
+    One regex over the column, not N ``contains`` calls: a filter on a computed
+    column is pushed below its projection by substituting the definition into
+    every reference, so N references would rebuild the column N times."""
+    needles = list(needles)
+    if len(needles) == 1:
+        return contains_text(c, needles[0])
+    return col(c).rlike(literal_alternation(needles))
 
 
 def contains_none(c, needles: Iterable[str]) -> Column:
-    return reduce(and_, [~contains_text(c, n) for n in needles])
+    return ~contains_any(c, needles)
 
 
 def replace_value(c, old: str, new: str) -> Column:

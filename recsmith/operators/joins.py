@@ -142,7 +142,7 @@ def overlay_merge(left: DataFrame, right: DataFrame, on, how: str = "left") -> D
 
 def match_merge(left: DataFrame, right: DataFrame, on, left_order: Sequence,
                 right_order: Sequence, keep: str = "left",
-                overlay: str = "matched", skew_safe: bool = True) -> DataFrame:
+                overlay: str = "matched", skew_safe: bool | None = None) -> DataFrame:
     """JON-10: positional match-merge of a key group with ``nl`` left and ``nr``
     right rows (the sequential MERGE-BY semantics).
 

@@ -48,9 +48,18 @@ def flip_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 
 
 def symmetrise(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """SET-04: edge rows plus their flipped copies (a union, never a self-join,
-    so duplicated edges do not fan out)."""
-    return df.unionByName(flip_pairs(df, pairs))
+    """SET-04: edge rows plus their flipped copies (never a self-join, so
+    duplicated edges do not fan out).
+
+    One pass: each row is exploded into its stored and its flipped form, so
+    the input is scanned (and any upstream dedup computed) once, not twice as
+    with a union of two branches."""
+    swap = {}
+    for a, b in pairs:
+        swap[a], swap[b] = b, a
+    stored = F.struct(*[F.col(c).alias(c) for c in df.columns])
+    flipped = F.struct(*[F.col(swap.get(c, c)).alias(c) for c in df.columns])
+    return df.select(F.explode(F.array(stored, flipped)).alias("_e")).select("_e.*")
 
 
 def route(df: DataFrame, routes: dict[str, Column], label: str = "route",

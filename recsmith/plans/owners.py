@@ -60,7 +60,9 @@ def account_owners(acct_rel: DataFrame, cust_rel: DataFrame, with_record: bool =
     150-byte key" equals a distinct over the rendered record.
     """
     matched = primary_accounts(acct_rel).join(both_directions(cust_rel), "CUSTNO")
-    rec = matched.select(*OWNER_LAYOUT.names, OWNER_LAYOUT.render_expr().alias("record"))
-    out = rec.dropDuplicates(["record"])
-    cols = OWNER_LAYOUT.names + (["record"] if with_record else [])
-    return out.select(*cols)
+    # distinct on the values as laid out in the 150-byte key = dedup on the
+    # rendered key, as a hash aggregate with map-side combine
+    out = matched.select(*OWNER_LAYOUT.rendered_values(150)).distinct()
+    if with_record:
+        out = out.withColumn("record", OWNER_LAYOUT.render_expr())
+    return out
