@@ -36,9 +36,14 @@ class Field:
     scale: int = 0
     pattern: str = "yyyy-MM-dd"
 
+    @property
+    def chars(self) -> int:
+        """Characters the field occupies in a text record (hex packed: 2 per byte)."""
+        return 2 * self.width if self.kind == "x" else self.width
+
     @property
     def end(self) -> int:
-        return self.start + self.width - 1
+        return self.start + self.chars - 1
 
 
 @dataclass
