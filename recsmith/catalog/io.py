@@ -266,3 +266,28 @@ def bucketed_table(spark, sf):
                                           F.col("o_orderkey").alias("ID"))
     W.write_bucketed(o, name, ["CUSTNO"], 8, ["CUSTNO", "IDTYPE", "ID"], path=_fresh(spark, name))
     return RD.read_table(spark, name).select("CUSTNO", "ID", "IDTYPE")
+
+
+@query("daily_stream_generation", "SNK-09 SRC-13 PIPE-06 (available-now daily run)", sql="""
+SELECT CASE WHEN substr(ACCTNOC, 1, 2) IN ('02', '08') THEN 'LN'
+            WHEN substr(ACCTNOC, 1, 2) IN ('01', '03', '04', '05', '06', '07') THEN 'DP' ELSE '' END AS ACCTCODE,
+       ACCTNOC, CUSTNO, RLENCODE
+FROM (SELECT lpad(CAST((o_orderkey % 9 + 1) * 1000000000 + o_orderkey AS VARCHAR), 11, '0') AS ACCTNOC,
+             CAST(o_custkey AS VARCHAR) AS CUSTNO, substr(o_orderpriority, 1, 3) AS RLENCODE, o_orderstatus FROM orders)
+WHERE o_orderstatus = 'F'""")
+def daily_stream_generation(spark, sf):
+    """Primary accounts computed by an available-now streaming run over the
+    landed orders extract; the newest generation is read back."""
+    from recsmith.plans.owners import primary_accounts
+    from recsmith.streaming.daily import run_available
+
+    def plan(batch):
+        rel = batch.select(roles.acct_no().alias("ACCTNOC"), F.col("o_custkey").cast("string").alias("CUSTNO"),
+                           F.substring("o_orderpriority", 1, 3).alias("RLENCODE"),
+                           F.when(F.col("o_orderstatus") == "F", F.lit("901")).otherwise(F.lit("000")).alias("PRISEC"))
+        return primary_accounts(rel)
+
+    sink = _fresh(spark, "daily")
+    schema = table(spark, sf, "orders").schema
+    run_available(spark, sf, schema, plan, sink, uuid.uuid4().hex, glob="orders.parquet")
+    return RD.latest_generation(spark.read.parquet(sink)).drop("generation")
