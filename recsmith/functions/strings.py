@@ -64,17 +64,12 @@ def translate_chars(c, from_chars: str, to_chars: str) -> Column:
 def zero_pad(n, width: int) -> Column:
     """Zero-padded integer text of ``width`` (STR-06).
 
-    Unlike bare ``lpad`` this never truncates: a value wider than ``width`` is
-    returned whole; negative values keep their sign in front of the zeros.
-    Missing stays missing.
+    ``%0<w>d``: never truncates (a wider value is returned whole) and a minus
+    sign counts in the width (-5 in width 3 is ``-05``). Missing stays missing.
+    One call, so a rule that tests the padded value several times stays cheap.
     """
     v = col(n).cast("long")
-    digits = F.abs(v).cast("string")
-    body = F.when(F.length(digits) >= F.lit(width), digits).otherwise(
-        F.lpad(digits, width, "0"))
-    neg = F.when(F.length(digits) >= F.lit(width - 1), digits).otherwise(
-        F.lpad(digits, width - 1, "0"))
-    return F.when(v < 0, F.concat(F.lit("-"), neg)).otherwise(body)
+    return F.when(v.isNotNull(), F.format_string(f"%0{int(width)}d", v))
 
 
 def trim_text(c) -> Column:

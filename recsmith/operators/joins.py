@@ -15,7 +15,8 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recsmith.operators.positions import group_positions
+from recsmith.operators.positions import MAX_GROUP_ROWS, group_positions
+from recsmith.session import materialize
 
 # Code tables of the customer system hold at most a few thousand rows.
 DEFAULT_BROADCAST_ROWS = 200_000
@@ -43,10 +44,14 @@ def inner_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
 
 def lookup(fact: DataFrame, table: DataFrame, on, small: bool = False,
            max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """JON-02/04: left lookup merge; every fact row kept. ``small`` tables
-    (code tables) are broadcast behind a size check."""
-    right = checked_broadcast(table, max_rows) if small else table
-    return fact.join(right, _keys(on), "left")
+    """JON-02/04: left lookup merge; every fact row kept.
+
+    No broadcast hint: the planner broadcasts a side only when its estimated
+    size is below ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-decides
+    from the measured shuffle size, so a code table is broadcast and a large
+    table is shuffled without an extra counting job. ``small`` documents the
+    expectation (and ``checked_broadcast`` remains for explicit hints)."""
+    return fact.join(table, _keys(on), "left")
 
 
 def join_renamed(left: DataFrame, right: DataFrame, pairs: dict[str, str],
@@ -69,8 +74,6 @@ def flag_join(fact: DataFrame, keys_df: DataFrame, left_on: Sequence[str],
     right_on = list(right_on or left_on)
     marks = keys_df.select(*[F.col(r).alias(f"_k{i}") for i, r in enumerate(right_on)]) \
         .distinct().withColumn(flag, F.lit(True))
-    if small:
-        marks = checked_broadcast(marks)
     cond = reduce(and_, [fact[l] == marks[f"_k{i}"] for i, l in enumerate(left_on)])
     out = fact.join(marks, cond, "left")
     return out.select(*[fact[c] for c in fact.columns],
@@ -159,11 +162,17 @@ def match_merge(left: DataFrame, right: DataFrame, on, left_order: Sequence,
     """
     keys = _keys(on)
     shared = [c for c in left.columns if c in right.columns and c not in keys]
-    lp = group_positions(left, keys, left_order, "_lpos", skew_safe=skew_safe)
-    rp = group_positions(right, keys, right_order, "_rpos", skew_safe=skew_safe)
     ln = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nl"))
     rn = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nr"))
     counts = ln.join(rn, keys, "full").na.fill(0, ["_nl", "_nr"])
+    if skew_safe is None:
+        # one pass over the key columns of both sides gives the group sizes;
+        # written once, it serves both the skew decision and the slot plan
+        counts = materialize(counts, "merge-counts")
+        big = counts.agg(F.max(F.greatest("_nl", "_nr"))).first()[0] or 0
+        skew_safe = big > MAX_GROUP_ROWS
+    lp = group_positions(left, keys, left_order, "_lpos", skew_safe=skew_safe)
+    rp = group_positions(right, keys, right_order, "_rpos", skew_safe=skew_safe)
     if keep == "left":
         counts = counts.filter(F.col("_nl") > 0)
     elif keep == "inner":

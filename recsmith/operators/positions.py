@@ -33,18 +33,14 @@ from recsmith.functions.strings import col
 from recsmith.session import materialize
 
 
-def _n_parts(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def global_row_number(df: DataFrame, order: Sequence, name: str = "row_no",
                       partitions: int | None = None) -> DataFrame:
     """1-based row number over the whole frame in ``order`` (WIN-01)."""
-    n = _n_parts(df, partitions)
     ords = [col(o) for o in order]
-    srt = (df.repartitionByRange(n, *ords).sortWithinPartitions(*ords)
+    # Without an explicit count AQE sizes the range partitions from the data
+    # (it only merges neighbouring ranges, so partition ids stay in order).
+    ranged = df.repartitionByRange(partitions, *ords) if partitions else df.repartitionByRange(*ords)
+    srt = (ranged.sortWithinPartitions(*ords)
            .withColumn("_pid", F.spark_partition_id())
            .withColumn("_mid", F.monotonically_increasing_id()))
     srt = materialize(srt, "rownum")

@@ -18,7 +18,6 @@ from recsmith.functions.strings import zero_pad
 from recsmith.operators.dedup import all_duplicates, first_per_key
 from recsmith.operators.filters import not_expired
 from recsmith.operators.joins import lookup, match_merge
-from recsmith.operators.reshape import flip_pairs
 from recsmith.sources.layout import Layout
 
 # Both-sides / search record (300 bytes).
@@ -85,10 +84,17 @@ def enrich_both_sides(rel: DataFrame, codes: DataFrame, names: DataFrame, aliase
 
 
 def _searchable(both: DataFrame, run_date: str) -> DataFrame:
-    keep = not_expired("EXPDATE", run_date)
-    stored = both.filter(keep).withColumn("_src", F.lit(1))
-    flipped = flip_pairs(both, SIDE_PAIRS).filter(keep).withColumn("_src", F.lit(2))
-    recs = stored.unionByName(flipped)
+    """Stored and flipped records (source 1 and 2), expired ones dropped.
+    One pass: each both-sides row is exploded into its two records, so the
+    enrichment upstream is computed once, not once per union branch."""
+    both = both.filter(not_expired("EXPDATE", run_date))
+    swap = {}
+    for a, b in SIDE_PAIRS:
+        swap[a], swap[b] = b, a
+    cols = both.columns
+    stored = F.struct(F.lit(1).alias("_src"), *[F.col(c).alias(c) for c in cols])
+    flipped = F.struct(F.lit(2).alias("_src"), *[F.col(swap.get(c, c)).alias(c) for c in cols])
+    recs = both.select(F.explode(F.array(stored, flipped)).alias("_r")).select("_r.*")
     return recs.withColumn("record", BOTH_LAYOUT.render_expr()) \
         .withColumn("_key", F.substring("record", 1, KEY_WIDTH))
 

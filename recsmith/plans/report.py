@@ -65,11 +65,13 @@ def safe_box_flag(custs: DataFrame, boxes: DataFrame) -> DataFrame:
 def deposit_accounts(dp: DataFrame) -> DataFrame:
     """``dp``: ACCTNO (number), PRODTYPE, COSTCTR, OPENIND, PURPOSECD,
     LEDGERBAL1 (cents), CURBAL, OPENDATE / CLSEDATE (packed MMDDYYYY)."""
-    acct = zero_pad("ACCTNO", 11)
-    prod = zero_pad("PRODTYPE", 3)
-    out = dp.filter(~is_blank("PURPOSECD")).select(
-        acct.alias("ACCTNOC"), prod.alias("PRODTY"),
-        deposit_appl_code(acct, prod).alias("APPL_CODE"),
+    # padded keys first, in their own projection: the rules below test them
+    # many times and must not rebuild them per test
+    keyed = dp.filter(~is_blank("PURPOSECD")).withColumns(
+        {"ACCTNOC": zero_pad("ACCTNO", 11), "PRODTY": zero_pad("PRODTYPE", 3)})
+    out = keyed.select(
+        "ACCTNOC", "PRODTY",
+        deposit_appl_code("ACCTNOC", "PRODTY").alias("APPL_CODE"),
         bank_indicator("COSTCTR", closed=False).alias("BANKINDC"),
         open_indicator_status("OPENIND").alias("ACCTSTATUS"),
         packed_mmddyyyy_to_yyyymmdd("OPENDATE").alias("DATEOPEN"),
@@ -84,11 +86,10 @@ def loan_accounts(ln: DataFrame) -> DataFrame:
     NOTEPAID, NOTECURBAL (cents), ACCTOPENDATE / LASTTRANDATE (packed)."""
     if "ARREARDAY" not in ln.columns:
         ln = ln.withColumn("ARREARDAY", F.lit(None).cast("long"))
-    acct = zero_pad("ACCTNO", 11)
     cc = to_number(F.substring(zero_pad("COSTCENTER", 7), 5, 3))
-    out = ln.select(
-        acct.alias("ACCTNOC"), F.lit("").alias("PRODTY"),
-        loan_appl_code(acct).alias("APPL_CODE"),
+    out = ln.withColumn("ACCTNOC", zero_pad("ACCTNO", 11)).select(
+        "ACCTNOC", F.lit("").alias("PRODTY"),
+        loan_appl_code("ACCTNOC").alias("APPL_CODE"),
         bank_indicator("COSTCENTER", closed=True).alias("BANKINDC"),
         loan_status("NPLINDC", "ARREARDAY", "NOTEPAID", "NOTECURBAL").alias("ACCTSTATUS"),
         packed_mmddyyyy_to_yyyymmdd("ACCTOPENDATE").alias("DATEOPEN"),
