@@ -55,14 +55,25 @@ def account_owners(acct_rel: DataFrame, cust_rel: DataFrame, with_record: bool =
     """Owner records, one per distinct rendered record.
 
     The match is an equi-join on CUSTNO (all pairs of equal keys, as the
-    relational join it is). AQE splits a skewed customer partition. Every
-    output field lies inside the 150-byte dedup window, so "first record per
-    150-byte key" equals a distinct over the rendered record.
+    relational join it is). Every output field lies inside the 150-byte dedup
+    window, so "first record per 150-byte key" is a distinct over the rendered
+    values. The record holds every rendered column of both sides and the key
+    as rendered on the account side, so distinct rows of the join are exactly
+    the pairs of distinct rendered rows of each side: the dedup runs on the
+    inputs, and the join output (which fans out) is never aggregated. Keys
+    compare blank-padded (right-trimmed), as fixed-width fields do; a missing
+    key matches nothing.
     """
-    matched = primary_accounts(acct_rel).join(both_directions(cust_rel), "CUSTNO")
-    # distinct on the values as laid out in the 150-byte key = dedup on the
-    # rendered key, as a hash aggregate with map-side combine
-    out = matched.select(*OWNER_LAYOUT.rendered_values(150)).distinct()
+    acct_side = ["ACCTCODE", "ACCTNOC", "RLENCODE", "CUSTNO"]
+    rel_side = ["CODE1", "CUSTNO2", "CODE2"]
+    acc = primary_accounts(acct_rel).filter(F.col("CUSTNO").isNotNull())
+    acc = acc.select(*OWNER_LAYOUT.rendered_values(150, acct_side)).distinct()
+    rel = both_directions(cust_rel).filter(F.col("CUSTNO").isNotNull())
+    rel = rel.select(F.rtrim("CUSTNO").alias("CUSTNO"),
+                     *OWNER_LAYOUT.rendered_values(150, rel_side)).distinct()
+    # Each side is deduplicated on all its columns (an even shuffle); the join
+    # then has its own exchange on CUSTNO, where AQE can split a hot customer.
+    out = acc.join(rel, "CUSTNO").select(*OWNER_LAYOUT.names)
     if with_record:
         out = out.withColumn("record", OWNER_LAYOUT.render_expr())
     return out

@@ -22,6 +22,10 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.parquet.filterPushdown": "true",
+    # HotSpot does not JIT-compile methods over 8000 bytes of bytecode; a wide
+    # rule or record-layout stage above that would run interpreted. Past this
+    # size Spark falls back to per-expression code, which stays compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

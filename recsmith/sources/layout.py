@@ -102,16 +102,19 @@ class Layout:
             return pack_hex(value, f.width, f.scale)
         raise ValueError(f"cannot render field kind {f.kind!r}")
 
-    def rendered_values(self, width: int | None = None) -> list[Column]:
+    def rendered_values(self, width: int | None = None,
+                        names: Sequence[str] | None = None) -> list[Column]:
         """Field values exactly as the writer lays them out inside the first
         ``width`` bytes (text cut to its width and right-trimmed). Two rows
         render the same prefix iff these values are equal, so a dedup on the
         rendered prefix is a plain distinct on these columns, with no string
-        building and no sort."""
+        building and no sort. ``names`` restricts the output to those fields."""
         out = []
         for f in self.fields:
             if width is not None and f.start > width:
                 continue
+            if names is not None and f.name not in names:
+                continue
             w = f.width if width is None else min(f.width, width - f.start + 1)
             if f.kind == "c":
                 v = F.rtrim(F.substring(F.coalesce(F.col(f.name).cast("string"), F.lit("")), 1, w))
