@@ -28,6 +28,7 @@ from recsmith.functions.strings import zero_pad
 from recsmith.operators.dedup import first_per_key
 from recsmith.operators.joins import flag_join, inner_join, lookup
 from recsmith.operators.positions import global_row_number
+from recsmith.session import materialize
 from recsmith.operators.reshape import union_widen
 
 BALANCE_APPLS = ["FD", "CA", "SA"]
@@ -115,14 +116,25 @@ def report_rows(custs: DataFrame, deposits: DataFrame, loans: DataFrame) -> Data
 
 def report_lines(rows: DataFrame) -> DataFrame:
     """Numbered body lines (row number over source, account) plus the title
-    (line 0) and the heading line (line -1 sorts first)."""
-    numbered = global_row_number(rows, ["SRC", "ACCTNOC"], "NO")
-    cols = [F.col("NO"), F.col("CUSTNO"), F.col("ACCTNOC"), F.col("APPL_CODE"), F.col("PRODTY"),
+    (line 0) and the heading line (line -1 sorts first).
+
+    The line is rendered before numbering, so only the order keys and one
+    text column are written for the row numbers; the number is the first
+    field and is put in front afterwards (every field is non-null, so this
+    is the same ``;``-joined line). The narrow frame is written once before
+    numbering."""
+    (_, no_width), rest_widths = REPORT_COLUMNS[0], REPORT_COLUMNS[1:]
+    cols = [F.col("CUSTNO"), F.col("ACCTNOC"), F.col("APPL_CODE"), F.col("PRODTY"),
             F.col("CUSTNAME"), F.col("DEMODESC"), F.col("ACCTSTATUS"), F.col("DATEOPEN"),
             F.col("DATECLSE"), F.col("TEMP_CURBAL"), F.col("SDBIND"), F.col("SDBBRH")]
-    body = numbered.select(F.col("NO").alias("line_no"), F.concat_ws(";", *[
-        F.rpad(F.coalesce(c.cast("string"), F.lit("")), w, " ")
-        for c, (_, w) in zip(cols, REPORT_COLUMNS)]).alias("value"))
+    rest = F.concat_ws(";", *[F.rpad(F.coalesce(c.cast("string"), F.lit("")), w, " ")
+                              for c, (_, w) in zip(cols, rest_widths)])
+    # Written once: the range partitioning samples its input, which would
+    # otherwise run the whole join pipeline a second time.
+    lines = materialize(rows.select("SRC", "ACCTNOC", rest.alias("_rest")), "report-lines")
+    numbered = global_row_number(lines, ["SRC", "ACCTNOC"], "NO")
+    body = numbered.select(F.col("NO").alias("line_no"), F.concat(
+        F.rpad(F.col("NO").cast("string"), no_width, " "), F.lit(";"), F.col("_rest")).alias("value"))
     spark = rows.sparkSession
     heads = ";".join(h.ljust(w)[:w] for h, w in REPORT_COLUMNS)
     top = spark.createDataFrame([(-1, REPORT_TITLE), (0, heads)], "line_no long, value string")
