@@ -51,3 +51,11 @@ def test_first_per_key_combines_map_side(spark, qs):
     p = plan(qs["first_per_key"](spark, SF_SMALL))
     assert "Window" not in p
     assert "partial_min" in p
+
+
+def test_owners_never_aggregates_the_join_output(spark, qs):
+    """The owner dedup runs on the two join inputs; nothing above the join
+    (whose output fans out) is an aggregate."""
+    lines = plan(qs["owners"](spark, SF_SMALL)).splitlines()
+    first_join = next(i for i, line in enumerate(lines) if "Join" in line)
+    assert not any("Aggregate" in line for line in lines[:first_join]), lines[:first_join]
