@@ -37,19 +37,22 @@ SIDE_PAIRS = [("CUSTNO1", "CUSTNO2"), ("INDORG1", "INDORG2"), ("CODE1", "CODE2")
 KEY_WIDTH = 150
 
 
-def _enrich_side(rel: DataFrame, party: str, code: str, side: str, codes: DataFrame,
-                 names: DataFrame, aliases: DataFrame, customers: DataFrame,
-                 order: list[str]) -> DataFrame:
-    """One side: code table, name file, alias file (positional), customer file.
-    Lookups are made unique first (first record per key); aliases are not."""
+def _merge_aliases(rel: DataFrame, aliases: DataFrame, party: str, side: str,
+                   order: list[str]) -> DataFrame:
+    """Alias file by position (aliases are not unique per customer)."""
+    a = aliases.select(F.col("CUSTNO").alias(party), F.col("ALIAS").alias("ALIAS" + side))
+    return match_merge(rel, a, party, order, ["ALIAS" + side], keep="left") \
+        .drop("slot", "in_left", "in_right")
+
+
+def _lookup_side(rel: DataFrame, party: str, code: str, side: str, codes: DataFrame,
+                 names: DataFrame, customers: DataFrame) -> DataFrame:
+    """One side: code table, name file, customer file (each unique per key)."""
     c = codes.select(F.col("CODE").alias(code), F.col("DESC").alias("DESC" + side))
     out = lookup(rel, c, code, small=True)
     n = names.select(F.col("CUSTNO").alias(party), F.col("INDORG").alias("INDORG" + side),
                      F.col("CUSTNAME").alias("CUSTNAME" + side))
     out = lookup(out, n, party)
-    a = aliases.select(F.col("CUSTNO").alias(party), F.col("ALIAS").alias("ALIAS" + side))
-    out = match_merge(out, a, party, order, ["ALIAS" + side], keep="left") \
-        .drop("slot", "in_left", "in_right")
     cu = customers.select(F.col("CUSTNO").alias(party), F.col("OLDIC").alias("OLDIC" + side),
                           F.col("BASICGRPCODE").alias("BASICGRPCODE" + side))
     return lookup(out, cu, party)
@@ -59,17 +62,27 @@ def enrich_both_sides(rel: DataFrame, codes: DataFrame, names: DataFrame, aliase
                       customers: DataFrame) -> DataFrame:
     """PIPE-01. ``rel``: CUSTNO, CUST2, CODE1, CODE2 (numbers), EFFDATE (number),
     EXPDATE1 (text). Rows with a non-blank expiry are dropped on read, so
-    EXPDATE is always missing afterwards (the specification's behaviour)."""
+    EXPDATE is always missing afterwards (the specification's behaviour).
+
+    Each side is enriched with its code description, party type and name,
+    alias (positional match-merge), old id and group code. The side-2 merge
+    runs in the order (CODE2, CUSTNO1, CODE1, EFFDATE, DESC1, INDORG1,
+    CUSTNAME1, ALIAS1, OLDIC1, BASICGRPCODE1). The code, name and customer
+    lookups are made unique per key, so DESC1 follows from CODE1 and the
+    others from CUSTNO1: they never break a tie, and the order is (CODE2,
+    CUSTNO1, CODE1, EFFDATE, ALIAS1). Both positional merges therefore run
+    on the narrow relationship rows, and the left lookups (which keep every
+    row) are added afterwards."""
     rel = rel.filter(is_blank("EXPDATE1")).select(
         F.col("CUSTNO").alias("CUSTNO1"), F.col("CUST2").alias("CUSTNO2"), "CODE1", "CODE2", "EFFDATE")
     codes_u = first_per_key(codes.select("CODE", "DESC"), "CODE")
     names_u = first_per_key(names.select("CUSTNO", "INDORG", "CUSTNAME"), "CUSTNO")
     cust_u = first_per_key(customers.select("CUSTNO", "OLDIC", "BASICGRPCODE"), "CUSTNO")
-    base_order = ["CODE1", "CUSTNO2", "CODE2", "EFFDATE"]
-    left = _enrich_side(rel, "CUSTNO1", "CODE1", "1", codes_u, names_u, aliases, cust_u, base_order)
-    right_order = ["CODE2", "CUSTNO1", "CODE1", "EFFDATE", "DESC1", "INDORG1", "CUSTNAME1",
-                   "ALIAS1", "OLDIC1", "BASICGRPCODE1"]
-    both = _enrich_side(left, "CUSTNO2", "CODE2", "2", codes_u, names_u, aliases, cust_u, right_order)
+    merged = _merge_aliases(rel, aliases, "CUSTNO1", "1", ["CODE1", "CUSTNO2", "CODE2", "EFFDATE"])
+    merged = _merge_aliases(merged, aliases, "CUSTNO2", "2",
+                            ["CODE2", "CUSTNO1", "CODE1", "EFFDATE", "ALIAS1"])
+    both = _lookup_side(merged, "CUSTNO1", "CODE1", "1", codes_u, names_u, cust_u)
+    both = _lookup_side(both, "CUSTNO2", "CODE2", "2", codes_u, names_u, cust_u)
     text = {c: F.coalesce(F.col(c), F.lit("")) for c in
             ["INDORG1", "DESC1", "CUSTNAME1", "ALIAS1", "OLDIC1", "BASICGRPCODE1",
              "INDORG2", "DESC2", "CUSTNAME2", "ALIAS2", "OLDIC2", "BASICGRPCODE2"]}
