@@ -47,6 +47,17 @@ def get_session(master: str | None = None, app: str = "recsmith",
     return spark
 
 
+def apply_defaults(spark: SparkSession) -> SparkSession:
+    """Put the SQL defaults above on a session the caller built (e.g. on a
+    cluster); every ``spark.sql.*`` one is a runtime setting. The shared
+    checkpoint folder is resolved as in ``get_session``."""
+    for k, v in DEFAULT_CONF.items():
+        if k.startswith("spark.sql."):
+            spark.conf.set(k, v)
+    checkpoint_dir(spark)
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a private one only if unset."""
     sc = spark.sparkContext

@@ -95,3 +95,12 @@ def test_skew_safe_positions_equal_window(spark):
     b = group_positions(hot, ["k"], order, skew_safe=False)
     cols = ["k"] + order + ["pos"]
     assert rows(a, *cols) == rows(b, *cols)
+
+
+def test_apply_defaults_sets_sql_settings(spark):
+    from recsmith.session import DEFAULT_CONF, apply_defaults
+
+    apply_defaults(spark)
+    for k, v in DEFAULT_CONF.items():
+        if k.startswith("spark.sql."):
+            assert spark.conf.get(k) == v, k
