@@ -190,3 +190,63 @@ def test_owners_dedup_matches_brute_force(spark):
     assert got.columns == ["ACCTCODE", "ACCTNOC", "RLENCODE", "CUSTNO", "CODE1", "CUSTNO2", "CODE2"]
     assert sorted(tuple(r) for r in got.collect()) == expected
     assert got.count() == len(expected)
+
+
+def test_relationship_enrichment_matches_brute_force(spark):
+    """Both-sides enrichment against a direct reading of the specification:
+    lookups first, then each positional alias merge in the full side order
+    (ties, several aliases per customer, more aliases than rows, no alias,
+    no name, expired and blank-expiry rows)."""
+    from recsmith.plans.relationships import enrich_both_sides
+
+    rel = [("A", "X", 1, 2, 20200101, ""), ("A", "X", 1, 2, 20200101, ""),
+           ("A", "Y", 2, 1, 20190101, ""), ("B", "X", 1, 2, 20200101, ""),
+           ("B", "X", 3, 2, 20180101, ""), ("C", "Y", 1, 1, 20200101, "2001-01-01"),
+           ("D", "Z", 1, 1, 20200101, ""), ("A", "Z", 1, 1, 20210101, "  ")]
+    codes = [(1, "ONE"), (2, "TWO"), (3, "THREE")]
+    names = [("A", "I", "ANN"), ("B", "O", "BOB"), ("C", "I", "CAT"), ("D", "I", "DAN"),
+             ("X", "O", "XEN"), ("Y", "I", "YUL")]
+    aliases = [("A", "AL3"), ("A", "AL1"), ("A", "AL2"), ("B", "BL1"), ("X", "XL2"), ("X", "XL1"),
+               ("X", "XL5"), ("X", "XL4"), ("X", "XL3"), ("Y", "YL1")]
+    custs = [("A", "000000001", "RET"), ("X", "000000002", "COR"), ("Y", "000000003", "RET"),
+             ("Z", "000000004", "GOV")]
+    got = enrich_both_sides(
+        spark.createDataFrame(rel, "CUSTNO string, CUST2 string, CODE1 int, CODE2 int, EFFDATE long, EXPDATE1 string"),
+        spark.createDataFrame(codes, "CODE int, DESC string"),
+        spark.createDataFrame(names, "CUSTNO string, INDORG string, CUSTNAME string"),
+        spark.createDataFrame(aliases, "CUSTNO string, ALIAS string"),
+        spark.createDataFrame(custs, "CUSTNO string, OLDIC string, BASICGRPCODE string"))
+
+    code_d, name_d, cust_d = dict(codes), {n[0]: n[1:] for n in names}, {c[0]: c[1:] for c in custs}
+
+    def nulls_first(row, cols):
+        return tuple((row[c] is not None, row[c]) for c in cols)
+
+    def side(rows, party, code, s, order):
+        for r in rows:
+            r["DESC" + s] = code_d.get(r[code])
+            r["INDORG" + s], r["CUSTNAME" + s] = name_d.get(r[party], (None, None))
+        out = []
+        for k in sorted({r[party] for r in rows}):
+            left = sorted([r for r in rows if r[party] == k], key=lambda r: nulls_first(r, order))
+            right = sorted(a for c, a in aliases if c == k)
+            for i in range(max(len(left), len(right))):
+                r = dict(left[min(i, len(left) - 1)])
+                r["ALIAS" + s] = right[min(i, len(right) - 1)] if right else None
+                r["OLDIC" + s], r["BASICGRPCODE" + s] = cust_d.get(k, (None, None))
+                out.append(r)
+        return out
+
+    rows = [dict(CUSTNO1=a, CUSTNO2=b, CODE1=c1, CODE2=c2, EFFDATE=e) for a, b, c1, c2, e, x in rel
+            if x.strip() == ""]
+    rows = side(rows, "CUSTNO1", "CODE1", "1", ["CODE1", "CUSTNO2", "CODE2", "EFFDATE"])
+    rows = side(rows, "CUSTNO2", "CODE2", "2", ["CODE2", "CUSTNO1", "CODE1", "EFFDATE", "DESC1", "INDORG1",
+                                               "CUSTNAME1", "ALIAS1", "OLDIC1", "BASICGRPCODE1"])
+    cols = ["CUSTNO1", "CUSTNO2", "DESC1", "DESC2", "CUSTNAME1", "CUSTNAME2", "ALIAS1", "ALIAS2",
+            "OLDIC1", "OLDIC2"]
+    expected = sorted(tuple(r[c] or "" for c in cols) + (f"{r['EFFDATE']:08d}",) for r in rows)
+    assert rows_of(got, cols + ["EFFDATE"]) == expected
+
+
+def rows_of(df, cols):
+    return sorted(tuple(r) for r in df.select(*cols).collect())
