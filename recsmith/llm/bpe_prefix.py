@@ -30,7 +30,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from recsmith.llm.common import map_batches, small_batches
+from recsmith.llm.common import map_batches
 
 # A vocabulary file is broadcast; anything larger than this is refused.
 MAX_VOCAB_BYTES = 64 << 20
@@ -226,7 +226,6 @@ class Vocabulary:
 
 def encode_documents(df: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``id``, ``ids`` (little-endian unsigned 32-bit integers) of every row."""
-    small_batches(df.sparkSession)
     key, raw, pattern = vocab.key, vocab.raw, vocab.pattern
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:

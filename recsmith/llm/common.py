@@ -2,21 +2,34 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import recsmith
 from recsmith.session import materialize
 
-# Rows per Arrow batch handed to Python: documents can be very long, so a
-# batch is kept small to bound the memory of a Python worker.
-ARROW_ROWS = 256
+# Rows and bytes of one Arrow batch handed to Python: documents can be very
+# long, so the bytes bound the memory of a Python worker.
+ARROW_ROWS = 4096
+ARROW_BYTES = 4 << 20
 
 
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bound the rows of one Arrow batch for the Python stages of this session."""
+    """Bound the rows and bytes of one Arrow batch for the Python stages of this session,
+    and send this package to the executors once per application."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    sc = spark.sparkContext
+    if not getattr(sc, "_recsmith_sent", False):
+        home = os.path.dirname(os.path.abspath(recsmith.__file__))
+        to = os.path.join(tempfile.mkdtemp(prefix="recsmith-"), "recsmith")
+        sc.addPyFile(shutil.make_archive(to, "zip", os.path.dirname(home), os.path.basename(home)))
+        sc._recsmith_sent = True
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
@@ -26,8 +39,10 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
-                schema: str) -> DataFrame:
+                schema: str, rows: int = ARROW_ROWS) -> DataFrame:
     """``mapInArrow`` for a function of one batch; batches without rows are skipped."""
+    small_batches(df.sparkSession, rows)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:

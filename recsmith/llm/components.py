@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from recsmith.llm.common import map_batches, store
 
+# Edges that are reduced to a forest at once.
+FOREST_ROWS = 1 << 16
+
 
 def star_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges (node, smallest reachable node) with the same components as the
@@ -67,7 +70,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     and either direction are fine; no edges give no rows."""
     e = edges.select(F.col(a).cast("long").alias("v"), F.col(b).cast("long").alias("m"))
     e = e.where("v is not null and m is not null and v != m")
-    e = store(map_batches(e, _local_forest, "v long, m long").distinct(), "edges")
+    e = store(map_batches(e, _local_forest, "v long, m long", FOREST_ROWS).distinct(), "edges")
     mark = None
     while True:
         now = e.agg(F.count("*"), F.sum(F.xxhash64("v", "m").cast("decimal(38,0)"))).first()

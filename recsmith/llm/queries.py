@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recsmith.llm import bpe_prefix, simhash
+from recsmith.llm import ann_bits, bpe_prefix, int8_dedup, simhash
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -22,6 +22,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_ann_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every vector whose id is divisible by 50."""
+    return ann_bits.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+@query
+def op7_int8_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of vectors linked by a cosine of 0.95 or more."""
+    g = int8_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+    return g.withColumnRenamed("id", "vec_id")
+
+
+SQL["op7_int8_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+  ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (
+  SELECT vec_id AS x, vec_id AS y FROM embeddings
+  UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x),
+comp AS (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x),
+cnt AS (SELECT x AS vec_id, count(*) AS n FROM link GROUP BY x)
+SELECT comp.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, comp.vec_id = component_id AS kept
+FROM comp LEFT JOIN cnt USING (vec_id)"""
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents: 3-word shingles, at most 2 bits apart."""
