@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recsmith.llm import ann_bits, bpe_prefix, int8_dedup, simhash
+from recsmith.llm import ann_bits, bpe_prefix, int8_dedup, langid, pii_crf, simhash
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -28,6 +28,24 @@ def op1_ann_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_bits.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
 
 
+@query
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(langid.learning_rows(docs))
+    return langid.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "language.lang_pred", "language.score",
+        "language.rejected")
+
+
+@query
+def op4_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans and those the model adds."""
+    p = pii_crf.find_pii(table(spark, sf_dir, "documents"))
+    return p.select(F.col("id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone",
+                    F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 @query
 def op7_int8_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of vectors linked by a cosine of 0.95 or more."""
