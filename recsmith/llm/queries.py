@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recsmith.llm import ann_bits, bpe_prefix, int8_dedup, langid, pii_crf, simhash
+from recsmith.llm import ann_bits, bpe_prefix, cotrain, int8_dedup, langid, mixing, pii_crf, simhash
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -38,6 +38,13 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         "language.rejected")
 
 
+@query
+def op3_cotrain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document from its text and its metadata."""
+    scored = cotrain.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
 @query
 def op4_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: base spans and those the model adds."""
@@ -46,6 +53,36 @@ def op4_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+@query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The replicated corpus, by document and copy, in its shuffled order."""
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mix(docs, epochs=1.0, seed=5).select("doc_id", "source", "n_copies", "copy", "order_key")
+
+
+SQL["op5_mixing"] = """
+WITH size AS (
+  SELECT source, sum(coalesce(length(text), 0))::BIGINT AS chars FROM documents GROUP BY source),
+tot AS (SELECT sum(chars)::DOUBLE AS total, sum(sqrt(chars::DOUBLE)) AS wanted FROM size),
+rate AS (
+  SELECT source, CASE WHEN chars > 0 THEN sqrt(chars::DOUBLE) / wanted * total / chars ELSE 1.0 END AS rate
+  FROM size, tot),
+j AS (SELECT source, rate, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 40)::BIGINT + 1)) AS j FROM rate),
+fact AS (
+  SELECT *, sum(CASE WHEN j > 0 THEN ln(j) ELSE 0.0 END) OVER (PARTITION BY source ORDER BY j) AS log_fact FROM j),
+cdf AS (
+  SELECT source, j, sum(CASE WHEN rate > 0 THEN exp(j * ln(rate) - rate - log_fact) WHEN j = 0 THEN 1.0 ELSE 0.0 END)
+    OVER (PARTITION BY source ORDER BY j) AS p FROM fact),
+u AS (
+  SELECT doc_id, source, (('0x' || substr(md5('5:' || doc_id), 1, 13))::BIGINT + 0.5) / 4503599627370496.0 AS u
+  FROM documents),
+drawn AS (
+  SELECT u.doc_id, u.source, count(*) FILTER (WHERE cdf.p < u.u) AS n_copies
+  FROM u JOIN cdf ON u.source IS NOT DISTINCT FROM cdf.source GROUP BY u.doc_id, u.source),
+each AS (SELECT *, unnest(range(1, n_copies + 1)) AS copy FROM drawn WHERE n_copies > 0)
+SELECT doc_id, source, n_copies, copy, md5('order5:' || doc_id || ':' || copy) AS order_key FROM each"""
+
+
 @query
 def op7_int8_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of vectors linked by a cosine of 0.95 or more."""
