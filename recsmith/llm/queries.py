@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recsmith.llm import ann_bits, bpe_prefix, cotrain, int8_dedup, langid, mixing, pii_crf, simhash
+from recsmith.llm import ann_bits, bpe_prefix, cotrain, int8_dedup, langid, mixing, pii_crf, simhash, suffix_dedup
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -83,6 +83,16 @@ each AS (SELECT *, unnest(range(1, n_copies + 1)) AS copy FROM drawn WHERE n_cop
 SELECT doc_id, source, n_copies, copy, md5('order5:' || doc_id || ':' || copy) AS order_key FROM each"""
 
 
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 50 bytes that start in
+    a document of smaller id."""
+    r = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda x, y: x + y)
+    return r.select(F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
+                    F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op7_int8_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of vectors linked by a cosine of 0.95 or more."""
