@@ -4,10 +4,14 @@ merged into the catalogue by ``__spark_entry__.py``."""
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recsmith.llm import ann_bits, bpe_prefix, cotrain, int8_dedup, langid, mixing, pii_crf, simhash, suffix_dedup
+from recsmith.session import scratch_path
+from recsmith.llm import ann_bits, bpe_prefix, cotrain, int8_dedup, langid, mixing, pii_crf, repair_tokens, simhash
+from recsmith.llm import suffix_dedup
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -117,6 +121,17 @@ SELECT comp.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, comp.vec_id
 FROM comp LEFT JOIN cnt USING (vec_id)"""
 
 
+@query
+def op8_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as read back from their Re-Pair shards."""
+    path = scratch_path(spark, f"shards-{uuid.uuid4().hex}")
+    repair_tokens.write_shards(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"),
+                               public_tokenizers.PATTERN, end_id=2)
+    docs = repair_tokens.read_documents(spark, path)
+    return docs.select(F.col("id").alias("doc_id"), "start", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents: 3-word shingles, at most 2 bits apart."""
