@@ -158,15 +158,18 @@ def candidates(region: str) -> tuple[list[int], list[tuple[int, int, list[int]]]
     for i, k in enumerate(kind):
         if k not in ("d", "a", "+", "(", ".", "_", "%", "-") or k in ".%-" and "@" not in kind[i:i + MAX_TOKENS]:
             continue
-        digits, mail, dots = "", False, 0
+        digits, mail, dots, word = "", False, 0, False
         for j in range(i, min(i + MAX_TOKENS, len(toks))):
             if kind[j] in "\n\r\t":
                 break
             if kind[j] == "d":
                 digits += toks[j]
             mail |= kind[j] in ("@", "m")
+            word |= kind[j] == "a"
             dots += kind[j] == "."
-            if kind[j] in ("d", "a") and (mail or len(digits) >= 7 or dots >= 3 and len(digits) >= 4):
+            # Only an address holds letters; other spans need the digits of a number.
+            if kind[j] in ("d", "a") and (MAILISH.match(region[cut[i]:cut[j + 1]]) if mail else not word and (
+                    len(digits) >= 7 or dots >= 3 and len(digits) >= 4)):
                 spans.append((i, j + 1, features(region, cut[i], cut[j + 1], digits)))
     return cut, spans
 

@@ -46,33 +46,48 @@ SHARD = ("part int, block int, n_docs long, n_ids long, doc_ids binary, nulls bi
 # ---- grammar -------------------------------------------------------------
 
 def frequent_pairs(seq: np.ndarray, most: int, least: int) -> np.ndarray:
-    """Pairs (left << 32 | right) of the sequence by falling count."""
+    """Pairs (left << 32 | right) of the sequence by falling count. Equal counts
+    are ordered by a hash, so that the pairs of a chain are not all in line."""
     pair = np.sort(seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:])
     at = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
     count = np.diff(np.append(at, len(pair)))
     good = np.flatnonzero(count >= least)
-    best = good[np.lexsort((pair[at[good]], -count[good]))][:most]
+    mixed = pair[at[good]] * np.uint64(0x9E3779B97F4A7C15)
+    best = good[np.lexsort((mixed ^ mixed >> np.uint64(32), -count[good]))][:most]
     return pair[at[best]]
 
 
+def occurrences(rank: np.ndarray, none: int, passes: int = 3) -> np.ndarray:
+    """Places of pairs to replace, no two overlapping. ``rank``: of the pair that
+    starts at each place, ``none`` for no chosen pair. A pair gives way to an
+    overlapping one of better rank; in a run of one id every second counts. Later
+    passes fill the gaps that are left."""
+    live, found = rank.copy(), []
+    for _ in range(passes):
+        before = np.concatenate([[none], live[:-1]])
+        after = np.concatenate([live[1:], [none]])
+        win = (live < none) & (live <= before) & (live <= after)
+        # Equal neighbours are a run of one id: keep the 1st, 3rd, ... of its winners.
+        tie = win & (live == before) & np.concatenate([[False], win[:-1]])
+        start, place = np.flatnonzero(win & ~tie), np.flatnonzero(win)
+        if not len(place):
+            break
+        nth = place - start[np.searchsorted(start, place, side="right") - 1]
+        place = place[nth % 2 == 0]
+        found.append(place)
+        for at in (place - 1, place, place + 1):
+            live[at[(at >= 0) & (at < len(live))]] = none
+    return np.concatenate(found) if found else np.empty(0, np.int64)
+
+
 def replace_pairs(seq: np.ndarray, pairs: np.ndarray, first: int) -> np.ndarray:
-    """Each chosen pair replaced by ``first`` + its rank. An occurrence gives way
-    to an overlapping one of better rank; in a run of one id every second counts."""
+    """Each chosen pair replaced by ``first`` + its rank."""
     order = np.argsort(pairs)
     key = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
     at = np.searchsorted(pairs[order], key)
     at[at == len(pairs)] = 0
     rank = np.where(pairs[order][at] == key, order[at], len(pairs)).astype(np.int64)
-    none = len(pairs)
-    before = np.concatenate([[none], rank[:-1]])
-    after = np.concatenate([rank[1:], [none]])
-    win = (rank < none) & (rank <= before) & (rank <= after)
-    # Equal neighbours are a run of one id: keep the 1st, 3rd, ... of its winners.
-    tie = win & (rank == before) & np.concatenate([[False], win[:-1]])
-    start = np.flatnonzero(win & ~tie)
-    place = np.flatnonzero(win)
-    nth = place - start[np.searchsorted(start, place, side="right") - 1]
-    place = place[nth % 2 == 0]
+    place = occurrences(rank, len(pairs))
     out = seq.copy()
     out[place] = first + rank[place]
     keep = np.ones(len(seq), bool)
