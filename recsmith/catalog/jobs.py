@@ -145,7 +145,9 @@ def deposit_addresses(spark, sf):
 OLD_SQL = """SELECT CAST(c_custkey AS VARCHAR) AS CUSTNO, CASE WHEN c_custkey % 2 = 0 THEN 'O' ELSE 'I' END AS INDORG,
   lpad(CAST(c_custkey * 7 AS VARCHAR), 9, '0') AS OLDIC, lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS CUSTBRCH FROM customer"""
 NEW_SQL = """SELECT CAST(c_custkey AS VARCHAR) AS CUSTNO, 'NIC' || lpad(CAST(c_custkey * 11 AS VARCHAR), 20, '0') AS NEWIC
-  FROM customer WHERE c_custkey % 3 <> 0"""
+  FROM customer WHERE c_custkey % 3 <> 0
+  UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'NIC' || lpad(CAST(c_custkey * 13 AS VARCHAR), 20, '0') FROM customer
+  WHERE c_custkey % 4 = 0"""
 WATCH_SQL = """SELECT CASE WHEN o_orderstatus = 'P' THEN lpad(CAST(o_custkey * 11 AS VARCHAR), 20, '0') ELSE '' END AS ID1,
   CASE WHEN o_orderkey % 4 = 0 THEN lpad(CAST(o_custkey * 7 AS VARCHAR), 9, '0') ELSE '' END AS ID2 FROM orders"""
 
@@ -159,7 +161,9 @@ def _tax_inputs(spark, sf):
                    F.lpad(c.c_nationkey.cast("string"), 5, "0").alias("CUSTBRCH"))
     new = c.filter(c.c_custkey % 3 != 0).select(
         c.c_custkey.cast("string").alias("CUSTNO"),
-        F.concat(F.lit("NIC"), F.lpad((c.c_custkey * 11).cast("string"), 20, "0")).alias("NEWIC"))
+        F.concat(F.lit("NIC"), F.lpad((c.c_custkey * 11).cast("string"), 20, "0")).alias("NEWIC")).union(
+            c.filter(c.c_custkey % 4 == 0).select(c.c_custkey.cast("string").alias("CUSTNO"), F.concat(
+                F.lit("NIC"), F.lpad((c.c_custkey * 13).cast("string"), 20, "0")).alias("NEWIC")))
     watch = o.select(F.when(o.o_orderstatus == "P", F.lpad((o.o_custkey * 11).cast("string"), 20, "0"))
                      .otherwise(F.lit("")).alias("ID1"),
                      F.when(o.o_orderkey % 4 == 0, F.lpad((o.o_custkey * 7).cast("string"), 9, "0"))
@@ -491,22 +495,45 @@ def address_verify(spark, sf):
 from recsmith.plans import combined as CB  # noqa: E402
 from recsmith.sources.readers import control_date  # noqa: E402
 
-CB_KEEP = ["CUSTNAME", "RESIDENCY", "CORPSTATUS", "CITIZENSHIP"]
+# Customer text columns made for the twin: name and width of the value, which is
+# up to two characters wider than the record's field.
+CB_TEXT = [("ALIASKEY", 3), ("ALIAS", 22), ("PROCESSTIME", 8), ("CUSTSTAT", 1), ("TAXCODE", 1), ("TAXID", 9), ("CUSTBRCH", 5),
+           ("COSTCTR", 5), ("CUSTMNTDATE", 8), ("CUSTLASTOPER", 10), ("PRIM_OFF", 5), ("SEC_OFF", 5), ("PRIM_LN_OFF", 5),
+           ("SEC_LN_OFF", 4), ("RACE", 1), ("EXPERIENCE", 3), ("HOBBIES", 3), ("RELIGION", 3), ("LANGUAGE", 3), ("INST_SEC", 3),
+           ("CUST_CODE", 3), ("CUSTCONSENT", 3), ("BASICGRPCODE", 3), ("MSICCODE", 5), ("MASCO2008", 5), ("INCOME", 3),
+           ("EDUCATION", 3), ("OCCUP", 5), ("MARITALSTAT", 1), ("OWNRENT", 1), ("EMPNAME", 32), ("DOBDOR", 8), ("SICCODE", 5),
+           ("NETWORTH", 3), ("BNMID", 20), ("LONGNAME", 32), ("INDORG", 1)]
+CB_KEEP = ["CUSTNAME", "RESIDENCY", "CORPSTATUS", "CITIZENSHIP"] + [n for n, _ in CB_TEXT]
+CB_HRC = [f"HRC{i:02d}" for i in range(1, 21)]
+
+
+def _cb_text_sql(name, width):
+    """Every eleventh value is missing."""
+    return (f"CASE WHEN (c_custkey + {len(name)}) % 11 = 0 THEN NULL "
+            f"ELSE substr(md5('{name}' || CAST(c_custkey AS VARCHAR)), 1, {width}) END AS {name}")
+
+
+def _cb_text(k, name, width):
+    return F.when((k + len(name)) % 11 != 0,
+                  F.substring(F.md5(F.concat(F.lit(name), k.cast("string")).cast("binary")), 1, width)).alias(name)
+
+
 _OPEN_SQL = ("CASE WHEN c_custkey % 6 = 0 THEN '00002000000' WHEN c_custkey % 6 = 1 THEN '' "
              "WHEN c_custkey % 6 = 2 THEN ' 1011999000' ELSE lpad(CAST((c_custkey % 12 + 1) * 1000000000 + "
              "(c_custkey % 28 + 1) * 10000000 + 1990000 + c_custkey % 1000 AS VARCHAR), 11, '0') END")
 CDLY_SQL = f"""SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS CUSTNO, c_name AS CUSTNAME,
   c_custkey * 1009 AS PRIPHONE, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_custkey * 7 END AS SECPHONE,
   c_custkey * 3 AS MOBILEPH, CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE c_custkey END AS FAX, c_custkey * 3 AS ADDREF,
-  c_custkey % 7 AS HRC01, c_nationkey AS HRC02, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_custkey % 11 END AS HRC03,
-  (c_custkey * 3) % 1000 AS HRC04, {_OPEN_SQL} AS CUSTOPENDATE,
+  {', '.join(f"CASE WHEN (c_custkey + {i}) % 5 = 0 THEN NULL ELSE (c_custkey * {i + 1}) % 1000 END AS {h}" for i, h in enumerate(CB_HRC))},
+  {', '.join(_cb_text_sql(*t) for t in CB_TEXT)}, {_OPEN_SQL} AS CUSTOPENDATE,
   lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS RESIDENCY, substr(c_mktsegment, 1, 3) AS CORPSTATUS,
   lpad(CAST(c_nationkey % 5 AS VARCHAR), 2, '0') AS CITIZENSHIP FROM customer"""
 IDLY_SQL = """SELECT CASE WHEN o_orderkey % 50 = 0 THEN '' ELSE lpad(CAST(o_custkey AS VARCHAR), 8, '0') END AS CUSTNO,
   substr(o_orderpriority, 1, 1) AS IDTYPE, CAST(o_orderkey AS VARCHAR) AS ID,
   lpad(CAST(o_orderkey % 300 AS VARCHAR), 5, '0') AS CUSTBRANCH, strftime(o_orderdate, '%Y-%m-%d') AS LAST_UPDATE_DATE,
   lpad(CAST(o_orderkey % 86400 AS VARCHAR), 6, '0') AS LAST_UPDATE_TIME, o_orderstatus AS LAST_UPDATE_OPER,
-  'MY' AS PRCOUNTRY FROM orders"""
+  'MY' AS PRCOUNTRY, substr(o_orderpriority, 3, 12) AS EMPLOYMENT_TYPE, o_orderstatus || substr(o_orderpriority, 1, 11) AS EMPLOYMENT_SECTOR,
+  strftime(o_orderdate, '%Y-%m-%d') AS EMPLOYMENT_LAST_UPDATE FROM orders"""
 DEMO_SQL = """SELECT 'RESTR' AS DEMOCATEGORY, lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS DEMOCODE, n_name AS CODEDESC FROM nation
 UNION ALL SELECT DISTINCT 'SALES', substr(c_mktsegment, 1, 3), c_mktsegment FROM customer
 UNION ALL SELECT 'CITZN', lpad(CAST(r_regionkey AS VARCHAR), 2, '0') || 'X', r_name FROM region
@@ -524,9 +551,8 @@ def _combined_inputs(spark, sf):
     cust = c.select(F.lpad(k.cast("string"), 8, "0").alias("CUSTNO"), F.col("c_name").alias("CUSTNAME"),
                     (k * 1009).alias("PRIPHONE"), F.when(k % 4 != 0, k * 7).alias("SECPHONE"),
                     (k * 3).alias("MOBILEPH"), F.when(k % 2 != 0, k).alias("FAX"), (k * 3).alias("ADDREF"),
-                    (k % 7).alias("HRC01"), F.col("c_nationkey").alias("HRC02"),
-                    F.when(k % 5 != 0, k % 11).alias("HRC03"), ((k * 3) % 1000).alias("HRC04"),
-                    open_txt.alias("CUSTOPENDATE"),
+                    *[F.when((k + i) % 5 != 0, (k * (i + 1)) % 1000).alias(h) for i, h in enumerate(CB_HRC)],
+                    *[_cb_text(k, *t) for t in CB_TEXT], open_txt.alias("CUSTOPENDATE"),
                     F.lpad(c.c_nationkey.cast("string"), 3, "0").alias("RESIDENCY"),
                     F.substring("c_mktsegment", 1, 3).alias("CORPSTATUS"),
                     F.lpad((c.c_nationkey % 5).cast("string"), 2, "0").alias("CITIZENSHIP"))
@@ -536,7 +562,10 @@ def _combined_inputs(spark, sf):
                     F.lpad((ok % 300).cast("string"), 5, "0").alias("CUSTBRANCH"),
                     F.date_format("o_orderdate", "yyyy-MM-dd").alias("LAST_UPDATE_DATE"),
                     F.lpad((ok % 86400).cast("string"), 6, "0").alias("LAST_UPDATE_TIME"),
-                    F.col("o_orderstatus").alias("LAST_UPDATE_OPER"), F.lit("MY").alias("PRCOUNTRY"))
+                    F.col("o_orderstatus").alias("LAST_UPDATE_OPER"), F.lit("MY").alias("PRCOUNTRY"),
+                    F.substring("o_orderpriority", 3, 12).alias("EMPLOYMENT_TYPE"),
+                    F.concat("o_orderstatus", F.substring("o_orderpriority", 1, 11)).alias("EMPLOYMENT_SECTOR"),
+                    F.date_format("o_orderdate", "yyyy-MM-dd").alias("EMPLOYMENT_LAST_UPDATE"))
     n = table(spark, sf, "nation")
     r = table(spark, sf, "region")
     p = table(spark, sf, "part")
@@ -555,9 +584,25 @@ def _combined_inputs(spark, sf):
     return cust, indv, codes, run_ts
 
 
-_CB_DERIVED = (["CUSTNOX"] + CB_KEEP + list(CB.PHONES) + ["HRCALL", "OPENDT"])
-_CB_INDV = ["CUSTNO", "IDTYPE", "ID", "CUSTBRANCH", "LAST_UPDATE_DATE", "LAST_UPDATE_TIME", "LAST_UPDATE_OPER", "PRCOUNTRY"]
-_HRC_SQL = " || ".join(f"lpad(CAST(COALESCE({h}, 0) AS VARCHAR), 3, '0')" for h in ["HRC01", "HRC02", "HRC03", "HRC04"])
+_CB_DERIVED = (["CUSTNOX"] + CB_KEEP + ["PRIPHONEX", "SECPHONEX", "MOBILEPHX", "FAXX", "ADDREFX", "HRCALL", "OPENDT"])
+_CB_INDV = ["CUSTNO", "IDTYPE", "ID", "CUSTBRANCH", "LAST_UPDATE_DATE", "LAST_UPDATE_TIME", "LAST_UPDATE_OPER", "PRCOUNTRY",
+            "EMPLOYMENT_TYPE", "EMPLOYMENT_SECTOR", "EMPLOYMENT_LAST_UPDATE"]
+_HRC_SQL = " || ".join(f"lpad(CAST(COALESCE({h}, 0) AS VARCHAR), 3, '0')" for h in CB_HRC)
+# The record as the specification prints it (name, first byte, width).
+CB_RECORD = [
+    ("RUNTIMESTAMP", 1, 20), ("CUSTNOX", 21, 20), ("ADDREFX", 41, 11), ("CUSTNAME", 52, 40), ("PRIPHONEX", 92, 11),
+    ("SECPHONEX", 103, 11), ("MOBILEPHX", 114, 11), ("FAXX", 125, 11), ("ALIASKEY", 136, 3), ("ALIAS", 139, 20),
+    ("PROCESSTIME", 159, 8), ("CUSTSTAT", 167, 1), ("TAXCODE", 168, 1), ("TAXID", 169, 9), ("CUSTBRCH", 178, 5),
+    ("COSTCTR", 183, 5), ("CUSTMNTDATE", 188, 8), ("CUSTLASTOPER", 196, 8), ("PRIM_OFF", 204, 5), ("SEC_OFF", 209, 5),
+    ("PRIM_LN_OFF", 214, 5), ("SEC_LN_OFF", 219, 5), ("RACE", 224, 1), ("RESIDENCY", 225, 3), ("CITIZENSHIP", 228, 2),
+    ("OPENDT", 230, 8), ("HRCALL", 241, 60), ("EXPERIENCE", 301, 3), ("HOBBIES", 304, 3), ("RELIGION", 307, 3),
+    ("LANGUAGE", 310, 3), ("INST_SEC", 313, 3), ("CUST_CODE", 316, 3), ("CUSTCONSENT", 319, 3), ("BASICGRPCODE", 322, 3),
+    ("MSICCODE", 327, 5), ("MASCO2008", 332, 5), ("INCOME", 337, 3), ("EDUCATION", 340, 3), ("OCCUP", 343, 3),
+    ("MARITALSTAT", 346, 1), ("OWNRENT", 347, 1), ("EMPNAME", 348, 40), ("DOBDOR", 388, 8), ("SICCODE", 396, 5),
+    ("CORPSTATUS", 401, 3), ("NETWORTH", 404, 3), ("LAST_UPDATE_DATE", 407, 10), ("LAST_UPDATE_TIME", 417, 10),
+    ("LAST_UPDATE_OPER", 427, 10), ("PRCOUNTRY", 437, 2), ("EMPLOYMENT_TYPE", 439, 10), ("EMPLOYMENT_SECTOR", 449, 10),
+    ("EMPLOYMENT_LAST_UPDATE", 459, 10), ("BNMID", 469, 20), ("LONGNAME", 489, 150), ("INDORG", 639, 1),
+    ("RESDESC", 640, 20), ("SALDESC", 660, 20), ("CTZDESC", 680, 20)]
 _OPENDT_SQL = ("CASE WHEN z = '00002000000' THEN '20000101' ELSE substr(z, 5, 4) || substr(z, 1, 2) || substr(z, 3, 2) END")
 _CDER_SQL = f"""SELECT CUSTNO AS CUSTNOX, {', '.join(CB_KEEP)},
   {zero_pad_sql('PRIPHONE', 11)} AS PRIPHONEX, {zero_pad_sql('SECPHONE', 11)} AS SECPHONEX,
@@ -572,14 +617,9 @@ def _lookup_sql(cat, col, desc, width):
     return first_sql(src, [col], [desc], [col, desc])
 
 
-_CB_OUT = (_CB_DERIVED + ["IDTYPE", "ID", "CUSTBRANCH", "LAST_UPDATE_DATE", "LAST_UPDATE_TIME", "LAST_UPDATE_OPER",
-                          "PRCOUNTRY", "RESDESC", "SALDESC", "CTZDESC", "RUNTIMESTAMP"])
-
-
 @query("combined_file", "PIPE-10 SRC-14 STR-17 STR-06 STR-05 DAT-06 DAT-07 DAT-05 SET-05 DED-04 JON-13", sql=f"""
-SELECT c.CUSTNOX, {', '.join('c.' + k for k in CB_KEEP)}, c.PRIPHONEX, c.SECPHONEX, c.MOBILEPHX, c.FAXX, c.ADDREFX,
-       c.HRCALL, c.OPENDT, i.IDTYPE, i.ID, i.CUSTBRANCH, i.LAST_UPDATE_DATE, i.LAST_UPDATE_TIME, i.LAST_UPDATE_OPER,
-       i.PRCOUNTRY, COALESCE(r.RESDESC, '') AS RESDESC, COALESCE(s.SALDESC, '') AS SALDESC,
+SELECT CUSTNOX, {render_sql(CB_RECORD, 1000)} AS value FROM (
+SELECT {', '.join('c.' + k for k in _CB_DERIVED)}, {', '.join('i.' + k for k in _CB_INDV[1:])}, COALESCE(r.RESDESC, '') AS RESDESC, COALESCE(s.SALDESC, '') AS SALDESC,
        COALESCE(z.CTZDESC, '') AS CTZDESC,
        (SELECT strftime(max(o_orderdate), '%Y%m%d') FROM orders) || '120000' AS RUNTIMESTAMP
 FROM ({first_sql(_CDER_SQL, ['CUSTNOX'], _CB_DERIVED[1:], _CB_DERIVED)}) c
@@ -587,10 +627,10 @@ LEFT JOIN (SELECT CUSTNO AS CUSTNOX, * EXCLUDE (CUSTNO) FROM ({first_sql(IDLY_SQ
            WHERE trim(CUSTNO) <> '') i ON c.CUSTNOX = i.CUSTNOX
 LEFT JOIN ({_lookup_sql('RESTR', 'RESIDENCY', 'RESDESC', 3)}) r ON c.RESIDENCY = r.RESIDENCY
 LEFT JOIN ({_lookup_sql('SALES', 'CORPSTATUS', 'SALDESC', 3)}) s ON c.CORPSTATUS = s.CORPSTATUS
-LEFT JOIN ({_lookup_sql('CITZN', 'CITIZENSHIP', 'CTZDESC', 2)}) z ON c.CITIZENSHIP = z.CITIZENSHIP""")
+LEFT JOIN ({_lookup_sql('CITZN', 'CITIZENSHIP', 'CTZDESC', 2)}) z ON c.CITIZENSHIP = z.CITIZENSHIP) _m""")
 def combined_file(spark, sf):
     cust, indv, codes, run_ts = _combined_inputs(spark, sf)
-    return CB.combined_file(cust, indv, codes, run_ts, CB_KEEP).select(*_CB_OUT)
+    return CB.combined_records(CB.combined_file(cust, indv, codes, run_ts))
 
 
 # --------------------------------------------------------------- PIPE-11

@@ -12,11 +12,10 @@ from functools import reduce
 from operator import and_
 from typing import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsmith.operators.positions import MAX_GROUP_ROWS, group_positions
-from recsmith.session import materialize
+from recsmith.operators.positions import group_positions
 
 # Code tables of the customer system hold at most a few thousand rows.
 DEFAULT_BROADCAST_ROWS = 200_000
@@ -143,58 +142,82 @@ def overlay_merge(left: DataFrame, right: DataFrame, on, how: str = "left") -> D
     return out.select(*sel)
 
 
-def match_merge(left: DataFrame, right: DataFrame, on, left_order: Sequence,
-                right_order: Sequence, keep: str = "left",
-                overlay: str = "matched", skew_safe: bool | None = None) -> DataFrame:
+def match_merge(left: DataFrame, right: DataFrame, on, left_order: Sequence[str],
+                right_order: Sequence[str], keep: str = "left",
+                overlay: str = "matched", skew_safe: bool = False) -> DataFrame:
     """JON-10: positional match-merge of a key group with ``nl`` left and ``nr``
     right rows (the sequential MERGE-BY semantics).
 
     Output slot ``i = 1..max(nl, nr)`` pairs left row ``min(i, nl)`` with right
-    row ``min(i, nr)``; a side with no rows contributes nulls. ``keep``:
-    'left' (IF A), 'inner' (IF A AND B), 'all'. Shared non-key columns take
-    the right value where the right side has a row at that slot
-    (``overlay='positional'``) or whenever the group matched
-    (``overlay='matched'``).
-
-    Plan: positions on both sides (skew-safe), per-key counts, slot
-    generation with ``sequence``/``explode`` bounded by the group size, and
-    two equi-joins on ``(key, slot)``. No all-pairs product is formed.
+    row ``min(i, nr)``; a side with no rows contributes nulls. Missing keys
+    match missing keys. Each side is ordered by its order columns, then by its
+    other columns, so the order is total. ``keep``: 'left' (IF A), 'inner'
+    (IF A AND B), 'all'. Shared non-key columns take the right value where the
+    right side has a row at that slot (``overlay='positional'``) or whenever
+    the group matched (``overlay='matched'``).
+
+    Plan: one shuffle. Both sides are stacked and dealt out by key; the rows
+    of each side are numbered, rows of one number meet in an aggregate, and a
+    running last value repeats the shorter side's final row. Nothing runs
+    before the action. ``skew_safe`` (a caller's statement, for keys that may
+    hold a large share of the rows) numbers both sides over range partitions
+    instead, joins on (key, number) and looks the final rows up per key, so
+    every task stays bounded. Both give the same rows; no all-pairs product
+    and no slot list is formed.
     """
     keys = _keys(on)
-    shared = [c for c in left.columns if c in right.columns and c not in keys]
-    ln = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nl"))
-    rn = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nr"))
-    counts = ln.join(rn, keys, "full").na.fill(0, ["_nl", "_nr"])
-    if skew_safe is None:
-        # one pass over the key columns of both sides gives the group sizes;
-        # written once, it serves both the skew decision and the slot plan
-        counts = materialize(counts, "merge-counts")
-        big = counts.agg(F.max(F.greatest("_nl", "_nr"))).first()[0] or 0
-        skew_safe = big > MAX_GROUP_ROWS
-    lp = group_positions(left, keys, left_order, "_lpos", skew_safe=skew_safe)
-    rp = group_positions(right, keys, right_order, "_rpos", skew_safe=skew_safe)
-    if keep == "left":
-        counts = counts.filter(F.col("_nl") > 0)
-    elif keep == "inner":
-        counts = counts.filter((F.col("_nl") > 0) & (F.col("_nr") > 0))
-    slots = counts.select(*keys, "_nl", "_nr",
-                          F.explode(F.sequence(F.lit(1).cast("long"),
-                                               F.greatest("_nl", "_nr"))).alias("_slot"))
-    slots = slots.withColumn("_li", F.least("_slot", "_nl")) \
-                 .withColumn("_ri", F.least("_slot", "_nr"))
     lcols = [c for c in left.columns if c not in keys]
     rcols = [c for c in right.columns if c not in keys]
-    lsel = lp.select(*keys, F.col("_lpos").alias("_li"), *[F.col(c).alias("_l_" + c) for c in lcols])
-    rsel = rp.select(*keys, F.col("_rpos").alias("_ri"), *[F.col(c).alias("_r_" + c) for c in rcols])
-    j = slots.join(lsel, keys + ["_li"], "left").join(rsel, keys + ["_ri"], "left")
+    merge = _merge_split if skew_safe else _merge_stacked
+    j = merge(left.select(*keys, F.struct(F.lit(True).alias("_row"), *lcols).alias("_l"), *_order("_lo", left_order)),
+              right.select(*keys, F.struct(F.lit(True).alias("_row"), *rcols).alias("_r"), *_order("_ro", right_order)),
+              keys)
+    in_left, in_right = F.col("_last_l").isNotNull(), F.col("_last_r").isNotNull()
+    if keep == "left":
+        j = j.filter(in_left)
+    elif keep == "inner":
+        j = j.filter(in_left & in_right)
+    has_r = F.col("_r").isNotNull() if overlay == "positional" else in_right
     out = [F.col(k) for k in keys]
     for c in lcols:
-        if c in shared:
-            has_r = (F.col("_slot") <= F.col("_nr")) if overlay == "positional" else (F.col("_nr") > 0)
-            out.append(F.when(has_r, F.col("_r_" + c)).otherwise(F.col("_l_" + c)).alias(c))
-        else:
-            out.append(F.col("_l_" + c).alias(c))
-    out += [F.col("_r_" + c).alias(c) for c in rcols if c not in shared]
-    out += [F.col("_slot").alias("slot"), (F.col("_nl") > 0).alias("in_left"),
-            (F.col("_nr") > 0).alias("in_right")]
-    return j.select(*out)
+        value = F.col("_last_l").getField(c)
+        out.append((F.when(has_r, F.col("_last_r").getField(c)).otherwise(value) if c in rcols else value).alias(c))
+    out += [F.col("_last_r").getField(c).alias(c) for c in rcols if c not in lcols]
+    return j.select(*out, F.col("_pos").alias("slot"), in_left.alias("in_left"), in_right.alias("in_right"))
+
+
+def _order(prefix: str, cols: Sequence[str]) -> list[Column]:
+    return [F.col(c).alias(f"{prefix}{i}") for i, c in enumerate(cols)]
+
+
+def _merge_stacked(lrows: DataFrame, rrows: DataFrame, keys: list[str]) -> DataFrame:
+    """Slots of both sides with the rows at the slot (``_l``, ``_r``) and the last
+    rows up to it; everything after the one shuffle is keyed by ``keys``."""
+    rows = lrows.unionByName(rrows, allowMissingColumns=True).repartition(*keys)
+    order = [c for c in rows.columns if c.startswith(("_lo", "_ro"))]
+    side = F.col("_l").isNull()
+    pos = F.row_number().over(Window.partitionBy(*keys, side).orderBy(*order, "_l", "_r")).cast("long")
+    slots = rows.withColumn("_pos", pos).groupBy(*keys, "_pos").agg(F.max("_l").alias("_l"), F.max("_r").alias("_r"))
+    w = Window.partitionBy(*keys).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    return slots.withColumns({f"_last{c}": F.last(c, ignorenulls=True).over(w) for c in ("_l", "_r")})
+
+
+def _merge_split(lrows: DataFrame, rrows: DataFrame, keys: list[str]) -> DataFrame:
+    """The same slots for hot keys: numbered over range partitions."""
+    sides = []
+    for rows, name, prefix in ((lrows, "_l", "_lo"), (rrows, "_r", "_ro")):
+        order = [c for c in rows.columns if c.startswith(prefix)] + [name]
+        sides.append(group_positions(rows, keys, order, "_pos", skew_safe=True).select(*keys, "_pos", name))
+    lp, rp = sides
+    rp = rp.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_pos").alias("_rpos"), "_r")
+    same = lambda a, b: reduce(and_, [a[k].eqNullSafe(b[f"_k{i}"]) for i, k in enumerate(keys)])
+    j = lp.join(rp, same(lp, rp) & (lp["_pos"] == rp["_rpos"]), "full")
+    has_l = F.col("_pos").isNotNull()
+    j = j.select(*[F.when(has_l, F.col(k)).otherwise(F.col(f"_k{i}")).alias(k) for i, k in enumerate(keys)],
+                 F.coalesce("_pos", "_rpos").alias("_pos"), "_l", "_r")
+    for rows, name in ((sides[0], "_l"), (sides[1], "_r")):
+        last = rows.groupBy(*keys).agg(F.max(F.struct("_pos", name)).alias("_end")).select(
+            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_end").getField(name).alias("_end"))
+        j = j.join(last, same(j, last), "left").select(
+            *j.columns, F.coalesce(F.col(name), F.col("_end")).alias(f"_last{name}"))
+    return j

@@ -57,31 +57,20 @@ def global_row_number(df: DataFrame, order: Sequence, name: str = "row_no",
     return out.withColumn(name, F.col("_off") + local + F.lit(1)).drop("_pid", "_mid", "_off")
 
 
-# Largest key group that a single task may rank on its own (window path).
-MAX_GROUP_ROWS = 1_000_000
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the biggest key group: a map-side combined count per key and
-    one max, so only a single number reaches the driver."""
-    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
-    return int(row[0] or 0)
-
-
 def group_positions(df: DataFrame, keys: Sequence[str], order: Sequence,
                     name: str = "pos", partitions: int | None = None,
-                    skew_safe: bool | None = None) -> DataFrame:
-    """1-based position of each row inside its key group, in ``order``.
-
-    ``skew_safe=None`` (default) measures the largest group first: bounded
-    groups use a plain window (one shuffle), a group above ``MAX_GROUP_ROWS``
-    switches to the range-partitioned numbering where every task is bounded
-    even when one key holds a third of the table. Both paths are exact.
+                    skew_safe: bool = False) -> DataFrame:
+    """1-based position of each row inside its key group, in ``order``; null
+    keys are a group like any other.
+
+    ``skew_safe`` is the caller's statement about the data. False: one shuffle
+    and a window, which sorts a key group in one task (spilling). True, for
+    keys that may hold a large share of the rows: the range-partitioned
+    numbering, where every task is bounded. Both give the same numbers for a
+    total order.
     """
     keys = list(keys)
     ords = [col(o) for o in order]
-    if skew_safe is None:
-        skew_safe = largest_group(df, keys) > MAX_GROUP_ROWS
     if not skew_safe:
         w = Window.partitionBy(*keys).orderBy(*ords)
         return df.withColumn(name, F.row_number().over(w).cast("long"))

@@ -1,7 +1,8 @@
 """Tax-id watch-list match (PIPE-09).
 
 Watch-list ids (two columns per record) are stacked into one distinct list.
-Each customer's old id record is merged with its new id record (left), the
+Each customer's old id records are merged by position with the new id records
+(left; a customer may have several of either, and every new id is tested), the
 business registration is copied for organisations, and two existence flags
 are set: new id (characters 4-23) on the list, old id on the list. The flag
 pair becomes the hold indicator and the match type.
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 
 from recsmith.functions.numbers import copy_when
 from recsmith.functions.rules import match_id
-from recsmith.operators.dedup import first_per_key, union_distinct
-from recsmith.operators.joins import flag_join, lookup
+from recsmith.operators.dedup import union_distinct
+from recsmith.operators.joins import flag_join, match_merge
 from recsmith.sources.layout import Layout
 
 TAX_LAYOUT = Layout.of([("CUSTNO", 1, 11), ("OLDIC", 12, 20), ("NEWIC", 32, 23), ("BUSREG", 55, 23),
@@ -31,8 +32,8 @@ def tax_matches(old: DataFrame, new: DataFrame, watch: DataFrame) -> DataFrame:
     """``old``: CUSTNO, INDORG, OLDIC, CUSTBRCH; ``new``: CUSTNO, NEWIC;
     ``watch``: ID1, ID2."""
     ids = watch_ids(watch)
-    new_u = first_per_key(new.select("CUSTNO", "NEWIC"), "CUSTNO")
-    tax = lookup(old.select("CUSTNO", "INDORG", "OLDIC", "CUSTBRCH"), new_u, "CUSTNO")
+    tax = match_merge(old.select("CUSTNO", "INDORG", "OLDIC", "CUSTBRCH"), new.select("CUSTNO", "NEWIC"), "CUSTNO",
+                      ["INDORG", "OLDIC", "CUSTBRCH"], ["NEWIC"], keep="left").drop("slot", "in_left", "in_right")
     tax = tax.withColumns({
         "NEWIC": F.coalesce("NEWIC", F.lit("")),
         "BUSREG": F.coalesce(copy_when(F.col("INDORG") == "O", "NEWIC"), F.lit("")),
@@ -43,7 +44,3 @@ def tax_matches(old: DataFrame, new: DataFrame, watch: DataFrame) -> DataFrame:
     m = match_id("C", "F")
     return tax.select("CUSTNO", "OLDIC", "NEWIC", "BUSREG", "CUSTBRCH",
                       m["hold_ind"].alias("RHOLD_IND"), m["match_id"].alias("MATCHID"))
-
-
-def tax_records(df: DataFrame) -> DataFrame:
-    return df.select(TAX_LAYOUT.render_expr().alias("value"))

@@ -86,21 +86,40 @@ class Layout:
                          *[e.alias(n) for n, e in exprs.items()])
 
     # ----------------------------------------------------------------- write
+    def number_text(self, f: Field, value: Column) -> Column:
+        """Digits of a numeric field before it is laid out (null stays null)."""
+        if f.kind == "z":
+            return zero_pad(value, f.width)
+        if f.kind == "x":
+            return pack_hex(value, f.width, f.scale)
+        return value.cast(f"decimal(38,{f.scale})").cast("string") if f.scale else value.cast("long").cast("string")
+
+    def overflow(self, f: Field, value: Column) -> Column:
+        """Does a number need more characters than its field has?"""
+        if f.kind not in ("n", "z", "x"):
+            return F.lit(False)
+        return F.coalesce(F.length(self.number_text(f, value)) > f.chars, F.lit(False))
+
+    def overflow_count(self, values: dict[str, Column] | None = None) -> Column:
+        """How many fields of a row do not fit; such a field is written as
+        asterisks, never as some of its digits."""
+        values = values or {}
+        return sum((self.overflow(f, values.get(f.name, F.col(f.name))).cast("int") for f in self.fields), F.lit(0))
+
     def format_field(self, f: Field, value: Column) -> Column:
+        """The field's text, always ``f.chars`` characters and never null: missing
+        text and numbers are blanks, a missing packed number is positive zero, a
+        number that does not fit is asterisks."""
         if f.kind == "c":
             return F.rpad(F.coalesce(value.cast("string"), F.lit("")), f.width, " ")
-        if f.kind == "z":
-            return F.coalesce(F.lpad(zero_pad(value, f.width), f.width, "0"),
-                              F.lit(" " * f.width))
-        if f.kind == "n":
-            txt = value.cast(f"decimal(38,{f.scale})").cast("string") if f.scale else \
-                value.cast("long").cast("string")
-            return F.lpad(F.coalesce(txt, F.lit("")), f.width, " ")
         if f.kind == "d":
             return F.rpad(F.coalesce(F.date_format(value, f.pattern), F.lit("")), f.width, " ")
-        if f.kind == "x":
-            return pack_hex(value, f.width, f.scale)
-        raise ValueError(f"cannot render field kind {f.kind!r}")
+        if f.kind not in ("n", "z", "x"):
+            raise ValueError(f"cannot render field kind {f.kind!r}")
+        missing = "0" * (f.chars - 1) + "C" if f.kind == "x" else " " * f.chars
+        txt = self.number_text(f, value)
+        laid = F.coalesce(F.lpad(txt, f.chars, "0" if f.kind == "z" else " "), F.lit(missing))
+        return F.when(F.length(txt) > f.chars, F.lit("*" * f.chars)).otherwise(laid)
 
     def rendered_values(self, width: int | None = None,
                         names: Sequence[str] | None = None) -> list[Column]:
@@ -174,9 +193,11 @@ def unpack_hex(hex_text: Column, scale: int = 0) -> Column:
 
 
 def pack_hex(value: Column, width: int, scale: int = 0) -> Column:
-    """Inverse of ``unpack_hex``: hex text of a ``width``-byte packed field."""
+    """Inverse of ``unpack_hex``: hex text of a ``width``-byte packed field;
+    longer than the field if the number does not fit."""
     n = value if not scale else value * F.lit(10 ** scale)
     n = n.cast("decimal(38,0)")
-    digits = F.lpad(F.abs(n).cast("string"), 2 * width - 1, "0")
+    digits = F.abs(n).cast("string")
+    digits = F.when(F.length(digits) < 2 * width - 1, F.lpad(digits, 2 * width - 1, "0")).otherwise(digits)
     sign = F.when(n < 0, F.lit("D")).otherwise(F.lit("C"))
     return F.concat(digits, sign)
