@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from recsmith.catalog import roles
+from recsmith.catalog import roles, spec
 from recsmith.catalog.registry import query, table
 from recsmith.functions import blanks as B
 from recsmith.functions import dates as D
@@ -584,8 +584,8 @@ def _fcy_sql(inner):
 
 
 @query("cls_account_range", "CLS-02", sql=f"""
-SELECT o_orderkey, {_range_case_sql('a', R.DEPOSIT_RANGES)} AS DP_APPL,
-       {_range_case_sql('a', R.LOAN_RANGES)} AS LN_APPL
+SELECT o_orderkey, {_range_case_sql('a', spec.DEPOSITS)} AS DP_APPL,
+       {_range_case_sql('a', spec.LOANS)} AS LN_APPL
 FROM (SELECT o_orderkey, {ACCT} AS a FROM orders)""")
 def cls_account_range(spark, sf):
     o = _orders(spark, sf).select("o_orderkey", roles.acct_no().alias("a"))
@@ -594,7 +594,7 @@ def cls_account_range(spark, sf):
 
 
 @query("cls_product_set", "CLS-03", sql=f"""
-SELECT o_orderkey, {PROD_SQL} AS PRODTY, {_fcy_sql(_range_case_sql('a', R.DEPOSIT_RANGES))} AS APPL_CODE
+SELECT o_orderkey, {PROD_SQL} AS PRODTY, {_fcy_sql(_range_case_sql('a', spec.DEPOSITS))} AS APPL_CODE
 FROM (SELECT o_orderkey, o_custkey, {ACCT} AS a FROM orders)""")
 def cls_product_set(spark, sf):
     o = _orders(spark, sf)
@@ -617,7 +617,7 @@ def _zip():
 
 def _zip_state_sql(z):
     parts = " ".join(f"WHEN TRY_CAST(trim({z}) AS INTEGER) BETWEEN {lo} AND {hi} THEN '{st}'"
-                     for lo, hi, st in reversed(R.ZIP_STATE_RANGES))
+                     for lo, hi, st in reversed(spec.ZIP_STATES))
     return f"CASE {parts} ELSE '' END"
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from recsmith.catalog import roles
+from recsmith.catalog import roles, spec
 from recsmith.catalog.registry import query
 from recsmith.plans.owners import account_owners
 
@@ -267,19 +267,12 @@ def relationship_both(spark, sf):
 
 
 def _record_sql(src: str) -> str:
-    fields = []
-    for f in RL.BOTH_LAYOUT.fields:
-        expr = f"strftime({f.name}, '%Y-%m-%d')" if f.kind == "d" else f.name
-        fields.append((expr, f.start, f.width))
-    return render_sql(fields, 300)
+    return render_sql([(f"strftime({n}, '%Y-%m-%d')" if n == "EXPDATE" else n, at, w) for n, at, w in spec.BOTH], 300)
 
 
 def _flip_sql(src: str) -> str:
-    swap = {}
-    for a, b in RL.SIDE_PAIRS:
-        swap[a], swap[b] = b, a
-    cols = [f.name for f in RL.BOTH_LAYOUT.fields]
-    return "SELECT " + ", ".join(f"{swap.get(c, c)} AS {c}" for c in cols) + f" FROM ({src}) _f"
+    swap = spec.SIDES | {b: a for a, b in spec.SIDES.items()}
+    return "SELECT " + ", ".join(f"{swap.get(c, c)} AS {c}" for c, _, _ in spec.BOTH) + f" FROM ({src}) _f"
 
 
 SEARCH_RECS_SQL = f"""
@@ -345,9 +338,10 @@ def _sqlname(c):
     return '"DESC"' if c == "DESC" else c
 
 
-_PARTY_FIXED = render_sql([(_sqlname(f.name), f.start, f.width) for f in PT.PARTY_LAYOUT.fields], 300)
-_PARTY_QUOTED = ("'\"' || " + " || '\",\"' || ".join(f"rpad({_sqlname(c)}, {w}, ' ')" for c, w in PT.QUOTED_WIDTHS)
-                 + " || '\", \\N'")
+_PARTY_FIXED = render_sql([(_sqlname(n), at, w) for n, at, w in spec.PARTY], 300)
+# Separators stand in the three bytes before each field but the first.
+_PARTY_QUOTED = render_sql([("'\"'", 1, 1), *[(_sqlname(n), at, w) for n, at, w in spec.PARTY_QUOTED],
+                            *[("'\",\"'", at - 3, 3) for _, at, _ in spec.PARTY_QUOTED[1:]], ("'\", \\N'", 245, 5)])
 
 
 @query("parties_accounts", "PIPE-03 SET-05 JON-01 SET-02 SNK-03 SNK-04 SNK-08", sql=f"""
@@ -462,30 +456,22 @@ SELECT *, {_zip_state_sql('NEW_ZIP')} AS STATEX FROM (
 WHERE NOT ({' OR '.join(f'contains(ADDRLINE, {_q(w)})' for w in FOREIGN_WORDS)}) AND NEW_ZIP <> ''"""
 
 
-def _layout_sql(layout, values):
-    fields = []
-    for f in layout.fields:
-        if f.name in values:
-            expr = values[f.name]
-        elif f.kind == "z":
-            expr = f"lpad({zero_pad_sql(f.name, f.width)}, {f.width}, '0')"
-        else:
-            expr = f.name
-        fields.append((expr, f.start, f.width))
-    return render_sql(fields, layout.lrecl)
+def _address_sql(fields, lrecl, values):
+    values = {"ADDREF": zero_pad_sql("ADDREF", 11)} | values
+    return render_sql([(values.get(n, n), at, w) for n, at, w in fields], lrecl)
 
 
 @query("address_update", "PIPE-08 JON-03 FLT-04 FLT-07 FLT-08 FLT-13 CND-03 CLS-04 STR-13 STR-09", sql=f"""
-SELECT {_layout_sql(AD.UPDATE_LAYOUT, {'NEW_CITY': 'upper(NEW_CITY)'})} AS value FROM ({REPAIRED_SQL}) r""")
+SELECT {_address_sql(spec.UPDATE, 200, {'NEW_CITY': 'upper(NEW_CITY)'})} AS value FROM ({REPAIRED_SQL}) r""")
 def address_update(spark, sf):
     return AD.update_records(AD.repaired(*_address_inputs(spark, sf)))
 
 
 @query("address_verify", "PIPE-08 SNK-05 SNK-08 WIN-02", sql=f"""
-SELECT 0::BIGINT AS line_no, {_q(AD._header_text())} AS value
+SELECT 0::BIGINT AS line_no, {_q(spec.heading(spec.VERIFY_HEADING, 350))} AS value
 UNION ALL
 SELECT row_number() OVER (ORDER BY CUSTNO, ADDREF, value) AS line_no, value FROM (
-  SELECT CUSTNO, ADDREF, {_layout_sql(AD.VERIFY_LAYOUT, {'DASH': "'-'", 'OLD': "'*OLD*'", 'NEW': "'*NEW*'"})} AS value
+  SELECT CUSTNO, ADDREF, {_address_sql(spec.VERIFY, 350, {'DASH': "'-'", 'OLD': "'*OLD*'", 'NEW': "'*NEW*'"})} AS value
   FROM ({REPAIRED_SQL}) r)""")
 def address_verify(spark, sf):
     return AD.verify_report(AD.repaired(*_address_inputs(spark, sf)))
@@ -635,7 +621,6 @@ def combined_file(spark, sf):
 
 # --------------------------------------------------------------- PIPE-11
 from recsmith.catalog.columns import OPENIND_SQL, PACKED_DATE_SQL, _fcy_sql, _openind, _packed_date, _range_case_sql  # noqa: E402,E501
-from recsmith.functions import rules as RU  # noqa: E402
 from recsmith.functions.numbers import money  # noqa: E402
 from recsmith.plans import report as RP  # noqa: E402
 
@@ -711,7 +696,7 @@ def _loan_status_sql():
             "WHEN rtrim(NPLINDC) = '3' OR ARREARDAY > 92 THEN 'NPL' WHEN NOTECURBAL > 0 THEN 'ACTIVE' ELSE '' END")
 
 
-_DP_APPL_SQL = _fcy_sql(_range_case_sql(zero_pad_sql("ACCTNO", 11), RU.DEPOSIT_RANGES)).replace(
+_DP_APPL_SQL = _fcy_sql(_range_case_sql(zero_pad_sql("ACCTNO", 11), spec.DEPOSITS)).replace(
     "lpad(CAST(o_custkey % 500 AS VARCHAR), 3, '0')", zero_pad_sql("PRODTYPE", 3))
 _DEPOSITS_SQL = f"""SELECT {zero_pad_sql('ACCTNO', 11)} AS ACCTNOC, {zero_pad_sql('PRODTYPE', 3)} AS PRODTY,
   {_DP_APPL_SQL} AS APPL_CODE,
@@ -722,7 +707,7 @@ _DEPOSITS_SQL = f"""SELECT {zero_pad_sql('ACCTNO', 11)} AS ACCTNOC, {zero_pad_sq
   CAST(LEDGERBAL1 / 100 AS DECIMAL(18,2)) AS LEDGERBAL, CURBAL
 FROM ({DP_SQL}) d WHERE trim(COALESCE(PURPOSECD, '')) <> ''"""
 _LOANS_SQL = f"""SELECT {zero_pad_sql('ACCTNO', 11)} AS ACCTNOC, '' AS PRODTY,
-  {_range_case_sql(zero_pad_sql('ACCTNO', 11), RU.LOAN_RANGES)} AS APPL_CODE,
+  {_range_case_sql(zero_pad_sql('ACCTNO', 11), spec.LOANS)} AS APPL_CODE,
   CASE WHEN COSTCENTER BETWEEN 3000 AND 3999 THEN 'I' ELSE 'C' END AS BANKINDC, {_loan_status_sql()} AS ACCTSTATUS,
   {_packed_sql('ACCTOPENDATE')} AS DATEOPEN, {_packed_sql('LASTTRANDATE')} AS DATECLSE,
   CAST(NOTECURBAL / 100 AS DECIMAL(18,2)) AS LEDGERBAL, CAST(NULL AS DECIMAL(18,2)) AS CURBAL,

@@ -27,7 +27,9 @@ PARTY_LAYOUT = Layout.of([
     ("CUSTNAME", 165, 40), ("ALIAS", 205, 20),
 ], lrecl=300)
 
-QUOTED_WIDTHS = [("CUSTNO1", 11), ("CUSTTYPE1", 1), ("RLENCODE1", 3), ("DESC1", 15), ("CUSTNO", 11),
+# The writer's separator overwrites the eleventh byte of the first field, so the
+# quoted record holds ten characters of CUSTNO1.
+QUOTED_WIDTHS = [("CUSTNO1", 10), ("CUSTTYPE1", 1), ("RLENCODE1", 3), ("DESC1", 15), ("CUSTNO", 11),
                  ("CUSTTYPE", 1), ("RLENCODE", 3), ("DESC", 15), ("ACCTCODE", 5), ("ACCTNO", 20),
                  ("CUSTNAME1", 40), ("ALIAS1", 20), ("CUSTNAME", 40), ("ALIAS", 20)]
 TRAILER = ", \\N"
