@@ -289,5 +289,5 @@ def daily_stream_generation(spark, sf):
 
     sink = _fresh(spark, "daily")
     schema = table(spark, sf, "orders").schema
-    run_available(spark, sf, schema, plan, sink, uuid.uuid4().hex, glob="orders.parquet")
+    run_available(spark, sf, schema, plan, sink, _fresh(spark, "daily-checkpoint"), glob="orders.parquet")
     return RD.latest_generation(spark.read.parquet(sink)).drop("generation")

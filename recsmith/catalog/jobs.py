@@ -195,7 +195,7 @@ def tax_watch(spark, sf):
 # ------------------------------------------------------------ PIPE-01 / 02
 from recsmith.plans import relationships as RL  # noqa: E402
 
-REL_SQL = """SELECT CAST(o_custkey AS VARCHAR) AS CUSTNO, CAST((o_orderkey * 7) % 1500 AS VARCHAR) AS CUST2,
+REL_SQL = """SELECT CAST(o_custkey AS VARCHAR) AS CUSTNO, CAST((o_orderkey * 7) % (SELECT count(*) FROM customer) AS VARCHAR) AS CUST2,
   CAST(o_orderkey % 30 AS INTEGER) AS CODE1, CAST(o_custkey % 30 AS INTEGER) AS CODE2,
   CAST(strftime(o_orderdate, '%Y%m%d') AS BIGINT) AS EFFDATE,
   CASE WHEN o_orderkey % 10 = 0 THEN '2001-01-01' ELSE '' END AS EXPDATE1 FROM orders"""
@@ -210,7 +210,7 @@ RALIAS_SQL = "SELECT CAST(o_custkey AS VARCHAR) AS CUSTNO, 'AL' || CAST(o_orderk
 def _rel_inputs(spark, sf):
     o = table(spark, sf, "orders")
     c = table(spark, sf, "customer")
-    rel = o.select(o.o_custkey.cast("string").alias("CUSTNO"), ((o.o_orderkey * 7) % 1500).cast("string").alias("CUST2"),
+    rel = o.select(o.o_custkey.cast("string").alias("CUSTNO"), ((o.o_orderkey * 7) % table(spark, sf, "customer").count()).cast("string").alias("CUST2"),
                    (o.o_orderkey % 30).cast("int").alias("CODE1"), (o.o_custkey % 30).cast("int").alias("CODE2"),
                    F.date_format("o_orderdate", "yyyyMMdd").cast("long").alias("EFFDATE"),
                    F.when(o.o_orderkey % 10 == 0, F.lit("2001-01-01")).otherwise(F.lit("")).alias("EXPDATE1"))
@@ -627,7 +627,7 @@ from recsmith.plans import report as RP  # noqa: E402
 ACCT_NUM_SQL = "((o_orderkey % 9 + 1) * 1000000000 + o_orderkey)"
 CROWS_SQL = f"""SELECT {ACCT} AS ACCTNOC, CAST(o_custkey AS VARCHAR) AS CUSTNO, 'IC' AS ALIASKEY, c_name AS ALIAS,
   c_name AS CUSTNAME, lpad(CAST(c_nationkey + 3 AS VARCHAR), 3, '0') AS DEMOCODE,
-  lpad(CAST(c_nationkey % 5 AS VARCHAR), 5, '0') AS MASCO2008, lpad(CAST(o_custkey % 2000 AS VARCHAR), 5, '0') AS MSICCODE
+  lpad(CAST(c_nationkey % 5 AS VARCHAR), 5, '0') AS MASCO2008, lpad(CAST(o_custkey % (SELECT count(*) FROM part) AS VARCHAR), 5, '0') AS MSICCODE
 FROM orders JOIN customer ON o_custkey = c_custkey"""
 REQ_SQL = "SELECT DISTINCT 'IC' AS ALIASKEY, c_name AS ALIAS FROM customer WHERE c_mktsegment <> 'MACHINERY'"
 OCC_SQL = "SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS DEMOCODE, n_name AS DEMODESC FROM nation"
@@ -660,7 +660,7 @@ def _report_inputs(spark, sf):
         F.col("c_name").alias("ALIAS"), F.col("c_name").alias("CUSTNAME"),
         F.lpad((c.c_nationkey + 3).cast("string"), 3, "0").alias("DEMOCODE"),
         F.lpad((c.c_nationkey % 5).cast("string"), 5, "0").alias("MASCO2008"),
-        F.lpad((o.o_custkey % 2000).cast("string"), 5, "0").alias("MSICCODE"))
+        F.lpad((o.o_custkey % table(spark, sf, "part").count()).cast("string"), 5, "0").alias("MSICCODE"))
     req = c.filter(c.c_mktsegment != "MACHINERY").select(F.lit("IC").alias("ALIASKEY"), F.col("c_name").alias("ALIAS"))
     occ = table(spark, sf, "nation").select(F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("DEMOCODE"),
                                             F.col("n_name").alias("DEMODESC"))

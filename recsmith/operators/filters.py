@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from recsmith.functions.blanks import is_blank
 from recsmith.functions.strings import col, contains_none, zip_line_ok  # noqa: F401
-from recsmith.operators.joins import checked_broadcast
 
 # Country spellings that mark a foreign address (FLT-04).
 FOREIGN_COUNTRIES = [
@@ -59,12 +58,6 @@ def drop_in(df: DataFrame, c: str, values: Iterable[str]) -> DataFrame:
     return df.filter(~F.coalesce(F.rtrim(F.col(c)).isin(vals), F.lit(False)))
 
 
-def drop_in_table(df: DataFrame, c: str, deny: DataFrame, deny_col: str) -> DataFrame:
-    """FLT-04 with the list held as data: size-checked broadcast anti join."""
-    d = checked_broadcast(deny.select(F.rtrim(F.col(deny_col)).alias("_deny")).distinct())
-    return df.join(d, F.rtrim(df[c]) == d["_deny"], "left_anti")
-
-
 def greater_than_text(df: DataFrame, c: str, bound: str) -> DataFrame:
     """FLT-05: binary text lower bound (pushed to the scan)."""
     return df.filter(F.col(c) > F.lit(bound))

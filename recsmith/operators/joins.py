@@ -1,9 +1,9 @@
 """Joins and match-merges (JON-*).
 
-Broadcast policy: a side is broadcast only after its row count has been
-proven below a bound (``checked_broadcast``); otherwise the join is left to
-the planner and AQE, which converts to a broadcast at run time from real
-shuffle statistics and splits skewed partitions (``skewJoin``).
+Broadcast policy: no hints. The planner broadcasts a side only when its known
+size is below ``spark.sql.autoBroadcastJoinThreshold``; otherwise AQE converts
+to a broadcast at run time from real shuffle statistics and splits skewed
+partitions (``skewJoin``).
 """
 
 from __future__ import annotations
@@ -17,20 +17,6 @@ from pyspark.sql import functions as F
 
 from recsmith.operators.positions import group_positions
 
-# Code tables of the customer system hold at most a few thousand rows.
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
-
-    The proof is a bounded count (``limit(max_rows + 1)``), so the check never
-    scans more than the bound. Larger inputs are returned unchanged and
-    joined with a shuffle.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def _keys(on) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
@@ -41,15 +27,13 @@ def inner_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, _keys(on), "inner")
 
 
-def lookup(fact: DataFrame, table: DataFrame, on, small: bool = False,
-           max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def lookup(fact: DataFrame, table: DataFrame, on) -> DataFrame:
     """JON-02/04: left lookup merge; every fact row kept.
 
     No broadcast hint: the planner broadcasts a side only when its estimated
     size is below ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-decides
     from the measured shuffle size, so a code table is broadcast and a large
-    table is shuffled without an extra counting job. ``small`` documents the
-    expectation (and ``checked_broadcast`` remains for explicit hints)."""
+    table is shuffled without an extra counting job."""
     return fact.join(table, _keys(on), "left")
 
 
@@ -65,8 +49,7 @@ def join_renamed(left: DataFrame, right: DataFrame, pairs: dict[str, str],
 
 
 def flag_join(fact: DataFrame, keys_df: DataFrame, left_on: Sequence[str],
-              right_on: Sequence[str] | None = None, flag: str = "found",
-              small: bool = False) -> DataFrame:
+              right_on: Sequence[str] | None = None, flag: str = "found") -> DataFrame:
     """JON-07: keep every fact row, add boolean ``flag`` = key present on the
     right. The right side is reduced to distinct keys first, so the fact never
     fans out."""
@@ -84,10 +67,6 @@ def anti_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, _keys(on), "left_anti")
 
 
-def semi_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
-    return left.join(right, _keys(on), "left_semi")
-
-
 def outer_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
     """JON-09: full outer join, coalesced key columns."""
     return left.join(right, _keys(on), "full")
@@ -100,13 +79,12 @@ def self_join(df: DataFrame, left_on: str, right_on: str, suffix: str = "_r",
     return df.join(r, df[left_on] == r[right_on + suffix], how)
 
 
-def star_lookup(fact: DataFrame, tables: Iterable[tuple[DataFrame, object]],
-                small: bool = True) -> DataFrame:
-    """JON-13: one fact, N code tables, each a (size-checked) broadcast left
-    join, so the fact is never shuffled for a code table."""
+def star_lookup(fact: DataFrame, tables: Iterable[tuple[DataFrame, object]]) -> DataFrame:
+    """JON-13: one fact, N code tables, each a left lookup; small tables are
+    broadcast by the planner, so the fact is not shuffled for them."""
     out = fact
     for table, on in tables:
-        out = lookup(out, table, on, small=small)
+        out = lookup(out, table, on)
     return out
 
 

@@ -87,7 +87,7 @@ def combined_file(cust: DataFrame, indv: DataFrame, codes: DataFrame, run_ts: st
     out = lookup(c, individual_part(indv), "CUSTNOX")
     tables = code_lookups(codes)
     for cat, col, desc, _ in LOOKUPS:
-        out = lookup(out, tables[cat], col, small=True)
+        out = lookup(out, tables[cat], col)
         out = out.withColumn(desc, F.coalesce(F.col(desc), F.lit("")))
     return out.withColumn("RUNTIMESTAMP", F.lit(run_ts))
 

@@ -35,10 +35,6 @@ def names_with_long_name(names: DataFrame, remarks: DataFrame,
     return out.select(*NAME_COLS, F.coalesce("LONGNAME", F.lit("")).alias("LONGNAME"))
 
 
-def name_records(df: DataFrame) -> DataFrame:
-    return df.select(NAME_OUT_LAYOUT.render_expr({"CUSTNAME_2": F.col("CUSTNAME")}).alias("value"))
-
-
 # ---------------------------------------------------------------- PIPE-07
 ACCOUNT_LOW = "010000000000"
 LINE_TYPES = [f"NA_LINE_TYP{i}" for i in range(1, 9)]
@@ -60,6 +56,3 @@ def deposit_addresses(ownership: DataFrame, addresses: DataFrame) -> DataFrame:
     return inner_join(adr, own, "ACCTNO").select("O_APPL_CODE", "ACCTNO", *[
         c for i in range(8) for c in (LINE_TYPES[i], ADDR_LINES[i])])
 
-
-def deposit_records(df: DataFrame) -> DataFrame:
-    return df.select(DEPOSIT_ADDR_LAYOUT.render_expr().alias("value"))

@@ -49,7 +49,7 @@ def _lookup_side(rel: DataFrame, party: str, code: str, side: str, codes: DataFr
                  names: DataFrame, customers: DataFrame) -> DataFrame:
     """One side: code table, name file, customer file (each unique per key)."""
     c = codes.select(F.col("CODE").alias(code), F.col("DESC").alias("DESC" + side))
-    out = lookup(rel, c, code, small=True)
+    out = lookup(rel, c, code)
     n = names.select(F.col("CUSTNO").alias(party), F.col("INDORG").alias("INDORG" + side),
                      F.col("CUSTNAME").alias("CUSTNAME" + side))
     out = lookup(out, n, party)

@@ -44,9 +44,9 @@ def requested_customers(requests: DataFrame, cust: DataFrame) -> DataFrame:
 
 
 def describe(custs: DataFrame, occup: DataFrame, masco: DataFrame, msic: DataFrame) -> DataFrame:
-    out = lookup(custs, first_per_key(occup.select("DEMOCODE", "DEMODESC"), "DEMOCODE"), "DEMOCODE", small=True)
-    out = lookup(out, first_per_key(masco.select("MASCO2008", "MASCODESC"), "MASCO2008"), "MASCO2008", small=True)
-    out = lookup(out, first_per_key(msic.select("MSICCODE", "MSICDESC"), "MSICCODE"), "MSICCODE", small=True)
+    out = lookup(custs, first_per_key(occup.select("DEMOCODE", "DEMODESC"), "DEMOCODE"), "DEMOCODE")
+    out = lookup(out, first_per_key(masco.select("MASCO2008", "MASCODESC"), "MASCO2008"), "MASCO2008")
+    out = lookup(out, first_per_key(msic.select("MSICCODE", "MSICDESC"), "MSICCODE"), "MSICCODE")
     return out.withColumns({c: default_text(c) for c in ("DEMODESC", "MASCODESC", "MSICDESC")})
 
 

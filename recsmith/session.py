@@ -1,13 +1,19 @@
 """Session construction and the shared checkpoint folder.
 
 The library never hard-codes a cluster folder: lineage cuts go to the folder
-the cluster names in ``spark.checkpoint.dir``. Only when that is unset (local
-tests) is a fresh private folder created.
+the cluster names in ``spark.checkpoint.dir``. Only in local mode, where the
+driver is the only machine, may it be unset; then a private folder is used and
+deleted when the process ends. Stages written to the shared folder live as long
+as the cluster keeps it: they are part of the lineage of every DataFrame built
+on them, so nothing here deletes them.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -59,7 +65,8 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a private one only if unset."""
+    """Return the shared checkpoint folder. Unset, it is an error except in local
+    mode: on a cluster a machine's own folder would be unseen by the others."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -67,8 +74,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in local tests: a fresh folder per session.
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="recsmith-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

@@ -4,7 +4,9 @@ one-row control date."""
 from __future__ import annotations
 
 import os
+import re
 from typing import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,10 +53,17 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 def latest_generation(df: DataFrame, gen_col: str = "generation") -> DataFrame:
     """SRC-13: rows of the newest generation only (``GDG(0)``).
 
-    With a ``generation=`` partitioned layout the max is answered from the
-    partition values and the filter prunes whole folders."""
-    newest = df.agg(F.max(gen_col).alias("_g"))
-    return df.join(F.broadcast(newest), F.col(gen_col) == F.col("_g"), "left_semi")
+    For a ``generation=`` partitioned layout the newest value comes from the
+    folder listing (no data is read) and the literal filter prunes all other
+    folders; otherwise from one aggregate. Without rows the result is empty."""
+    kind = df.schema[gen_col].dataType.simpleString()
+    names = [re.search(rf"/{re.escape(gen_col)}=([^/]*)/", f) for f in df.inputFiles()]
+    if names and all(names):
+        values = [unquote(m[1]) for m in names if m[1] != "__HIVE_DEFAULT_PARTITION__"]
+        newest = max(values, key=int if kind in ("int", "bigint", "smallint", "tinyint") else str, default=None)
+    else:
+        newest = df.agg(F.max(gen_col)).first()[0]
+    return df.filter(F.col(gen_col) == F.lit(newest).cast(kind))
 
 
 def control_date(df: DataFrame, y: str = "YY", m: str = "MM", d: str = "DD") -> str:
@@ -83,10 +92,10 @@ def read_fixed_binary(spark: SparkSession, path: str, lrecl: int, layout: Layout
 
     Hadoop's fixed-length record reader splits files on record boundaries;
     each record becomes one ``binary`` value and all fields are decoded by
-    JVM expressions (``substring`` / ``hex``)."""
-    rdd = spark.sparkContext.binaryRecords(path, lrecl)
-    df = spark.createDataFrame(rdd.map(lambda b: (bytes(b),)), "value binary")
-    return layout.decode(df, binary=True)
+    JVM expressions (``substring`` / ``hex``). Spark has no splitting
+    DataFrame source for such files, so this reader alone starts from an RDD."""
+    records = spark.sparkContext.binaryRecords(path, lrecl).mapPartitions(zip)
+    return layout.decode(spark.createDataFrame(records, "value binary", verifySchema=False), binary=True)
 
 
 def decode_when(df: DataFrame, header: Layout, predicate, body: Layout,

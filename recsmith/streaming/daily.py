@@ -9,8 +9,11 @@ Streaming gives exactly that with an ``availableNow`` trigger:
   restarts and lost executors;
 * ``foreachBatch`` applies an ordinary batch plan (any function of
   DataFrames from ``recsmith.plans``) to the newly landed rows;
-* each micro-batch is written to ``generation=<batch id>``; re-running a
-  batch after a failure overwrites the same folder (idempotent).
+* without a rate limit an ``availableNow`` run is one micro-batch, so a run
+  writes one generation, ``generation=<batch id>``, and a plan's dedups see the
+  whole run; re-running it after a failure overwrites the same folder;
+* the streaming checkpoint belongs to the job, not to an application, so the
+  caller must name its folder.
 
 No operator is added: this is a driver for the existing plans.
 """
@@ -21,12 +24,9 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recsmith.session import scratch_path
-
 
 def run_available(spark: SparkSession, source_dir: str, schema, plan: Callable[[DataFrame], DataFrame],
-                  sink_dir: str, name: str, fmt: str = "parquet", glob: str | None = None,
-                  checkpoint: str | None = None) -> None:
+                  sink_dir: str, checkpoint: str, fmt: str = "parquet", glob: str | None = None) -> None:
     """Process every file landed in ``source_dir`` since the last run, then stop."""
     reader = spark.readStream.schema(schema).format(fmt)
     if glob:
@@ -36,7 +36,6 @@ def run_available(spark: SparkSession, source_dir: str, schema, plan: Callable[[
     def write_generation(batch: DataFrame, batch_id: int) -> None:
         plan(batch).write.mode("overwrite").parquet(f"{sink_dir}/generation={batch_id}")
 
-    ckpt = checkpoint or scratch_path(spark, f"stream-{name}")
     query = (stream.writeStream.foreachBatch(write_generation)
-             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
