@@ -626,16 +626,22 @@ from recsmith.plans import report as RP  # noqa: E402
 
 ACCT_NUM_SQL = "((o_orderkey % 9 + 1) * 1000000000 + o_orderkey)"
 CROWS_SQL = f"""SELECT {ACCT} AS ACCTNOC, CAST(o_custkey AS VARCHAR) AS CUSTNO, 'IC' AS ALIASKEY, c_name AS ALIAS,
-  c_name AS CUSTNAME, lpad(CAST(c_nationkey + 3 AS VARCHAR), 3, '0') AS DEMOCODE,
-  lpad(CAST(c_nationkey % 5 AS VARCHAR), 5, '0') AS MASCO2008, lpad(CAST(o_custkey % (SELECT count(*) FROM part) AS VARCHAR), 5, '0') AS MSICCODE
+  c_name AS CUSTNAME, lpad(CAST(c_nationkey + 3 AS VARCHAR), 3, '0') AS OCCUP,
+  lpad(CAST(c_nationkey % 5 AS VARCHAR), 5, '0') AS MASCO2008, lpad(CAST(o_custkey % (SELECT count(*) FROM part) AS VARCHAR), 5, '0') AS MSICCODE,
+  CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE lpad(CAST(o_orderkey % 100000 AS VARCHAR), 5, '0') END AS SICCODE,
+  CASE WHEN o_orderkey % 5 = 0 THEN 'SG' ELSE 'MY' END AS CITIZENSHIP, CASE WHEN o_orderkey % 6 = 0 THEN 'Y' ELSE 'N' END AS JOINTACC
 FROM orders JOIN customer ON o_custkey = c_custkey"""
 REQ_SQL = "SELECT DISTINCT 'IC' AS ALIASKEY, c_name AS ALIAS FROM customer WHERE c_mktsegment <> 'MACHINERY'"
-OCC_SQL = "SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS DEMOCODE, n_name AS DEMODESC FROM nation"
+OCC_SQL = "SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS OCCUP, n_name AS DEMODESC FROM nation"
 MASCO_SQL = "SELECT lpad(CAST(r_regionkey AS VARCHAR), 5, '0') AS MASCO2008, r_name AS MASCODESC FROM region"
 MSIC_SQL = "SELECT lpad(CAST(p_partkey AS VARCHAR), 5, '0') AS MSICCODE, p_type AS MSICDESC FROM part"
-BOX_SQL = "SELECT c_name AS ALIAS, 'BR' || CAST(c_nationkey AS VARCHAR) AS BRANCH_ABBR FROM customer WHERE c_acctbal < 0"
+# Several boxes of one alias, some more than it has accounts.
+BOX_SQL = f"""SELECT c_name AS ALIAS, CAST(o_custkey AS VARCHAR) AS CUSTNO, {ACCT} AS ACCTNOC, 'BRX' || CAST(c_nationkey + o_orderkey % 3 AS VARCHAR) || 'ZZ' AS BRANCH_ABBR,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'I' ELSE 'C' END AS BANKINDC, 'BOX ' || o_orderstatus AS ACCTSTATUS
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 11 = 0"""
+BRANCH_SQL = "SELECT lpad(CAST(n_nationkey * 7 AS VARCHAR), 3, '0') AS ACCTBRCH, substr(n_name, 1, 5) AS BRANCH_ABBR FROM nation"
 DP_SQL = f"""SELECT {ACCT_NUM_SQL} AS ACCTNO, o_custkey % 500 AS PRODTYPE, o_orderkey % 5000 AS COSTCTR, {OPENIND_SQL} AS OPENIND,
-  CASE WHEN o_orderkey % 23 = 0 THEN '' ELSE 'P' END AS PURPOSECD,
+  o_custkey % 200 AS ACCTBRCH1, CASE WHEN o_orderkey % 23 = 0 THEN '' ELSE 'P' END AS PURPOSECD,
   CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS LEDGERBAL1,
   CAST(CAST(o_totalprice AS DECIMAL(18,2)) - 150000 AS DECIMAL(18,2)) AS CURBAL,
   {PACKED_DATE_SQL} AS OPENDATE, CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE {PACKED_DATE_SQL} END AS CLSEDATE
@@ -647,35 +653,64 @@ LN_SQL = f"""SELECT {ACCT_NUM_SQL} AS ACCTNO, o_orderkey % 5000 AS COSTCENTER,
   CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) - 15000000 AS NOTECURBAL,
   {PACKED_DATE_SQL} AS ACCTOPENDATE, {PACKED_DATE_SQL} AS LASTTRANDATE
 FROM orders WHERE substr({ACCT}, 1, 2) IN ('02', '08')"""
-
-
-def _report_inputs(spark, sf):
+_CYC = ["CURR_CYC_DR", "CURR_CYC_CR", "PREV_CYC_DR", "PREV_CYC_CR"]
+_CYC_AMT = ["CURR_AMT_DR", "CURR_AMT_CR", "PREV_AMT_DR", "PREV_AMT_CR"]
+# Every tenth account has two statement rows.
+STMT_SQL = f"""SELECT {ACCT_NUM_SQL} AS ACCTNO, {', '.join(f"o_orderkey % {7 + i} - 2 + 100 * d AS {c}" for i, c in enumerate(_CYC))},
+  {', '.join(f"CAST(CAST(o_totalprice AS DECIMAL(18,2)) - {40000 * (i + 1)} AS DECIMAL(18,2)) AS {c}" for i, c in enumerate(_CYC_AMT))}
+FROM orders, (SELECT unnest([0, 1]) AS d) WHERE o_orderkey % 2 = 0 AND (d = 0 OR o_orderkey % 10 = 0)"""
+POST_SQL = f"""SELECT {ACCT} AS ACCTNOC, CASE WHEN o_orderkey % 2 = 0 THEN 'X' ELSE 'T' END AS ACCT_PST_IND,
+  o_orderpriority AS ACCT_PST_REASON FROM orders WHERE o_orderkey % 3 = 0"""
+HOLD_SQL = f"""SELECT {ACCT_NUM_SQL} AS ACCTNO, lpad(CAST(o_orderkey % 4 AS VARCHAR), 2, '0') AS TOT_HOLD,
+  {', '.join(f"lpad(CAST((o_orderkey + {i}) % 1000 AS VARCHAR), 3, '0') AS SEQID_{i}" for i in (1, 2, 3))},
+  {', '.join(f"CAST(CAST(o_totalprice AS DECIMAL(18,2)) - {90000 * i} AS DECIMAL(18,2)) AS AMT_{i}" for i in (1, 2, 3))},
+  {', '.join(f"o_orderpriority || '-{i}' AS DESC_{i}" for i in (1, 2, 3))}, {', '.join(f"o_orderstatus || '{i}' AS SOURCE_{i}" for i in (1, 2, 3))}
+FROM orders WHERE o_orderkey % 4 = 0"""
+
+
+def _card_sql(n, abbr):
+    return f"""SELECT {ACCT} AS ACCTNOC, '{abbr}' AS BRANCH_ABBR, CASE WHEN o_orderstatus = 'O' THEN 'OPEN' ELSE 'CLOSED' END AS ACCTSTATUS,
+  strftime(o_orderdate, '%Y%m%d') AS DATEOPEN, '' AS DATECLSE FROM orders WHERE o_orderkey % {n} = 0"""
+
+
+def _report_products(spark, sf):
+    """The merged products of the customer report over the role inputs."""
     o = table(spark, sf, "orders")
     c = table(spark, sf, "customer")
+    n = table(spark, sf, "nation")
     k = o.o_orderkey
     acct_num = (k % 9 + 1) * F.lit(1000000000) + k
     prefix = F.substring(roles.acct_no(), 1, 2)
-    rows = o.join(c, o.o_custkey == c.c_custkey).select(
+    oc = o.join(c, o.o_custkey == c.c_custkey)
+    rows = oc.select(
         roles.acct_no().alias("ACCTNOC"), o.o_custkey.cast("string").alias("CUSTNO"), F.lit("IC").alias("ALIASKEY"),
         F.col("c_name").alias("ALIAS"), F.col("c_name").alias("CUSTNAME"),
-        F.lpad((c.c_nationkey + 3).cast("string"), 3, "0").alias("DEMOCODE"),
+        F.lpad((c.c_nationkey + 3).cast("string"), 3, "0").alias("OCCUP"),
         F.lpad((c.c_nationkey % 5).cast("string"), 5, "0").alias("MASCO2008"),
-        F.lpad((o.o_custkey % table(spark, sf, "part").count()).cast("string"), 5, "0").alias("MSICCODE"))
+        F.lpad((o.o_custkey % table(spark, sf, "part").count()).cast("string"), 5, "0").alias("MSICCODE"),
+        F.when(k % 7 == 0, F.lit("")).otherwise(F.lpad((k % 100000).cast("string"), 5, "0")).alias("SICCODE"),
+        F.when(k % 5 == 0, F.lit("SG")).otherwise(F.lit("MY")).alias("CITIZENSHIP"),
+        F.when(k % 6 == 0, F.lit("Y")).otherwise(F.lit("N")).alias("JOINTACC"))
     req = c.filter(c.c_mktsegment != "MACHINERY").select(F.lit("IC").alias("ALIASKEY"), F.col("c_name").alias("ALIAS"))
-    occ = table(spark, sf, "nation").select(F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("DEMOCODE"),
-                                            F.col("n_name").alias("DEMODESC"))
+    occ = n.select(F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("DEMOCODE"), F.col("n_name").alias("DEMODESC"))
     masco = table(spark, sf, "region").select(F.lpad(F.col("r_regionkey").cast("string"), 5, "0").alias("MASCO2008"),
                                               F.col("r_name").alias("MASCODESC"))
     msic = table(spark, sf, "part").select(F.lpad(F.col("p_partkey").cast("string"), 5, "0").alias("MSICCODE"),
                                            F.col("p_type").alias("MSICDESC"))
-    boxes = c.filter(c.c_acctbal < 0).select(F.col("c_name").alias("ALIAS"),
-                                             F.concat(F.lit("BR"), c.c_nationkey.cast("string")).alias("BRANCH_ABBR"))
+    boxes = oc.filter(k % 11 == 0).select(
+        F.col("c_name").alias("ALIAS"), o.o_custkey.cast("string").alias("CUSTNO"), roles.acct_no().alias("ACCTNOC"),
+        F.concat(F.lit("BRX"), (c.c_nationkey + k % 3).cast("string"), F.lit("ZZ")).alias("BRANCH_ABBR"),
+        F.when(k % 2 == 0, F.lit("I")).otherwise(F.lit("C")).alias("BANKINDC"),
+        F.concat(F.lit("BOX "), "o_orderstatus").alias("ACCTSTATUS"))
+    branches = n.select(F.lpad((F.col("n_nationkey") * 7).cast("string"), 3, "0").alias("ACCTBRCH"),
+                        F.substring("n_name", 1, 5).alias("BRANCH_ABBR"))
     cents = (money("o_totalprice") * 100).cast("long")
+    price = lambda less: (money("o_totalprice") - less).cast("decimal(18,2)")
     dp = o.filter(prefix.isin("01", "03", "04", "05", "06", "07", "09")).select(
         acct_num.alias("ACCTNO"), (o.o_custkey % 500).alias("PRODTYPE"), (k % 5000).alias("COSTCTR"),
-        _openind().alias("OPENIND"), F.when(k % 23 == 0, F.lit("")).otherwise(F.lit("P")).alias("PURPOSECD"),
-        cents.alias("LEDGERBAL1"), (money("o_totalprice") - 150000).cast("decimal(18,2)").alias("CURBAL"),
-        _packed_date().alias("OPENDATE"),
+        _openind().alias("OPENIND"), (o.o_custkey % 200).alias("ACCTBRCH1"),
+        F.when(k % 23 == 0, F.lit("")).otherwise(F.lit("P")).alias("PURPOSECD"),
+        cents.alias("LEDGERBAL1"), price(150000).alias("CURBAL"), _packed_date().alias("OPENDATE"),
         F.when(k % 3 == 0, F.lit(0).cast("long")).otherwise(_packed_date()).alias("CLSEDATE"))
     ln = o.filter(prefix.isin("02", "08")).select(
         acct_num.alias("ACCTNO"), (k % 5000).alias("COSTCENTER"),
@@ -683,7 +718,37 @@ def _report_inputs(spark, sf):
         F.when(k % 5 != 0, o.o_custkey % 120).alias("ARREARDAY"),
         F.when((o.o_orderstatus == "F") & (k % 3 == 0), F.lit("P")).otherwise(F.lit("")).alias("NOTEPAID"),
         (cents - 15000000).alias("NOTECURBAL"), _packed_date().alias("ACCTOPENDATE"), _packed_date().alias("LASTTRANDATE"))
-    return rows, req, occ, masco, msic, boxes, dp, ln
+    card = lambda m, abbr: o.filter(k % m == 0).select(
+        roles.acct_no().alias("ACCTNOC"), F.lit(abbr).alias("BRANCH_ABBR"),
+        F.when(F.col("o_orderstatus") == "O", F.lit("OPEN")).otherwise(F.lit("CLOSED")).alias("ACCTSTATUS"),
+        F.date_format("o_orderdate", "yyyyMMdd").alias("DATEOPEN"), F.lit("").alias("DATECLSE"))
+    custs = RP.with_safe_boxes(RP.describe(RP.requested_customers(req, rows), occ, masco, msic), boxes)
+    return RP.merged_products(custs, [
+        RP.with_branch(RP.deposit_accounts(dp), branches), RP.with_branch(RP.loan_accounts(ln), branches),
+        RP.box_accounts(boxes), RP.card_accounts(card(13, "UNI")), RP.card_accounts(card(17, "COM"))])
+
+
+def _report_details(spark, sf):
+    o = table(spark, sf, "orders")
+    k = o.o_orderkey
+    acct_num = ((k % 9 + 1) * F.lit(1000000000) + k).alias("ACCTNO")
+    price = lambda less: (money("o_totalprice") - less).cast("decimal(18,2)")
+    twice = F.explode(F.when(k % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("d")
+    stmt = o.filter(k % 2 == 0).select("o_orderkey", "o_totalprice", twice)
+    k2 = stmt.o_orderkey
+    stmt = stmt.select(((k2 % 9 + 1) * F.lit(1000000000) + k2).alias("ACCTNO"),
+                       *[(k2 % (7 + i) - 2 + 100 * F.col("d")).alias(c) for i, c in enumerate(_CYC)],
+                       *[price(40000 * (i + 1)).alias(c) for i, c in enumerate(_CYC_AMT)])
+    post = o.filter(k % 3 == 0).select(
+        roles.acct_no().alias("ACCTNOC"), F.when(k % 2 == 0, F.lit("X")).otherwise(F.lit("T")).alias("ACCT_PST_IND"),
+        F.col("o_orderpriority").alias("ACCT_PST_REASON"))
+    holds = o.filter(k % 4 == 0).select(
+        acct_num, F.lpad((k % 4).cast("string"), 2, "0").alias("TOT_HOLD"),
+        *[F.lpad(((k + i) % 1000).cast("string"), 3, "0").alias(f"SEQID_{i}") for i in (1, 2, 3)],
+        *[price(90000 * i).alias(f"AMT_{i}") for i in (1, 2, 3)],
+        *[F.concat("o_orderpriority", F.lit(f"-{i}")).alias(f"DESC_{i}") for i in (1, 2, 3)],
+        *[F.concat("o_orderstatus", F.lit(str(i))).alias(f"SOURCE_{i}") for i in (1, 2, 3)])
+    return stmt, post, holds
 
 
 def _packed_sql(e):
@@ -698,50 +763,99 @@ def _loan_status_sql():
 
 _DP_APPL_SQL = _fcy_sql(_range_case_sql(zero_pad_sql("ACCTNO", 11), spec.DEPOSITS)).replace(
     "lpad(CAST(o_custkey % 500 AS VARCHAR), 3, '0')", zero_pad_sql("PRODTYPE", 3))
-_DEPOSITS_SQL = f"""SELECT {zero_pad_sql('ACCTNO', 11)} AS ACCTNOC, {zero_pad_sql('PRODTYPE', 3)} AS PRODTY,
+_DEPOSITS_SQL = f"""SELECT d.*, b.BRANCH_ABBR FROM (
+  SELECT {zero_pad_sql('ACCTNO', 11)} AS ACCTNOC, {zero_pad_sql('PRODTYPE', 3)} AS PRODTY, {zero_pad_sql('ACCTBRCH1', 3)} AS ACCTBRCH,
   {_DP_APPL_SQL} AS APPL_CODE,
   CASE WHEN COSTCTR > 3000 AND COSTCTR < 3999 THEN 'I' ELSE 'C' END AS BANKINDC,
   CASE WHEN COALESCE(rtrim(OPENIND), '') = '' THEN 'ACTIVE' WHEN rtrim(OPENIND) IN ('B', 'C', 'P') THEN 'CLOSED'
        WHEN rtrim(OPENIND) = 'Z' THEN 'ZERO BALANCE' ELSE '' END AS ACCTSTATUS,
   {_packed_sql('OPENDATE')} AS DATEOPEN, {_packed_sql('CLSEDATE')} AS DATECLSE,
   CAST(LEDGERBAL1 / 100 AS DECIMAL(18,2)) AS LEDGERBAL, CURBAL
-FROM ({DP_SQL}) d WHERE trim(COALESCE(PURPOSECD, '')) <> ''"""
-_LOANS_SQL = f"""SELECT {zero_pad_sql('ACCTNO', 11)} AS ACCTNOC, '' AS PRODTY,
-  {_range_case_sql(zero_pad_sql('ACCTNO', 11), spec.LOANS)} AS APPL_CODE,
+  FROM ({DP_SQL}) d WHERE trim(COALESCE(PURPOSECD, '')) <> '') d LEFT JOIN ({BRANCH_SQL}) b USING (ACCTBRCH)"""
+_LOANS_SQL = f"""SELECT l.*, b.BRANCH_ABBR FROM (
+  SELECT {zero_pad_sql('ACCTNO', 11)} AS ACCTNOC, {_range_case_sql(zero_pad_sql('ACCTNO', 11), spec.LOANS)} AS APPL_CODE,
   CASE WHEN COSTCENTER BETWEEN 3000 AND 3999 THEN 'I' ELSE 'C' END AS BANKINDC, {_loan_status_sql()} AS ACCTSTATUS,
   {_packed_sql('ACCTOPENDATE')} AS DATEOPEN, {_packed_sql('LASTTRANDATE')} AS DATECLSE,
-  CAST(NOTECURBAL / 100 AS DECIMAL(18,2)) AS LEDGERBAL, CAST(NULL AS DECIMAL(18,2)) AS CURBAL,
+  CAST(NOTECURBAL / 100 AS DECIMAL(18,2)) AS LEDGERBAL,
   {zero_pad_sql(f"TRY_CAST(trim(substr({zero_pad_sql('COSTCENTER', 7)}, 5, 3)) AS BIGINT)", 3)} AS ACCTBRCH
-FROM ({LN_SQL}) l"""
-_CUSTS_SQL = f"""SELECT r.*, CASE WHEN trim(COALESCE(oc.DEMODESC, '')) = '' THEN 'NIL' ELSE oc.DEMODESC END AS DEMODESC,
-  CASE WHEN trim(COALESCE(ma.MASCODESC, '')) = '' THEN 'NIL' ELSE ma.MASCODESC END AS MASCODESC,
-  CASE WHEN trim(COALESCE(ms.MSICDESC, '')) = '' THEN 'NIL' ELSE ms.MSICDESC END AS MSICDESC,
-  CASE WHEN bx.ALIAS IS NOT NULL THEN 'YES' ELSE 'NIL' END AS SDBIND,
-  CASE WHEN bx.ALIAS IS NOT NULL THEN bx.BRANCH_ABBR ELSE 'NIL' END AS SDBBRH
+  FROM ({LN_SQL}) l) l LEFT JOIN ({BRANCH_SQL}) b USING (ACCTBRCH)"""
+_DESCRIBED_SQL = f"""SELECT r.*, oc.DEMODESC, ma.MASCODESC, ms.MSICDESC
 FROM ({CROWS_SQL}) r JOIN ({REQ_SQL}) q ON r.ALIASKEY = q.ALIASKEY AND r.ALIAS = q.ALIAS
-LEFT JOIN ({first_sql(OCC_SQL, ['DEMOCODE'], ['DEMODESC'], ['DEMOCODE', 'DEMODESC'])}) oc ON r.DEMOCODE = oc.DEMOCODE
-LEFT JOIN ({first_sql(MASCO_SQL, ['MASCO2008'], ['MASCODESC'], ['MASCO2008', 'MASCODESC'])}) ma ON r.MASCO2008 = ma.MASCO2008
-LEFT JOIN ({first_sql(MSIC_SQL, ['MSICCODE'], ['MSICDESC'], ['MSICCODE', 'MSICDESC'])}) ms ON r.MSICCODE = ms.MSICCODE
-LEFT JOIN ({first_sql(BOX_SQL, ['ALIAS'], ['BRANCH_ABBR'], ['ALIAS', 'BRANCH_ABBR'])}) bx ON r.ALIAS = bx.ALIAS"""
-_ROWS_SQL = f"""SELECT *, CAST(CASE WHEN rtrim(APPL_CODE) IN ('FD', 'CA', 'SA')
-     THEN CASE WHEN CURBAL < 0 OR CURBAL > 0 THEN CURBAL ELSE 0 END ELSE 0 END AS DECIMAL(18,2)) AS TEMP_CURBAL
-FROM (SELECT 1 AS SRC, c.*, d.* EXCLUDE (ACCTNOC), NULL AS ACCTBRCH FROM ({_CUSTS_SQL}) c JOIN ({_DEPOSITS_SQL}) d USING (ACCTNOC)
-      UNION ALL
-      SELECT 2 AS SRC, c.*, l.* EXCLUDE (ACCTNOC) FROM ({_CUSTS_SQL}) c JOIN ({_LOANS_SQL}) l USING (ACCTNOC))"""
-_LINE_COLS = ["NO", "CUSTNO", "ACCTNOC", "APPL_CODE", "PRODTY", "CUSTNAME", "DEMODESC", "ACCTSTATUS", "DATEOPEN",
-              "DATECLSE", "TEMP_CURBAL", "SDBIND", "SDBBRH"]
-_LINE_SQL = "concat_ws(';', " + ", ".join(
-    f"rpad(COALESCE(CAST({c} AS VARCHAR), ''), {w}, ' ')" for c, (_, w) in zip(_LINE_COLS, RP.REPORT_COLUMNS)) + ")"
-
-
-@query("customer_report", "PIPE-11 JON-05 JON-07 JON-13 JON-14 CLS-02 CLS-03 CLS-05 CLS-06 CLS-07 DAT-06 MTH-01 "
+LEFT JOIN ({OCC_SQL}) oc ON r.OCCUP = oc.OCCUP LEFT JOIN ({MASCO_SQL}) ma ON r.MASCO2008 = ma.MASCO2008
+LEFT JOIN ({MSIC_SQL}) ms ON r.MSICCODE = ms.MSICCODE"""
+_CUST_COLS = ["ACCTNOC", "CUSTNO", "ALIASKEY", "CUSTNAME", "OCCUP", "MASCO2008", "MSICCODE", "SICCODE", "CITIZENSHIP", "JOINTACC",
+              "DEMODESC", "MASCODESC", "MSICDESC"]
+_BOXED_SQL = positional_merge_sql(
+    _DESCRIBED_SQL, f"SELECT ALIAS, BRANCH_ABBR, BANKINDC, ACCTSTATUS, 0.00 AS LEDGERBAL, 'SDB' AS APPL_CODE FROM ({BOX_SQL}) _x", "ALIAS",
+    ["MSICCODE", "MASCO2008", "OCCUP", "ALIASKEY", "ACCTNOC"], ["BRANCH_ABBR", "BANKINDC", "ACCTSTATUS"], _CUST_COLS,
+    ["BRANCH_ABBR", "BANKINDC", "ACCTSTATUS", "LEDGERBAL", "APPL_CODE"], slot=True)
+_CUSTS_SQL = f"""SELECT *, CASE WHEN APPL_CODE IS NULL THEN 'NIL' ELSE 'YES' END AS SDBIND,
+  CASE WHEN APPL_CODE IS NULL THEN 'NIL' ELSE substr(BRANCH_ABBR, 1, 3) END AS SDBBRH
+FROM (SELECT *, row_number() OVER (PARTITION BY ACCTNOC ORDER BY ALIAS, slot) AS rn FROM ({_BOXED_SQL}) _b) WHERE rn = 1"""
+_BOX_PRODUCT_SQL = f"""SELECT ACCTNOC, CUSTNO, rtrim(substr(BRANCH_ABBR, 1, 5)) AS BRANCH_ABBR, BANKINDC, ACCTSTATUS, 0.00 AS LEDGERBAL,
+  'SDB' AS APPL_CODE FROM ({BOX_SQL}) _x"""
+_PRODUCTS = [
+    (_DEPOSITS_SQL, ["PRODTY", "ACCTBRCH", "APPL_CODE", "BANKINDC", "ACCTSTATUS", "DATEOPEN", "DATECLSE", "LEDGERBAL", "CURBAL", "BRANCH_ABBR"]),
+    (_LOANS_SQL, ["ACCTBRCH", "APPL_CODE", "BANKINDC", "ACCTSTATUS", "DATEOPEN", "DATECLSE", "LEDGERBAL", "BRANCH_ABBR"]),
+    (_BOX_PRODUCT_SQL, ["CUSTNO", "BRANCH_ABBR", "BANKINDC", "ACCTSTATUS", "LEDGERBAL", "APPL_CODE"]),
+    (_card_sql(13, "UNI"), ["BRANCH_ABBR", "ACCTSTATUS", "DATEOPEN", "DATECLSE"]),
+    (_card_sql(17, "COM"), ["BRANCH_ABBR", "ACCTSTATUS", "DATEOPEN", "DATECLSE"])]
+_ROW_TYPES = {**{c: "VARCHAR" for c in _CUST_COLS + ["ALIAS", "SDBIND", "SDBBRH", "BRANCH_ABBR", "BANKINDC", "ACCTSTATUS", "APPL_CODE", "PRODTY",
+                                                     "ACCTBRCH", "DATEOPEN", "DATECLSE"]}, "LEDGERBAL": "DECIMAL(18,2)", "CURBAL": "DECIMAL(18,2)"}
+_CUST_HAS = _CUST_COLS + ["ALIAS", "SDBIND", "SDBBRH", "BRANCH_ABBR", "BANKINDC", "ACCTSTATUS", "LEDGERBAL", "APPL_CODE"]
+
+
+def _product_sql(i):
+    src, cols = _PRODUCTS[i]
+    pick = lambda c: f"p.{c}" if c in cols else f"c.{c}" if c in _CUST_HAS else "NULL"
+    return (f"SELECT {i + 1} AS SRC, {', '.join(f'CAST({pick(c)} AS {t}) AS {c}' for c, t in _ROW_TYPES.items())} "
+            f"FROM ({_CUSTS_SQL}) c JOIN ({src}) p ON c.ACCTNOC = p.ACCTNOC")
+
+
+_RAW_VALUE = render_sql([("substr(lpad(COALESCE(CAST(LEDGERBAL AS VARCHAR), ''), 13, ' '), 1, 12)" if c == "LEDGERBAL" else c, at, w)
+                         for c, at, w in spec.RAW], 400)
+_HOLD_COLS = ["TOT_HOLD"] + [f"{c}_{i}" for c in ("SEQID", "AMT", "DESC", "SOURCE") for i in (1, 2, 3)]
+_M1 = positional_merge_sql(_product_sql(0), f"SELECT {zero_pad_sql('ACCTNO', 11)} AS ACCTNOC, * EXCLUDE (ACCTNO) FROM ({STMT_SQL}) _s", "ACCTNOC",
+                           ["ACCTNOC"], _CYC + _CYC_AMT, ["SRC"] + [c for c in _ROW_TYPES if c != "ACCTNOC"], _CYC + _CYC_AMT)
+_M1_COLS = ["SRC"] + [c for c in _ROW_TYPES if c != "ACCTNOC"] + _CYC + _CYC_AMT
+_M2 = positional_merge_sql(_M1, POST_SQL, "ACCTNOC", _CYC + _CYC_AMT, ["ACCT_PST_IND"], _M1_COLS, ["ACCT_PST_IND", "ACCT_PST_REASON"])
+_M3 = positional_merge_sql(_M2, f"SELECT {zero_pad_sql('ACCTNO', 11)} AS ACCTNOC, * EXCLUDE (ACCTNO) FROM ({HOLD_SQL}) _h", "ACCTNOC",
+                           _CYC + _CYC_AMT, ["TOT_HOLD"], _M1_COLS + ["ACCT_PST_IND", "ACCT_PST_REASON"], _HOLD_COLS)
+_DETAILED_SQL = " UNION ALL BY NAME ".join(["SELECT * FROM (" + _M3 + ") _d"] + [_product_sql(i) for i in range(1, 5)])
+_NIL = lambda c: f"CASE WHEN trim(COALESCE({c}, '')) = '' THEN 'NIL' ELSE {c} END"
+_APPL_OK = "COALESCE(rtrim(APPL_CODE) IN ('FD', 'CA', 'SA'), false)"
+_CLEAN = {**{c: _NIL(c) for c in ("DEMODESC", "MASCODESC", "SICCODE", "MSICDESC")},
+          "TEMP_CURBAL": f"CASE WHEN {_APPL_OK} AND (CURBAL < 0 OR CURBAL > 0) THEN CURBAL ELSE 0 END",
+          **{f"TEMP_{c}": f"CASE WHEN {_APPL_OK} AND {c} > 0 THEN {c} ELSE 0 END" for c in _CYC + _CYC_AMT},
+          **{f"TEMP_AMT_{i}": f"CASE WHEN AMT_{i} > 0 THEN AMT_{i} ELSE 0 END" for i in (1, 2, 3)}}
+
+
+def _report_field(name, width, decimals):
+    e = _CLEAN.get(name, name)
+    if decimals is None:
+        return e
+    return f"lpad(CAST(CAST({e} AS {f'DECIMAL(38,{decimals})' if decimals else 'BIGINT'}) AS VARCHAR), {width}, ' ')"
+
+
+_REST_SQL = render_sql([("';'", 1, 1), *[(_report_field(n, w, d), at - 5, w) for _, at, n, w, d, _ in spec.REPORT],
+                        *[("';'", mark - 5, 1) for *_, mark in spec.REPORT]], 795)
+_HEADING = spec.overwritten([("NO", 1), (";", 6)] + [x for h, at, _, _, _, mark in spec.REPORT for x in ((h, at), (";", mark))], 800)
+
+
+@query("customer_raw_file", "PIPE-11 JON-10 JON-11 SET-03 SNK-04", sql=f"""
+SELECT SRC, ACCTNOC, {_RAW_VALUE} AS value FROM ({' UNION ALL '.join(_product_sql(i) for i in range(5))}) _r""")
+def customer_raw_file(spark, sf):
+    return RP.raw_records(_report_products(spark, sf))
+
+
+@query("customer_report", "PIPE-11 JON-05 JON-07 JON-10 JON-13 CLS-02 CLS-03 CLS-05 CLS-06 CLS-07 DAT-06 MTH-01 MTH-02 "
        "MTH-03 MTH-04 MTH-05 NUL-01 SET-03 WIN-01 SNK-06", sql=f"""
-SELECT -1::BIGINT AS line_no, {_q(RP.REPORT_TITLE)} AS value
-UNION ALL SELECT 0::BIGINT, {_q(';'.join(h.ljust(w)[:w] for h, w in RP.REPORT_COLUMNS))}
-UNION ALL SELECT NO AS line_no, {_LINE_SQL} AS value
-FROM (SELECT *, row_number() OVER (ORDER BY SRC, ACCTNOC) AS NO FROM ({_ROWS_SQL}) _r)""")
+SELECT -1::BIGINT AS line_no, {_q('LIST OF CUSTOMERS INFORMATION'.ljust(800))} AS value
+UNION ALL SELECT 0::BIGINT, {_q(_HEADING)}
+UNION ALL SELECT line_no, CASE WHEN line_no > 99999 THEN CAST(line_no AS VARCHAR) ELSE lpad(CAST(line_no AS VARCHAR), 5, ' ') END || rest
+FROM (SELECT row_number() OVER (ORDER BY SRC, ACCTNOC, rest) AS line_no, rest FROM (
+  SELECT SRC, ACCTNOC, {_REST_SQL} AS rest FROM ({_DETAILED_SQL}) _r))""")
 def customer_report(spark, sf):
-    rows, req, occ, masco, msic, boxes, dp, ln = _report_inputs(spark, sf)
-    custs = RP.safe_box_flag(RP.describe(RP.requested_customers(req, rows), occ, masco, msic), boxes)
-    body = RP.report_rows(custs, RP.deposit_accounts(dp), RP.loan_accounts(ln))
-    return RP.report_lines(body)
+    products = _report_products(spark, sf)
+    detailed = [RP.with_details(products[0], *_report_details(spark, sf)), *products[1:]]
+    return RP.report_lines(RP.report_rows(detailed))

@@ -41,6 +41,42 @@ ZIP_STATES = [(79000, 86999, "JOH"), (5000, 9999, "KED"), (15000, 18999, "KEL"),
               (1000, 2999, "PER"), (88000, 91999, "SAB"), (93000, 98999, "SAR"), (40000, 49999, "SEL"), (63000, 64999, "SEL"),
               (68000, 68199, "SEL"), (20000, 24999, "TER"), (50000, 60999, "W P"), (87000, 87999, "LAB"), (62000, 62999, "PUT")]
 
+# Customer report: heading, first byte, field, width, decimals of a number (None:
+# text), byte of the separator.
+REPORT = [
+    ("ID TYPE", 7, "ALIASKEY", 5, None, 15), ("ID NUMBER", 16, "ALIAS", 20, None, 37), ("CUST NAME", 38, "CUSTNAME", 40, None, 79),
+    ("CIS NUMBER", 80, "CUSTNO", 11, None, 92), ("OCCUPATION", 93, "DEMODESC", 60, None, 154),
+    ("MASCO", 155, "MASCODESC", 27, None, 183), ("SIC CODE", 184, "SICCODE", 5, None, 193),
+    ("MSIC BIS TYPE", 194, "MSICDESC", 27, None, 222), ("ACCT NUMBER", 223, "ACCTNOC", 20, None, 244),
+    ("ACCT BRANCH", 245, "BRANCH_ABBR", 5, None, 257), ("ACCT STATUS", 258, "ACCTSTATUS", 24, None, 283),
+    ("DATE ACCT OPEN", 284, "DATEOPEN", 8, None, 301), ("DATE ACCT CLOSED", 302, "DATECLSE", 8, None, 320),
+    ("SDB(YES/NO)", 321, "SDBIND", 3, None, 333), ("BR SDB MAINTAN", 334, "SDBBRH", 3, None, 348),
+    ("CURRENT BALANCE", 349, "TEMP_CURBAL", 14, 2, 364), ("CURR CYC DR", 365, "TEMP_CURR_CYC_DR", 10, 0, 376),
+    ("CURR AMT DR", 377, "TEMP_CURR_AMT_DR", 16, 2, 394), ("CURR CYC CR", 395, "TEMP_CURR_CYC_CR", 10, 0, 406),
+    ("CURR AMT CR", 407, "TEMP_CURR_AMT_CR", 16, 2, 424), ("PREV CYC DR", 425, "TEMP_PREV_CYC_DR", 10, 0, 442),
+    ("PREV AMT DR", 443, "TEMP_PREV_AMT_DR", 16, 2, 460), ("PREV CYC CR", 461, "TEMP_PREV_CYC_CR", 10, 0, 478),
+    ("PREV AMT CR", 479, "TEMP_PREV_AMT_CR", 16, 2, 496), ("POST INDICATOR", 497, "ACCT_PST_IND", 1, None, 511),
+    ("POST INDICATOR REASON", 512, "ACCT_PST_REASON", 20, None, 533), ("TOTAL OF HOLD", 534, "TOT_HOLD", 2, None, 547),
+    ("SEQ OF HOLD(1)", 548, "SEQID_1", 2, None, 562), ("AMT OF HOLD(1)", 563, "TEMP_AMT_1", 14, 2, 579),
+    ("DESCRIP OF HOLD(1)", 580, "DESC_1", 20, None, 600), ("SOURCE(1)", 601, "SOURCE_1", 20, None, 621),
+    ("SEQ OF HOLD(2)", 622, "SEQID_2", 2, None, 636), ("AMT OF HOLD(2)", 637, "TEMP_AMT_2", 14, 2, 653),
+    ("DESCRIP OF HOLD(2)", 654, "DESC_2", 20, None, 674), ("SOURCE(2)", 675, "SOURCE_2", 20, None, 695),
+    ("SEQ OF HOLD(3)", 696, "SEQID_3", 2, None, 700), ("AMT OF HOLD(3)", 701, "TEMP_AMT_3", 14, 2, 717),
+    ("DESCRIP OF HOLD(3)", 718, "DESC_3", 20, None, 738), ("SOURCE(3)", 739, "SOURCE_3", 20, None, 759)]
+RAW = [("CUSTNO", 1, 11), ("ACCTNOC", 14, 20), ("OCCUP", 36, 3), ("MASCO2008", 42, 5), ("ALIASKEY", 50, 5), ("ALIAS", 56, 20),
+       ("CUSTNAME", 78, 40), ("DATEOPEN", 120, 8), ("DATECLSE", 130, 8), ("LEDGERBAL", 140, 12), ("BANKINDC", 152, 1),
+       ("CITIZENSHIP", 154, 2), ("APPL_CODE", 158, 5), ("PRODTY", 164, 3), ("DEMODESC", 169, 60), ("MASCODESC", 231, 27),
+       ("JOINTACC", 260, 1), ("MSICCODE", 262, 5), ("ACCTBRCH", 267, 3), ("BRANCH_ABBR", 275, 5), ("ACCTSTATUS", 280, 24),
+       ("SICCODE", 304, 5)]
+
+
+def overwritten(parts, width):
+    """A heading whose later texts are written over earlier ones."""
+    line = [" "] * width
+    for text, at in parts:
+        line[at - 1:at - 1 + len(text)] = text
+    return "".join(line)
+
 
 def heading(parts, width):
     line = ""

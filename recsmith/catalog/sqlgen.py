@@ -13,11 +13,11 @@ def first_sql(src: str, keys: list[str], order: list[str], cols: list[str], desc
 
 
 def positional_merge_sql(left: str, right: str, key: str, lorder: list[str], rorder: list[str],
-                         lcols: list[str], rcols: list[str]) -> str:
+                         lcols: list[str], rcols: list[str], slot: bool = False) -> str:
     """Sequential match-merge (keep groups with left rows): slot i pairs left
     row min(i, nl) with right row min(i, nr)."""
     lo, ro = ", ".join(lorder), ", ".join(rorder)
-    sel = ", ".join([f"s.{key} AS {key}"] + [f"l.{c} AS {c}" for c in lcols] + [f"r.{c} AS {c}" for c in rcols])
+    sel = ", ".join(["s.slot AS slot"] * slot + [f"s.{key} AS {key}"] + [f"l.{c} AS {c}" for c in lcols] + [f"r.{c} AS {c}" for c in rcols])
     return f"""
 SELECT {sel} FROM (
   SELECT {key}, nl, nr, unnest(range(1, greatest(nl, nr) + 1)) AS slot FROM (
