@@ -107,8 +107,9 @@ def op7_int8_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op7_int8_dedup"] = """
 WITH RECURSIVE v AS (
   SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  WHERE CASE WHEN len(embedding) > 0 AND list_count(embedding) = len(embedding)
+    THEN isfinite(list_sum(embedding::DOUBLE[])) AND list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0
+    ELSE false END),
 link AS (
   SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
   ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
