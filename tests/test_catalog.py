@@ -6,6 +6,7 @@ import pytest
 
 from conftest import SF_SMALL
 from __spark_entry__ import oracle_sql, queries
+from recsmith.catalog import QUERIES, SQL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -41,5 +42,6 @@ def test_query_matches_sql_twin(spark, con, name):
     assert got == want
 
 
-def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+def test_every_catalogue_query_has_a_twin():
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
