@@ -220,7 +220,7 @@ def header_report(spark, sf):
     return W.with_header(body, head, ["a"])
 
 
-@query("semicolon_report", "SNK-06 SNK-08", sql=f"""
+@query("semicolon_report", "SNK-06", sql=f"""
 SELECT 0::BIGINT AS line_no, 'CUSTOMER REPORT' AS value
 UNION ALL
 SELECT row_number() OVER (ORDER BY c_custkey),

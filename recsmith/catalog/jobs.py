@@ -348,9 +348,9 @@ _PARTY_QUOTED = render_sql([("'\"'", 1, 1), *[(_sqlname(n), at, w) for n, at, w
 SELECT 'F' AS layout, {_PARTY_FIXED} AS value FROM ({_PARTY_ROWS_SQL}) p
 UNION ALL SELECT 'Q' AS layout, {_PARTY_QUOTED} AS value FROM ({_PARTY_ROWS_SQL}) p""")
 def parties_accounts(spark, sf):
-    rows = PT.parties_with_accounts(*_party_inputs(spark, sf))
-    return (PT.fixed_layout(rows).select(F.lit("F").alias("layout"), "value")
-            .unionByName(PT.quoted_layout(rows).select(F.lit("Q").alias("layout"), "value")))
+    fixed, quoted = PT.party_files(*_party_inputs(spark, sf))
+    return (fixed.select(F.lit("F").alias("layout"), "value")
+            .unionByName(quoted.select(F.lit("Q").alias("layout"), "value")))
 
 
 # --------------------------------------------------------------- PIPE-04

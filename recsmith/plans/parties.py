@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recsmith.operators.joins import inner_join
-from recsmith.operators.reshape import route, union_missing
+from recsmith.operators.reshape import route
+from recsmith.session import materialize
 from recsmith.sinks.writers import quoted_line
 from recsmith.sources.layout import Layout
 
@@ -36,17 +36,26 @@ TRAILER = ", \\N"
 
 
 def parties_with_accounts(rel: DataFrame, accounts: DataFrame) -> DataFrame:
-    """``rel``: the relationship columns; ``accounts``: ACCTNO, ACCTCODE, CUSTNO."""
+    """``rel``: the relationship columns; ``accounts``: ACCTNO, ACCTCODE, CUSTNO.
+
+    One pass over ``rel``: rows are tagged with their route, only organisation
+    rows look accounts up (all pairs of equal keys), and organisation rows
+    without an account go."""
     routed = route(rel.select(*REL_COLUMNS), {"ORG": F.col("CUSTTYPE") == "O",
                                               "IND": F.col("CUSTTYPE") == "I"}, "_route")
-    org = routed.filter(F.col("_route") == "ORG").drop("_route")
-    ind = routed.filter(F.col("_route") == "IND").drop("_route")
-    primary = inner_join(org, accounts.select("CUSTNO", "ACCTNO", "ACCTCODE"), "CUSTNO")
-    out = union_missing(primary, ind)
+    acc = accounts.select(F.col("CUSTNO").alias("_custno"), "ACCTNO", "ACCTCODE", F.lit(True).alias("_found"))
+    org = F.col("_route") == "ORG"
+    out = routed.join(acc, (F.col("CUSTNO") == F.col("_custno")) & org, "left").where(~org | F.col("_found"))
     return out.select(*REL_COLUMNS, F.coalesce("ACCTCODE", F.lit("")).alias("ACCTCODE"),
                       F.coalesce("ACCTNO", F.lit("")).alias("ACCTNO"))
 
 
+def party_files(rel: DataFrame, accounts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both layouts, from one computed and stored frame."""
+    rows = materialize(parties_with_accounts(rel, accounts), "parties")
+    return fixed_layout(rows), quoted_layout(rows)
+
+
 def fixed_layout(df: DataFrame) -> DataFrame:
     return df.select(PARTY_LAYOUT.render_expr().alias("value"))
 

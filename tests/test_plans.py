@@ -4,7 +4,7 @@ we want at scale."""
 import pytest
 
 from conftest import SF_SMALL
-from __spark_entry__ import queries
+from recsmith.catalog import QUERIES
 
 
 def plan(df) -> str:
@@ -13,7 +13,7 @@ def plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def qs():
-    return queries()
+    return dict(QUERIES)
 
 
 def test_no_cartesian_and_no_python_in_any_query(spark, qs):
@@ -59,3 +59,39 @@ def test_owners_never_aggregates_the_join_output(spark, qs):
     lines = plan(qs["owners"](spark, SF_SMALL)).splitlines()
     first_join = next(i for i, line in enumerate(lines) if "Join" in line)
     assert not any("Aggregate" in line for line in lines[:first_join]), lines[:first_join]
+
+
+def test_latest_generation_prunes_folders(spark, tmp_path):
+    from recsmith.sources.readers import latest_generation
+
+    for g in (1, 2, 10):
+        spark.range(g).write.parquet(f"{tmp_path}/g/generation={g}")
+    df = latest_generation(spark.read.parquet(f"{tmp_path}/g"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "generation" in plan and " = 10)" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert plan.count("FileScan") == 1 and df.count() == 10
+
+
+def test_match_merge_is_lazy_and_shuffles_once(spark):
+    from recsmith.operators.joins import match_merge
+
+    left = spark.range(50).selectExpr("id % 7 as k", "id as a")
+    right = spark.range(30).selectExpr("id % 5 as k", "id as b")
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup())
+    out = match_merge(left, right, "k", ["a"], ["b"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) == before
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_checkpoint_folder_is_required_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from recsmith.session import checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="yarn")
+    with pytest.raises(ValueError):
+        checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))

@@ -250,3 +250,82 @@ def test_relationship_enrichment_matches_brute_force(spark):
 
 def rows_of(df, cols):
     return sorted(tuple(r) for r in df.select(*cols).collect())
+
+
+def test_match_merge_keeps_missing_keys(spark):
+    left = spark.createDataFrame([(None, 1, "l0"), (None, 2, "l1"), ("A", 1, "a")], "k string, o int, lv string")
+    right = spark.createDataFrame([(None, "r0"), ("B", "b")], "k string, rv string")
+    want = [(None, "l0", "r0", 1), (None, "l1", "r0", 2), ("A", "a", None, 1), ("B", None, "b", 1)]
+    for skew_safe in (False, True):
+        out = J.match_merge(left, right, "k", ["o"], ["rv"], keep="all", skew_safe=skew_safe)
+        got = [tuple(r) for r in out.select("k", "lv", "rv", "slot").collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_match_merge_hot_key_both_ways(spark):
+    # One key holds most rows on both sides; a shared column takes the right value.
+    left = spark.range(400).select(F.when(F.col("id") < 300, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+                                   F.col("id").alias("o"), F.lit("l").alias("s"))
+    right = spark.range(330).select(F.when(F.col("id") < 280, "hot").otherwise((F.col("id") + 70).cast("string")).alias("k"),
+                                    F.col("id").alias("p"), F.concat(F.lit("r"), F.col("id")).alias("s"))
+    for overlay in ("matched", "positional"):
+        got = [rows(J.match_merge(left, right, "k", ["o"], ["p"], keep="all", overlay=overlay, skew_safe=safe))
+               for safe in (False, True)]
+        assert got[0] == got[1] and len(got[0]) == 300 + max(100, 0)
+        last = [r for r in got[0] if r[0] == "hot" and r[4] == 300][0]
+        assert last == (("hot", 299, "r279" if overlay == "matched" else "l", 279, 300, True, True))
+
+
+def test_every_new_tax_id_is_tested(spark):
+    from recsmith.plans.taxid import tax_matches
+
+    old = spark.createDataFrame([("1", "I", "OLD1", "00001"), ("2", "O", "OLD2", "00002")],
+                                "CUSTNO string, INDORG string, OLDIC string, CUSTBRCH string")
+    new = spark.createDataFrame([("1", "NICAAA"), ("1", "NICBBB"), ("2", "NICCCC")], "CUSTNO string, NEWIC string")
+    watch = spark.createDataFrame([("BBB", "OLD2")], "ID1 string, ID2 string")
+    assert rows(tax_matches(old, new, watch), "CUSTNO", "NEWIC", "BUSREG", "RHOLD_IND", "MATCHID") == [
+        ("1", "NICAAA", "", "N", "X"), ("1", "NICBBB", "", "Y", "N"), ("2", "NICCCC", "NICCCC", "Y", "O")]
+
+
+def test_records_stay_whole_on_missing_and_wide_numbers(spark):
+    lay = Layout.of([("a", 1, 3, "x"), ("b", 7, 6, "n", 2), ("c", 13, 4, "z"), ("d", 17, 2), ("e", 19, 4, "n")], lrecl=24)
+    df = spark.createDataFrame([(12, 1.5, 7, "t", 5), (None, None, None, None, None), (1234567, 1234567.89, 123456, "long", -99999)],
+                               "a long, b double, c long, d string, e long")
+    out = df.select(lay.render_expr().alias("v"), lay.overflow_count().alias("n"))
+    assert [tuple(r) for r in out.collect()] == [
+        ("00012C" + "  1.50" + "0007" + "t " + "   5  ", 0), ("00000C" + " " * 18, 0),
+        ("*" * 16 + "lo" + "****  ", 4)]
+
+
+def test_risk_codes_are_always_sixty_characters(spark):
+    from recsmith.plans.combined import CUST_KEEP, customer_part
+
+    c = spark.createDataFrame([("1", 5, None, "7")], "CUSTNO string, HRC01 long, HRC03 long, HRC20 string")
+    c = c.withColumns({n: F.lit("") for n in CUST_KEEP})
+    c = c.withColumns({n: F.lit(1) for n in ("PRIPHONE", "SECPHONE", "MOBILEPH", "FAX", "ADDREF")}).withColumn(
+        "CUSTOPENDATE", F.lit("00002000000"))
+    got = customer_part(c).first()["HRCALL"]
+    assert got == "005" + "000" * 18 + "007"
+
+
+def test_packed_binary_reader(spark, tmp_path):
+    from recsmith.sources.readers import read_fixed_binary
+
+    path = tmp_path / "packed.dat"
+    path.write_bytes(b"".join(b"AB" + bytes.fromhex(h) for h in ("00123C", "99999D", "00000F", "0012AC")))
+    lay = Layout.of([("t", 1, 2), ("n", 3, 3, "p", 2)])
+    got = [tuple(r) for r in read_fixed_binary(spark, str(path), 5, lay).collect()]
+    assert got == [("AB", Decimal("1.23")), ("AB", Decimal("-999.99")), ("AB", Decimal("0.00")), ("AB", None)]
+
+
+def test_report_numbers_are_whole(spark):
+    """Six-digit numbers keep all their digits; the line only grows."""
+    from recsmith.plans import report as RP
+
+    names = [f[2] for f in RP.REPORT_FIELDS[1:]]
+    rows_ = spark.range(100_001).select(F.lit(1).alias("SRC"), F.lpad(F.col("id").cast("string"), 11, "0").alias("ACCTNOC"),
+                                        *[F.lit("0").alias(n) for n in names if n != "ACCTNOC"])
+    lines = {r.line_no: r.value for r in RP.report_lines(rows_).where("line_no in (-1, 0, 1, 99999, 100000, 100001)").collect()}
+    assert lines[1].startswith("    1;") and lines[99999].startswith("99999;") and len(lines[1]) == 800
+    assert lines[100000].startswith("100000;") and lines[100001].startswith("100001;") and len(lines[100001]) == 801
+    assert len(lines[0]) == 800 and lines[0][695:701] == "SEQ ;A"
