@@ -30,7 +30,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeat or go as the target weights of their sources ask."""
-    return mixing.mix(docs, epochs=1.0, seed=5).select(*docs.columns)
+    names = ("__n_copies", "__copy", "__order_key")
+    return mixing.mix(docs, epochs=1.0, seed=5, names=names).drop(*names)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,12 +76,16 @@ def with_copies(df: DataFrame, weights: dict | None = None, epochs: float = 1.0,
 
 
 def mix(df: DataFrame, weights: dict | None = None, epochs: float = 1.0, seed: int = 5, id_col: str = "doc_id",
-        source: str = "source", text: str = "text") -> DataFrame:
-    """The copies of all rows in shuffled order: the columns of ``df``, ``copy``
-    (from 1), ``n_copies`` and ``order_key``."""
-    drawn = with_copies(df, weights, epochs, seed, id_col, source, text, "n_copies").where("n_copies > 0")
-    each = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))))
+        source: str = "source", text: str = "text",
+        names: tuple[str, str, str] = ("n_copies", "copy", "order_key")) -> DataFrame:
+    """The copies of all rows in shuffled order: the columns of ``df`` and, under
+    ``names``, the number of copies, the copy's own number (from 1) and the key
+    it is shuffled by. Columns of ``df`` that have one of these names give way;
+    choose others to keep them."""
+    n, copy, order = names
+    drawn = with_copies(df, weights, epochs, seed, id_col, source, text, n).where(F.col(n) > 0)
+    each = drawn.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n))))
     key = F.md5(F.concat_ws(":", F.lit(f"order{seed}"), F.coalesce(F.col(id_col).cast("string"), F.lit("")),
-                            F.col("copy").cast("string")).cast("binary"))
-    return (each.withColumn("order_key", key).repartition(shuffle_partitions(df.sparkSession), "order_key")
-            .sortWithinPartitions("order_key"))
+                            F.col(copy).cast("string")).cast("binary"))
+    return (each.withColumn(order, key).repartition(shuffle_partitions(df.sparkSession), order)
+            .sortWithinPartitions(order))

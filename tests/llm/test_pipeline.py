@@ -30,7 +30,7 @@ def dicts(df):
 
 def test_columns_stay(stages):
     for df in stages[1:-1]:
-        assert df.columns == stages[0].columns
+        assert df.dtypes == stages[0].dtypes
 
 
 def test_language_keeps_what_has_letters(stages):
@@ -70,8 +70,8 @@ def test_no_base_span_is_left(stages):
 
 
 def test_copies_come_from_the_input(stages):
-    before = {r["text"] for r in dicts(stages[3])}
-    assert {r["text"] for r in dicts(stages[4])} <= before
+    before = {repr(r) for r in dicts(stages[3])}
+    assert {repr(r) for r in dicts(stages[4])} <= before
 
 
 def test_tokens_decode_to_the_texts(stages):
