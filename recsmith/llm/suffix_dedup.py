@@ -87,7 +87,8 @@ class Chunk:
     """The windows of some documents: runs of windows with one key.
 
     ``key``, ``content``, ``start``, ``count``, ``doc`` of the runs; ``window`` the
-    hash of the window that starts at each byte; ``keys``/``contents`` the sorted
+    hash of the window that starts at each byte, ``lane`` a second one of it (the
+    key range it is compared in); ``keys``/``contents`` the sorted
     distinct keys, MULTI where a key has several contents, ``at`` the runs'
     places in it."""
 
@@ -96,6 +97,7 @@ class Chunk:
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
         self.window = np.zeros(len(self.data), U)
+        self.lane = np.zeros(len(self.data), np.uint32)
         parts = []
         first = 0
         while first < len(sizes):
@@ -124,6 +126,10 @@ class Chunk:
         doc = np.repeat(np.arange(first, last), (self.ends - self.starts)[first:last])[:len(window)]
         inside = np.arange(lo, lo + len(window)) + LENGTH <= self.ends[doc]
         self.window[lo:lo + len(window)] = np.where(inside, window, U(0))
+        n = len(window)
+        # Three overlapping seeds cover a window, by another way than its own hash.
+        lane = join_hash(join_hash(seed[:n], seed[13:13 + n]), seed[LENGTH - SEED:LENGTH - SEED + n])
+        self.lane[lo:lo + n] = lane >> U(32)
         new = inside.copy()
         new[1:] &= ~inside[:-1] | (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
         begin = np.flatnonzero(new)
@@ -204,7 +210,7 @@ def scan_windows(batches: list[np.ndarray]) -> list[np.ndarray]:
     return answers
 
 
-def covered(chunk: Chunk, ids: np.ndarray, answer: np.ndarray, window_answer: np.ndarray) -> np.ndarray:
+def covered(chunk: Chunk, ids: np.ndarray, answer: np.ndarray, window_answer: np.ndarray, ranges: int) -> np.ndarray:
     """Which bytes of a chunk go. ``ids``: rank of each document's id."""
     mark = np.zeros(len(chunk.data) + 1, np.int32)
     rank = ids[chunk.doc] if len(chunk.doc) else np.empty(0, np.int64)
@@ -214,9 +220,8 @@ def covered(chunk: Chunk, ids: np.ndarray, answer: np.ndarray, window_answer: np
         whole = (answer[chunk.at] == SEEN) | ((answer[chunk.at] == NEW) & (rank > first[chunk.at]))
         np.add.at(mark, chunk.start[whole], 1)
         np.add.at(mark, chunk.start[whole] + chunk.count[whole] - 1 + LENGTH, -1)
-        start, doc = chunk.windows(np.flatnonzero(answer[chunk.at] == MIXED))
+        each, _, start, doc, at = mixed_windows(chunk, answer, ranges)
         if len(start):
-            each, at = np.unique(chunk.window[start], return_inverse=True)
             rank = ids[doc]
             first = np.full(len(each), np.iinfo(np.int64).max)
             np.minimum.at(first, at, rank)
@@ -226,10 +231,19 @@ def covered(chunk: Chunk, ids: np.ndarray, answer: np.ndarray, window_answer: np
     return np.cumsum(mark[:-1]) > 0
 
 
-def mixed_windows(chunk: Chunk, answer: np.ndarray) -> np.ndarray:
-    """The sorted distinct windows of the runs that the keys leave open."""
-    start, _ = chunk.windows(np.flatnonzero(answer[chunk.at] == MIXED)) if len(chunk.keys) else (np.empty(0, int), None)
-    return np.unique(chunk.window[start])
+def mixed_windows(chunk: Chunk, answer: np.ndarray, ranges: int):
+    """The distinct windows of the runs that the keys leave open: their hashes and
+    range numbers, sorted by range and hash; then starts and documents of all
+    their occurrences and each one's place among the distinct ones."""
+    if not len(chunk.keys):
+        return np.empty(0, U), np.empty(0, np.int64), *[np.empty(0, np.int64)] * 3
+    start, doc = chunk.windows(np.flatnonzero(answer[chunk.at] == MIXED))
+    each, first, at = np.unique(chunk.window[start], return_index=True, return_inverse=True)
+    lane = (chunk.lane[start[first]].astype(U) * U(ranges) >> U(32)).astype(np.int64)
+    order = np.lexsort((each, lane))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return each[order], lane[order], start, doc, place[at]
 
 
 def cut(keys: np.ndarray, ranges: int) -> np.ndarray:
@@ -344,8 +358,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text") ->
 
     def windows_of(row):
         c, _ = load(row)
-        w = mixed_windows(c, unpack(row["answers"]))
-        at = cut(w, ranges)
+        w, lane, *_ = mixed_windows(c, unpack(row["answers"]), ranges)
+        at = np.searchsorted(lane, np.arange(ranges + 1))
         for r in range(ranges):
             if at[r] < at[r + 1]:
                 yield row["chunk"], r, w[at[r]:at[r + 1]].astype("<u8").tobytes(), b""
@@ -358,7 +372,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text") ->
         c, sizes = load(row)
         ids, nulls = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["nulls"], np.uint8)
         rank = np.cumsum(np.concatenate([[0], ((ids[1:] != ids[:-1]) | (nulls[1:] != nulls[:-1])).astype(np.int64)]))
-        gone = covered(c, rank, unpack(row["answers"]), unpack(row["more"]))
+        gone = covered(c, rank, unpack(row["answers"]), unpack(row["more"]), ranges)
         for i, lost, a, z in zip(ids.tolist(), nulls.tolist(), c.starts.tolist(), c.ends.tolist()):
             g = gone[a:z]
             step = np.diff(np.concatenate([[0], g.astype(np.int8), [0]]))
