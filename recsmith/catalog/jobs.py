@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from recsmith.catalog import roles, spec
 from recsmith.catalog.registry import query
 from recsmith.plans.owners import account_owners
+from recsmith.session import scratch_path
 
 
 @query("owners", "PIPE-06 CLS-01 FLT-01 PRJ-10 SET-04 JON-01 DED-06", sql=f"""
@@ -394,12 +397,36 @@ UNION ALL
 SELECT 'O' AS part, m.CUSTNO, m.MAIN_ENTITY_TYPE, i.BRANCH, m.CUSTNAME, m.GENDER, i.IDTYPE, i.ID, i.STATUS, i.APPL_NO
 FROM ({MAIN_SQL}) m JOIN info_o i ON m.CUSTNO = i.CUSTNO WHERE m.GENDER = 'O'""")
 def daily_masters(spark, sf):
+    ind, org = _masters(spark, sf)
+    return ind.select(F.lit("I").alias("part"), "*").unionByName(org.select(F.lit("O").alias("part"), "*"))
+
+
+def _masters(spark, sf):
     main, detail, links = _master_inputs(spark, sf)
     indvs, orgs = MS.split_main(main)
     cols = ["CUSTNO", "MAIN_ENTITY_TYPE", "BRANCH", "CUSTNAME", "GENDER", "IDTYPE", "ID", "STATUS", "APPL_NO"]
-    ind = MS.daily_master(indvs, detail.drop("BRANCH"), links).select(F.lit("I").alias("part"), *cols)
-    org = MS.daily_master(orgs, detail, links).select(F.lit("O").alias("part"), *cols)
-    return ind.unionByName(org)
+    return (MS.daily_master(indvs, detail.drop("BRANCH"), links).select(*cols),
+            MS.daily_master(orgs, detail, links).select(*cols))
+
+
+@query("master_tables", "PIPE-04 SNK-11 SRC-15", sql=f"""
+SELECT CUSTNO, ID, GENDER, c_mktsegment FROM (
+  SELECT m.CUSTNO, d.ID, m.GENDER FROM ({MAIN_SQL}) m JOIN ({DETAIL_SQL}) d ON m.CUSTNO = d.CUSTNO
+  LEFT JOIN ({LINKS_SQL}) k ON d.CUSTNO = k.CUSTNO AND d.IDTYPE = k.IDTYPE AND d.ID = k.ID) x
+JOIN customer ON CUSTNO = CAST(c_custkey AS VARCHAR)""")
+def master_tables(spark, sf):
+    """The keyed master tables, joined with a table bucketed alike."""
+    from recsmith.sinks.writers import write_bucketed
+
+    run = uuid.uuid4().hex
+    names = [f"{n}_{run}" for n in ("indv_master", "org_master", "segments")]
+    paths = [scratch_path(spark, n) for n in names]
+    MS.write_masters(*_masters(spark, sf), *names[:2], 8, tuple(paths[:2]))
+    c = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("CUSTNO"), "c_mktsegment")
+    write_bucketed(c, names[2], ["CUSTNO"], 8, path=paths[2])
+    cols = ["CUSTNO", "ID", "GENDER", "c_mktsegment"]
+    joined = [spark.table(n).join(spark.table(names[2]), "CUSTNO").select(*cols) for n in names[:2]]
+    return joined[0].unionByName(joined[1])
 
 
 # --------------------------------------------------------------- PIPE-08

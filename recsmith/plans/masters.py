@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from recsmith.operators.joins import lookup, overlay_merge
 from recsmith.operators.reshape import split
+from recsmith.sinks.writers import write_bucketed
 
 DETAIL_KEYS = ["CUSTNO", "IDTYPE", "ID"]
 
@@ -34,3 +35,13 @@ def daily_masters(main: DataFrame, indv: DataFrame, org: DataFrame, links: DataF
                   ) -> tuple[DataFrame, DataFrame]:
     indvs, orgs = split_main(main)
     return daily_master(indvs, indv, links), daily_master(orgs, org, links)
+
+
+def write_masters(indvs: DataFrame, orgs: DataFrame, indv_table: str, org_table: str, buckets: int,
+                  paths: tuple[str, str] | None = None) -> None:
+    """Both masters as tables laid out for lookup: the individuals' by customer,
+    id type and id, the organisations' by customer. Joins on CUSTNO with a table
+    of the same bucketing need no shuffle."""
+    for df, name, keys, path in zip((indvs, orgs), (indv_table, org_table), (["CUSTNO", "IDTYPE", "ID"], ["CUSTNO"]),
+                                    paths or (None, None)):
+        write_bucketed(df, name, ["CUSTNO"], buckets, keys, path=path)

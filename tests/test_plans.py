@@ -95,3 +95,17 @@ def test_checkpoint_folder_is_required_on_a_cluster():
     sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="yarn")
     with pytest.raises(ValueError):
         checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))
+
+
+def test_bucketed_masters_join_without_a_shuffle(spark, qs):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(qs["master_tables"](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert p.count("SortMergeJoin") == 2 and "Exchange" not in p
+
+
+def test_party_layouts_share_one_computation(spark, qs):
+    p = plan(qs["parties_accounts"](spark, SF_SMALL))
+    assert "Join" not in p and p.count("FileScan") == 2
