@@ -126,7 +126,12 @@ def loan_appl_code(acct) -> Column:
 
 def zip_state(zip_text) -> Column:
     """CLS-04: zip text -> state; non-numeric zip gives no state ('')."""
-    z = F.trim(col(zip_text)).try_cast("int")
+    return state_of(F.trim(col(zip_text)).try_cast("int"))
+
+
+def state_of(z: Column) -> Column:
+    """CLS-04 for a zip number. Give it a column of its own: the ranges name it
+    many times."""
     return last_match([(z.between(lo, hi), st) for lo, hi, st in ZIP_STATE_RANGES], "")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recsmith.functions.numbers import first_matching_source
-from recsmith.functions.rules import zip_state
+from recsmith.functions.rules import state_of
 from recsmith.functions.strings import city_of, left_justify, zip_line_ok, zip_of
 from recsmith.operators.filters import FOREIGN_COUNTRIES, FOREIGN_WORDS, any_blank, drop_in, drop_words
 from recsmith.operators.joins import inner_join
@@ -63,7 +63,8 @@ def repaired(lines: DataFrame, elements: DataFrame) -> DataFrame:
     }).drop("_m")
     j = drop_words(j, "ADDRLINE", FOREIGN_WORDS)
     blank_state = (F.trim(F.col("STATEX")) == "") | (F.col("STATEX") == "N/A")
-    j = j.withColumn("STATEX", F.when(blank_state, zip_state("NEW_ZIP")).otherwise(F.col("STATEX")))
+    j = j.withColumn("_zip", F.trim("NEW_ZIP").try_cast("int"))
+    j = j.withColumn("STATEX", F.when(blank_state, state_of(F.col("_zip"))).otherwise(F.col("STATEX"))).drop("_zip")
     return j.withColumns({"NEW_ZIP": left_justify("NEW_ZIP"), "NEW_CITY": left_justify("NEW_CITY"),
                           "NEW_COUNTRY": left_justify("NEW_COUNTRY")}) \
         .filter(F.col("NEW_ZIP") != "")

@@ -18,6 +18,7 @@ from recsmith.functions.strings import zero_pad
 from recsmith.operators.dedup import all_duplicates, first_per_key
 from recsmith.operators.filters import not_expired
 from recsmith.operators.joins import lookup, match_merge
+from recsmith.session import materialize
 from recsmith.sources.layout import Layout
 
 # Both-sides / search record (300 bytes).
@@ -121,6 +122,7 @@ def search_file(both: DataFrame, run_date: str) -> DataFrame:
 
 
 def duplicate_file(both: DataFrame, run_date: str) -> DataFrame:
-    """PIPE-02 duplicate list: every record whose 150-byte key repeats."""
-    recs = _searchable(both, run_date).select("_key", "record")
+    """PIPE-02 duplicate list: every record whose 150-byte key repeats. The records
+    are read twice (counts, then rows), so they are computed and stored once."""
+    recs = materialize(_searchable(both, run_date).select("_key", "record"), "search-records")
     return all_duplicates(recs, ["_key"]).select("record")
