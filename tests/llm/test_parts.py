@@ -33,6 +33,16 @@ def test_bpe_as_library(encoder, library, text):
     assert encoder.splitter.split(text) == regex.findall(public_tokenizers.PATTERN, text)
 
 
+def test_bpe_documents_decode_later(spark, encoder):
+    texts = ["the nation", "", None, "Füße 漢字 " * 50]
+    vocab = bpe_prefix.Vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    enc = bpe_prefix.encode_documents(df, vocab, decoded=True).withColumnRenamed("decoded", "now")
+    for r in bpe_prefix.decode_documents(enc, vocab, name="later").collect():
+        assert bytes(r.now) == bytes(r.later) == (texts[r.id] or "").encode()
+        assert bytes(r.ids) == encoder.encode(texts[r.id] or "")
+
+
 @pytest.mark.parametrize("text", ["a" * 20_000, " " * 9_999, "ab" * 9_000, "\n" * 500 + "x", "=" * 7_000])
 def test_bpe_long_pieces(encoder, library, text):
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode_ordinary(text)

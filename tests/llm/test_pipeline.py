@@ -10,7 +10,7 @@ import tiktoken
 import corpus_pipeline
 from recsmith.llm.bpe_prefix import load_ranks
 from recsmith.llm.common import store
-from test_queries import brute_spans, components, simhash
+from llm.test_queries import brute_spans, components, simhash
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
