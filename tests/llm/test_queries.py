@@ -17,8 +17,20 @@ from recsmith.llm import queries as q
 from recsmith.llm.bpe_prefix import load_ranks
 
 
-def rows_of(df):
-    return sorted(map(tuple, df.collect()), key=repr)
+def rows_of(rows):
+    return sorted(map(tuple, rows), key=repr)
+
+
+@pytest.fixture(scope="module")
+def answer(spark, odd_dir):
+    """Rows of a query on the odd tables, run once."""
+    known = {}
+
+    def rows(name):
+        if name not in known:
+            known[name] = q.QUERIES[name](spark, odd_dir).collect()
+        return known[name]
+    return rows
 
 
 @pytest.mark.parametrize("name", sorted(q.QUERIES))
@@ -28,9 +40,8 @@ def test_empty_tables(spark, empty_dir, name):
 
 
 @pytest.mark.parametrize("name", sorted(q.QUERIES))
-def test_same_result_again(spark, odd_dir, name):
-    run = lambda: rows_of(q.QUERIES[name](spark, odd_dir))
-    assert run() == run()
+def test_same_result_again(spark, odd_dir, answer, name):
+    assert rows_of(q.QUERIES[name](spark, odd_dir).collect()) == rows_of(answer(name))
 
 
 def usable(rows):
@@ -43,10 +54,10 @@ def usable(rows):
     return ok
 
 
-def test_op1_nearest(spark, odd_dir, odd_vectors):
+def test_op1_nearest(answer, odd_vectors):
     have = usable(odd_vectors)
     got = {}
-    for r in q.QUERIES["op1_ann_bits"](spark, odd_dir).orderBy("query_id", "rank").collect():
+    for r in sorted(answer("op1_ann_bits"), key=lambda r: (r.query_id, r["rank"])):
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
     assert set(got) == {i for i in have if i % 50 == 0}
     for i, found in got.items():
@@ -75,15 +86,14 @@ def components(nodes, links):
     return {n: find(n) for n in nodes}
 
 
-def test_op7_groups(spark, odd_dir, odd_vectors):
+def test_op7_groups(answer, odd_vectors):
     have = {i: min(vs, key=list) for i, vs in usable(odd_vectors).items()}
     ids = sorted({i for i, _ in odd_vectors if i is not None})
     links = [(a, b) for a in have for b in have if a < b and float(have[a] @ have[b]) >= 0.95]
     comp = components(ids, links)
     n = {i: sum(i in x for x in links) for i in ids}
     want = sorted((i, n[i], comp[i], comp[i] == i) for i in ids)
-    assert rows_of(q.QUERIES["op7_int8_dedup"](spark, odd_dir).select("vec_id", "n_links", "component_id", "kept")) == \
-        sorted(want, key=repr)
+    assert rows_of((r.vec_id, r.n_links, r.component_id, r.kept) for r in answer("op7_int8_dedup")) == sorted(want, key=repr)
 
 
 def simhash(text):
@@ -95,7 +105,7 @@ def simhash(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def test_op9_groups(spark, odd_dir, odd_rows):
+def test_op9_groups(answer, odd_rows):
     prints = [(r[0], simhash(r[1])) for r in odd_rows]
     values = sorted({f for _, f in prints})
     comp = components(values, [(a, b) for a in values for b in values if a < b and (a ^ b).bit_count() <= 2])
@@ -104,10 +114,10 @@ def test_op9_groups(spark, odd_dir, odd_rows):
         if i is not None:
             least[comp[f]] = min(least.get(comp[f], i), i)
     want = [(i, f"{f:016x}", least.get(comp[f])) for i, f in prints]
-    assert rows_of(q.QUERIES["op9_simhash"](spark, odd_dir)) == sorted(want, key=repr)
+    assert rows_of(answer("op9_simhash")) == sorted(want, key=repr)
 
 
-def test_op10_ids(spark, odd_dir, odd_rows):
+def test_op10_ids(answer, odd_rows):
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = load_ranks(f.read())
     enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -116,13 +126,13 @@ def test_op10_ids(spark, odd_dir, odd_rows):
         t = r[1] or ""
         ids = np.array(enc.encode_ordinary(t), "<u4")
         want.append((r[0], len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(t.encode()).hexdigest()))
-    assert rows_of(q.QUERIES["op10_bpe_prefix"](spark, odd_dir)) == sorted(want, key=repr)
+    assert rows_of(answer("op10_bpe_prefix")) == sorted(want, key=repr)
 
 
-def test_op8_shards(spark, odd_dir, odd_rows):
+def test_op8_shards(answer, odd_rows):
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     tok.encode_special_tokens = True
-    got = q.QUERIES["op8_repair"](spark, odd_dir).orderBy("start").collect()
+    got = sorted(answer("op8_repair"), key=lambda r: r.start)
     ids = [r.doc_id for r in got]
     assert ids == sorted(ids, key=lambda i: (i is not None, i))
     start, left = 0, {}
@@ -164,7 +174,7 @@ def removed(rows):
 def test_op6_bytes(spark, odd_dir, odd_rows, monkeypatch, chunk, share):
     monkeypatch.setattr(q.suffix_dedup, "CHUNK", chunk)
     monkeypatch.setattr(q.suffix_dedup, "RANGE", share)
-    assert rows_of(q.QUERIES["op6_suffix_dedup"](spark, odd_dir)) == sorted(removed(odd_rows), key=repr)
+    assert rows_of(q.QUERIES["op6_suffix_dedup"](spark, odd_dir).collect()) == sorted(removed(odd_rows), key=repr)
 
 
 def brute_spans(text):
@@ -181,8 +191,8 @@ def brute_spans(text):
     return out
 
 
-def test_op4_base_spans(spark, odd_dir, odd_rows):
-    got = q.QUERIES["op4_pii_crf"](spark, odd_dir).collect()
+def test_op4_base_spans(answer, odd_rows):
+    got = answer("op4_pii_crf")
     want = []
     for r in odd_rows:
         spans = brute_spans(r[1] or "")
@@ -197,8 +207,8 @@ def test_op4_base_spans(spark, odd_dir, odd_rows):
         assert base <= set(g.spans.split(","))
 
 
-def test_op2_languages(spark, odd_dir, odd_rows):
-    got = q.QUERIES["op2_langid"](spark, odd_dir).collect()
+def test_op2_languages(answer, odd_rows):
+    got = answer("op2_langid")
     assert len(got) == len(odd_rows)
     by_id = {r[0]: r for r in odd_rows if r[0] is not None}
     for g in got:
@@ -214,15 +224,15 @@ def test_op2_languages(spark, odd_dir, odd_rows):
     assert right and all(right)
 
 
-def test_op3_scores(spark, odd_dir, odd_rows):
-    got = q.QUERIES["op3_cotrain"](spark, odd_dir).collect()
+def test_op3_scores(answer, odd_rows):
+    got = answer("op3_cotrain")
     assert len(got) == len(odd_rows)
     assert all(0 <= x <= 1 for g in got for x in (g.p_text, g.p_meta, g.score))
     assert all(g.good == (g.score >= 0.5) for g in got)
 
 
-def test_op5_copies(spark, odd_dir, odd_rows):
-    got = q.QUERIES["op5_mixing"](spark, odd_dir).collect()
+def test_op5_copies(answer, odd_rows):
+    got = answer("op5_mixing")
     chars = {}
     for r in odd_rows:
         chars[r[3]] = chars.get(r[3], 0) + len(r[1] or "")
