@@ -29,15 +29,20 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from recsmith.llm.bpe_prefix import CACHE, CACHED_PIECE, MAX_VOCAB_BYTES, Splitter
+from recsmith.llm.bpe_prefix import CACHED_PIECE, MAX_VOCAB_BYTES, Splitter
 from recsmith.llm.common import shuffle_partitions, small_batches, store, text_key
 
 # Ids of a shard, rounds of pair replacement, new symbols of a round, and the
 # count below which a pair stays.
 SHARD_IDS = 1 << 20
-ROUNDS = 7
-ROUND_RULES = 2000
+ROUNDS = 4
+ROUND_RULES = 3500
 MIN_COUNT = 4
+TABLE_BITS = 18
+
+# Pieces a worker remembers, and pieces encoded as one text.
+TOKEN_CACHE = 900_000
+ROW_PIECES = 2000
 
 SHARD = ("part int, block int, n_docs long, n_ids long, doc_ids binary, nulls binary, doc_sizes binary, "
          "base long, rules binary, lengths binary, width int, sequence binary")
@@ -45,16 +50,31 @@ SHARD = ("part int, block int, n_docs long, n_ids long, doc_ids binary, nulls bi
 
 # ---- grammar -------------------------------------------------------------
 
-def frequent_pairs(seq: np.ndarray, most: int, least: int) -> np.ndarray:
-    """Pairs (left << 32 | right) of the sequence by falling count. Equal counts
-    are ordered by a hash, so that the pairs of a chain are not all in line."""
-    pair = np.sort(seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:])
+def pair_keys(seq: np.ndarray) -> np.ndarray:
+    """Neighbouring symbols as one number; half as wide if the symbols allow."""
+    if len(seq) and int(seq.max()) < 1 << 16:
+        return seq[:-1] << np.uint32(16) | seq[1:]
+    return seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
+
+
+def slots(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Hash-table places of pair keys."""
+    wide = keys.dtype.itemsize * 8
+    return (keys * keys.dtype.type(0x9E3779B97F4A7C15 >> (64 - wide))) >> keys.dtype.type(wide - bits)
+
+
+def frequent_pairs(keys: np.ndarray, most: int, least: int, bits: int) -> np.ndarray:
+    """Pairs by falling count, each with a table place of its own (of two pairs
+    that share one, the rarer waits for a later round). Equal counts are ordered
+    by a hash, so that the pairs of a chain are not all in line."""
+    pair = np.sort(keys)
     at = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
     count = np.diff(np.append(at, len(pair)))
     good = np.flatnonzero(count >= least)
-    mixed = pair[at[good]] * np.uint64(0x9E3779B97F4A7C15)
-    best = good[np.lexsort((mixed ^ mixed >> np.uint64(32), -count[good]))][:most]
-    return pair[at[best]]
+    place = slots(pair[at[good]], bits)
+    best = np.lexsort((place, -count[good]))[:most]
+    _, first = np.unique(place[best], return_index=True)
+    return pair[at[good[best[np.sort(first)]]]]
 
 
 def occurrences(rank: np.ndarray, none: int, passes: int = 3) -> np.ndarray:
@@ -62,34 +82,39 @@ def occurrences(rank: np.ndarray, none: int, passes: int = 3) -> np.ndarray:
     starts at each place, ``none`` for no chosen pair. A pair gives way to an
     overlapping one of better rank; in a run of one id every second counts. Later
     passes fill the gaps that are left."""
-    live, found = rank.copy(), []
+    where, found = np.flatnonzero(rank < none), []
+    live = rank[where]
     for _ in range(passes):
-        before = np.concatenate([[none], live[:-1]])
-        after = np.concatenate([live[1:], [none]])
-        win = (live < none) & (live <= before) & (live <= after)
+        if not len(where):
+            break
+        joins = np.concatenate([[False], where[1:] == where[:-1] + 1])
+        before = np.where(joins, np.concatenate([[none], live[:-1]]), none)
+        after = np.concatenate([np.where(joins[1:], live[1:], none), [none]])
+        win = (live <= before) & (live <= after)
         # Equal neighbours are a run of one id: keep the 1st, 3rd, ... of its winners.
         tie = win & (live == before) & np.concatenate([[False], win[:-1]])
-        start, place = np.flatnonzero(win & ~tie), np.flatnonzero(win)
-        if not len(place):
-            break
-        nth = place - start[np.searchsorted(start, place, side="right") - 1]
-        place = place[nth % 2 == 0]
-        found.append(place)
-        for at in (place - 1, place, place + 1):
-            live[at[(at >= 0) & (at < len(live))]] = none
+        start, at = np.flatnonzero(win & ~tie), np.flatnonzero(win)
+        at = at[(at - start[np.searchsorted(start, at, side="right") - 1]) % 2 == 0]
+        found.append(where[at])
+        gone = np.zeros(len(where), bool)
+        gone[at] = True
+        gone[at[at > 0] - 1] |= joins[at[at > 0]]
+        nxt = at[at + 1 < len(where)] + 1
+        gone[nxt] |= joins[nxt]
+        where, live = where[~gone], live[~gone]
     return np.concatenate(found) if found else np.empty(0, np.int64)
 
 
-def replace_pairs(seq: np.ndarray, pairs: np.ndarray, first: int) -> np.ndarray:
+def replace_pairs(seq: np.ndarray, keys: np.ndarray, pairs: np.ndarray, first: int, bits: int) -> np.ndarray:
     """Each chosen pair replaced by ``first`` + its rank."""
-    order = np.argsort(pairs)
-    key = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
-    at = np.searchsorted(pairs[order], key)
-    at[at == len(pairs)] = 0
-    rank = np.where(pairs[order][at] == key, order[at], len(pairs)).astype(np.int64)
+    ranks, held = np.full(1 << bits, len(pairs), np.int32), np.zeros(1 << bits, keys.dtype)
+    own = slots(pairs, bits)
+    ranks[own], held[own] = np.arange(len(pairs)), pairs
+    at = slots(keys, bits)
+    rank = np.where(held[at] == keys, ranks[at], np.int32(len(pairs)))
     place = occurrences(rank, len(pairs))
     out = seq.copy()
-    out[place] = first + rank[place]
+    out[place] = first + rank[place].astype(np.int64)
     keep = np.ones(len(seq), bool)
     keep[place + 1] = False
     return out[keep]
@@ -103,11 +128,13 @@ def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, per_round: int =
     for _ in range(rounds):
         if len(seq) < 2:
             break
-        pairs = frequent_pairs(seq, per_round, least)
+        keys = pair_keys(seq)
+        pairs = frequent_pairs(keys, per_round, least, TABLE_BITS)
         if not len(pairs):
             break
-        new = np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
-        seq = replace_pairs(seq, pairs, base + len(rules))
+        half = keys.dtype.type(keys.dtype.itemsize * 4)
+        new = np.stack([pairs >> half, pairs & ((keys.dtype.type(1) << half) - keys.dtype.type(1))], axis=1).astype(np.uint32)
+        seq = replace_pairs(seq, keys, pairs, base + len(rules), TABLE_BITS)
         size = np.where(new < base, 1, 0).astype(np.int64)
         old = new >= base
         size[old] = lengths[new[old] - base]
@@ -184,7 +211,9 @@ def shard_row(part: int, block: int, ids: list, docs: list[np.ndarray], vocab: i
 
 class PieceTokens(dict):
     """Ids of text pieces by the tokenizers library; new pieces of a batch are
-    encoded together and remembered."""
+    encoded together and remembered. Pieces that begin with one space split the
+    same way when they stand in a row, so many are encoded as one text and told
+    apart by the bytes their ids stand for."""
 
     def __init__(self, raw: bytes, pattern: str):
         super().__init__()
@@ -195,17 +224,43 @@ class PieceTokens(dict):
         self.tokenizer.encode_special_tokens = True
         self.splitter = Splitter(pattern)
         self.vocab = self.tokenizer.get_vocab_size()
+        # A byte-level token has one character per byte.
+        self.length = np.zeros(self.vocab, np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.length[i] = len(token)
+
+    def _batch(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        rows = [p for p in pieces if p[0] == " " and p[1:2].strip()]
+        rest = [p for p in pieces if not (p[0] == " " and p[1:2].strip())]
+        known, groups = {}, [rows[k:k + ROW_PIECES] for k in range(0, len(rows), ROW_PIECES)]
+        for group, ids in zip(groups, self._batch(["".join(g) for g in groups])):
+            want = np.cumsum([len(p.encode("utf-8")) for p in group])
+            ends = np.cumsum(self.length[ids])
+            cut = np.searchsorted(ends, want) + 1
+            if cut[-1] != len(ids) or (ends[cut - 1] != want).any():
+                rest += group
+                continue
+            data, at = ids.tobytes(), 0
+            for p, end in zip(group, (4 * cut).tolist()):
+                known[p], at = data[at:end], end
+        known.update((p, ids.tobytes()) for p, ids in zip(rest, self._batch(rest)))
+        return known
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.splitter.split(t) for t in texts]
-        if len(self) >= CACHE:
+        fresh = set().union(*split).difference(self)
+        if len(self) + len(fresh) > TOKEN_CACHE:
             self.clear()
-        new = list({p for pieces in split for p in pieces if p not in self})
-        got = self.tokenizer.encode_batch(new, add_special_tokens=False)
-        known = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, got)}
-        self.update((p, i) for p, i in known.items() if len(p) <= CACHED_PIECE)
-        known.update((p, self[p]) for pieces in split for p in pieces if p not in known)
-        return [np.frombuffer(b"".join(map(known.__getitem__, pieces)), "<u4") for pieces in split]
+            fresh = set().union(*split)
+        self.update(self.encode_pieces(list(fresh)))
+        out = [np.frombuffer(b"".join(map(self.__getitem__, pieces)), "<u4") for pieces in split]
+        for p in fresh:
+            if len(p) > CACHED_PIECE:
+                del self[p]
+        return out
 
 
 _TOKENS: dict[str, PieceTokens] = {}
