@@ -86,7 +86,8 @@ def close_pairs(prints: DataFrame, fp: str = "fp", max_bits: int = 2, segments:
         key = F.shiftrightunsigned("fp", shift)
         if bits < BITS:
             key = key.bitwiseAND(F.lit((1 << bits) - 1))
-        masks = F.array(*[F.lit(m).cast("long") for m in ball(bits, radius)])
+        # As signed numbers: the top bit of a 64-bit part is negative.
+        masks = F.array(*[F.lit(m - (1 << BITS) if m >> (BITS - 1) else m).cast("long") for m in ball(bits, radius)])
         tables.append(distinct.select(F.lit(i).alias("seg"), key.alias("key"), F.col("fp").alias("b")))
         probes.append(distinct.select(F.lit(i).alias("seg"), key.alias("own"), F.col("fp").alias("a"),
                                       F.explode(masks).alias("mask"))

@@ -162,6 +162,22 @@ def test_segment_plan_finds_every_near_pair():
     assert len(simhash.ball(32, 1)) == 33 and len(set(simhash.ball(8, 2))) == 1 + 8 + 28
 
 
+@pytest.mark.parametrize("segments, bits", [(1, 1), (2, 2), (3, 3)])
+def test_close_pairs_are_all_found(spark, segments, bits):
+    rng = random.Random(13)
+    values = {rng.getrandbits(64) for _ in range(40)}
+    for v in sorted(values)[:25]:
+        for b in rng.sample(range(64), 4):
+            v ^= 1 << b
+            values.add(v)
+    values |= {0, 1 << 63, (1 << 64) - 1}
+    signed = sorted(v - (1 << 64) if v >> 63 else v for v in values)
+    df = spark.createDataFrame([(v,) for v in signed] * 2 + [(None,)], "fp long")
+    got = {(r.a, r.b) for r in simhash.close_pairs(df, "fp", bits, segments).collect()}
+    assert got == {(a, b) for a in signed for b in signed
+                   if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= bits}
+
+
 def test_components_of_random_graphs(spark):
     rng = random.Random(11)
     edges = [(rng.randint(0, 400), rng.randint(0, 400)) for _ in range(260)]
