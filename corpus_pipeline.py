@@ -37,7 +37,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row (little-endian unsigned 32-bit) and their digests."""
     vocab = bpe_prefix.Vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    done = bpe_prefix.decode_documents(bpe_prefix.encode_documents(docs, vocab), vocab)
+    done = bpe_prefix.encode_documents(docs, vocab, decoded=True)
     return done.select(F.col("id").alias("doc_id"), (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

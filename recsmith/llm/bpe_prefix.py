@@ -35,7 +35,7 @@ from recsmith.llm.common import map_batches
 # A vocabulary file is broadcast; anything larger than this is refused.
 MAX_VOCAB_BYTES = 64 << 20
 # Encoded pieces and token pairs a worker remembers before it starts afresh.
-CACHE = 300_000
+CACHE = 200_000
 # Longer pieces are not remembered.
 CACHED_PIECE = 64
 
@@ -58,7 +58,7 @@ class PrefixBPE:
         self.automaton.make_automaton()
         self.size = [len(t) for t in self.token]
         self.longest = max(self.size)
-        self._fits: dict[tuple[int, int], bool] = {}
+        self._fits: dict[int, bool] = {}
         self._whole: dict[int, bool] = {}
 
     def merge(self, data: bytes) -> list[int]:
@@ -82,11 +82,12 @@ class PrefixBPE:
 
     def fits(self, a: int, b: int) -> bool:
         """May token ``b`` stand directly after token ``a``?"""
-        known = self._fits.get((a, b))
+        pair = a << 32 | b
+        known = self._fits.get(pair)
         if known is None:
             if len(self._fits) >= CACHE:
                 self._fits.clear()
-            known = self._fits[a, b] = self.merge(self.token[a] + self.token[b]) == [a, b]
+            known = self._fits[pair] = self.merge(self.token[a] + self.token[b]) == [a, b]
         return known
 
     def extend(self, data: bytes, last: list[int]) -> list[int]:
@@ -198,7 +199,12 @@ class TextEncoder(dict):
         return b"".join(map(self.__getitem__, self.splitter.split(text)))
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.bpe.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return decode(ids, self.bpe.token)
+
+
+def decode(ids: bytes, token: list[bytes]) -> bytes:
+    """The bytes that ids (little-endian unsigned 32-bit) stand for."""
+    return b"".join(map(token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 _ENCODERS: dict[str, TextEncoder] = {}
@@ -224,26 +230,39 @@ class Vocabulary:
         self.raw, self.pattern = spark.sparkContext.broadcast(raw), pattern
 
 
-def encode_documents(df: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id``, ``ids`` (little-endian unsigned 32-bit integers) of every row."""
+def encode_documents(df: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text: str = "text",
+                     decoded: bool = False) -> DataFrame:
+    """``id``, ``ids`` (little-endian unsigned 32-bit integers) of every row; with
+    ``decoded`` also the bytes the ids stand for, by the same worker, so that a
+    task needs one Python process only."""
     key, raw, pattern = vocab.key, vocab.raw, vocab.pattern
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         enc = _encoder(key, raw, pattern)
         ids = [enc.encode(t) if t else b"" for t in b.column(1).to_pylist()]
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
+        cols, names = [b.column(0), pa.array(ids, pa.binary())], ["id", "ids"]
+        if decoded:
+            cols.append(pa.array([enc.decode(x) for x in ids], pa.binary()))
+            names.append("decoded")
+        return pa.RecordBatch.from_arrays(cols, names)
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("text"))
-    return map_batches(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, ids binary")
+    return map_batches(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, ids binary"
+                       + ", decoded binary" * decoded)
 
 
 def decode_documents(encoded: DataFrame, vocab: Vocabulary, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """``encoded`` with the bytes that ``ids`` stand for as binary column ``name``."""
-    key, raw, pattern = vocab.key, vocab.raw, vocab.pattern
+    raw = vocab.raw
+    token: list[bytes] = []
 
     @F.pandas_udf("binary")
-    def decode(col: pd.Series) -> pd.Series:
-        enc = _encoder(key, raw, pattern)
-        return pd.Series([enc.decode(bytes(x)) for x in col], dtype=object)
-
-    return encoded.withColumn(name, decode(F.col(ids)))
+    def decoded(col: pd.Series) -> pd.Series:
+        if not token:
+            ranks = load_ranks(raw.value)
+            token.extend([b""] * (max(ranks.values()) + 1))
+            for t, i in ranks.items():
+                token[i] = t
+        return pd.Series([decode(bytes(x), token) for x in col], dtype=object)
+
+    return encoded.withColumn(name, decoded(F.col(ids)))

@@ -145,7 +145,6 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the rank file, and the bytes they decode to."""
     vocab = bpe_prefix.Vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    enc = bpe_prefix.encode_documents(table(spark, sf_dir, "documents"), vocab)
-    dec = bpe_prefix.decode_documents(enc, vocab)
-    return dec.select(F.col("id").alias("doc_id"), (F.length("ids") / 4).cast("long").alias("n_tokens"),
+    done = bpe_prefix.encode_documents(table(spark, sf_dir, "documents"), vocab, decoded=True)
+    return done.select(F.col("id").alias("doc_id"), (F.length("ids") / 4).cast("long").alias("n_tokens"),
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
