@@ -166,7 +166,8 @@ def predict(df: DataFrame, model: Model, text: str = "text", name: str = "langua
     def language(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([sent.value.predict(t) for t in texts], columns=["lang_pred", "score", "rejected"])
 
-    return df.withColumn(name, language(F.coalesce(F.col(text), F.lit(""))))
+    # Not to be evaluated again where a later filter or column uses the result.
+    return df.withColumn(name, language.asNondeterministic()(F.coalesce(F.col(text), F.lit(""))))
 
 
 def held_out(id_col) -> F.Column:
