@@ -38,7 +38,7 @@ SHARD_IDS = 1 << 20
 ROUNDS = 4
 ROUND_RULES = 3500
 MIN_COUNT = 4
-TABLE_BITS = 18
+TABLE_BITS = 16
 
 # Pieces a worker remembers, and pieces encoded as one text.
 TOKEN_CACHE = 900_000
@@ -87,21 +87,26 @@ def occurrences(rank: np.ndarray, none: int, passes: int = 3) -> np.ndarray:
     for _ in range(passes):
         if not len(where):
             break
-        joins = np.concatenate([[False], where[1:] == where[:-1] + 1])
-        before = np.where(joins, np.concatenate([[none], live[:-1]]), none)
-        after = np.concatenate([np.where(joins[1:], live[1:], none), [none]])
-        win = (live <= before) & (live <= after)
+        joins = np.zeros(len(where) + 1, bool)
+        np.equal(where[1:], where[:-1] + 1, out=joins[1:-1])
+        lower = live[1:] < live[:-1]
+        lost, tied = np.zeros(len(where), bool), np.zeros(len(where), bool)
+        lost[:-1] = lower & joins[1:-1]
+        lost[1:] |= (live[1:] > live[:-1]) & joins[1:-1]
+        at = np.flatnonzero(~lost)
         # Equal neighbours are a run of one id: keep the 1st, 3rd, ... of its winners.
-        tie = win & (live == before) & np.concatenate([[False], win[:-1]])
-        start, at = np.flatnonzero(win & ~tie), np.flatnonzero(win)
-        at = at[(at - start[np.searchsorted(start, at, side="right") - 1]) % 2 == 0]
+        tied[1:] = (live[1:] == live[:-1]) & joins[1:-1] & ~lost[:-1]
+        if tied.any():
+            start = np.flatnonzero(~lost & ~tied)
+            at = at[(at - start[np.searchsorted(start, at, side="right") - 1]) % 2 == 0]
         found.append(where[at])
-        gone = np.zeros(len(where), bool)
-        gone[at] = True
-        gone[at[at > 0] - 1] |= joins[at[at > 0]]
-        nxt = at[at + 1 < len(where)] + 1
-        gone[nxt] |= joins[nxt]
-        where, live = where[~gone], live[~gone]
+        lost[:] = True
+        lost[at] = False
+        left = at[joins[at]] - 1
+        right = at[joins[at + 1]] + 1
+        keep = lost
+        keep[left] = keep[right] = False
+        where, live = where[keep], live[keep]
     return np.concatenate(found) if found else np.empty(0, np.int64)
 
 
@@ -232,10 +237,12 @@ class PieceTokens(dict):
     def _batch(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
-        rows = [p for p in pieces if p[0] == " " and p[1:2].strip()]
-        rest = [p for p in pieces if not (p[0] == " " and p[1:2].strip())]
-        known, groups = {}, [rows[k:k + ROW_PIECES] for k in range(0, len(rows), ROW_PIECES)]
+    def learn(self, pieces) -> None:
+        """Encode new pieces and remember them."""
+        rows, rest = [], []
+        for p in pieces:
+            (rows if p[0] == " " and p[1:2].strip() else rest).append(p)
+        groups = [rows[k:k + ROW_PIECES] for k in range(0, len(rows), ROW_PIECES)]
         for group, ids in zip(groups, self._batch(["".join(g) for g in groups])):
             want = np.cumsum([len(p.encode("utf-8")) for p in group])
             ends = np.cumsum(self.length[ids])
@@ -243,11 +250,9 @@ class PieceTokens(dict):
             if cut[-1] != len(ids) or (ends[cut - 1] != want).any():
                 rest += group
                 continue
-            data, at = ids.tobytes(), 0
-            for p, end in zip(group, (4 * cut).tolist()):
-                known[p], at = data[at:end], end
-        known.update((p, ids.tobytes()) for p, ids in zip(rest, self._batch(rest)))
-        return known
+            data, ends = ids.tobytes(), (4 * cut).tolist()
+            self.update(zip(group, [data[a:z] for a, z in zip([0, *ends], ends)]))
+        self.update((p, ids.tobytes()) for p, ids in zip(rest, self._batch(rest)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.splitter.split(t) for t in texts]
@@ -255,7 +260,7 @@ class PieceTokens(dict):
         if len(self) + len(fresh) > TOKEN_CACHE:
             self.clear()
             fresh = set().union(*split)
-        self.update(self.encode_pieces(list(fresh)))
+        self.learn(fresh)
         out = [np.frombuffer(b"".join(map(self.__getitem__, pieces)), "<u4") for pieces in split]
         for p in fresh:
             if len(p) > CACHED_PIECE:
