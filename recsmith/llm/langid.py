@@ -6,20 +6,26 @@ non-letters as one space) hashed into ``DIM`` buckets; its vector is
 row, summed per task before the shuffle. For each language a bounded sample
 (``per_lang`` rows by hash) is clustered by spherical k-means into ``clusters``
 unit centroids. A text takes the language of the centroid of largest cosine.
-It is rejected if that cosine is below the centroid's limit: ``slack`` times the
-``quantile`` of the cosines of its own cluster's sample rows.
+It is rejected if that cosine is below the language's limit for texts with as
+many different n-grams (powers of two): ``slack`` times the ``quantile`` of the
+cosines of sample texts of that size and their excerpts. These are taken to
+centroids learned from the other half of the sample, so no text is measured by
+centroids it shaped; short texts have small cosines and so small limits.
 
 What is sent to the tasks (idf, centroids, limits) grows with the number of
 languages only, ``clusters * DIM`` floats each.
 
 Defined cases: null texts and texts without a letter get ``und``, score 0,
 rejected; without any learning row every text does; equal cosines go to the
-smaller language name; repeated rows and null ids are rows like others; other
-columns are not read.
+smaller language name; repeated rows and null ids are rows like others, but
+count once for the limits; a size without a sample text has the limit of the
+next smaller one; a language with too few different texts to measure has the
+smallest limits of the others (0 without any); other columns are not read.
 """
 
 from __future__ import annotations
 
+import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -31,6 +37,10 @@ from recsmith.llm.common import map_batches, small_batches, store
 
 DIM = 1 << 14
 UNKNOWN = "und"
+# Sizes of a text: powers of two of its different n-grams.
+SIZES = DIM.bit_length()
+# Letters of the shortest excerpt; each further one is twice as long.
+EXCERPT = 4
 
 
 @lru_cache(1)
@@ -89,9 +99,42 @@ def cluster(x: np.ndarray, k: int, rounds: int = 10) -> tuple[np.ndarray, np.nda
     return centre, np.argmax(x @ centre.T, axis=1)
 
 
+def excerpts(text: str) -> list[str]:
+    """The text and its beginnings of 4, 8, 16, ... characters after the first letter."""
+    start = next((i for i, c in enumerate(text) if c.isalpha()), 0)
+    out, n = [text], EXCERPT
+    while n < len(text) - start:
+        out.append(text[start:start + n])
+        n *= 2
+    return out
+
+
+def held_cosines(texts: dict[bytes, list], clusters: int) -> tuple[list[int], list[float]]:
+    """Sizes and cosines of sample texts and their excerpts (whole text first; by a
+    key of the text) to the nearest centroid of the other half of the sample."""
+    halves = [[], []]
+    for key in sorted(texts):
+        halves[zlib.crc32(key) & 1].append(texts[key])
+    sizes, cos = [], []
+    for learn, check in (halves, halves[::-1]):
+        if not learn:
+            continue
+        x = np.zeros((len(learn), DIM), np.float32)
+        for row, parts in zip(x, learn):
+            row[parts[0][0]] = parts[0][1]
+        centre, _ = cluster(x, clusters)
+        for at, w in (p for parts in check for p in parts):
+            sizes.append(len(at).bit_length() - 1)
+            cos.append(float((centre[:, at] @ w).max()))
+    return sizes, cos
+
+
 class Model:
+    """``limits``: of each centroid, by size of the text or one for all sizes."""
+
     def __init__(self, idf: np.ndarray, langs: list[str], centres: np.ndarray, limits: np.ndarray):
-        self.idf, self.langs, self.centres, self.limits = idf, langs, centres, limits
+        self.idf, self.langs, self.centres = idf, langs, centres
+        self.limits = np.broadcast_to(limits if limits.ndim == 2 else limits[:, None], (len(langs), SIZES))
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, cosine, rejected."""
@@ -100,7 +143,8 @@ class Model:
             return UNKNOWN, 0.0, True
         cos = self.centres[:, at] @ w
         best = int(np.argmax(cos))
-        return self.langs[best], float(min(max(cos[best], 0.0), 1.0)), bool(cos[best] < self.limits[best])
+        return self.langs[best], float(min(max(cos[best], 0.0), 1.0)), bool(
+            cos[best] < self.limits[best, len(at).bit_length() - 1])
 
 
 def document_frequencies(rows: DataFrame) -> DataFrame:
@@ -119,7 +163,7 @@ def document_frequencies(rows: DataFrame) -> DataFrame:
     return part.groupBy("bucket").agg(F.sum("df").alias("df"))
 
 
-def fit(rows: DataFrame, per_lang: int = 1000, clusters: int = 4, quantile: float = 0.01, slack: float = 0.06,
+def fit(rows: DataFrame, per_lang: int = 1000, clusters: int = 4, quantile: float = 0.01, slack: float = 0.4,
         seed: int = 11) -> Model:
     """Learn from rows (``key``, ``text``, ``lang`` not null)."""
     seen = {r.bucket: r.df for r in store(document_frequencies(rows), "df").collect()}
@@ -132,29 +176,43 @@ def fit(rows: DataFrame, per_lang: int = 1000, clusters: int = 4, quantile: floa
     sample = rows.join(store(share, "share"), "lang").where(u < F.col("share")).select("lang", "text")
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        made = [(lang, *vector(t, idf)) for lang, t in zip(*(c.to_pylist() for c in b.columns))]
-        made = [m for m in made if len(m[1])]
+        made = [(lang, [p for p in (vector(e, idf) for e in excerpts(t or "")) if len(p[0])])
+                for lang, t in zip(*(c.to_pylist() for c in b.columns))]
+        made = [m for m in made if m[1]]
         return pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.string()),
-                                           pa.array([m[1].astype("<i4").tobytes() for m in made], pa.binary()),
-                                           pa.array([m[2].astype("<f4").tobytes() for m in made], pa.binary())],
+                                           pa.array([[at.astype("<i4").tobytes() for at, _ in m[1]] for m in made],
+                                                    pa.list_(pa.binary())),
+                                           pa.array([[w.astype("<f4").tobytes() for _, w in m[1]] for m in made],
+                                                    pa.list_(pa.binary()))],
                                           ["lang", "at", "w"])
 
     def centroids(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["at", "w"])
+        part = part.assign(key=[a[0] + w[0] for a, w in zip(part["at"], part["w"])]).sort_values("key")
+        parts = [[(np.frombuffer(a, "<i4"), np.frombuffer(w, "<f4")) for a, w in zip(*r)]
+                 for r in zip(part["at"], part["w"])]
         x = np.zeros((len(part), DIM), np.float32)
-        for i, (at, w) in enumerate(zip(part["at"], part["w"])):
-            x[i, np.frombuffer(at, "<i4")] = np.frombuffer(w, "<f4")
-        centre, own = cluster(x, clusters)
-        cos = (x * centre[own]).sum(axis=1)
-        limit = [slack * np.quantile(cos[own == c], quantile) if (own == c).any() else 0.0 for c in range(len(centre))]
-        return pd.DataFrame({"lang": part["lang"].iloc[0], "cluster": range(len(centre)), "limit": limit,
+        for row, p in zip(x, parts):
+            row[p[0][0]] = p[0][1]
+        centre, _ = cluster(x, clusters)
+        size, cos = map(np.array, held_cosines(dict(zip(part["key"], parts)), clusters))
+        limit = np.full(SIZES, np.nan)
+        for n in range(SIZES):
+            if (size == n).any():
+                limit[n] = slack * np.quantile(cos[size == n], quantile, method="lower")
+            elif n:
+                limit[n] = limit[n - 1]
+        return pd.DataFrame({"lang": part["lang"].iloc[0], "cluster": range(len(centre)),
+                             "limits": [limit.tolist()] * len(centre),
                              "centre": [c.astype("<f4").tobytes() for c in centre]})
 
-    learned = map_batches(sample, run, "lang string, at binary, w binary").groupBy("lang").applyInPandas(
-        centroids, "lang string, cluster int, limit double, centre binary")
+    learned = map_batches(sample, run, "lang string, at array<binary>, w array<binary>").groupBy("lang").applyInPandas(
+        centroids, "lang string, cluster int, limits array<double>, centre binary")
     found = sorted(store(learned, "centroids").collect(), key=lambda r: (r.lang, r.cluster))
     centres = np.array([np.frombuffer(r.centre, "<f4") for r in found], np.float64).reshape(-1, DIM)
-    return Model(idf, [r.lang for r in found], centres, np.array([r.limit for r in found]))
+    limits = np.array([r.limits for r in found], np.float64).reshape(-1, SIZES)
+    least = np.where(np.isnan(limits), np.inf, limits).min(axis=0, initial=np.inf)
+    limits = np.where(np.isnan(limits), np.where(np.isinf(least), 0.0, least), limits)
+    return Model(idf, [r.lang for r in found], centres, limits)
 
 
 def predict(df: DataFrame, model: Model, text: str = "text", name: str = "language") -> DataFrame:

@@ -1,5 +1,6 @@
 """The operators' parts: encoders, families, grammars, span models, components."""
 
+import base64
 import random
 
 import numpy as np
@@ -263,3 +264,41 @@ def test_rejection_by_distance():
     assert model.predict("the tion of the ing")[0] == "a" and model.predict("und der schen")[0] == "b"
     assert model.predict("漢字仮名交じり文")[2] is True
     assert model.predict("12 %%") == ("und", 0.0, True) == model.predict(None)
+
+
+UNLEARNT = {
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja "
+          "omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "tr": "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve "
+          "birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler.",
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem "
+          "i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    "sw": "Watu wote wamezaliwa huru, hadhi na haki zao ni sawa. Wote wamejaliwa akili na dhamiri, hivyo yapasa "
+          "watendeane kindugu.",
+    "han": "".join(chr(c) for c in random.Random(2).choices(range(0x4e00, 0x9fa5), k=3000)),
+    "base64": base64.b64encode(random.Random(3).randbytes(3000)).decode(),
+}
+
+
+def test_learned_limits_reject_unlearnt_languages(spark):
+    """The limits that fit() itself sets, and clean documents that must stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(langid.learning_rows(docs))
+    for lang, text in UNLEARNT.items():
+        for t in (text, text * 20, text.upper()):
+            assert model.predict(t)[2], (lang, len(t), model.predict(t))
+    clean = docs.where(langid.held_out(docs.doc_id)).select("text", "lang").collect()
+    found = [(model.predict(r.text), r.lang) for r in clean]
+    assert len(found) > 200 and all(p[0] == lang and not p[2] for p, lang in found)
+
+
+def test_limits_come_from_texts_not_learned(spark):
+    """A language with one repeated text has the limits of the others."""
+    rng = random.Random(12)
+    text = lambda words: " ".join(rng.choice(words) + rng.choice(words) for _ in range(60))
+    rows = [(k, text("the of and tion ing er".split()), "a") for k in range(60)]
+    rows += [(100 + k, "der und heit schen ung " * 9, "b") for k in range(40)]
+    model = langid.fit(spark.createDataFrame(rows, "key long, text string, lang string"))
+    assert not model.predict(text("the of and tion ing er".split()))[2]
+    assert model.predict(UNLEARNT["fi"])[2] and model.predict(UNLEARNT["pl"])[2]
+    assert np.isfinite(model.limits).all() and model.limits.shape == (len(model.langs), langid.SIZES)
