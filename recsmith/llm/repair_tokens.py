@@ -13,7 +13,8 @@ storage it reaches. Documents are dealt to ranges of ids and sorted there, and
 shards are cut while a task streams through its range: no group is collected.
 Global starts come from a running sum over one small row per shard.
 
-Defined cases: null text is empty (only its end id); null ids come first;
+Defined cases: null text is empty (only its end id); an added token of
+the tokenizer in a text is its one id, as the library does; null ids come first;
 repeated ids keep all their rows, in the order of their texts' keys; an empty
 table gives no shard; other columns are not read.
 """
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import zlib
 
 import numpy as np
@@ -226,7 +228,13 @@ class PieceTokens(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(raw.decode("utf-8"))
+        # Texts are cut at added tokens before; what is between is plain text.
         self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items()}
+        self.cut = None
+        if all(t.special and not (t.single_word or t.lstrip or t.rstrip or t.normalized) for t in added.values()):
+            self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.splitter = Splitter(pattern)
         self.vocab = self.tokenizer.get_vocab_size()
         # A byte-level token has one character per byte.
@@ -240,6 +248,13 @@ class PieceTokens(dict):
     def learn(self, pieces) -> None:
         """Encode new pieces and remember them."""
         rows, rest = [], []
+        if self.cut is None:
+            # Whole texts with added tokens that take in what is around them.
+            whole = [p for p in pieces if any(t in p for t in self.added)]
+            self.tokenizer.encode_special_tokens = False
+            self.update((p, ids.tobytes()) for p, ids in zip(whole, self._batch(whole)))
+            self.tokenizer.encode_special_tokens = True
+            pieces = set(pieces).difference(whole)
         for p in pieces:
             (rows if p[0] == " " and p[1:2].strip() else rest).append(p)
         groups = [rows[k:k + ROW_PIECES] for k in range(0, len(rows), ROW_PIECES)]
@@ -254,12 +269,23 @@ class PieceTokens(dict):
             self.update(zip(group, [data[a:z] for a, z in zip([0, *ends], ends)]))
         self.update((p, ids.tobytes()) for p, ids in zip(rest, self._batch(rest)))
 
+    def pieces(self, text: str) -> list[str]:
+        """Pieces of a text; an added token is one."""
+        if not any(t in text for t in self.added):
+            return self.splitter.split(text)
+        if self.cut is None:
+            return [text]
+        return [p for k, part in enumerate(self.cut.split(text))
+                for p in ([part] if k % 2 else self.splitter.split(part))]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.splitter.split(t) for t in texts]
+        self.update(self.added)
+        split = [self.pieces(t) for t in texts]
         fresh = set().union(*split).difference(self)
         if len(self) + len(fresh) > TOKEN_CACHE:
             self.clear()
-            fresh = set().union(*split)
+            self.update(self.added)
+            fresh = set().union(*split).difference(self)
         self.learn(fresh)
         out = [np.frombuffer(b"".join(map(self.__getitem__, pieces)), "<u4") for pieces in split]
         for p in fresh:

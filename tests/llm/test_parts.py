@@ -1,6 +1,7 @@
 """The operators' parts: encoders, families, grammars, span models, components."""
 
 import base64
+import json
 import random
 
 import numpy as np
@@ -9,6 +10,7 @@ import public_tokenizers
 import regex
 import tiktoken
 from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
 
 from recsmith.llm import ann_bits, bpe_prefix, int8_dedup, langid, pii_crf, repair_tokens, simhash, suffix_dedup
 from recsmith.llm.components import connected_components, star_forest
@@ -302,3 +304,18 @@ def test_limits_come_from_texts_not_learned(spark):
     assert not model.predict(text("the of and tion ing er".split()))[2]
     assert model.predict(UNLEARNT["fi"])[2] and model.predict(UNLEARNT["pl"])[2]
     assert np.isfinite(model.limits).all() and model.limits.shape == (len(model.langs), langid.SIZES)
+
+
+@pytest.mark.parametrize("flags", [{}, {"lstrip": True}])
+def test_added_tokens_as_library(flags):
+    """Texts that hold added tokens, against the unmodified library."""
+    spec = json.loads(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read())
+    spec["added_tokens"] = [t | flags for t in spec["added_tokens"]]
+    raw = json.dumps(spec).encode()
+    tok = Tokenizer.from_str(raw.decode()) if flags else Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["one doc <|endoftext|> next doc", "<|endoftext|>", "<|endoftext|><|endoftext|> a<|endoftext|>b  ",
+             "x <|endoftext| > <|END|> plain  \n<|endoftext|>\n é漢", "", "no token here"]
+    tokens = repair_tokens.PieceTokens(raw, public_tokenizers.PATTERN)
+    for _ in range(2):
+        assert [a.tolist() for a in tokens.encode(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert (50256 in tokens.encode(texts)[0]) and tokens.encode(texts[-1:])[0].tolist() == tok.encode(texts[-1]).ids
