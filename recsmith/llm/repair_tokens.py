@@ -4,7 +4,9 @@ Every document is encoded, ended with an end id, and written in id order. A
 shard holds a bounded number of ids of consecutive documents. Its grammar is
 grown by rounds: count the neighbouring id pairs, turn the most frequent ones
 into nonterminals, replace their occurrences (where two overlap, the more
-frequent pair, then the left one, wins), until no pair is frequent. Rules and
+frequent pair, then the left one, wins), until no pair is frequent. A pair that was
+rare once can only get rarer unless it holds a new symbol, so later rounds count
+frequent pairs and the neighbours of replaced places only. Rules and
 the length each nonterminal expands to are stored with the shortened sequence,
 so any range of ids is decoded from the few symbols that cover it.
 
@@ -34,13 +36,12 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from recsmith.llm.bpe_prefix import CACHED_PIECE, MAX_VOCAB_BYTES, Splitter
 from recsmith.llm.common import shuffle_partitions, small_batches, store, text_key
 
-# Ids of a shard, rounds of pair replacement, new symbols of a round, and the
-# count below which a pair stays.
+# Ids of a shard, new symbols of a round, and the count below which a pair stays.
 SHARD_IDS = 1 << 20
-ROUNDS = 4
 ROUND_RULES = 3500
 MIN_COUNT = 4
 TABLE_BITS = 16
+FILTER_BITS = 20
 
 # Pieces a worker remembers, and pieces encoded as one text.
 TOKEN_CACHE = 900_000
@@ -52,11 +53,11 @@ SHARD = ("part int, block int, n_docs long, n_ids long, doc_ids binary, nulls bi
 
 # ---- grammar -------------------------------------------------------------
 
-def pair_keys(seq: np.ndarray) -> np.ndarray:
+def pair_keys(left: np.ndarray, right: np.ndarray, wide: bool) -> np.ndarray:
     """Neighbouring symbols as one number; half as wide if the symbols allow."""
-    if len(seq) and int(seq.max()) < 1 << 16:
-        return seq[:-1] << np.uint32(16) | seq[1:]
-    return seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
+    if not wide:
+        return left << np.uint32(16) | right
+    return left.astype(np.uint64) << np.uint64(32) | right
 
 
 def slots(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -65,27 +66,28 @@ def slots(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys * keys.dtype.type(0x9E3779B97F4A7C15 >> (64 - wide))) >> keys.dtype.type(wide - bits)
 
 
-def frequent_pairs(keys: np.ndarray, most: int, least: int, bits: int) -> np.ndarray:
+def frequent_pairs(keys: np.ndarray, most: int, least: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs by falling count, each with a table place of its own (of two pairs
-    that share one, the rarer waits for a later round). Equal counts are ordered
-    by a hash, so that the pairs of a chain are not all in line."""
+    that share one, the rarer waits for a later round), and all pairs of ``least``
+    or more. Equal counts are ordered by a hash, so that the pairs of a chain are
+    not all in line."""
     pair = np.sort(keys)
     at = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
     count = np.diff(np.append(at, len(pair)))
     good = np.flatnonzero(count >= least)
-    place = slots(pair[at[good]], bits)
+    every = pair[at[good]]
+    place = slots(every, bits)
     best = np.lexsort((place, -count[good]))[:most]
     _, first = np.unique(place[best], return_index=True)
-    return pair[at[good[best[np.sort(first)]]]]
+    return every[best[np.sort(first)]], every
 
 
-def occurrences(rank: np.ndarray, none: int, passes: int = 3) -> np.ndarray:
-    """Places of pairs to replace, no two overlapping. ``rank``: of the pair that
-    starts at each place, ``none`` for no chosen pair. A pair gives way to an
-    overlapping one of better rank; in a run of one id every second counts. Later
-    passes fill the gaps that are left."""
-    where, found = np.flatnonzero(rank < none), []
-    live = rank[where]
+def occurrences(where: np.ndarray, live: np.ndarray, passes: int = 3) -> np.ndarray:
+    """Which of the places ``where`` to replace, no two overlapping. ``live``: rank of
+    the chosen pair that starts at each. A pair gives way to an overlapping one of
+    better rank; in a run of one id every second counts. Later passes fill the gaps
+    that are left."""
+    place, found = np.arange(len(where)), []
     for _ in range(passes):
         if not len(where):
             break
@@ -101,52 +103,66 @@ def occurrences(rank: np.ndarray, none: int, passes: int = 3) -> np.ndarray:
         if tied.any():
             start = np.flatnonzero(~lost & ~tied)
             at = at[(at - start[np.searchsorted(start, at, side="right") - 1]) % 2 == 0]
-        found.append(where[at])
+        found.append(place[at])
         lost[:] = True
         lost[at] = False
         left = at[joins[at]] - 1
         right = at[joins[at + 1]] + 1
         keep = lost
         keep[left] = keep[right] = False
-        where, live = where[keep], live[keep]
+        where, live, place = where[keep], live[keep], place[keep]
     return np.concatenate(found) if found else np.empty(0, np.int64)
 
 
-def replace_pairs(seq: np.ndarray, keys: np.ndarray, pairs: np.ndarray, first: int, bits: int) -> np.ndarray:
-    """Each chosen pair replaced by ``first`` + its rank."""
-    ranks, held = np.full(1 << bits, len(pairs), np.int32), np.zeros(1 << bits, keys.dtype)
+def chosen_places(keys: np.ndarray, at: np.ndarray, pairs: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (of ``at``, with ``keys``) to replace, and the ranks of their pairs."""
+    ranks, held = np.full(1 << bits, -1, np.int32), np.zeros(1 << bits, keys.dtype)
     own = slots(pairs, bits)
     ranks[own], held[own] = np.arange(len(pairs)), pairs
-    at = slots(keys, bits)
-    rank = np.where(held[at] == keys, ranks[at], np.int32(len(pairs)))
-    place = occurrences(rank, len(pairs))
-    out = seq.copy()
-    out[place] = first + rank[place].astype(np.int64)
-    keep = np.ones(len(seq), bool)
-    keep[place + 1] = False
-    return out[keep]
+    place = slots(keys, bits)
+    hit = np.flatnonzero((held[place] == keys) & (ranks[place] >= 0))
+    rank = ranks[place[hit]]
+    found = occurrences(at[hit], rank)
+    return at[hit[found]], rank[found]
 
 
-def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, per_round: int = ROUND_RULES,
+def compress(ids: np.ndarray, base: int, per_round: int = ROUND_RULES,
              least: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rules ([n, 2] symbols; rule k makes symbol base + k), the number of ids each
-    expands to, and the sequence."""
-    seq, rules, lengths = ids.astype(np.uint32), np.empty((0, 2), np.uint32), np.empty(0, np.int64)
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        keys = pair_keys(seq)
-        pairs = frequent_pairs(keys, per_round, least, TABLE_BITS)
+    expands to, and the sequence, in which no pair is left ``least`` times."""
+    seq, rules, lengths = ids.astype(np.uint32), [np.empty((0, 2), np.uint32)], np.empty(0, np.int64)
+    # Where a pair starts that may be frequent.
+    at = np.arange(max(len(seq) - 1, 0))
+    while len(at):
+        wide = base + len(lengths) > 1 << 16
+        keys = pair_keys(seq[at], seq[at + 1], wide)
+        pairs, every = frequent_pairs(keys, per_round, least, TABLE_BITS)
         if not len(pairs):
             break
         half = keys.dtype.type(keys.dtype.itemsize * 4)
         new = np.stack([pairs >> half, pairs & ((keys.dtype.type(1) << half) - keys.dtype.type(1))], axis=1).astype(np.uint32)
-        seq = replace_pairs(seq, keys, pairs, base + len(rules), TABLE_BITS)
+        place, rank = chosen_places(keys, at, pairs, TABLE_BITS)
+        # Frequent pairs stay in view (some rare ones with them, by their hash), and so
+        # do the pairs that the new symbols make.
+        frequent = np.zeros(1 << FILTER_BITS, bool)
+        frequent[slots(every, FILTER_BITS)] = True
+        view, keep = np.zeros(len(seq), bool), np.ones(len(seq), bool)
+        view[at[frequent[slots(keys, FILTER_BITS)]]] = True
+        view[place] = True
+        seq[place] = base + len(lengths) + rank.astype(np.int64)
+        keep[place + 1] = False
+        # The symbol before a place: the one at place - 1, or a new one at place - 2.
+        before = place[place > 0] - 1
+        view[before] = True
+        view[before[~keep[before]] - 1] = True
+        seq, view = seq[keep], view[keep]
+        at = np.flatnonzero(view[:-1])
         size = np.where(new < base, 1, 0).astype(np.int64)
         old = new >= base
         size[old] = lengths[new[old] - base]
-        rules, lengths = np.concatenate([rules, new]), np.concatenate([lengths, size.sum(axis=1)])
-    return rules, lengths, seq
+        rules.append(new)
+        lengths = np.concatenate([lengths, size.sum(axis=1)])
+    return np.concatenate(rules), lengths, seq
 
 
 def expand(seq: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:

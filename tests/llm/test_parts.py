@@ -319,3 +319,30 @@ def test_added_tokens_as_library(flags):
     for _ in range(2):
         assert [a.tolist() for a in tokens.encode(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
     assert (50256 in tokens.encode(texts)[0]) and tokens.encode(texts[-1:])[0].tolist() == tok.encode(texts[-1]).ids
+
+
+def most_left(seq):
+    """The largest number of non-overlapping occurrences of a pair, counted from the left."""
+    count, last = {}, {}
+    for k, pair in enumerate(zip(seq.tolist(), seq[1:].tolist())):
+        if last.get(pair, -2) != k - 1:
+            count[pair], last[pair] = count.get(pair, 0) + 1, k
+    return max(count.values(), default=0)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=400), st.integers(2, 5))
+def test_grammar_leaves_no_frequent_pair(ids, least):
+    ids = np.array(ids, np.uint32)
+    rules, _, seq = repair_tokens.compress(ids, 10, per_round=3, least=least)
+    assert most_left(seq) < least and (repair_tokens.expand(seq, rules, 10) == ids).all()
+
+
+def test_grammar_of_repeated_passages():
+    rng = np.random.default_rng(4)
+    passage, words = rng.integers(3, 50_000, 700), rng.integers(3, 50_000, (4000, 3))
+    parts = [p for _ in range(150) for p in (passage, words[rng.zipf(1.3, 400) % 4000].ravel())]
+    ids = np.concatenate(parts).astype(np.uint32)
+    rules, lengths, seq = repair_tokens.compress(ids, 50_257)
+    assert most_left(seq) < repair_tokens.MIN_COUNT and lengths.max() >= 350
+    assert (repair_tokens.expand(seq, rules, 50_257) == ids).all()
