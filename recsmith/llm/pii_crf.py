@@ -401,10 +401,10 @@ def annotate(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
 
 
 def fit(annotated: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """Train on the ``sample`` regions of smallest hash (at most 64 tokens long);
-    that many short strings are all the driver gets."""
+    """Train on the ``sample`` different regions of smallest hash (at most 96 tokens
+    long); that many short strings are all the driver gets."""
     r = (annotated.select(F.explode("regions").alias("region"))
-         .where(F.length("region") <= 6 * CONTEXT)
+         .where(F.length("region") <= 6 * CONTEXT).distinct()
          .select("region", F.xxhash64("region").alias("h")).orderBy("h", "region").limit(sample))
     return train([(x.region, base_spans(x.region)) for x in r.collect()])
 

@@ -263,3 +263,13 @@ def test_labels_learned(spark):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     held = scored.join(labels, "doc_id").collect()
     assert sum(r.good == (r.quality == 1) for r in held) >= 0.9 * len(held)
+
+
+def test_op4_learns_from_different_regions(spark, monkeypatch):
+    """A region that thousands of rows hold is one region of the sample."""
+    seen = []
+    monkeypatch.setattr(q.pii_crf, "train", lambda sample: seen.append([r for r, _ in sample]))
+    rows = [(["copied +1 (555) 555-0123 text"],)] * 3000 + [([f"mail u{i}@m.example.com now"],) for i in range(40)]
+    q.pii_crf.fit(spark.createDataFrame(rows, "regions array<string>"), sample=30)
+    q.pii_crf.fit(spark.createDataFrame(rows, "regions array<string>"), sample=500)
+    assert [len(set(s)) for s in seen] == [len(s) for s in seen] == [30, 41]
