@@ -17,6 +17,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recsmith.sources.readers import SEQ
+
 
 def _keys(on) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
@@ -31,13 +33,32 @@ def _pick(df: DataFrame, keys: list[str], order: list[str], agg) -> DataFrame:
                        *[F.col(f"_best.{c}") for c in rest]).select(*df.columns)
 
 
-def first_per_key(df: DataFrame, keys, order: Sequence[str] = ()) -> DataFrame:
+def first_per_key(df: DataFrame, keys, order: Sequence[str]) -> DataFrame:
     """DED-01/03 (keep first): the row with the smallest ``order`` per key,
     ties broken by the remaining columns ascending."""
     return _pick(df, _keys(keys), list(order), F.min)
 
 
-def last_per_key(df: DataFrame, keys, order: Sequence[str] = ()) -> DataFrame:
+def seq_of(df: DataFrame) -> list[str]:
+    """The record sequence column, if the frame carries one."""
+    return [SEQ] if SEQ in df.columns else []
+
+
+def in_order(df: DataFrame, *otherwise: str) -> list[str]:
+    """The order of records: as they stand in their files where the reader's sequence
+    came along, else the columns ``otherwise``."""
+    return seq_of(df) or list(otherwise)
+
+
+def first_record(df: DataFrame, keys, *columns, otherwise: Sequence[str] = ()) -> DataFrame:
+    """DED-01 on records as read (NODUPKEY): ``columns`` of the first record per key in input
+    order. Frames that were not read from record files have no such order: there the
+    smallest by ``otherwise``, then by content, is taken."""
+    rows = df.select(*(columns or [c for c in df.columns if c != SEQ]), *seq_of(df))
+    return first_per_key(rows, keys, in_order(df, *otherwise)).drop(SEQ)
+
+
+def last_per_key(df: DataFrame, keys, order: Sequence[str]) -> DataFrame:
     """DED-03 (keep last) / DED-04 (latest record per key): the row with the
     largest ``order``, ties broken by the remaining columns descending."""
     return _pick(df, _keys(keys), list(order), F.max)
@@ -57,7 +78,7 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 
 
 def distinct_on_prefix(df: DataFrame, record_col: str, width: int,
-                       order: Sequence[str] = ()) -> DataFrame:
+                       order: Sequence[str]) -> DataFrame:
     """DED-06: dedup on the first ``width`` characters of a rendered record,
     keeping the first by ``order`` (then the record text)."""
     keyed = df.withColumn("_prefix", F.substring(F.col(record_col), 1, width))

@@ -9,7 +9,7 @@ partitions (``skewJoin``).
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -122,7 +122,8 @@ def overlay_merge(left: DataFrame, right: DataFrame, on, how: str = "left") -> D
 
 def match_merge(left: DataFrame, right: DataFrame, on, left_order: Sequence[str],
                 right_order: Sequence[str], keep: str = "left",
-                overlay: str = "matched", skew_safe: bool = False) -> DataFrame:
+                overlay: str = "matched", skew_safe: bool | None = None,
+                histogram: DataFrame | None = None) -> DataFrame:
     """JON-10: positional match-merge of a key group with ``nl`` left and ``nr``
     right rows (the sequential MERGE-BY semantics).
 
@@ -132,70 +133,117 @@ def match_merge(left: DataFrame, right: DataFrame, on, left_order: Sequence[str]
     other columns, so the order is total. ``keep``: 'left' (IF A), 'inner'
     (IF A AND B), 'all'. Shared non-key columns take the right value where the
     right side has a row at that slot (``overlay='positional'``) or whenever
-    the group matched (``overlay='matched'``).
-
-    Plan: one shuffle. Both sides are stacked and dealt out by key; the rows
-    of each side are numbered, rows of one number meet in an aggregate, and a
-    running last value repeats the shorter side's final row. Nothing runs
-    before the action. ``skew_safe`` (a caller's statement, for keys that may
-    hold a large share of the rows) numbers both sides over range partitions
-    instead, joins on (key, number) and looks the final rows up per key, so
-    every task stays bounded. Both give the same rows; no all-pairs product
-    and no slot list is formed.
-    """
+    the group matched (``overlay='matched'``). Plan: see ``merge_files``."""
     keys = _keys(on)
     lcols = [c for c in left.columns if c not in keys]
     rcols = [c for c in right.columns if c not in keys]
-    merge = _merge_split if skew_safe else _merge_stacked
-    j = merge(left.select(*keys, F.struct(F.lit(True).alias("_row"), *lcols).alias("_l"), *_order("_lo", left_order)),
-              right.select(*keys, F.struct(F.lit(True).alias("_row"), *rcols).alias("_r"), *_order("_ro", right_order)),
-              keys)
-    in_left, in_right = F.col("_last_l").isNotNull(), F.col("_last_r").isNotNull()
+    j = _merged([left, right], keys, [left_order, right_order], skew_safe, histogram)
+    in_left, in_right = F.col("_last0").isNotNull(), F.col("_last1").isNotNull()
     if keep == "left":
         j = j.filter(in_left)
     elif keep == "inner":
         j = j.filter(in_left & in_right)
-    has_r = F.col("_r").isNotNull() if overlay == "positional" else in_right
+    has_r = F.col("_at1") if overlay == "positional" else in_right
     out = [F.col(k) for k in keys]
     for c in lcols:
-        value = F.col("_last_l").getField(c)
-        out.append((F.when(has_r, F.col("_last_r").getField(c)).otherwise(value) if c in rcols else value).alias(c))
-    out += [F.col("_last_r").getField(c).alias(c) for c in rcols if c not in lcols]
+        value = F.col("_last0").getField(c)
+        out.append((F.when(has_r, F.col("_last1").getField(c)).otherwise(value) if c in rcols else value).alias(c))
+    out += [F.col("_last1").getField(c).alias(c) for c in rcols if c not in lcols]
     return j.select(*out, F.col("_pos").alias("slot"), in_left.alias("in_left"), in_right.alias("in_right"))
 
 
-def _order(prefix: str, cols: Sequence[str]) -> list[Column]:
-    return [F.col(c).alias(f"{prefix}{i}") for i, c in enumerate(cols)]
+# Rows of one key above which it gets more than one task, and the share of rows the
+# histogram of keys is taken from.
+HOT_ROWS = 2_000_000
+SAMPLE = 0.01
 
 
-def _merge_stacked(lrows: DataFrame, rrows: DataFrame, keys: list[str]) -> DataFrame:
-    """Slots of both sides with the rows at the slot (``_l``, ``_r``) and the last
-    rows up to it; everything after the one shuffle is keyed by ``keys``."""
-    rows = lrows.unionByName(rrows, allowMissingColumns=True).repartition(*keys)
-    order = [c for c in rows.columns if c.startswith(("_lo", "_ro"))]
-    side = F.col("_l").isNull()
-    pos = F.row_number().over(Window.partitionBy(*keys, side).orderBy(*order, "_l", "_r")).cast("long")
-    slots = rows.withColumn("_pos", pos).groupBy(*keys, "_pos").agg(F.max("_l").alias("_l"), F.max("_r").alias("_r"))
-    w = Window.partitionBy(*keys).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    return slots.withColumns({f"_last{c}": F.last(c, ignorenulls=True).over(w) for c in ("_l", "_r")})
+def merge_files(files: Sequence[DataFrame], on, orders: Sequence[Sequence[str]], keep: Sequence[int] = (0,),
+                skew_safe: bool | None = None, histogram: DataFrame | None = None) -> DataFrame:
+    """JON-10/14 for any number of files: the same as merging the second file by position
+    to the first, the third to the result, and so on. Slot ``i`` of a key takes row ``min(i, n)`` of
+    each file, a file without rows contributes nulls; keys with rows in all files
+    ``keep`` stay. Besides the keys no two files share a column. Adds ``slot``.
 
-
-def _merge_split(lrows: DataFrame, rrows: DataFrame, keys: list[str]) -> DataFrame:
-    """The same slots for hot keys: numbered over range partitions."""
+    Plan: one shuffle. All files are stacked and dealt out by key; the rows of each file are numbered,
+    and a running last value per file fills the slots: its own row there, or its final one. A histogram of a sample of
+    the keys (its result holds only keys of some ``HOT_ROWS`` rows or more) finds hot keys; their rows are
+    numbered over range partitions and meet by (key, number), so no task holds a hot key, and no all-pairs
+    product and no slot list is formed. Both ways give the same rows. ``histogram``: a frame with the
+    keys to sample in place of the files, where those take long to compute; ``skew_safe``: True or False sends all keys
+    one way without looking."""
+    keys = _keys(on)
+    columns = [[c for c in f.columns if c not in keys] for f in files]
+    names = [c for cols in columns for c in cols]
+    if len(set(names)) < len(names):
+        raise ValueError("files to merge share columns besides the keys")
+    j = _merged(list(files), keys, orders, skew_safe, histogram)
+    for i in keep:
+        j = j.filter(F.col(f"_last{i}").isNotNull())
+    return j.select(*keys, *[F.col(f"_last{i}").getField(c).alias(c) for i, cols in enumerate(columns) for c in cols],
+                    F.col("_pos").alias("slot"))
+
+
+def hot_keys(frames: Sequence[DataFrame], keys: Sequence[str], rows: int | None = None,
+             share: float | None = None) -> list[tuple]:
+    """Keys that hold about ``rows`` rows or more, from a sample: at most one per ``rows`` rows."""
+    rows, share = rows or HOT_ROWS, share or SAMPLE
+    picked = reduce(DataFrame.union, [f.select(*keys) for f in frames])
+    if share < 1:
+        picked = picked.sample(share, 11)
+    return [tuple(r) for r in picked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= rows * share)
+            .drop("_n").collect()]
+
+
+def _merged(files: list[DataFrame], keys: list[str], orders, skew_safe: bool | None, histogram: DataFrame | None) -> DataFrame:
+    """Slots: keys, ``_pos``, and per file the row of the slot (``_last<i>``) and whether it
+    stands at that very slot (``_at<i>``)."""
+    rows = []
+    for i, (f, order) in enumerate(zip(files, orders)):
+        cols = [c for c in f.columns if c not in keys]
+        rows.append(f.select(*keys, F.struct(F.lit(True).alias("_row"), *cols).alias(f"_s{i}"),
+                             *[F.col(c).alias(f"_o{i}_{k}") for k, c in enumerate(order)]))
+    if skew_safe is not None:
+        return (_slots_split if skew_safe else _slots_stacked)(rows, keys)
+    hot = hot_keys([histogram] if histogram is not None else files, keys)
+    if not hot:
+        return _slots_stacked(rows, keys)
+    is_hot = reduce(or_, [reduce(and_, [F.col(k).eqNullSafe(F.lit(v)) for k, v in zip(keys, key)]) for key in hot])
+    return _slots_stacked([r.where(~is_hot) for r in rows], keys).unionByName(
+        _slots_split([r.where(is_hot) for r in rows], keys))
+
+
+def _slots_stacked(rows: list[DataFrame], keys: list[str]) -> DataFrame:
+    """One shuffle by key; everything after it is keyed by ``keys``."""
+    n = len(rows)
+    stack = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                   [r.withColumn("_side", F.lit(i)) for i, r in enumerate(rows)]).repartition(*keys)
+    order = [c for c in stack.columns if c.startswith("_o")] + [f"_s{i}" for i in range(n)]
+    pos = F.row_number().over(Window.partitionBy(*keys, "_side").orderBy(*order)).cast("long")
+    w = Window.partitionBy(*keys).orderBy("_pos", "_side")
+    sofar = w.rowsBetween(Window.unboundedPreceding, 0)
+    last = {f"_last{i}": F.last(f"_s{i}", ignorenulls=True).over(sofar) for i in range(n)}
+    at = {f"_at{i}": F.coalesce(F.last(F.when(F.col("_side") == i, F.col("_pos")), ignorenulls=True).over(sofar) == F.col("_pos"),
+                                F.lit(False)) for i in range(n)}
+    # The last row of a slot has seen all files' rows there.
+    end = F.lead("_pos").over(w)
+    numbered = stack.withColumn("_pos", pos).withColumns({**last, **at, "_next": end})
+    return numbered.where("_next is null or _next > _pos").select(*keys, "_pos", *last, *at)
+
+
+def _slots_split(rows: list[DataFrame], keys: list[str]) -> DataFrame:
+    """The same slots for hot keys: numbered over range partitions, met by (key, number)."""
     sides = []
-    for rows, name, prefix in ((lrows, "_l", "_lo"), (rrows, "_r", "_ro")):
-        order = [c for c in rows.columns if c.startswith(prefix)] + [name]
-        sides.append(group_positions(rows, keys, order, "_pos", skew_safe=True).select(*keys, "_pos", name))
-    lp, rp = sides
-    rp = rp.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_pos").alias("_rpos"), "_r")
-    same = lambda a, b: reduce(and_, [a[k].eqNullSafe(b[f"_k{i}"]) for i, k in enumerate(keys)])
-    j = lp.join(rp, same(lp, rp) & (lp["_pos"] == rp["_rpos"]), "full")
-    has_l = F.col("_pos").isNotNull()
-    j = j.select(*[F.when(has_l, F.col(k)).otherwise(F.col(f"_k{i}")).alias(k) for i, k in enumerate(keys)],
-                 F.coalesce("_pos", "_rpos").alias("_pos"), "_l", "_r")
-    for rows, name in ((sides[0], "_l"), (sides[1], "_r")):
-        last = rows.groupBy(*keys).agg(F.max(F.struct("_pos", name)).alias("_end")).select(
-            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_end").getField(name).alias("_end"))
-        j = j.join(last, same(j, last), "left").select(
-            *j.columns, F.coalesce(F.col(name), F.col("_end")).alias(f"_last{name}"))
-    return j
+    for i, r in enumerate(rows):
+        order = [c for c in r.columns if c.startswith("_o")] + [f"_s{i}"]
+        sides.append(group_positions(r, keys, order, "_pos", skew_safe=True).select(*keys, "_pos", f"_s{i}"))
+    stack = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
+    j = stack.groupBy(*keys, "_pos").agg(*[F.max(f"_s{i}").alias(f"_s{i}") for i in range(len(rows))])
+    for i, side in enumerate(sides):
+        last = side.groupBy(*keys).agg(F.max(F.struct("_pos", f"_s{i}")).alias("_end")).select(
+            *[F.col(k).alias(f"_k{n}") for n, k in enumerate(keys)], F.col("_end").getField(f"_s{i}").alias("_end"))
+        same = reduce(and_, [j[k].eqNullSafe(last[f"_k{n}"]) for n, k in enumerate(keys)])
+        j = j.join(last, same, "left").select(*j.columns, F.coalesce(F.col(f"_s{i}"), F.col("_end")).alias(f"_last{i}"),
+                                              F.col(f"_s{i}").isNotNull().alias(f"_at{i}"))
+    n = len(rows)
+    return j.select(*keys, "_pos", *[f"_last{i}" for i in range(n)], *[f"_at{i}" for i in range(n)])

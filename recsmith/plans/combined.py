@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from recsmith.functions.blanks import is_blank
 from recsmith.functions.dates import open_date_text
 from recsmith.functions.strings import zero_pad
-from recsmith.operators.dedup import first_per_key, latest_per_key
+from recsmith.operators.dedup import first_record, latest_per_key, seq_of
 from recsmith.operators.joins import lookup
 from recsmith.operators.reshape import route
 from recsmith.sources.layout import Layout
@@ -60,8 +60,8 @@ def customer_part(cust: DataFrame) -> DataFrame:
         F.col("CUSTNO").alias("CUSTNOX"), *CUST_KEEP,
         *[zero_pad(src, 11).alias(dst) for dst, src in PHONES.items()],
         F.concat(*hrc).alias("HRCALL"),
-        open_date_text("CUSTOPENDATE").alias("OPENDT"))
-    return first_per_key(derived, "CUSTNOX")
+        open_date_text("CUSTOPENDATE").alias("OPENDT"), *seq_of(cust))
+    return first_record(derived, "CUSTNOX")
 
 
 def individual_part(indv: DataFrame) -> DataFrame:
@@ -76,8 +76,8 @@ def code_lookups(codes: DataFrame) -> dict[str, DataFrame]:
     out = {}
     for cat, col, desc, width in LOOKUPS:
         part = routed.filter(F.col("_cat") == cat).select(
-            F.rtrim(F.substring("DEMOCODE", 1, width)).alias(col), F.col("CODEDESC").alias(desc))
-        out[cat] = first_per_key(part, col)
+            F.rtrim(F.substring("DEMOCODE", 1, width)).alias(col), F.col("CODEDESC").alias(desc), *seq_of(codes))
+        out[cat] = first_record(part, col)
     return out
 
 

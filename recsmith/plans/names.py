@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recsmith.functions.strings import isin_padded
-from recsmith.operators.dedup import first_per_key
+from recsmith.operators.dedup import first_record
 from recsmith.operators.joins import inner_join, lookup
 from recsmith.sources.layout import Layout
 
@@ -17,6 +17,11 @@ NAME_IN_LAYOUT = Layout.of([
     ("SECPHONE", 74, 11), ("CUSTTYPE", 85, 1), ("CUSTNAME", 86, 40), ("MOBILEPHONE", 126, 11),
 ])
 
+REMARK_LAYOUT = Layout.of([
+    ("BANKNO", 1, 3), ("APPLCODE", 4, 5), ("CUSTNO", 9, 11), ("EFFDATE", 29, 15), ("RMKKEYWORD", 44, 8),
+    ("LONGNAME", 52, 150), ("RMKOPERATOR", 352, 8), ("EXPIREDATE", 360, 10), ("LASTMNTDATE", 370, 10),
+], lrecl=379)
+
 NAME_OUT_LAYOUT = Layout.of([
     ("CUSTNO", 1, 11), ("CUSTNAME", 12, 40), ("ADREFNO", 52, 11), ("PRIPHONE", 63, 11),
     ("SECPHONE", 74, 11), ("CUSTTYPE", 85, 1), ("CUSTNAME_2", 86, 40), ("MOBILEPHONE", 126, 11),
@@ -29,8 +34,8 @@ NAME_COLS = ["CUSTNO", "CUSTNAME", "ADREFNO", "PRIPHONE", "SECPHONE", "CUSTTYPE"
 def names_with_long_name(names: DataFrame, remarks: DataFrame,
                          name_order=("CUSTNAME",), remark_order=("EFFDATE",)) -> DataFrame:
     """First name record and first remark per customer, left merge."""
-    n = first_per_key(names.select(*NAME_COLS), "CUSTNO", list(name_order))
-    r = first_per_key(remarks.select("CUSTNO", "EFFDATE", "LONGNAME"), "CUSTNO", list(remark_order))
+    n = first_record(names, "CUSTNO", *NAME_COLS, otherwise=name_order)
+    r = first_record(remarks, "CUSTNO", "CUSTNO", "EFFDATE", "LONGNAME", otherwise=remark_order)
     out = lookup(n, r.select("CUSTNO", "LONGNAME"), "CUSTNO")
     return out.select(*NAME_COLS, F.coalesce("LONGNAME", F.lit("")).alias("LONGNAME"))
 
@@ -50,9 +55,9 @@ def deposit_addresses(ownership: DataFrame, addresses: DataFrame) -> DataFrame:
     """Deposit ownership records (application DP, account above the bound,
     first per account) joined with the address lines (first per account)."""
     own = ownership.filter(isin_padded("O_APPL_CODE", ["DP   "]) & (F.col("ACCTNO") > ACCOUNT_LOW))
-    own = first_per_key(own.select("ACCTNO", "O_APPL_CODE", *LINE_TYPES), "ACCTNO")
+    own = first_record(own, "ACCTNO", "ACCTNO", "O_APPL_CODE", *LINE_TYPES)
     adr = addresses.filter(F.col("ACCTNO") > ACCOUNT_LOW)
-    adr = first_per_key(adr.select("ACCTNO", *ADDR_LINES), "ACCTNO")
+    adr = first_record(adr, "ACCTNO", "ACCTNO", *ADDR_LINES)
     return inner_join(adr, own, "ACCTNO").select("O_APPL_CODE", "ACCTNO", *[
         c for i in range(8) for c in (LINE_TYPES[i], ADDR_LINES[i])])
 

@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from recsmith.functions.blanks import is_blank
 from recsmith.functions.dates import format_date
 from recsmith.functions.strings import zero_pad
-from recsmith.operators.dedup import all_duplicates, first_per_key
+from recsmith.operators.dedup import all_duplicates, first_per_key, first_record, seq_of
 from recsmith.operators.filters import not_expired
 from recsmith.operators.joins import lookup, match_merge
 from recsmith.session import materialize
 from recsmith.sources.layout import Layout
+from recsmith.sources.readers import SEQ
 
 # Both-sides / search record (300 bytes).
 BOTH_LAYOUT = Layout.of([
@@ -39,11 +40,16 @@ KEY_WIDTH = 150
 
 
 def _merge_aliases(rel: DataFrame, aliases: DataFrame, party: str, side: str,
-                   order: list[str]) -> DataFrame:
-    """Alias file by position (aliases are not unique per customer)."""
-    a = aliases.select(F.col("CUSTNO").alias(party), F.col("ALIAS").alias("ALIAS" + side))
-    return match_merge(rel, a, party, order, ["ALIAS" + side], keep="left") \
-        .drop("slot", "in_left", "in_right")
+                   order: list[str], histogram: DataFrame) -> DataFrame:
+    """Alias file by position (aliases are not unique per customer), in its input order.
+    ``ALIASNO<side>``: the position, if the relationships carry their input order."""
+    a = aliases.select(F.col("CUSTNO").alias(party), F.col("ALIAS").alias("ALIAS" + side),
+                       *[F.col(c).alias("_aseq" + side) for c in seq_of(aliases)])
+    parties = histogram.select(party).union(a.select(party))
+    merged = match_merge(rel, a, party, order, ["_aseq" + side] if seq_of(aliases) else ["ALIAS" + side], keep="left",
+                         histogram=parties)
+    merged = merged.withColumnRenamed("slot", "ALIASNO" + side) if seq_of(rel) else merged.drop("slot")
+    return merged.drop("in_left", "in_right", "_aseq" + side)
 
 
 def _lookup_side(rel: DataFrame, party: str, code: str, side: str, codes: DataFrame,
@@ -73,15 +79,21 @@ def enrich_both_sides(rel: DataFrame, codes: DataFrame, names: DataFrame, aliase
     others from CUSTNO1: they never break a tie, and the order is (CODE2,
     CUSTNO1, CODE1, EFFDATE, ALIAS1). Both positional merges therefore run
     on the narrow relationship rows, and the left lookups (which keep every
-    row) are added afterwards."""
+    row) are added afterwards. Frames read from record files with their
+    sequence are ordered by it where the specification keeps input order."""
     rel = rel.filter(is_blank("EXPDATE1")).select(
-        F.col("CUSTNO").alias("CUSTNO1"), F.col("CUST2").alias("CUSTNO2"), "CODE1", "CODE2", "EFFDATE")
-    codes_u = first_per_key(codes.select("CODE", "DESC"), "CODE")
-    names_u = first_per_key(names.select("CUSTNO", "INDORG", "CUSTNAME"), "CUSTNO")
-    cust_u = first_per_key(customers.select("CUSTNO", "OLDIC", "BASICGRPCODE"), "CUSTNO")
-    merged = _merge_aliases(rel, aliases, "CUSTNO1", "1", ["CODE1", "CUSTNO2", "CODE2", "EFFDATE"])
-    merged = _merge_aliases(merged, aliases, "CUSTNO2", "2",
-                            ["CODE2", "CUSTNO1", "CODE1", "EFFDATE", "ALIAS1"])
+        F.col("CUSTNO").alias("CUSTNO1"), F.col("CUST2").alias("CUSTNO2"), "CODE1", "CODE2", "EFFDATE", *seq_of(rel))
+    codes_u = first_record(codes, "CODE", "CODE", "DESC")
+    names_u = first_record(names, "CUSTNO", "CUSTNO", "INDORG", "CUSTNAME")
+    cust_u = first_record(customers, "CUSTNO", "CUSTNO", "OLDIC", "BASICGRPCODE")
+    # Records are sorted by code, then by customer, each sort keeping what stood before: within
+    # a customer by code, then as read; on the second side by its code, then in the
+    # order the first side was written in.
+    first, second = ["CODE1", "CUSTNO2", "CODE2", "EFFDATE"], ["CODE2", "CUSTNO1", "CODE1", "EFFDATE", "ALIAS1"]
+    if seq_of(rel):
+        first, second = ["CODE1", SEQ], ["CODE2", "CUSTNO1", "CODE1", SEQ, "ALIASNO1"]
+    merged = _merge_aliases(rel, aliases, "CUSTNO1", "1", first, rel)
+    merged = _merge_aliases(merged, aliases, "CUSTNO2", "2", second, rel)
     both = _lookup_side(merged, "CUSTNO1", "CODE1", "1", codes_u, names_u, cust_u)
     both = _lookup_side(both, "CUSTNO2", "CODE2", "2", codes_u, names_u, cust_u)
     text = {c: F.coalesce(F.col(c), F.lit("")) for c in

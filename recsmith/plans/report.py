@@ -20,6 +20,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +31,8 @@ from recsmith.functions.numbers import MONEY, cents_to_units, nonzero_or_zero, p
 from recsmith.functions.rules import (bank_indicator, deposit_appl_code, loan_appl_code, loan_status,
                                       open_indicator_status)
 from recsmith.functions.strings import zero_pad
-from recsmith.operators.dedup import first_per_key
-from recsmith.operators.joins import inner_join, lookup, match_merge, overlay_merge
+from recsmith.operators.dedup import first_per_key, first_record, in_order, seq_of
+from recsmith.operators.joins import inner_join, lookup, match_merge, merge_files, overlay_merge
 from recsmith.operators.positions import global_row_number
 from recsmith.operators.reshape import union_widen
 from recsmith.session import materialize
@@ -85,19 +87,20 @@ def requested_customers(requests: DataFrame, cust: DataFrame) -> DataFrame:
 
 def describe(custs: DataFrame, occup: DataFrame, masco: DataFrame, msic: DataFrame) -> DataFrame:
     """The code tables' texts; customers carry OCCUP, MASCO2008 and MSICCODE."""
-    occup = occup.select(F.col("DEMOCODE").alias("OCCUP"), "DEMODESC")
-    out = lookup(custs, first_per_key(occup, "OCCUP"), "OCCUP")
-    out = lookup(out, first_per_key(masco.select("MASCO2008", "MASCODESC"), "MASCO2008"), "MASCO2008")
-    return lookup(out, first_per_key(msic.select("MSICCODE", "MSICDESC"), "MSICCODE"), "MSICCODE")
+    occup = first_record(occup.withColumnRenamed("DEMOCODE", "OCCUP"), "OCCUP", "OCCUP", "DEMODESC")
+    out = lookup(custs, occup, "OCCUP")
+    out = lookup(out, first_record(masco, "MASCO2008", "MASCO2008", "MASCODESC"), "MASCO2008")
+    return lookup(out, first_record(msic, "MSICCODE", "MSICCODE", "MSICDESC"), "MSICCODE")
 
 
 def with_safe_boxes(custs: DataFrame, boxes: DataFrame) -> DataFrame:
     """Customers merged by position with the boxes of their alias, one row per
     account (the first by alias and position)."""
     b = boxes.select("ALIAS", "BRANCH_ABBR", "BANKINDC", "ACCTSTATUS", F.lit(0).cast(MONEY).alias("LEDGERBAL"),
-                     F.lit("SDB").alias("APPL_CODE"))
-    m = match_merge(custs, b, "ALIAS", ["MSICCODE", "MASCO2008", "OCCUP", "ALIASKEY", "ACCTNOC"], ["BRANCH_ABBR"],
-                    keep="left")
+                     F.lit("SDB").alias("APPL_CODE"), *[F.col(c).alias("_bseq") for c in seq_of(boxes)])
+    # The customers were sorted by each code in turn, then by alias; the boxes as read.
+    m = match_merge(custs, b, "ALIAS", ["MSICCODE", "MASCO2008", "OCCUP", "ALIASKEY", *in_order(custs, "ACCTNOC")],
+                    ["_bseq"] if seq_of(boxes) else ["BRANCH_ABBR"], keep="left").drop("_bseq")
     m = m.withColumns({
         "SDBIND": F.when(F.col("in_right"), F.lit("YES")).otherwise(F.lit("NIL")),
         "SDBBRH": F.when(F.col("in_right"), F.substring("BRANCH_ABBR", 1, 3)).otherwise(F.lit("NIL")),
@@ -106,7 +109,7 @@ def with_safe_boxes(custs: DataFrame, boxes: DataFrame) -> DataFrame:
 
 
 def with_branch(accounts: DataFrame, branches: DataFrame) -> DataFrame:
-    return lookup(accounts, first_per_key(branches.select("ACCTBRCH", "BRANCH_ABBR"), "ACCTBRCH"), "ACCTBRCH")
+    return lookup(accounts, first_record(branches, "ACCTBRCH", "ACCTBRCH", "BRANCH_ABBR"), "ACCTBRCH")
 
 
 def deposit_accounts(dp: DataFrame) -> DataFrame:
@@ -124,8 +127,8 @@ def deposit_accounts(dp: DataFrame) -> DataFrame:
         packed_mmddyyyy_to_yyyymmdd("OPENDATE").alias("DATEOPEN"),
         packed_mmddyyyy_to_yyyymmdd("CLSEDATE").alias("DATECLSE"),
         cents_to_units("LEDGERBAL1").alias("LEDGERBAL"),
-        F.col("CURBAL").cast(MONEY).alias("CURBAL"))
-    return first_per_key(out, "ACCTNOC")
+        F.col("CURBAL").cast(MONEY).alias("CURBAL"), *seq_of(dp))
+    return first_record(out, "ACCTNOC")
 
 
 def loan_accounts(ln: DataFrame) -> DataFrame:
@@ -141,19 +144,19 @@ def loan_accounts(ln: DataFrame) -> DataFrame:
         packed_mmddyyyy_to_yyyymmdd("ACCTOPENDATE").alias("DATEOPEN"),
         packed_mmddyyyy_to_yyyymmdd("LASTTRANDATE").alias("DATECLSE"),
         cents_to_units("NOTECURBAL").alias("LEDGERBAL"),
-        zero_pad(cc, 3).alias("ACCTBRCH"))
-    return first_per_key(out, "ACCTNOC")
+        zero_pad(cc, 3).alias("ACCTBRCH"), *seq_of(ln))
+    return first_record(out, "ACCTNOC")
 
 
 def box_accounts(boxes: DataFrame) -> DataFrame:
     """Safe boxes as products: their own customer number wins."""
-    return first_per_key(boxes.select("ACCTNOC", "CUSTNO", F.rtrim(F.substring("BRANCH_ABBR", 1, 5)).alias("BRANCH_ABBR"),
-                                      "BANKINDC", "ACCTSTATUS", F.lit(0).cast(MONEY).alias("LEDGERBAL"),
-                                      F.lit("SDB").alias("APPL_CODE")), "ACCTNOC")
+    return first_record(boxes.select("ACCTNOC", "CUSTNO", F.rtrim(F.substring("BRANCH_ABBR", 1, 5)).alias("BRANCH_ABBR"),
+                                     "BANKINDC", "ACCTSTATUS", F.lit(0).cast(MONEY).alias("LEDGERBAL"),
+                                     F.lit("SDB").alias("APPL_CODE"), *seq_of(boxes)), "ACCTNOC")
 
 
 def card_accounts(cards: DataFrame) -> DataFrame:
-    return first_per_key(cards.select("ACCTNOC", "BRANCH_ABBR", "ACCTSTATUS", "DATEOPEN", "DATECLSE"), "ACCTNOC")
+    return first_record(cards, "ACCTNOC", "ACCTNOC", "BRANCH_ABBR", "ACCTSTATUS", "DATEOPEN", "DATECLSE")
 
 
 def merged_products(custs: DataFrame, products: list[DataFrame]) -> list[DataFrame]:
@@ -164,14 +167,18 @@ def merged_products(custs: DataFrame, products: list[DataFrame]) -> list[DataFra
 
 
 def with_details(deposits: DataFrame, stmt: DataFrame, post: DataFrame, holds: DataFrame) -> DataFrame:
-    """Statement cycle, post indicator and holds of deposit accounts, each merged by
-    position: an account may have several rows in any of them."""
+    """Statement cycle, post indicator and holds of deposit accounts, merged by position in
+    one shuffle: an account may have several rows in any of them."""
     key = zero_pad("ACCTNO", 11).alias("ACCTNOC")
-    out = deposits
-    for d in (stmt.select(key, *CYCLES, *CYCLE_AMOUNTS), post.select("ACCTNOC", "ACCT_PST_IND", "ACCT_PST_REASON"),
-              holds.select(key, "TOT_HOLD", *[f"{c}_{i}" for c in ("SEQID", "AMT", "DESC", "SOURCE") for i in (1, 2, 3)])):
-        out = match_merge(out, d, "ACCTNOC", [], [], keep="left").drop("slot", "in_left", "in_right")
-    return out
+    details = [stmt.select(key, *CYCLES, *CYCLE_AMOUNTS, *[F.col(c).alias("_seq1") for c in seq_of(stmt)]),
+               post.select("ACCTNOC", "ACCT_PST_IND", "ACCT_PST_REASON", *[F.col(c).alias("_seq2") for c in seq_of(post)]),
+               holds.select(key, "TOT_HOLD", *[f"{c}_{i}" for c in ("SEQID", "AMT", "DESC", "SOURCE") for i in (1, 2, 3)],
+                            *[F.col(c).alias("_seq3") for c in seq_of(holds)])]
+    orders = [[c for c in d.columns if c.startswith("_seq")] for d in details]
+    # Deposits are one row an account: the details alone say which accounts are hot.
+    accounts = reduce(DataFrame.union, [d.select("ACCTNOC") for d in details])
+    out = merge_files([deposits, *details], "ACCTNOC", [[], *orders], histogram=accounts)
+    return out.drop("slot", "_seq1", "_seq2", "_seq3")
 
 
 def raw_records(products: list[DataFrame]) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from recsmith.functions.numbers import copy_when
 from recsmith.functions.rules import match_id
-from recsmith.operators.dedup import union_distinct
+from recsmith.operators.dedup import seq_of, union_distinct
 from recsmith.operators.joins import flag_join, match_merge
 from recsmith.sources.layout import Layout
 
@@ -32,8 +32,10 @@ def tax_matches(old: DataFrame, new: DataFrame, watch: DataFrame) -> DataFrame:
     """``old``: CUSTNO, INDORG, OLDIC, CUSTBRCH; ``new``: CUSTNO, NEWIC;
     ``watch``: ID1, ID2."""
     ids = watch_ids(watch)
-    tax = match_merge(old.select("CUSTNO", "INDORG", "OLDIC", "CUSTBRCH"), new.select("CUSTNO", "NEWIC"), "CUSTNO",
-                      ["INDORG", "OLDIC", "CUSTBRCH"], ["NEWIC"], keep="left").drop("slot", "in_left", "in_right")
+    old = old.select("CUSTNO", "INDORG", "OLDIC", "CUSTBRCH", *[F.col(c).alias("_oseq") for c in seq_of(old)])
+    new = new.select("CUSTNO", "NEWIC", *[F.col(c).alias("_nseq") for c in seq_of(new)])
+    tax = match_merge(old, new, "CUSTNO", ["_oseq"] if "_oseq" in old.columns else ["INDORG", "OLDIC", "CUSTBRCH"],
+                      ["_nseq"] if "_nseq" in new.columns else ["NEWIC"], keep="left").drop("slot", "in_left", "in_right")
     tax = tax.withColumns({
         "NEWIC": F.coalesce("NEWIC", F.lit("")),
         "BUSREG": F.coalesce(copy_when(F.col("INDORG") == "O", "NEWIC"), F.lit("")),

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recsmith.sources.layout import Layout
+from recsmith.sources.readers import qualified
+from recsmith.sources.recordfile import RecordFiles
 from recsmith.operators.positions import global_row_number
 
 
@@ -45,6 +47,14 @@ def write_lines(df: DataFrame, path: str, col: str = "value", mode: str = "overw
     df.select(col).write.mode(mode).text(path)
 
 
+def write_records(df: DataFrame, path: str, col: str = "value") -> None:
+    """Binary records, one after the other, as parts in partition order; the parts of
+    this run replace those of an earlier one when it is committed."""
+    spark = df.sparkSession
+    spark.dataSource.register(RecordFiles)
+    df.select(F.col(col).alias("value")).write.format("records").mode("append").option("path", qualified(spark, path)).save()
+
+
 def with_header(body: DataFrame, header_line: str, order: Sequence, name: str = "value",
                 line_col: str = "line_no") -> DataFrame:
     """SNK-05/06, WIN-02: a header line followed by the body in ``order``.

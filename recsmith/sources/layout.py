@@ -77,6 +77,19 @@ class Layout:
             return F.try_to_date(F.trim(raw), f.pattern)
         raise ValueError(f"unknown field kind {f.kind!r}")
 
+    def raw_expr(self, f: Field, raw: Column) -> Column:
+        """Value of a field from what the binary record source gives for it."""
+        if f.kind == "c":
+            return clean_text(raw)
+        if f.kind in ("n", "z"):
+            return display_number(raw, f.width, f.scale)
+        if f.kind == "p":
+            number = raw.try_cast("decimal(38,0)")
+            return (number / F.lit(10 ** f.scale)).try_cast(f"decimal(38,{f.scale})") if f.scale else raw.try_cast("long")
+        if f.kind == "d":
+            return F.try_to_date(F.trim(raw), f.pattern)
+        raise ValueError(f"no binary field kind {f.kind!r}")
+
     def decode(self, df: DataFrame, record: str = "value", keep: Sequence[str] = (),
                binary: bool = False) -> DataFrame:
         exprs: dict[str, Column] = {}
@@ -164,6 +177,29 @@ class Layout:
         return line
 
 
+def binary_record(layout: Layout, values: dict[str, Column] | None = None) -> Column:
+    """SNK-04 for binary records: fields at their byte positions, packed decimals as bytes
+    (missing: positive zero), gaps blank. A packed number too wide for its field is an error."""
+    values, parts, pos = values or {}, [], 1
+    for f in sorted(layout.fields, key=lambda x: x.start):
+        if f.start < pos:
+            raise ValueError(f"field {f.name} overlaps the previous field")
+        if f.start > pos:
+            parts.append(F.lit(" " * (f.start - pos)).cast("binary"))
+        value = values.get(f.name, F.col(f.name))
+        if f.kind == "p":
+            text = F.coalesce(pack_hex(value, f.width, f.scale), F.lit("0" * (2 * f.width - 1) + "C"))
+            wide = F.length(text) > 2 * f.width
+            parts.append(F.unhex(F.when(wide, F.raise_error(F.lit(f"{f.name} does not fit {f.width} packed bytes")))
+                                 .otherwise(text)))
+        else:
+            # Widths are bytes: text of several bytes a character is cut or padded by bytes.
+            parts.append(F.rpad(layout.format_field(f, value).cast("binary"), f.width, F.lit(" ").cast("binary")))
+        pos = f.start + f.width
+    line = F.concat(*parts)
+    return F.rpad(line, layout.lrecl, F.lit(" ").cast("binary")) if layout.lrecl else line
+
+
 def display_number(raw: Column, width: int, scale: int = 0) -> Column:
     """Display numeric text -> number. Text with a decimal point is taken as
     written; otherwise ``scale`` implied decimals are applied."""

@@ -1,17 +1,28 @@
 """Readers (SRC-*). All return lazy DataFrames; nothing is collected except the
-one-row control date."""
+one-row control date.
+
+Record sequence: readers of files take ``sequence=<column>`` and then carry where each
+record stands in the input, as a struct that sorts in input order: number of the
+path as given, file name, first byte of the split, place inside the split. Splits
+are read in parallel and in any order; the struct says which record came first."""
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from typing import Iterable, Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from recsmith.session import materialize
 from recsmith.sources.layout import Layout
+from recsmith.sources.recordfile import LONG_BYTES, SEQUENCE, RecordFiles
+
+# The sequence column of frames that readers and plans pass on.
+SEQ = "_seq"
 
 
 class Catalog:
@@ -78,24 +89,77 @@ def control_date(df: DataFrame, y: str = "YY", m: str = "MM", d: str = "DD") ->
     return row[0]["d"]
 
 
-def read_fixed_text(spark: SparkSession, path: str | Sequence[str], layout: Layout
-                    ) -> DataFrame:
+def _located(scan: DataFrame, number: int, columns: Sequence[str], sequence: str) -> DataFrame:
+    """A file scan with its record sequence. The generated id grows along a split, as
+    a split is read by one task from its first record to its last."""
+    return scan.select(*columns, F.struct(
+        F.lit(number).alias("input"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias(sequence))
+
+
+def _each_path(path: str | Sequence[str], scan, columns: Sequence[str], sequence: str | None) -> DataFrame:
+    """One scan of all paths, or one per path where the sequence must tell them apart."""
+    paths = [path] if isinstance(path, str) else list(path)
+    if sequence is None:
+        return scan(paths)
+    return union_inputs(_located(scan([p]), i, columns, sequence) for i, p in enumerate(paths))
+
+
+def read_lines(spark: SparkSession, path: str | Sequence[str], sequence: str | None = None) -> DataFrame:
+    """Text lines as ``value``, with their sequence."""
+    return _each_path(path, spark.read.text, ["value"], sequence)
+
+
+def record_numbers(df: DataFrame, sequence: str = SEQ, name: str = "line_no") -> DataFrame:
+    """1-based record number in input order of a frame that a reader gave with its
+    sequence and of which no row was dropped. Records are numbered inside their split;
+    one row per split is summed up and broadcast. Nothing is sorted or shuffled. The frame is
+    stored once, so that both passes see the same ids."""
+    rows = materialize(df, "records")
+    s = F.col(sequence)
+    splits = rows.groupBy(s["input"].alias("_i"), s["file"].alias("_f"), s["block"].alias("_b")).agg(
+        F.min(s["row"]).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_i", "_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("_i", "_f", "_b", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    here = (s["input"] == F.col("_i")) & (s["file"] == F.col("_f")) & (s["block"] == F.col("_b"))
+    out = rows.join(F.broadcast(splits), here)
+    return out.select(*df.columns, (F.col("_off") + s["row"] - F.col("_first") + 1).alias(name))
+
+
+def read_fixed_text(spark: SparkSession, path: str | Sequence[str], layout: Layout,
+                    sequence: str | None = None) -> DataFrame:
     """SRC-04/05/07/08/10: fixed-width text records decoded by a Layout.
     Text files split on line boundaries, so the scan is fully parallel."""
+    return layout.decode(read_lines(spark, path, sequence), keep=[sequence] if sequence else [])
+
+
+def read_fixed_binary(spark: SparkSession, path: str | Sequence[str], lrecl: int, layout: Layout,
+                      columns: Sequence[str] | None = None, where: dict[str, Sequence] | None = None,
+                      sequence: str | None = None, split: int | None = None) -> DataFrame:
+    """SRC-06/11: fixed-length binary records (packed decimals).
+
+    The reader splits files on record boundaries and decodes only ``columns``.
+    ``where`` is the record-type test: accepted values per header field (packed numbers
+    unscaled); the other fields of records that fail it are not decoded. ``split``: bytes of a split."""
+    wanted = [n for n in layout.names if columns is None or n in columns]
+    # Of a name declared twice the later field counts.
+    last = {f.name: f for f in layout.fields}
+    raw = {n: "string" if last[n].kind != "p" or last[n].width > LONG_BYTES else "long" for n in wanted}
+    schema = ", ".join([f"`{n}` {t}" for n, t in raw.items()] + [f"`{sequence}` struct<{SEQUENCE}>"] * bool(sequence))
     paths = [path] if isinstance(path, str) else list(path)
-    return layout.decode(spark.read.text(paths))
-
+    spark.dataSource.register(RecordFiles)
+    scan = (spark.read.format("records").schema(schema).option("paths", json.dumps([qualified(spark, p) for p in paths]))
+            .option("lrecl", lrecl).option("fields", json.dumps([(f.name, f.start, f.width, f.kind) for f in last.values()]))
+            .option("where", json.dumps({k: list(v) for k, v in (where or {}).items()})))
+    if split:
+        scan = scan.option("split", split)
+    return scan.load().select(*[layout.raw_expr(last[n], F.col(n)).alias(n) for n in wanted], *([sequence] if sequence else []))
 
-def read_fixed_binary(spark: SparkSession, path: str, lrecl: int, layout: Layout
-                      ) -> DataFrame:
-    """SRC-06: fixed-length binary records (packed decimals).
 
-    Hadoop's fixed-length record reader splits files on record boundaries;
-    each record becomes one ``binary`` value and all fields are decoded by
-    JVM expressions (``substring`` / ``hex``). Spark has no splitting
-    DataFrame source for such files, so this reader alone starts from an RDD."""
-    records = spark.sparkContext.binaryRecords(path, lrecl).mapPartitions(zip)
-    return layout.decode(spark.createDataFrame(records, "value binary", verifySchema=False), binary=True)
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of its file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
 
 
 def decode_when(df: DataFrame, header: Layout, predicate, body: Layout,
@@ -111,16 +175,16 @@ def decode_when(df: DataFrame, header: Layout, predicate, body: Layout,
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str],
                    sep: str = ";", max_width: dict[str, int] | None = None,
-                   quote: str = '"') -> DataFrame:
+                   quote: str = '"', sequence: str | None = None) -> DataFrame:
     """SRC-09/10: delimited, quoted text; short rows give missing trailing
     fields (PERMISSIVE); values are cut to their declared width."""
     schema = ", ".join(f"`{c}` string" for c in columns)
-    df = (spark.read.schema(schema).option("sep", sep).option("quote", quote)
-          .option("mode", "PERMISSIVE").csv(path))
+    df = _each_path(path, spark.read.schema(schema).option("sep", sep).option("quote", quote)
+                    .option("mode", "PERMISSIVE").csv, columns, sequence)
     widths = max_width or {}
     return df.select(*[F.coalesce(F.rtrim(F.substring(F.col(c), 1, widths[c]) if c in widths
                                            else F.col(c)), F.lit("")).alias(c)
-                       for c in columns])
+                       for c in columns], *([sequence] if sequence else []))
 
 
 def union_inputs(dfs: Iterable[DataFrame]) -> DataFrame:
