@@ -10,7 +10,7 @@ from recsmith.plans.owners import account_owners
 from recsmith.session import scratch_path
 
 
-@query("owners", "PIPE-06 CLS-01 FLT-01 PRJ-10 SET-04 JON-01 DED-06", sql=f"""
+OWNERS_SQL = f"""
 WITH ca AS (
   SELECT CASE WHEN substr(ACCTNOC, 1, 2) IN ('02', '08') THEN 'LN'
               WHEN substr(ACCTNOC, 1, 2) IN ('01', '03', '04', '05', '06', '07') THEN 'DP'
@@ -23,7 +23,10 @@ cc AS (SELECT CUST1 AS CUSTNO, CODE1, CUST2 AS CUSTNO2, CODE2 FROM e
        SELECT CUST2 AS CUSTNO, CODE2 AS CODE1, CUST1 AS CUSTNO2, CODE1 AS CODE2 FROM e)
 SELECT DISTINCT ca.ACCTCODE, ca.ACCTNOC, ca.RLENCODE, ca.CUSTNO, cc.CODE1, cc.CUSTNO2, cc.CODE2
 FROM ca JOIN cc ON ca.CUSTNO = cc.CUSTNO
-""")
+"""
+
+
+@query("owners", "PIPE-06 CLS-01 FLT-01 PRJ-10 SET-04 JON-01 DED-06", sql=OWNERS_SQL)
 def owners(spark, sf):
     return account_owners(roles.account_rel(spark, sf), roles.cust_rel(spark, sf))
 
@@ -211,18 +214,26 @@ RALIAS_SQL = "SELECT CAST(o_custkey AS VARCHAR) AS CUSTNO, 'AL' || CAST(o_orderk
 
 
 def _rel_inputs(spark, sf):
+    rel, codes, names, aliases, cust = rel_inputs(spark, sf)
+    return rel.drop("K"), codes, names, aliases.drop("K"), cust
+
+
+def rel_inputs(spark, sf):
+    """``K``: the account a relationship or alias comes from."""
     o = table(spark, sf, "orders")
     c = table(spark, sf, "customer")
     rel = o.select(o.o_custkey.cast("string").alias("CUSTNO"), ((o.o_orderkey * 7) % table(spark, sf, "customer").count()).cast("string").alias("CUST2"),
                    (o.o_orderkey % 30).cast("int").alias("CODE1"), (o.o_custkey % 30).cast("int").alias("CODE2"),
                    F.date_format("o_orderdate", "yyyyMMdd").cast("long").alias("EFFDATE"),
-                   F.when(o.o_orderkey % 10 == 0, F.lit("2001-01-01")).otherwise(F.lit("")).alias("EXPDATE1"))
+                   F.when(o.o_orderkey % 10 == 0, F.lit("2001-01-01")).otherwise(F.lit("")).alias("EXPDATE1"),
+                   F.col("o_orderkey").alias("K"))
     codes = table(spark, sf, "nation").select(F.col("n_nationkey").alias("CODE"), F.col("n_name").alias("DESC"))
     names = c.select(c.c_custkey.cast("string").alias("CUSTNO"),
                      F.when(c.c_mktsegment == "BUILDING", F.lit("O")).otherwise(F.lit("I")).alias("INDORG"),
                      F.col("c_name").alias("CUSTNAME"))
     aliases = o.filter(o.o_orderstatus == "P").select(
-        o.o_custkey.cast("string").alias("CUSTNO"), F.concat(F.lit("AL"), o.o_orderkey.cast("string")).alias("ALIAS"))
+        o.o_custkey.cast("string").alias("CUSTNO"), F.concat(F.lit("AL"), o.o_orderkey.cast("string")).alias("ALIAS"),
+        F.col("o_orderkey").alias("K"))
     cust = c.select(c.c_custkey.cast("string").alias("CUSTNO"), F.lpad((c.c_custkey * 7).cast("string"), 9, "0").alias("OLDIC"),
                     F.substring("c_mktsegment", 1, 3).alias("BASICGRPCODE"))
     return rel, codes, names, aliases, cust
@@ -700,6 +711,22 @@ def _card_sql(n, abbr):
   strftime(o_orderdate, '%Y%m%d') AS DATEOPEN, '' AS DATECLSE FROM orders WHERE o_orderkey % {n} = 0"""
 
 
+def deposit_inputs(spark, sf):
+    """Rows of the deposit file."""
+    o = table(spark, sf, "orders")
+    k = o.o_orderkey
+    acct_num = (k % 9 + 1) * F.lit(1000000000) + k
+    prefix = F.substring(roles.acct_no(), 1, 2)
+    cents = (money("o_totalprice") * 100).cast("long")
+    price = lambda less: (money("o_totalprice") - less).cast("decimal(18,2)")
+    return o.filter(prefix.isin("01", "03", "04", "05", "06", "07", "09")).select(
+        acct_num.alias("ACCTNO"), (o.o_custkey % 500).alias("PRODTYPE"), (k % 5000).alias("COSTCTR"),
+        _openind().alias("OPENIND"), (o.o_custkey % 200).alias("ACCTBRCH1"),
+        F.when(k % 23 == 0, F.lit("")).otherwise(F.lit("P")).alias("PURPOSECD"),
+        cents.alias("LEDGERBAL1"), price(150000).alias("CURBAL"), _packed_date().alias("OPENDATE"),
+        F.when(k % 3 == 0, F.lit(0).cast("long")).otherwise(_packed_date()).alias("CLSEDATE"))
+
+
 def _report_products(spark, sf):
     """The merged products of the customer report over the role inputs."""
     o = table(spark, sf, "orders")
@@ -732,13 +759,7 @@ def _report_products(spark, sf):
     branches = n.select(F.lpad((F.col("n_nationkey") * 7).cast("string"), 3, "0").alias("ACCTBRCH"),
                         F.substring("n_name", 1, 5).alias("BRANCH_ABBR"))
     cents = (money("o_totalprice") * 100).cast("long")
-    price = lambda less: (money("o_totalprice") - less).cast("decimal(18,2)")
-    dp = o.filter(prefix.isin("01", "03", "04", "05", "06", "07", "09")).select(
-        acct_num.alias("ACCTNO"), (o.o_custkey % 500).alias("PRODTYPE"), (k % 5000).alias("COSTCTR"),
-        _openind().alias("OPENIND"), (o.o_custkey % 200).alias("ACCTBRCH1"),
-        F.when(k % 23 == 0, F.lit("")).otherwise(F.lit("P")).alias("PURPOSECD"),
-        cents.alias("LEDGERBAL1"), price(150000).alias("CURBAL"), _packed_date().alias("OPENDATE"),
-        F.when(k % 3 == 0, F.lit(0).cast("long")).otherwise(_packed_date()).alias("CLSEDATE"))
+    dp = deposit_inputs(spark, sf)
     ln = o.filter(prefix.isin("02", "08")).select(
         acct_num.alias("ACCTNO"), (k % 5000).alias("COSTCENTER"),
         F.when(k % 4 == 0, F.lit("3")).otherwise(F.lit("0")).alias("NPLINDC"),

@@ -9,7 +9,7 @@ one frame: a verify report (header line + old/new values) and an update file.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recsmith.functions.numbers import first_matching_source
@@ -70,8 +70,12 @@ def repaired(lines: DataFrame, elements: DataFrame) -> DataFrame:
         .filter(F.col("NEW_ZIP") != "")
 
 
+def update_record() -> Column:
+    return UPDATE_LAYOUT.render_expr({"NEW_CITY": F.upper("NEW_CITY")})
+
+
 def update_records(rep: DataFrame) -> DataFrame:
-    return rep.select(UPDATE_LAYOUT.render_expr({"NEW_CITY": F.upper("NEW_CITY")}).alias("value"))
+    return rep.select(update_record().alias("value"))
 
 
 def verify_report(rep: DataFrame) -> DataFrame:

@@ -45,6 +45,13 @@ ACCOUNT_LOW = "010000000000"
 LINE_TYPES = [f"NA_LINE_TYP{i}" for i in range(1, 9)]
 ADDR_LINES = [f"ADD_NAME_{i}" for i in range(1, 9)]
 
+# Input records of the job: ownership (binary, packed decimals) and address lines.
+OWNERSHIP_LAYOUT = Layout.of(
+    [("HOLD_CO_NO", 1, 2, "p"), ("BANK_NO", 3, 2, "p"), ("REF_NO", 5, 6, "p"), ("EFF_DATE", 11, 5, "p"), ("O_HOLD_CO_NO", 16, 2, "p"),
+     ("O_BANK_NO", 18, 2, "p"), ("O_APPL_CODE", 20, 5), ("ACCTNO", 25, 11), ("O_REC_TYPE", 45, 2, "p"), ("PROCESS_TIME", 47, 8),
+     ("HIST_IND", 55, 1), ("NA_SAME", 56, 1)] + [(t, 57 + i, 1) for i, t in enumerate(LINE_TYPES)] + [("NA_FUTUR_IND", 65, 1)], lrecl=65)
+ADDRESS_LAYOUT = Layout.of([("ACCTNO", 1, 11)] + [(a, 12 + 40 * i, 40 - (i == 7)) for i, a in enumerate(ADDR_LINES)], lrecl=330)
+
 DEPOSIT_ADDR_LAYOUT = Layout.of(
     [("O_APPL_CODE", 1, 5), ("ACCTNO", 6, 20)]
     + [f for i in range(8) for f in ((LINE_TYPES[i], 26 + 41 * i, 1), (ADDR_LINES[i], 27 + 41 * i, 40))],

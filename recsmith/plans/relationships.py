@@ -32,6 +32,14 @@ BOTH_LAYOUT = Layout.of([
     ("EFFDATE", 242, 8),
 ], lrecl=300)
 
+# Input records of the job: relationships (binary, packed decimals), and the text files it looks up.
+REL_LAYOUT = Layout.of([("CUSTNO", 5, 11), ("EFFDATE", 32, 5, "p"), ("CUST2", 46, 11), ("CODE1", 66, 2, "p"),
+                        ("CODE2", 68, 2, "p"), ("EXPDATE1", 81, 10)], lrecl=90)
+CODE_LAYOUT = Layout.of([("TYPE", 5, 2), ("CODE", 10, 3, "n"), ("DESC", 40, 15)], lrecl=54)
+CUSTOMER_LAYOUT = Layout.of([("CUSTNO", 5, 11), ("OLDIC", 36, 9), ("BASICGRPCODE", 242, 3)], lrecl=244)
+NAME_LAYOUT = Layout.of([("CUSTNO", 5, 11), ("INDORG", 52, 1), ("CUSTNAME", 89, 40)], lrecl=128)
+ALIAS_LAYOUT = Layout.of([("CUSTNO", 5, 11), ("ALIAS", 89, 20)], lrecl=108)
+
 SIDE_PAIRS = [("CUSTNO1", "CUSTNO2"), ("INDORG1", "INDORG2"), ("CODE1", "CODE2"),
               ("DESC1", "DESC2"), ("CUSTNAME1", "CUSTNAME2"), ("ALIAS1", "ALIAS2"),
               ("OLDIC1", "OLDIC2"), ("BASICGRPCODE1", "BASICGRPCODE2")]

@@ -70,6 +70,26 @@ REPORT_FIELDS = [
     ("SOURCE(3)", 739, "SOURCE_3", 20, "c", 0, 759),
 ]
 
+# Input records of the job. Deposits are a multi-format file: the header says which
+# records hold an account.
+DEPOSIT_LRECL = 900
+DEPOSIT_LAYOUT = Layout.of([
+    ("BANKNO", 3, 2, "p"), ("REPTNO", 24, 3, "p"), ("FMTCODE", 27, 2, "p"), ("ACCTBRCH1", 106, 4, "p"), ("ACCTNO", 110, 6, "p"),
+    ("ACCTNAME", 116, 15), ("CLSEDATE", 158, 6, "p"), ("OPENDATE", 164, 6, "p"), ("PURPOSECD", 286, 1), ("LEDGERBAL1", 319, 7, "p"),
+    ("DECEASED1", 341, 1), ("DECEASED2", 342, 1), ("DECEASED3", 343, 1), ("PRODTYPE", 397, 2, "p"), ("BALHOLD", 403, 1),
+    ("CURBAL", 466, 7, "p", 2), ("ODLIMIT", 566, 6, "p"), ("CURRCODE", 588, 3), ("OPENIND", 716, 1), ("COSTCTR", 830, 4, "p"),
+    ("POSTIND", 855, 1)], lrecl=DEPOSIT_LRECL)
+DEPOSIT_RECORDS = {"REPTNO": [1001], "FMTCODE": [1, 10, 22, 19, 20, 21]}
+DEPOSIT_FIELDS = ["ACCTBRCH1", "ACCTNO", "CLSEDATE", "OPENDATE", "PURPOSECD", "LEDGERBAL1", "PRODTYPE", "CURBAL", "OPENIND", "COSTCTR"]
+STATEMENT_LAYOUT = Layout.of(
+    [("ACCTNO", 1, 10, "n"), ("ACCTNAME", 11, 24)]
+    + [f for i, (c, a) in enumerate(zip(CYCLES, CYCLE_AMOUNTS)) for f in ((c, 35 + 13 * i, 5, "p"), (a, 40 + 13 * i, 8, "p", 2))], lrecl=86)
+POST_LAYOUT = Layout.of([("ACCTNOC", 1, 11), ("ACCT_PST_IND", 12, 1), ("ACCT_PST_REASON", 13, 20)], lrecl=32)
+HOLD_LAYOUT = Layout.of(
+    [("ACCTNO", 1, 10, "n")] + [(f"SEQID_{i}", 8 + 4 * i, 3) for i in (1, 2, 3)] + [(f"AMT_{i}", 9 + 15 * i, 14, "n", 2) for i in (1, 2, 3)]
+    + [(f"DESC_{i}", 48 + 21 * i, 20) for i in (1, 2, 3)] + [(f"SOURCE_{i}", 111 + 21 * i, 20) for i in (1, 2, 3)] + [("TOT_HOLD", 195, 2)],
+    lrecl=196)
+
 # The raw record. The one-byte bank indicator stands on the last
 # byte of the 13-byte balance, so 12 bytes of the balance are left.
 RAW_LAYOUT = Layout.of([
