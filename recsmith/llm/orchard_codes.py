@@ -84,7 +84,9 @@ class Books:
             self.table[p, :, :e.shape[1]] = e
         gap = self.table[:, :, None, :] - self.table[:, None, :, :]
         dist = (gap * gap).sum(axis=3)
-        self.near = np.argsort(dist, axis=2, kind="stable")
+        # An entry comes first in its own list, also before equal ones.
+        itself = np.where(np.eye(self.k, dtype=bool), -1, dist)
+        self.near = np.argsort(itself, axis=2, kind="stable")
         self.far = np.take_along_axis(dist, self.near, axis=2)
 
     def parts(self, x: np.ndarray) -> np.ndarray:

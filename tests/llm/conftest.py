@@ -66,7 +66,7 @@ def write_documents(path, rows, extra=True):
 
 
 def write_embeddings(path, rows, extra=True):
-    table = pa.table({"vec_id": [r[0] for r in rows], "embedding": [r[1] for r in rows], "label": [0] * len(rows)},
+    table = pa.table({"vec_id": [r[0] for r in rows], "embedding": [r[1] for r in rows], "label": [None if k % 5 == 0 else k % 3 for k in range(len(rows))]},
                      schema=pa.schema([("vec_id", pa.int64()), ("embedding", pa.list_(pa.float32())), ("label", pa.int32())]))
     if extra:
         for name in ("id", "v", "n", "key", "ids", "score", "rank"):
@@ -92,6 +92,35 @@ def odd_embeddings():
     return rows
 
 
+def odd_conversations():
+    """(conv_id, turn, role, text): shared beginnings, copies, ties, nulls in any column, a long
+    conversation, ids whose group has no first conversation, negative ids."""
+    rng = random.Random(11)
+    turn = lambda i: ("user" if i % 2 == 0 else "assistant", f"turn {i} " + rng.choice(["a", "b é😀", ""]))
+    rows = []
+    for c in [0, 1, 2, 3, 7, 8, 99, 100, 101, 150, 230, 231, 399, 400, -5, -100, -101, -150]:
+        rows += [(c, i, *turn(i)) for i in range(rng.randrange(1, 9))]
+    shared = [("system", "be kind"), ("user", "hello"), ("assistant", "yes")]
+    for c in range(500, 540):
+        rows += [(c, i, r, t) for i, (r, t) in enumerate(shared[:1 + c % 3] + [turn(9)] * (c % 4 == 0))]
+    rows += [(600, i, "user", f"long {i % 3}") for i in range(300)]
+    rows += [(601, None, "user", "no turn"), (601, 1, None, "no role"), (601, 1, "user", None), (601, 2, None, None), (601, 0, "", "")]
+    rows += [(602, 1, "user", "tie"), (602, 1, "user", "tie"), (602, 1, "assistant", "tie"), (602, 1, "user", "other")]
+    rows += [(None, 0, "user", "no conversation"), (700, 0, "user", "x" * 200_000)]
+    rows += [(999, 0, "u", "s"), (998, 0, "us", "")]
+    rng.shuffle(rows)
+    return rows
+
+
+def write_conversations(path, rows, extra=True):
+    table = pa.table({n: [r[i] for r in rows] for i, n in enumerate(["conv_id", "turn", "role", "text"])},
+                     schema=pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())]))
+    if extra:
+        for name in ("conv", "pos", "digest", "chars", "len", "depth", "z1", "rows", "key"):
+            table = table.append_column(name, pa.array(["q"] * len(rows), pa.string()))
+    pq.write_table(table, path)
+
+
 @pytest.fixture(scope="session")
 def odd_dir(tmp_path_factory):
     d = tmp_path_factory.mktemp("odd")
@@ -99,6 +128,7 @@ def odd_dir(tmp_path_factory):
     write_documents(d / "documents.parquet", docs)
     write_embeddings(d / "embeddings.parquet", odd_embeddings())
     write_labels(d / "labels.parquet", [(i, (i % 3 > 0) + 0 if i % 5 else None) for i in range(50)] + [(None, 1), (3, 0), (3, 1)])
+    write_conversations(d / "conversations.parquet", odd_conversations())
     return str(d)
 
 
@@ -108,6 +138,7 @@ def empty_dir(tmp_path_factory):
     write_documents(d / "documents.parquet", [])
     write_embeddings(d / "embeddings.parquet", [])
     write_labels(d / "labels.parquet", [])
+    write_conversations(d / "conversations.parquet", [])
     return str(d)
 
 
