@@ -6,9 +6,12 @@ grown by rounds: count the neighbouring id pairs, turn the most frequent ones
 into nonterminals, replace their occurrences (where two overlap, the more
 frequent pair, then the left one, wins), until no pair is frequent. A pair that was
 rare once can only get rarer unless it holds a new symbol, so later rounds count
-frequent pairs and the neighbours of replaced places only. Rules and
-the length each nonterminal expands to are stored with the shortened sequence,
-so any range of ids is decoded from the few symbols that cover it.
+frequent pairs and the neighbours of replaced places only. A pair becomes a nonterminal
+only if it is replaced twice at least (others wait for a later round), and a rule that is
+left with one use in the end is written out there, so every stored rule is used at least
+twice. Rules and the length each nonterminal expands to are stored with the shortened
+sequence, so any range of ids is decoded from the few symbols that cover it; all
+numbers are packed into as many bits as the largest needs.
 
 A shard is one row of a Parquet table (``SHARD``), written through Spark to any
 storage it reaches. Documents are dealt to ranges of ids and sorted there, and
@@ -48,7 +51,8 @@ TOKEN_CACHE = 900_000
 ROW_PIECES = 2000
 
 SHARD = ("part int, block int, n_docs long, n_ids long, doc_ids binary, nulls binary, doc_sizes binary, "
-         "base long, rules binary, lengths binary, width int, sequence binary")
+         "base long, n_rules long, n_symbols long, width int, rules binary, size_width int, rule_sizes binary, "
+         "length_width int, lengths binary, sequence binary")
 
 
 # ---- grammar -------------------------------------------------------------
@@ -127,9 +131,9 @@ def chosen_places(keys: np.ndarray, at: np.ndarray, pairs: np.ndarray, bits: int
 
 
 def compress(ids: np.ndarray, base: int, per_round: int = ROUND_RULES,
-             least: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rules ([n, 2] symbols; rule k makes symbol base + k), the number of ids each
-    expands to, and the sequence, in which no pair is left ``least`` times."""
+             least: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rules (all their symbols in a row, and how many each has; rule k makes symbol base + k), the
+    number of ids each expands to, and the sequence, in which no pair is left ``least`` times."""
     seq, rules, lengths = ids.astype(np.uint32), [np.empty((0, 2), np.uint32)], np.empty(0, np.int64)
     # Where a pair starts that may be frequent.
     at = np.arange(max(len(seq) - 1, 0))
@@ -139,9 +143,17 @@ def compress(ids: np.ndarray, base: int, per_round: int = ROUND_RULES,
         pairs, every = frequent_pairs(keys, per_round, least, TABLE_BITS)
         if not len(pairs):
             break
+        place, rank = chosen_places(keys, at, pairs, TABLE_BITS)
+        # A pair that lost its places to better ones gets no symbol yet. The best pair loses
+        # places only to itself (a short run of one id): then it is no longer looked at.
+        won = np.bincount(rank, minlength=len(pairs)) >= 2
+        if not won.any():
+            at = at[keys != pairs[0]]
+            continue
+        kept = won[rank]
+        place, rank, pairs = place[kept], (np.cumsum(won) - 1)[rank[kept]], pairs[won]
         half = keys.dtype.type(keys.dtype.itemsize * 4)
         new = np.stack([pairs >> half, pairs & ((keys.dtype.type(1) << half) - keys.dtype.type(1))], axis=1).astype(np.uint32)
-        place, rank = chosen_places(keys, at, pairs, TABLE_BITS)
         # Frequent pairs stay in view (some rare ones with them, by their hash), and so
         # do the pairs that the new symbols make.
         frequent = np.zeros(1 << FILTER_BITS, bool)
@@ -162,39 +174,93 @@ def compress(ids: np.ndarray, base: int, per_round: int = ROUND_RULES,
         size[old] = lengths[new[old] - base]
         rules.append(new)
         lengths = np.concatenate([lengths, size.sum(axis=1)])
-    return np.concatenate(rules), lengths, seq
-
-
-def expand(seq: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
+    return write_out_single(np.concatenate(rules).ravel(), np.full(len(lengths), 2), lengths, seq, base)
+
+
+def write_out_single(rules: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, seq: np.ndarray,
+                     base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The grammar with the rules that are used once put in place of their one use."""
+    uses = np.bincount(np.concatenate([rules, seq])[np.concatenate([rules, seq]) >= base].astype(np.int64) - base,
+                       minlength=len(sizes))
+    single = uses < 2
+    if not single.any():
+        return rules, sizes, lengths, seq
+    # Bodies of the rules that stay, then the sequence, as one row of symbols.
+    body = np.repeat(~single, sizes)
+    owner = np.concatenate([np.repeat(np.arange(len(sizes)), sizes)[body], np.full(len(seq), len(sizes))])
+    flat = np.concatenate([rules[body], seq])
+    while True:
+        nested = flat >= base
+        nested[nested] = single[flat[nested].astype(np.int64) - base]
+        if not nested.any():
+            break
+        flat, source = unfold(flat, nested, rules, sizes, base)
+        owner = owner[source]
+    number = np.cumsum(~single) - 1
+    symbol = flat >= base
+    flat[symbol] = base + number[flat[symbol].astype(np.int64) - base]
+    inside = owner < len(sizes)
+    return flat[inside], np.bincount(owner[inside], minlength=len(sizes))[~single], lengths[~single], flat[~inside]
+
+
+def unfold(seq: np.ndarray, nested: np.ndarray, rules: np.ndarray, sizes: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """``seq`` with the bodies of the ``nested`` symbols in their place, and for each symbol
+    of the result the one it comes from."""
+    size = np.ones(len(seq), np.int64)
+    rule = seq[nested].astype(np.int64) - base
+    size[nested] = sizes[rule]
+    source = np.repeat(np.arange(len(seq)), size)
+    out = seq[source]
+    start = np.cumsum(size) - size
+    inside = nested[source]
+    first = np.zeros(len(seq), np.int64)
+    first[nested] = (np.cumsum(sizes) - sizes)[rule]
+    out[inside] = rules[first[source[inside]] + np.flatnonzero(inside) - start[source[inside]]]
+    return out, source
+
+
+def expand(seq: np.ndarray, rules: np.ndarray, sizes: np.ndarray, base: int) -> np.ndarray:
     """The ids that symbols stand for."""
     seq = seq.astype(np.uint32)
     while True:
         nested = seq >= base
         if not nested.any():
             return seq
-        size = np.where(nested, 2, 1)
-        at = np.cumsum(size) - size
-        out = np.empty(int(size.sum()), np.uint32)
-        out[at[~nested]] = seq[~nested]
-        out[at[nested]], out[at[nested] + 1] = rules[seq[nested] - base].T
-        seq = out
+        seq, _ = unfold(seq, nested, rules, sizes, base)
+
+
+def bits_of(values: np.ndarray) -> int:
+    return max(1, int(values.max()).bit_length()) if len(values) else 1
+
+
+def pack_bits(values: np.ndarray, width: int) -> bytes:
+    """Numbers of ``width`` bits in a row."""
+    each = np.unpackbits(values.astype(">u4").view(np.uint8).reshape(-1, 4), axis=1)
+    return np.packbits(each[:, 32 - width:]).tobytes()
+
+
+def unpack_bits(data: bytes, width: int, n: int) -> np.ndarray:
+    each = np.zeros((n, 32), np.uint8)
+    each[:, 32 - width:] = np.unpackbits(np.frombuffer(data, np.uint8), count=n * width).reshape(n, width)
+    return np.packbits(each, axis=1).view(">u4").ravel().astype(np.uint32)
 
 
 class Shard:
     """A shard row opened for reading."""
 
     def __init__(self, row: dict):
-        self.base = row["base"]
-        self.rules = np.frombuffer(row["rules"], "<u4").reshape(-1, 2)
-        self.lengths = np.frombuffer(row["lengths"], "<u4").astype(np.int64)
-        self.sequence = np.frombuffer(row["sequence"], f"<u{row['width']}").astype(np.uint32)
+        self.base, n = row["base"], row["n_rules"]
+        self.rule_sizes = unpack_bits(row["rule_sizes"], row["size_width"], n).astype(np.int64)
+        self.rules = unpack_bits(row["rules"], row["width"], int(self.rule_sizes.sum()))
+        self.lengths = unpack_bits(row["lengths"], row["length_width"], n).astype(np.int64)
+        self.sequence = unpack_bits(row["sequence"], row["width"], row["n_symbols"])
         self.sizes = np.frombuffer(row["doc_sizes"], "<u4").astype(np.int64)
         self.ids = np.frombuffer(row["doc_ids"], "<i8")
         self.nulls = np.frombuffer(row["nulls"], np.uint8).astype(bool)
         self._ends: np.ndarray | None = None
 
     def all(self) -> np.ndarray:
-        return expand(self.sequence, self.rules, self.base)
+        return expand(self.sequence, self.rules, self.rule_sizes, self.base)
 
     def range(self, start: int, end: int) -> np.ndarray:
         """Ids ``start`` to ``end``: only the symbols that cover them are expanded."""
@@ -208,7 +274,7 @@ class Shard:
         a = int(np.searchsorted(self._ends, start, side="right"))
         z = int(np.searchsorted(self._ends, end, side="left")) + 1
         before = int(self._ends[a - 1]) if a else 0
-        return expand(self.sequence[a:z], self.rules, self.base)[start - before:end - before]
+        return expand(self.sequence[a:z], self.rules, self.rule_sizes, self.base)[start - before:end - before]
 
     def document(self, n: int) -> np.ndarray:
         end = int(self.sizes[:n + 1].sum())
@@ -218,12 +284,13 @@ class Shard:
 def shard_row(part: int, block: int, ids: list, docs: list[np.ndarray], vocab: int) -> pa.RecordBatch:
     stream = np.concatenate(docs)
     base = max(vocab, int(stream.max()) + 1)
-    rules, lengths, seq = compress(stream, base)
-    width = 2 if base + len(rules) <= 1 << 16 else 4
+    rules, sizes, lengths, seq = compress(stream, base)
+    width = max(1, (base + len(sizes) - 1).bit_length())
     null = [i is None for i in ids]
     values = [part, block, len(docs), len(stream), np.array([0 if i is None else i for i in ids], "<i8").tobytes(),
-              bytes(null), np.array([len(d) for d in docs], "<u4").tobytes(), base, rules.astype("<u4").tobytes(),
-              lengths.astype("<u4").tobytes(), width, seq.astype(f"<u{width}").tobytes()]
+              bytes(null), np.array([len(d) for d in docs], "<u4").tobytes(), base, len(sizes), len(seq), width,
+              pack_bits(rules, width), bits_of(sizes), pack_bits(sizes, bits_of(sizes)), bits_of(lengths),
+              pack_bits(lengths, bits_of(lengths)), pack_bits(seq, width)]
     kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
     fields = [f.split() for f in SHARD.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array([v], kinds[t]) for v, (_, t) in zip(values, fields)],
@@ -332,7 +399,8 @@ def write_shards(df: DataFrame, path: str, tokenizer_path: str, pattern: str, en
     sent = df.sparkSession.sparkContext.broadcast(raw)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     order = [F.col("id").asc_nulls_first(), text_key(F.col("text"))]
-    rows = rows.repartitionByRange(shuffle_partitions(df.sparkSession), order[0]).sortWithinPartitions(*order)
+    # Ranges of the whole order, so that equal ids need not meet in one task.
+    rows = rows.repartitionByRange(shuffle_partitions(df.sparkSession), *order).sortWithinPartitions(*order)
 
     def run(batches):
         tokens, part, block = _tokens(key, sent, pattern), TaskContext.get().partitionId(), 0

@@ -36,6 +36,7 @@ def odd_documents():
     add("")
     add("   \n\t ")
     add("x")
+    add("one<|endoftext|> two <|endoftext|><|endoftext|>")
     add("12 34 %%% 56")
     add("Füße naïve 漢字かな 😀 ½ ʼn \x1c\x85 end", lang=None)
     add("B" * 30_000 + " " + "ab " * 20_000)

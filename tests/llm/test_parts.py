@@ -76,10 +76,11 @@ def test_bpe_edit_is_local(encoder):
 @given(st.lists(st.integers(0, 4), max_size=400))
 def test_grammar_round_trip(ids):
     ids = np.array(ids, np.uint32)
-    rules, lengths, seq = repair_tokens.compress(ids, 10, least=2)
-    assert (repair_tokens.expand(seq, rules, 10) == ids).all()
+    rules, sizes, lengths, seq = repair_tokens.compress(ids, 10, least=2)
+    assert (repair_tokens.expand(seq, rules, sizes, 10) == ids).all()
+    assert not len(sizes) or np.bincount(np.concatenate([rules, seq]), minlength=10 + len(sizes))[10:].min() >= 2
     for k, n in enumerate(lengths):
-        assert len(repair_tokens.expand(np.array([10 + k]), rules, 10)) == n
+        assert len(repair_tokens.expand(np.array([10 + k]), rules, sizes, 10)) == n
 
 
 def test_grammar_shrinks_and_reads_ranges():
@@ -334,8 +335,8 @@ def most_left(seq):
 @given(st.lists(st.integers(0, 4), max_size=400), st.integers(2, 5))
 def test_grammar_leaves_no_frequent_pair(ids, least):
     ids = np.array(ids, np.uint32)
-    rules, _, seq = repair_tokens.compress(ids, 10, per_round=3, least=least)
-    assert most_left(seq) < least and (repair_tokens.expand(seq, rules, 10) == ids).all()
+    rules, sizes, _, seq = repair_tokens.compress(ids, 10, per_round=3, least=least)
+    assert most_left(seq) < least and (repair_tokens.expand(seq, rules, sizes, 10) == ids).all()
 
 
 def test_grammar_of_repeated_passages():
@@ -343,6 +344,41 @@ def test_grammar_of_repeated_passages():
     passage, words = rng.integers(3, 50_000, 700), rng.integers(3, 50_000, (4000, 3))
     parts = [p for _ in range(150) for p in (passage, words[rng.zipf(1.3, 400) % 4000].ravel())]
     ids = np.concatenate(parts).astype(np.uint32)
-    rules, lengths, seq = repair_tokens.compress(ids, 50_257)
+    rules, sizes, lengths, seq = repair_tokens.compress(ids, 50_257)
     assert most_left(seq) < repair_tokens.MIN_COUNT and lengths.max() >= 350
-    assert (repair_tokens.expand(seq, rules, 50_257) == ids).all()
+    assert (repair_tokens.expand(seq, rules, sizes, 50_257) == ids).all()
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(0, 2 ** 31), max_size=60))
+def test_bits_come_back(values):
+    x = np.array(values, np.uint32)
+    width = repair_tokens.bits_of(x)
+    data = repair_tokens.pack_bits(x, width)
+    assert len(data) == (len(x) * width + 7) // 8
+    assert (repair_tokens.unpack_bits(data, width, len(x)) == x).all()
+
+
+def test_shard_of_real_documents_is_smaller(spark):
+    """No rule without two uses; the stored shard is well below the same ids as 16-bit numbers."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
+        tokens = repair_tokens.PieceTokens(f.read(), public_tokenizers.PATTERN)
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()]
+    docs = tokens.encode(texts)
+    row = repair_tokens.shard_row(0, 0, list(range(len(docs))), docs, tokens.vocab).to_pylist()[0]
+    shard = repair_tokens.Shard(row)
+    assert (shard.all() == np.concatenate(docs)).all()
+    uses = np.bincount(np.concatenate([shard.rules, shard.sequence]), minlength=shard.base + len(shard.lengths))[shard.base:]
+    assert len(uses) > 1000 and uses.min() >= 2
+    assert sum(len(row[c]) for c in ("rules", "rule_sizes", "lengths", "sequence")) < 1.4 * row["n_ids"]
+
+
+def test_pairs_that_lose_every_place_get_no_rule():
+    """A passage many times between noise: most of its pairs lose to better ones in a round."""
+    rng = np.random.default_rng(3)
+    passage = rng.integers(0, 40_000, 3000)
+    ids = np.concatenate([np.concatenate([passage, rng.integers(0, 40_000, 50)]) for _ in range(20)])
+    rules, sizes, lengths, seq = repair_tokens.compress(ids, 50_257)
+    assert (repair_tokens.expand(seq, rules, sizes, 50_257) == ids).all()
+    assert lengths.max() == 3000 and len(seq) < 20 * 60
+    assert np.bincount(np.concatenate([rules, seq]), minlength=50_257 + len(sizes))[50_257:].min() >= 2
