@@ -113,8 +113,8 @@ WITH RECURSIVE v AS (
     THEN isfinite(list_sum(embedding::DOUBLE[])) AND list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0
     ELSE false END),
 link AS (
-  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
-  ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+  SELECT DISTINCT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+  ON a.vec_id <> b.vec_id AND CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.95 ELSE false END),
 reach AS (
   SELECT vec_id AS x, vec_id AS y FROM embeddings
   UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x),

@@ -90,6 +90,10 @@ def odd_embeddings():
     rows += [(300, hub), (301, hub), (302, [2 * x for x in hub]), (350, hub), (350, hub)]
     rows += [(400, None), (401, [0.0] * 16), (402, [None] + [1.0] * 15), (403, [float("nan")] + [1.0] * 15),
              (404, [float("inf")] + [1.0] * 15), (405, [1.0, 2.0]), (450, []), (None, vec())]
+    # Vectors of other lengths are compared among themselves; ids with several vectors.
+    rows += [(500, [1.0, 0.0]), (501, [1.0, 0.1]), (502, [2.0, 0.1]), (503, [0.0, 0.0]), (550, [1.0, 0.2, 0.1]), (551, [1.0, 0.2, 0.2])]
+    rows += [(600, [0.0, 1.0]), (600, [1.0, 0.0]), (600, hub), (600, vec()), (650, [0.0, 1.0, 0.0]), (650, [1.0, 0.2]), (500, hub)]
+    rows += [(601, [x + rng.gauss(0, 0.01) for x in hub]) for _ in range(40)]
     return rows
 
 

@@ -129,12 +129,13 @@ def test_runs_cover_every_window(texts):
 
 def test_sign_code_bounds():
     rng = np.random.default_rng(5)
-    x, turn = rng.standard_normal((3000, 48)), ann_bits.rotation(48, 7)
+    x = rng.standard_normal((3000, 48))
     codes, c = ann_bits.sign_codes(x, 7)
     ones = np.bitwise_count(codes).sum(axis=1, dtype=np.int64)
     out = 0
     for v in rng.standard_normal((20, 48)):
-        query = ann_bits.Query(v, turn, 6)
+        made = ann_bits.quantise_queries(v[None], 7, 6)
+        query = ann_bits.Query(np.frombuffer(made["planes"], "<u8").reshape(6, -1), np.frombuffer(made["q_scalars"], "<f8"), 48)
         est = query.estimate(codes, ones) / c
         true = ann_bits.exact(v, x)
         bound = 2.5 * np.sqrt(1 - c * c) / c / np.sqrt(47) + query.lost / c
