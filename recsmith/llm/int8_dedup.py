@@ -90,6 +90,8 @@ def tile_links(a: list[dict], b: list[dict], same: bool, threshold: float) -> tu
     if not ends:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     v, w = (np.concatenate(e) for e in zip(*ends))
+    if not (repeated(a) or repeated(b)):
+        return v, w
     low, high = np.minimum(v, w), np.maximum(v, w)
     # Rows of one id are links of that id: a pair of ids counts once.
     order = np.lexsort((high, low))
@@ -99,6 +101,12 @@ def tile_links(a: list[dict], b: list[dict], same: bool, threshold: float) -> tu
     return low[first], high[first]
 
 
+def repeated(parts: list[dict]) -> bool:
+    """Has an id of the tile several rows?"""
+    ids = np.concatenate([np.frombuffer(p["ids"], "<i8") for p in parts])
+    return len(np.unique(ids)) < len(ids)
+
+
 def opened(part: dict) -> tuple:
     """Ids, vectors, int8 rows, scales and remainders of a tile's vectors of one length."""
     ids = np.frombuffer(part["ids"], "<i8")
