@@ -442,7 +442,6 @@ def master_tables(spark, sf):
 
 # --------------------------------------------------------------- PIPE-08
 from recsmith.catalog.columns import _line_n, _line_n_sql, _zip_ok_sql, _zip_state_sql  # noqa: E402
-from recsmith.operators.filters import FOREIGN_COUNTRIES, FOREIGN_WORDS  # noqa: E402
 from recsmith.plans import addresses as AD  # noqa: E402
 
 
@@ -490,8 +489,8 @@ SELECT *, {_zip_state_sql('NEW_ZIP')} AS STATEX FROM (
   FROM (SELECT l.*, e.CITY, e.ZIP, e.COUNTRY, {_pick_sql('zip')} AS z0, {_pick_sql('city')} AS c0
         FROM ({LINES_SQL}) l JOIN ({ELEM_SQL}) e ON l.ADDREF = e.ADDREF
         WHERE (trim(COALESCE(e.CITY, '')) = '' OR trim(COALESCE(e.ZIP, '')) = '')
-          AND NOT COALESCE(rtrim(e.COUNTRY) IN ({', '.join(_q(c) for c in FOREIGN_COUNTRIES)}), false)))
-WHERE NOT ({' OR '.join(f'contains(ADDRLINE, {_q(w)})' for w in FOREIGN_WORDS)}) AND NEW_ZIP <> ''"""
+          AND NOT COALESCE(rtrim(e.COUNTRY) IN ({', '.join(_q(c) for c in spec.COUNTRIES)}), false)))
+WHERE NOT ({' OR '.join(f'contains(ADDRLINE, {_q(w)})' for w in spec.WORDS)}) AND NEW_ZIP <> ''"""
 
 
 def _address_sql(fields, lrecl, values):

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from recsmith.catalog import roles
+from recsmith.catalog import roles, spec
 from recsmith.catalog.registry import query, table
 from recsmith.functions import strings as S
 from recsmith.operators import dedup as DD
@@ -59,24 +59,24 @@ def flt_in(spark, sf):
 
 
 def _country_sql():
-    arr = "[" + ", ".join(_q(c) for c in FL.FOREIGN_COUNTRIES) + "]"
-    n = len(FL.FOREIGN_COUNTRIES)
+    arr = "[" + ", ".join(_q(c) for c in spec.COUNTRIES) + "]"
+    n = len(spec.COUNTRIES)
     return (f"CASE WHEN c_custkey % 4 = 0 THEN {arr}[CAST(c_custkey % {n} AS INTEGER) + 1] "
             f"WHEN c_custkey % 4 = 1 THEN rpad({arr}[CAST(c_custkey % {n} AS INTEGER) + 1], 10, ' ') "
             f"WHEN c_custkey % 9 = 2 THEN NULL ELSE 'MALAYSIA' END")
 
 
 def _country():
-    arr = F.array(*[F.lit(c) for c in FL.FOREIGN_COUNTRIES])
+    arr = F.array(*[F.lit(c) for c in spec.COUNTRIES])
     k = F.col("c_custkey")
-    pick = F.element_at(arr, (k % len(FL.FOREIGN_COUNTRIES)).cast("int") + 1)
+    pick = F.element_at(arr, (k % len(spec.COUNTRIES)).cast("int") + 1)
     return (F.when(k % 4 == 0, pick).when(k % 4 == 1, F.rpad(pick, 10, " "))
             .when(k % 9 == 2, F.lit(None).cast("string")).otherwise(F.lit("MALAYSIA")))
 
 
 @query("flt_denylist", "FLT-04", sql=f"""
 SELECT c_custkey, COUNTRY FROM (SELECT c_custkey, {_country_sql()} AS COUNTRY FROM customer)
-WHERE NOT COALESCE(rtrim(COUNTRY) IN ({', '.join(_q(c) for c in FL.FOREIGN_COUNTRIES)}), false)""")
+WHERE NOT COALESCE(rtrim(COUNTRY) IN ({', '.join(_q(c) for c in spec.COUNTRIES)}), false)""")
 def flt_denylist(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", _country().alias("COUNTRY"))
     return FL.drop_in(c, "COUNTRY", FL.FOREIGN_COUNTRIES)
@@ -117,22 +117,22 @@ def flt_or_blank(spark, sf):
 
 
 def _addr_sql():
-    arr = "[" + ", ".join(_q(w) for w in FL.FOREIGN_WORDS) + "]"
-    n = len(FL.FOREIGN_WORDS)
+    arr = "[" + ", ".join(_q(w) for w in spec.WORDS) + "]"
+    n = len(spec.WORDS)
     return (f"'NO ' || CAST(o_orderkey AS VARCHAR) || ' ' || CASE WHEN o_orderkey % 6 = 0 "
             f"THEN {arr}[CAST(o_orderkey % {n} AS INTEGER) + 1] ELSE 'JALAN' END")
 
 
 def _addr():
-    arr = F.array(*[F.lit(w) for w in FL.FOREIGN_WORDS])
+    arr = F.array(*[F.lit(w) for w in spec.WORDS])
     k = F.col("o_orderkey")
-    w = F.when(k % 6 == 0, F.element_at(arr, (k % len(FL.FOREIGN_WORDS)).cast("int") + 1)).otherwise(F.lit("JALAN"))
+    w = F.when(k % 6 == 0, F.element_at(arr, (k % len(spec.WORDS)).cast("int") + 1)).otherwise(F.lit("JALAN"))
     return F.concat(F.lit("NO "), k.cast("string"), F.lit(" "), w)
 
 
 @query("flt_words", "FLT-08", sql=f"""
 SELECT o_orderkey, ADDRLINE FROM (SELECT o_orderkey, {_addr_sql()} AS ADDRLINE FROM orders)
-WHERE NOT ({' OR '.join(f'contains(ADDRLINE, {_q(w)})' for w in FL.FOREIGN_WORDS)})""")
+WHERE NOT ({' OR '.join(f'contains(ADDRLINE, {_q(w)})' for w in spec.WORDS)})""")
 def flt_words(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", _addr().alias("ADDRLINE"))
     return FL.drop_words(o, "ADDRLINE")

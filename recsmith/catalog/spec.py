@@ -69,6 +69,37 @@ RAW = [("CUSTNO", 1, 11), ("ACCTNOC", 14, 20), ("OCCUP", 36, 3), ("MASCO2008", 4
        ("JOINTACC", 260, 1), ("MSICCODE", 262, 5), ("ACCTBRCH", 267, 3), ("BRANCH_ABBR", 275, 5), ("ACCTSTATUS", 280, 24),
        ("SICCODE", 304, 5)]
 
+# Address repair: countries that drop an address, as the specification lists them.
+COUNTRIES = [
+    "SINGAPORE", "CANADA", "SINGAPORE`",
+    "LONDON", "AUS", "AUSTRIA",
+    "BAHRAIN", "BANGLADESH", "BRUNEI DAR",
+    "CAMBODIA", "CAN", "CAYMAN ISL",
+    "CHINA", "BRUNEI", "INDONESIA",
+    "DARUSSALAM", "DENMARK", "EMIRATES",
+    "ENGLAND", "EUROPEAN", "FRANCE",
+    "GERMANY", "HONG KONG", "INDIA",
+    "IRAN (ISLA", "IRELAND", "JAPAN",
+    "KOREA REPU", "MACAU", "MAURITIUS",
+    "MEXICO", "MYANMAR", "NEPAL",
+    "NETHERLAND", "NEW ZEALAN", "NEWZEALAND",
+    "NIGERIA", "NORWAY", "OMAN",
+    "PAKISTAN", "PANAMA", "PHILIPPINE",
+    "ROC", "S ARABIA", "SAMOA",
+    "SAUDI ARAB", "SIGAPORE", "SIMGAPORE",
+    "SINGAPOREW", "SINGPAORE", "SINGPORE",
+    "SINAGPORE", "SNGAPORE", "SINGOPORE",
+    "SPAIN", "SRI LANKA", "SWAZILAND",
+    "SWEDEN", "SWITZERLAN", "TAIWAN",
+    "TAIWAN,PRO", "THAILAND", "U KINGDOM",
+    "U.K.", "UNITED ARA", "UK",
+    "UNITED KIN", "UNITED STA", "VIRGIN ISL",
+    "USA", "PAPUA NEW", "AUSTRALIA"]
+# Words in the address lines that drop an address.
+WORDS = [
+    "SINGAPORE", "HONG HONG", "QATAR", "TAMIL NADU", "STAFFORDSHIRE", "HANOI", "VIETNAM", "NEW ZEALAND", "ENGLAND", "AUCKLAND",
+    "SHANGHAI", "DOHA QATAR", "THAILAND", "HONG KONG", "SEOUL", "#", "NSW", "NETHERLANDS", "AUSTRALIA", "S'PORE"]
+
 
 def overwritten(parts, width):
     """A heading whose later texts are written over earlier ones."""
