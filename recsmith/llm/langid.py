@@ -13,7 +13,8 @@ centroids learned from the other half of the sample, so no text is measured by
 centroids it shaped; short texts have small cosines and so small limits.
 
 What is sent to the tasks (idf, centroids, limits) grows with the number of
-languages only, ``clusters * DIM`` floats each.
+languages only, ``clusters * DIM`` floats each; at most ``max_langs`` languages are learned, the
+most frequent ones.
 
 Defined cases: null texts and texts without a letter get ``und``, score 0,
 rejected; without any learning row every text does; equal cosines go to the
@@ -31,7 +32,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from recsmith.llm.common import map_batches, small_batches, store
 
@@ -163,17 +164,28 @@ def document_frequencies(rows: DataFrame) -> DataFrame:
     return part.groupBy("bucket").agg(F.sum("df").alias("df"))
 
 
+def learning_sample(rows: DataFrame, per_lang: int, max_langs: int, seed: int) -> DataFrame:
+    """``lang``, ``text`` of about ``per_lang`` rows a language, of the ``max_langs`` most frequent ones: those
+    whose key hashes low (rows without a key go by their text). Repeated keys and texts hash alike, so
+    twice ``per_lang`` rows are the most that a language gives."""
+    counts = store(rows.groupBy("lang").count(), "lang_counts").orderBy(F.desc("count"), "lang").limit(max_langs)
+    share = counts.select("lang", (F.lit(float(per_lang)) / F.col("count")).alias("share"))
+    hashed = F.when(F.col("key").isNull(), F.xxhash64("text", F.lit(seed))).otherwise(F.xxhash64("key", F.lit(seed)))
+    u = F.pmod(hashed, F.lit(1 << 31)) / float(1 << 31)
+    low = rows.join(F.broadcast(share), "lang").withColumn("u", u).where(F.col("u") < F.col("share"))
+    order = Window.partitionBy("lang").orderBy("u", F.xxhash64("text"), "text")
+    return low.withColumn("n", F.row_number().over(order)).where(F.col("n") <= 2 * per_lang).select("lang", "text")
+
+
 def fit(rows: DataFrame, per_lang: int = 1000, clusters: int = 4, quantile: float = 0.01, slack: float = 0.4,
-        seed: int = 11) -> Model:
-    """Learn from rows (``key``, ``text``, ``lang`` not null)."""
+        seed: int = 11, max_langs: int = 256) -> Model:
+    """Learn from rows (``key``, ``text``, ``lang`` not null) of at most ``max_langs`` languages."""
     seen = {r.bucket: r.df for r in store(document_frequencies(rows), "df").collect()}
     n = seen.pop(-1, 0)
     df = np.zeros(DIM)
     df[list(seen)] = list(seen.values())
     idf = np.log((1 + n) / (1 + df)) + 1
-    share = rows.groupBy("lang").agg((F.lit(float(per_lang)) / F.count("*")).alias("share"))
-    u = F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(1 << 31)) / float(1 << 31)
-    sample = rows.join(store(share, "share"), "lang").where(u < F.col("share")).select("lang", "text")
+    sample = learning_sample(rows, per_lang, max_langs, seed)
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         made = [(lang, [p for p in (vector(e, idf) for e in excerpts(t or "")) if len(p[0])])

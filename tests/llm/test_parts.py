@@ -12,7 +12,7 @@ import tiktoken
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from recsmith.llm import ann_bits, bpe_prefix, int8_dedup, langid, pii_crf, repair_tokens, simhash, suffix_dedup
+from recsmith.llm import ann_bits, bpe_prefix, cotrain, int8_dedup, langid, pii_crf, repair_tokens, simhash, suffix_dedup
 from recsmith.llm.components import connected_components, star_forest
 
 
@@ -383,3 +383,77 @@ def test_pairs_that_lose_every_place_get_no_rule():
     assert (repair_tokens.expand(seq, rules, sizes, 50_257) == ids).all()
     assert lengths.max() == 3000 and len(seq) < 20 * 60
     assert np.bincount(np.concatenate([rules, seq]), minlength=50_257 + len(sizes))[50_257:].min() >= 2
+
+
+def test_language_sample_is_bounded(spark):
+    """Null and repeated keys hash alike; still no language gives more than twice its share."""
+    rows = [(None, "same text", "aa")] * 3000 + [(7, f"text {i}", "bb") for i in range(3000)]
+    rows += [(i, f"text {i}", "cc") for i in range(3000)] + [(None, f"text {i}", "dd") for i in range(3000)]
+    rows += [(i, None, f"rare{i}") for i in range(30)]
+    df = spark.createDataFrame(rows, "key long, text string, lang string").repartition(7)
+    got = {r.lang: r["count"] for r in langid.learning_sample(df, 100, 5, 11).groupBy("lang").count().collect()}
+    assert len(got) <= 5 and not any(k.startswith("rare") and k != "rare0" for k in got)
+    assert all(n <= 200 for n in got.values())
+    assert 60 < got["cc"] < 140 and 60 < got["dd"] < 140
+
+
+def test_nearest_centroid_as_a_plain_loop(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.fit(langid.learning_rows(docs), per_lang=40)
+    for r in docs.limit(80).collect():
+        lang, score, rejected = model.predict(r.text or "")
+        at, w = langid.vector(r.text or "", model.idf)
+        if not len(at):
+            assert (lang, score, rejected) == ("und", 0, True)
+            continue
+        best = max((sum(float(c[a]) * float(x) for a, x in zip(at, w)), -k) for k, c in enumerate(model.centres))
+        assert abs(best[0] - score) < 1e-5
+        near = sum(float(model.centres[-best[1]][a]) * float(x) for a, x in zip(at, w))
+        mine = max(sum(float(c[a]) * float(x) for a, x in zip(at, w)) for n, c in zip(model.langs, model.centres) if n == lang)
+        assert abs(mine - near) < 1e-6
+
+
+def co_training_rows():
+    """Labelled rows show the first text feature only, the others the second; the metadata fit all."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(900):
+        sign = 1.0 if i % 2 else -1.0
+        noise = lambda: float(rng.normal(0, 0.15))
+        text = [sign + noise(), 0.0] if i < 100 else [0.0, sign + noise()]
+        rows.append((i, text, [sign + noise()], (sign + 1) / 2 if i < 100 else None, i % 5))
+    return rows
+
+
+def test_exchange_teaches_the_weak_view(spark):
+    rows = co_training_rows()
+    table = spark.createDataFrame(rows, "id long, text_x array<float>, meta_x array<float>, y double, fold int").cache()
+    rest = [r for r in rows if r[3] is None]
+    right = []
+    for rounds in (0, 1):
+        text, meta = cotrain.co_train(table, rounds, 0.95, 0.3)
+        said = {r.id: r.z for r in table.select("id", text.log_odds().alias("z")).collect()}
+        right.append(sum((said[r[0]] > 0) == (r[2][0] > 0) for r in rest) / len(rest))
+    assert right[0] < 0.7 and right[1] > 0.99
+
+
+def test_pseudo_labels_as_by_hand(spark):
+    """One round equals fitting on the labels that both views' log-odds, computed here, would give."""
+    rows = co_training_rows()
+    schema = "id long, text_x array<float>, meta_x array<float>, y double, fold int"
+    table = spark.createDataFrame(rows, schema).cache()
+    first = dict(zip(("text_x", "meta_x"), cotrain.co_train(table, 0, 0.95, 0.3)))
+    odds = {x: (v.weights, v.bias, v.scale, v.shift) for x, v in first.items()}
+    limit = np.log(0.95 / 0.05)
+    x_of = {"text_x": 1, "meta_x": 2}
+    z = {x: [(np.dot(np.float32(r[x_of[x]]), w) + b) * s + t for r in rows] for x, (w, b, s, t) in odds.items()}
+    learn = [(r[1], r[2], r[3], 1.0) for r in rows if r[3] is not None and r[4] != cotrain.CALIBRATION_FOLD]
+    held = spark.createDataFrame([(r[1], r[2], r[3], 1.0) for r in rows if r[3] is not None and r[4] == cotrain.CALIBRATION_FOLD],
+                                 "text_x array<float>, meta_x array<float>, y double, w double")
+    after = dict(zip(("text_x", "meta_x"), cotrain.co_train(table, 1, 0.95, 0.3)))
+    for x, other in (("text_x", "meta_x"), ("meta_x", "text_x")):
+        made = [(r[1], r[2], float(a > 0), 0.3) for r, a, own in zip(rows, z[other], z[x]) if r[3] is None and abs(a) >= limit
+                and not (abs(own) >= limit and np.sign(own) != np.sign(a))]
+        assert made or x == "meta_x"
+        view = cotrain.View(x, spark.createDataFrame(learn + made, held.schema), held)
+        assert np.allclose(view.weights + [view.bias], after[x].weights + [after[x].bias], atol=1e-3)
