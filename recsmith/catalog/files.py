@@ -321,6 +321,38 @@ def address_files(spark, sf):
     return outputs(gen, ["verify", "update"])
 
 
+# The loan file holds no days in arrears.
+_no_arrears = lambda sql: sql.replace("CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_custkey % 120 END AS ARREARDAY",
+                                      "CAST(NULL AS BIGINT) AS ARREARDAY")
+
+
+@query("customer_report_files", "PIPE-11 SRC-04 SRC-06 SRC-09 SRC-11 JON-10 JON-14 SRT-02 SNK-04 SNK-06 SNK-08", sql=f"""
+{numbered_sql(_no_arrears(J.RAW_SQL), "SRC, ACCTNOC, value", "raw")}
+UNION ALL SELECT 'report' AS output, line_no + 2 AS line_no, value FROM ({_no_arrears(J.REPORT_SQL)}) _report""")
+def customer_report_files(spark, sf):
+    i = J.report_inputs(spark, sf)
+    stmt, post, holds = J._report_details(spark, sf)
+    blank = lambda df, layout: df.withColumns({f.name: F.lit(0) if f.kind == "p" else F.lit("")
+                                               for f in layout.fields if f.name not in df.columns})
+    dp = i["deposits"].withColumns({"REPTNO": F.lit(1001), "FMTCODE": F.lit(19)})
+    requests = _fresh(spark, "requests")
+    W.write_csv(i["requests"].select("ALIASKEY", "ALIAS"), requests, sep=";", header=False, quote_all=True)
+    occupations = i["occupations"].withColumn("TYPE", F.lit("OCCUP"))
+    occupations = occupations.unionByName(occupations.withColumns({"TYPE": F.lit("OTHER"), "DEMODESC": F.lit("-")}))
+    gen = published(spark, "report")
+    FJ.report_job(spark, i["customers"], {
+        "requests": requests, "occupations": put(occupations, RP.OCCUPATION_LAYOUT, ["TYPE DESC", "DEMOCODE"]),
+        "masco": put(i["masco"], RP.MASCO_LAYOUT, ["MASCO2008"]), "msic": put(i["msic"], RP.MSIC_LAYOUT, ["MSICCODE"]),
+        "branches": put(i["branches"], RP.BRANCH_LAYOUT, ["ACCTBRCH"]),
+        "deposits": put(blank(dp, RP.DEPOSIT_LAYOUT), RP.DEPOSIT_LAYOUT, ["ACCTNO"], "dp", is_binary=True),
+        "loans": put(blank(i["loans"], RP.LOAN_LAYOUT), RP.LOAN_LAYOUT, ["ACCTNO"], "ln", is_binary=True),
+        "boxes": put(i["boxes"], RP.BOX_LAYOUT, ["BRANCH_ABBR", "BANKINDC", "ACCTSTATUS", "ACCTNOC"]),
+        "unicard": put(i["unicard"], RP.CARD_LAYOUT, ["ACCTNOC"]), "comcard": put(i["comcard"], RP.CARD_LAYOUT, ["ACCTNOC"]),
+        "statements": put(blank(stmt, RP.STATEMENT_LAYOUT), RP.STATEMENT_LAYOUT, ["CURR_CYC_DR", "ACCTNO"], "st", is_binary=True),
+        "posts": put(post, RP.POST_LAYOUT, ["ACCTNOC DESC"]), "holds": put(holds, RP.HOLD_LAYOUT, ["ACCTNO"])}, gen)
+    return outputs(gen, ["raw", "report"])
+
+
 # ------------------------------------------------------------- generations
 @query("generations_published", "SNK-09 SNK-10 SRC-13", sql="""
 SELECT 'GDG(' || b || ')' AS generation, row_number() OVER (PARTITION BY b ORDER BY o_orderkey) AS line_no, CAST(o_orderkey AS VARCHAR) AS value

@@ -726,8 +726,8 @@ def deposit_inputs(spark, sf):
         F.when(k % 3 == 0, F.lit(0).cast("long")).otherwise(_packed_date()).alias("CLSEDATE"))
 
 
-def _report_products(spark, sf):
-    """The merged products of the customer report over the role inputs."""
+def report_inputs(spark, sf):
+    """The customer table and the files of the customer report as frames."""
     o = table(spark, sf, "orders")
     c = table(spark, sf, "customer")
     n = table(spark, sf, "nation")
@@ -769,10 +769,18 @@ def _report_products(spark, sf):
         roles.acct_no().alias("ACCTNOC"), F.lit(abbr).alias("BRANCH_ABBR"),
         F.when(F.col("o_orderstatus") == "O", F.lit("OPEN")).otherwise(F.lit("CLOSED")).alias("ACCTSTATUS"),
         F.date_format("o_orderdate", "yyyyMMdd").alias("DATEOPEN"), F.lit("").alias("DATECLSE"))
-    custs = RP.with_safe_boxes(RP.describe(RP.requested_customers(req, rows), occ, masco, msic), boxes)
-    return RP.merged_products(custs, [
-        RP.with_branch(RP.deposit_accounts(dp), branches), RP.with_branch(RP.loan_accounts(ln), branches),
-        RP.box_accounts(boxes), RP.card_accounts(card(13, "UNI")), RP.card_accounts(card(17, "COM"))])
+    return {"customers": rows, "requests": req, "occupations": occ, "masco": masco, "msic": msic, "boxes": boxes, "branches": branches,
+            "deposits": dp, "loans": ln, "unicard": card(13, "UNI"), "comcard": card(17, "COM")}
+
+
+def _report_products(spark, sf):
+    """The merged products of the customer report over the role inputs."""
+    i = report_inputs(spark, sf)
+    rows, boxes, branches = i["customers"], i["boxes"], i["branches"]
+    custs = RP.describe(RP.requested_customers(i["requests"], rows), i["occupations"], i["masco"], i["msic"])
+    return RP.merged_products(RP.with_safe_boxes(custs, boxes, rows), [
+        RP.with_branch(RP.deposit_accounts(i["deposits"]), branches), RP.with_branch(RP.loan_accounts(i["loans"]), branches),
+        RP.box_accounts(boxes), RP.card_accounts(i["unicard"]), RP.card_accounts(i["comcard"])])
 
 
 def _report_details(spark, sf):
@@ -889,19 +897,24 @@ _REST_SQL = render_sql([("';'", 1, 1), *[(_report_field(n, w, d), at - 5, w) for
 _HEADING = spec.overwritten([("NO", 1), (";", 6)] + [x for h, at, _, _, _, mark in spec.REPORT for x in ((h, at), (";", mark))], 800)
 
 
-@query("customer_raw_file", "PIPE-11 JON-10 JON-11 SET-03 SNK-04", sql=f"""
-SELECT SRC, ACCTNOC, {_RAW_VALUE} AS value FROM ({' UNION ALL '.join(_product_sql(i) for i in range(5))}) _r""")
+RAW_SQL = f"SELECT SRC, ACCTNOC, {_RAW_VALUE} AS value FROM ({' UNION ALL '.join(_product_sql(i) for i in range(5))}) _r"
+
+
+@query("customer_raw_file", "PIPE-11 JON-10 JON-11 SET-03 SNK-04", sql=RAW_SQL)
 def customer_raw_file(spark, sf):
     return RP.raw_records(_report_products(spark, sf))
 
 
-@query("customer_report", "PIPE-11 JON-05 JON-07 JON-10 JON-13 CLS-02 CLS-03 CLS-05 CLS-06 CLS-07 DAT-06 MTH-01 MTH-02 "
-       "MTH-03 MTH-04 MTH-05 NUL-01 SET-03 WIN-01 SNK-06", sql=f"""
+REPORT_SQL = f"""
 SELECT -1::BIGINT AS line_no, {_q('LIST OF CUSTOMERS INFORMATION'.ljust(800))} AS value
 UNION ALL SELECT 0::BIGINT, {_q(_HEADING)}
 UNION ALL SELECT line_no, CASE WHEN line_no > 99999 THEN CAST(line_no AS VARCHAR) ELSE lpad(CAST(line_no AS VARCHAR), 5, ' ') END || rest
 FROM (SELECT row_number() OVER (ORDER BY SRC, ACCTNOC, rest) AS line_no, rest FROM (
-  SELECT SRC, ACCTNOC, {_REST_SQL} AS rest FROM ({_DETAILED_SQL}) _r))""")
+  SELECT SRC, ACCTNOC, {_REST_SQL} AS rest FROM ({_DETAILED_SQL}) _r))"""
+
+
+@query("customer_report", "PIPE-11 JON-05 JON-07 JON-10 JON-13 CLS-02 CLS-03 CLS-05 CLS-06 CLS-07 DAT-06 MTH-01 MTH-02 "
+       "MTH-03 MTH-04 MTH-05 NUL-01 SET-03 WIN-01 SNK-06", sql=REPORT_SQL)
 def customer_report(spark, sf):
     products = _report_products(spark, sf)
     detailed = [RP.with_details(products[0], *_report_details(spark, sf)), *products[1:]]

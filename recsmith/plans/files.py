@@ -15,7 +15,7 @@ from recsmith.plans import addresses, names, owners, parties, relationships, rep
 from recsmith.session import materialize
 from recsmith.sinks.generations import Generations
 from recsmith.sources.layout import Layout
-from recsmith.sources.readers import SEQ, read_fixed_binary, read_fixed_text
+from recsmith.sources.readers import SEQ, read_delimited, read_fixed_binary, read_fixed_text
 
 Paths = str | Sequence[str]
 
@@ -108,3 +108,25 @@ def deposit_details(spark: SparkSession, path: Paths, statements: Paths, posts:
     files hold them."""
     return report.with_details(deposits(spark, path), binary(spark, statements, report.STATEMENT_LAYOUT),
                                text(spark, posts, report.POST_LAYOUT), text(spark, holds, report.HOLD_LAYOUT))
+
+
+def report_job(spark: SparkSession, customers: DataFrame, files: dict[str, Paths], out: Generations) -> int:
+    """PIPE-11: the customer table and twelve files (alias list, code tables, products and their details) in;
+    the raw file and the report out, together. ``files``: requests, occupations, masco, msic,
+    branches, deposits, loans, boxes, unicard, comcard, statements, posts, holds."""
+    requests = read_delimited(spark, files["requests"], report.REQUEST_COLUMNS, max_width=report.REQUEST_WIDTHS)
+    occupations = text(spark, files["occupations"], report.OCCUPATION_LAYOUT).where("TYPE = 'OCCUP'")
+    boxes, branches = text(spark, files["boxes"], report.BOX_LAYOUT), text(spark, files["branches"], report.BRANCH_LAYOUT)
+    loans = binary(spark, files["loans"], report.LOAN_LAYOUT, columns=report.LOAN_FIELDS)
+    described = report.describe(report.requested_customers(requests, customers), occupations,
+                                text(spark, files["masco"], report.MASCO_LAYOUT), text(spark, files["msic"], report.MSIC_LAYOUT))
+    products = report.merged_products(report.with_safe_boxes(described, boxes, customers), [
+        report.with_branch(deposits(spark, files["deposits"]), branches), report.with_branch(report.loan_accounts(loans), branches),
+        report.box_accounts(boxes), *[report.card_accounts(text(spark, files[c], report.CARD_LAYOUT)) for c in ("unicard", "comcard")]])
+    # Both outputs are made of the products: each is computed once.
+    products = [materialize(p, "product") for p in products]
+    details = (binary(spark, files["statements"], report.STATEMENT_LAYOUT), text(spark, files["posts"], report.POST_LAYOUT),
+               text(spark, files["holds"], report.HOLD_LAYOUT))
+    rows = report.report_rows([report.with_details(products[0], *details), *products[1:]])
+    return out.publish({"raw": (report.raw_records(products), ["SRC", "ACCTNOC", "value"]),
+                        "report": (report.report_lines(rows), ["line_no"])})

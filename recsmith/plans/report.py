@@ -90,6 +90,21 @@ HOLD_LAYOUT = Layout.of(
     + [(f"DESC_{i}", 48 + 21 * i, 20) for i in (1, 2, 3)] + [(f"SOURCE_{i}", 111 + 21 * i, 20) for i in (1, 2, 3)] + [("TOT_HOLD", 195, 2)],
     lrecl=196)
 
+LOAN_LAYOUT = Layout.of([
+    ("ACCTNO", 1, 6, "p"), ("ACCTNAME", 7, 24), ("ORGTYPE", 42, 1), ("NOTENO", 81, 3, "p"), ("NOTEREV", 84, 1), ("NOTETYPE", 85, 2, "p"),
+    ("BRANCHNOTE", 87, 4, "p"), ("ACCTOPENDATE", 95, 6, "p"), ("LASTTRANDATE", 113, 6, "p"), ("NOTECURBAL", 121, 8, "p"),
+    ("COSTCENTER", 238, 4, "p"), ("NOTEPAID", 261, 1), ("APPRVLIMIT", 262, 8, "p"), ("NPLINDC", 338, 1), ("AANUMBER", 596, 20)], lrecl=615)
+LOAN_FIELDS = ["ACCTNO", "ACCTOPENDATE", "LASTTRANDATE", "NOTECURBAL", "COSTCENTER", "NOTEPAID", "NPLINDC"]
+BOX_LAYOUT = Layout.of([("CUSTNO", 8, 11), ("ALIAS", 75, 20), ("BRANCH_ABBR", 192, 7), ("ACCTNOC", 218, 20), ("BANKINDC", 249, 1),
+                        ("ACCTSTATUS", 281, 25)], lrecl=414)
+CARD_LAYOUT = Layout.of([("BRANCH_ABBR", 192, 5), ("ACCTNOC", 218, 20), ("ACCTSTATUS", 281, 25), ("DATEOPEN", 309, 8),
+                         ("DATECLSE", 322, 8)], lrecl=329)
+BRANCH_LAYOUT = Layout.of([("ACCTBRCH", 2, 3), ("BRANCH_ABBR", 6, 5)], lrecl=10)
+OCCUPATION_LAYOUT = Layout.of([("TYPE", 5, 5), ("DEMOCODE", 10, 3), ("DEMODESC", 40, 60)], lrecl=99)
+MASCO_LAYOUT = Layout.of([("MASCO2008", 8, 5), ("MASCODESC", 43, 27)], lrecl=69)
+MSIC_LAYOUT = Layout.of([("MSICCODE", 8, 5), ("MSICDESC", 43, 27)], lrecl=69)
+REQUEST_COLUMNS, REQUEST_WIDTHS = ["ALIASKEY", "ALIAS"], {"ALIASKEY": 3, "ALIAS": 37}
+
 # The raw record. The one-byte bank indicator stands on the last
 # byte of the 13-byte balance, so 12 bytes of the balance are left.
 RAW_LAYOUT = Layout.of([
@@ -113,14 +128,16 @@ def describe(custs: DataFrame, occup: DataFrame, masco: DataFrame, msic: DataFra
     return lookup(out, first_record(msic, "MSICCODE", "MSICCODE", "MSICDESC"), "MSICCODE")
 
 
-def with_safe_boxes(custs: DataFrame, boxes: DataFrame) -> DataFrame:
+def with_safe_boxes(custs: DataFrame, boxes: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     """Customers merged by position with the boxes of their alias, one row per
-    account (the first by alias and position)."""
+    account (the first by alias and position). ``aliases``: a frame with the customers' ALIAS
+    that takes less to compute than ``custs``, to look for aliases of many rows in."""
+    aliases = (custs if aliases is None else aliases).select("ALIAS").union(boxes.select("ALIAS"))
     b = boxes.select("ALIAS", "BRANCH_ABBR", "BANKINDC", "ACCTSTATUS", F.lit(0).cast(MONEY).alias("LEDGERBAL"),
                      F.lit("SDB").alias("APPL_CODE"), *[F.col(c).alias("_bseq") for c in seq_of(boxes)])
     # The customers were sorted by each code in turn, then by alias; the boxes as read.
     m = match_merge(custs, b, "ALIAS", ["MSICCODE", "MASCO2008", "OCCUP", "ALIASKEY", *in_order(custs, "ACCTNOC")],
-                    ["_bseq"] if seq_of(boxes) else ["BRANCH_ABBR"], keep="left").drop("_bseq")
+                    ["_bseq"] if seq_of(boxes) else ["BRANCH_ABBR"], keep="left", histogram=aliases).drop("_bseq")
     m = m.withColumns({
         "SDBIND": F.when(F.col("in_right"), F.lit("YES")).otherwise(F.lit("NIL")),
         "SDBBRH": F.when(F.col("in_right"), F.substring("BRANCH_ABBR", 1, 3)).otherwise(F.lit("NIL")),
