@@ -260,6 +260,10 @@ class Shard:
         self._ends: np.ndarray | None = None
 
     def all(self) -> np.ndarray:
+        # Each rule is written out once, unless that takes far more than the shard itself.
+        if int(self.lengths.sum()) <= 8 * int(self.sizes.sum()):
+            written = expand(self.rules, self.rules, self.rule_sizes, self.base)
+            return unfold(self.sequence, self.sequence >= self.base, written, self.lengths, self.base)[0]
         return expand(self.sequence, self.rules, self.rule_sizes, self.base)
 
     def range(self, start: int, end: int) -> np.ndarray:
