@@ -363,7 +363,7 @@ SELECT record FROM (SELECT record, row_number() OVER (PARTITION BY substr(record
                     FROM (SELECT {LI_LINE_SQL} AS record FROM lineitem)) WHERE rn = 1""")
 def record_prefix_key(spark, sf):
     recs = LI_LAYOUT.render(table(spark, sf, "lineitem"), name="record")
-    return DD.distinct_on_prefix(recs, "record", 14)
+    return DD.distinct_on_prefix(recs, "record", 14, ["record"])
 
 
 @query("alias_union_distinct", "DED-07", sql=f"""
