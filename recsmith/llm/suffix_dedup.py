@@ -1,14 +1,15 @@
 """Exact removal of repeated long byte strings with a logarithmic family of
-suffix arrays.
+sorted window hashes.
 
 A byte goes if a ``LENGTH``-byte string covers it that also starts in a document
 with a smaller id. Documents are packed, in id order, into chunks of bounded
-size. The suffix array of a chunk is sparse: windows of ``LENGTH`` bytes are
-grouped by the smallest hash among their ``SEED``-byte substrings, so equal
-windows always share that key, and consecutive windows of one key form a run.
-A chunk's sorted keys, each with a hash of its run's content, are its array.
+size. Instead of a suffix array (see README for what those take) a chunk has its window keys:
+windows of ``LENGTH`` bytes are grouped by the smallest hash among their ``SEED``-byte
+substrings, so equal windows always share that key, and consecutive windows of one key
+form a run. The chunk's sorted keys, each with a hash of its run's content, are its batch
+of the family; strings of other lengths cannot be asked.
 
-Chunks are the batches: for each range of keys, in one task, a family of
+For each range of keys, in one task, a family of
 sorted levels is kept; a chunk's keys are merge-scanned against every level,
 keys that no level holds become a new level, and levels of equal size merge
 geometrically (``Family``). A key met before with the same content is a long
@@ -17,8 +18,8 @@ by a second family over the exact windows of those runs. Answers go back to a
 chunk as one byte per key of its own sorted list, never per document.
 
 Scale: every chunk sends a key once, so a passage in a third of all documents
-is one entry per chunk; ranges of hashed keys are even and their number follows
-the input, so a task's group has a bounded expected size. What moves is about
+is one entry per chunk; ranges of keys are even, as a smallest hash is hashed once more, and their
+number follows the input, so a task's group has a bounded expected size. What moves is about
 one 16-byte entry per 14 bytes of text, and the packed, compressed chunks.
 
 Defined cases: null text is empty; texts under ``LENGTH`` bytes lose nothing;
@@ -58,6 +59,14 @@ def join_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return h
 
 
+def spread(h: np.ndarray) -> np.ndarray:
+    """Another number for each hash, even over all numbers also where the hashes crowd
+    at the low end, as smallest ones do."""
+    h = (h ^ h >> U(30)) * U(0xBF58476D1CE4E5B9)
+    h = (h ^ h >> U(27)) * U(0x94D049BB133111EB)
+    return h ^ h >> U(31)
+
+
 def substring_hashes(data: np.ndarray, *sizes: int) -> list[np.ndarray]:
     """Hash of every substring of each of the sizes, by doubling."""
     power, size = join_hash(data.astype(U) + MIX[2], U(1)), 1
@@ -138,7 +147,7 @@ class Chunk:
         mixed = np.where(inside, join_hash(window, U(2)), U(0))
         count = np.add.reduceat(inside.astype(np.int64), begin)
         content = join_hash(np.add.reduceat(mixed, begin), count.astype(U)) | U(1)
-        return least[begin], content, begin + lo, count, doc[begin]
+        return spread(least[begin]), content, begin + lo, count, doc[begin]
 
     def windows(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and documents of the windows of some runs."""

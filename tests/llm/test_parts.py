@@ -457,3 +457,12 @@ def test_pseudo_labels_as_by_hand(spark):
         assert made or x == "meta_x"
         view = cotrain.View(x, spark.createDataFrame(learn + made, held.schema), held)
         assert np.allclose(view.weights + [view.bias], after[x].weights + [after[x].bias], atol=1e-3)
+
+
+def test_key_ranges_are_even(spark):
+    """The largest range holds less than twice the mean."""
+    texts = [(r.text or "").encode() for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(400).collect()]
+    chunk = suffix_dedup.Chunk(b"".join(texts), np.array([len(t) for t in texts]))
+    for ranges in (3, 11, 100):
+        size = np.diff(suffix_dedup.cut(chunk.keys, ranges))
+        assert size.max() < 2 * size.mean()
