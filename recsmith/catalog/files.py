@@ -29,7 +29,6 @@ from recsmith.sources.layout import Layout, binary_record
 
 FILES = 4
 
-
 def _fresh(spark, name):
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
@@ -47,7 +46,7 @@ def put(df, layout, order, name="in", is_binary=False):
 
 
 def published(spark, name, keep=None):
-    return Generations(spark, _fresh(spark, name), keep)
+    return Generations(spark, _fresh(spark, name), keep, compression="gzip")
 
 
 def outputs(gen, names):

@@ -32,24 +32,25 @@ def owners_job(spark: SparkSession, accounts: Paths, relations: Paths, out: Gene
     """PIPE-06: account relationships (several files, one input) and customer relationships in; the owner
     file, by account, customer and second customer, out."""
     rows = owners.account_owners(read_fixed_text(spark, accounts, owners.ACCOUNT_REL_LAYOUT),
-                                 read_fixed_text(spark, relations, owners.CUST_REL_LAYOUT), with_record=True)
-    lines = materialize(rows.withColumnRenamed("record", "value"), "owners")
-    return out.publish({"owners": (lines, ["ACCTNOC", "CUSTNO", "CUSTNO2", "value"])})
+                                 read_fixed_text(spark, relations, owners.CUST_REL_LAYOUT))
+    # Of equal customers and accounts the other fields, as rendered, are what tells two lines apart.
+    ties = [F.rpad(f.name, f.width, " ") for f in owners.OWNER_LAYOUT.fields if f.name in ("ACCTCODE", "RLENCODE", "CODE1", "CODE2")]
+    return out.publish({"owners": (materialize(rows, "owners"), ["ACCTNOC", "CUSTNO", "CUSTNO2", *ties],
+                                   owners.OWNER_LAYOUT.render_expr())})
 
 
 def names_job(spark: SparkSession, name_file: Paths, remark_file: Paths, out: Generations) -> int:
     """PIPE-05: the first name and the first remark of each customer, by customer."""
     rows = names.names_with_long_name(text(spark, name_file, names.NAME_IN_LAYOUT), text(spark, remark_file, names.REMARK_LAYOUT))
-    lines = rows.select("CUSTNO", names.NAME_OUT_LAYOUT.render_expr({"CUSTNAME_2": F.col("CUSTNAME")}).alias("value"))
-    return out.publish({"names": (materialize(lines, "names"), ["CUSTNO"])})
+    return out.publish({"names": (materialize(rows, "names"), ["CUSTNO"],
+                                  names.NAME_OUT_LAYOUT.render_expr({"CUSTNAME_2": F.col("CUSTNAME")}))})
 
 
 def deposit_addresses_job(spark: SparkSession, ownership: Paths, addresses_: Paths, out: Generations) -> int:
     """PIPE-07: binary ownership records and address lines in; the listing, by account, out."""
     own = binary(spark, ownership, names.OWNERSHIP_LAYOUT, columns=["O_APPL_CODE", "ACCTNO", *names.LINE_TYPES])
     rows = names.deposit_addresses(own, text(spark, addresses_, names.ADDRESS_LAYOUT))
-    lines = rows.select("ACCTNO", names.DEPOSIT_ADDR_LAYOUT.render_expr().alias("value"))
-    return out.publish({"addresses": (materialize(lines, "addresses"), ["ACCTNO"])})
+    return out.publish({"addresses": (materialize(rows, "addresses"), ["ACCTNO"], names.DEPOSIT_ADDR_LAYOUT.render_expr())})
 
 
 def relationships_job(spark: SparkSession, rel: Paths, codes: Paths, name_file: Paths, aliases: Paths,

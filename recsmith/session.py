@@ -97,5 +97,5 @@ def materialize(df, name: str = "stage"):
 
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)

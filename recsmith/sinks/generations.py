@@ -10,6 +10,9 @@ generation; with ``keep`` older ones roll off.
 
 An output is written in order by range-partitioning and sorting its lines; part ``n`` holds the
 ``n``-th range, so the parts, one after the other, are the sorted file. The order should be total.
+Lines that are rendered from narrower columns may be given as those columns and the rendering: then the
+columns are dealt out and sorted, and lines exist only as they are written. Parts are plain text, or
+compressed where the caller says so: records are mostly blanks.
 All file operations go through the storage that Spark itself reaches."""
 
 from __future__ import annotations
@@ -19,24 +22,26 @@ import re
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recsmith.session import materialize
 from recsmith.sources.readers import SEQ, read_lines, record_numbers
 from recsmith.sources.recordfile import SEQUENCE
 
-# An output: its lines (column ``value``) and the columns that order them.
-Output = tuple[DataFrame, Sequence]
+# An output: its lines (column ``value``) and the columns that order them; or rows, the columns that
+# order them, and the rendering of a row as a line.
+Output = tuple[DataFrame, Sequence] | tuple[DataFrame, Sequence, Column]
 
 
 class Generations:
-    """The generations under one folder. ``keep``: how many stay (None: all)."""
+    """The generations under one folder. ``keep``: how many stay (None: all). ``compression``: of
+    the parts, as Spark's text writer names it ("gzip"); readers tell by the file names."""
 
-    def __init__(self, spark: SparkSession, base: str, keep: int | None = None):
+    def __init__(self, spark: SparkSession, base: str, keep: int | None = None, compression: str | None = None):
         if keep is not None and keep < 1:
             raise ValueError("at least one generation stays")
-        self.spark, self.base, self.keep = spark, base.rstrip("/"), keep
+        self.spark, self.base, self.keep, self.compression = spark, base.rstrip("/"), keep, compression or "none"
         self._conf, self._hadoop = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs
 
     # ------------------------------------------------------------- write
@@ -66,11 +71,15 @@ class Generations:
         stored = materialize(frame, "outputs")
         return self.publish({name: make(stored) for name, make in outputs.items()}, generation)
 
-    def _write(self, path: str, lines: DataFrame, order: Sequence) -> list[dict]:
+    def _write(self, path: str, lines: DataFrame, order: Sequence, value: Column | None = None) -> list[dict]:
         lines = lines.repartitionByRange(*order).sortWithinPartitions(*order) if order else lines
-        lines.select("value").write.mode("error").text(path)
+        lines = lines.select("value" if value is None else value.alias("value"))
+        lines.write.mode("error").option("compression", self.compression).text(path)
+        # With a set among them the aggregates are kept in a hash table of a row per file; without, Spark
+        # sorts all lines by file, as texts have no fixed length.
         written = read_lines(self.spark, path, SEQ).groupBy(F.element_at(F.split(F.col(SEQ)["file"], "/"), -1).alias("file")).agg(
-            F.count(F.lit(1)).alias("n"), F.min_by("value", SEQ).alias("first"), F.max_by("value", SEQ).alias("last"))
+            F.count(F.lit(1)).alias("n"), F.min_by("value", SEQ).alias("first"), F.max_by("value", SEQ).alias("last"),
+            F.collect_set(F.lit(1)).alias("_hashed"))
         # One row per part file.
         parts = [{"file": r.file, "records": r.n, "first": r["first"], "last": r["last"]} for r in written.collect()]
         return [{"path": path, **p} for p in sorted(parts, key=lambda p: part_number(p["file"]))]
