@@ -44,12 +44,18 @@ FROM orders"""
 
 
 # ------------------------------------------------- relationship edge list
+# Edges that one task takes the distinct ones of.
+EDGES = 500_000
+
+
 def cust_rel(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem")
+    # Dealt out in parts of bounded size: hardly any edge repeats.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-li.count() // EDGES))
     return li.select(li.l_suppkey.cast("string").alias("CUST1"),
                      F.col("l_returnflag").alias("CODE1"),
                      li.l_partkey.cast("string").alias("CUST2"),
-                     F.col("l_linestatus").alias("CODE2")).distinct()
+                     F.col("l_linestatus").alias("CODE2")).repartition(parts, "CUST1", "CODE1", "CUST2", "CODE2").distinct()
 
 
 CUST_REL_SQL = """

@@ -8,7 +8,7 @@ owner records (first 150 bytes of the rendered record, first kept).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recsmith.functions.rules import account_prefix_code
@@ -42,12 +42,37 @@ def primary_accounts(acct_rel: DataFrame) -> DataFrame:
                     F.substring("RLENCODE", 1, 3).alias("RLENCODE")))
 
 
-def both_directions(cust_rel: DataFrame) -> DataFrame:
-    """Customer relationships as stored plus flipped (V11: both are read)."""
-    sym = symmetrise(cust_rel.select("CUST1", "CODE1", "CUST2", "CODE2"),
-                     [("CUST1", "CUST2"), ("CODE1", "CODE2")])
-    return sym.select(F.col("CUST1").alias("CUSTNO"), "CODE1",
-                      F.col("CUST2").alias("CUSTNO2"), "CODE2")
+def distinct_edges(cust_rel: DataFrame) -> DataFrame:
+    """Customer relationships as rendered, one per pair of sides whichever way it was
+    stored: the side that sorts first stands first. ``JOINS1``, ``JOINS2``: can that side's
+    customer meet an account? A missing number and one that is longer than its field cannot, though
+    both are rendered as the second customer.
+
+    Read both ways, an edge and its flipped copy are the same two rows, so the dedup is
+    done on the edges and their two directions are formed after it."""
+    def side(n: int) -> Column:
+        key, field = F.rtrim(f"CUST{n}"), F.rtrim(F.substring(F.coalesce(f"CUST{n}", F.lit("")), 1, 11))
+        code = F.rtrim(F.substring(F.coalesce(f"CODE{n}", F.lit("")), 1, 3))
+        return F.struct(field.alias("CUST"), code.alias("CODE"), (F.coalesce(key, F.lit("-")) == field).alias("JOINS"))
+
+    sides = cust_rel.select(F.sort_array(F.array(side(1), side(2))).alias("_s"))
+    one, two = F.col("_s")[0], F.col("_s")[1]
+    edges = sides.select(one["CUST"].alias("CUST1"), one["CODE"].alias("CODE1"), two["CUST"].alias("CUST2"), two["CODE"].alias("CODE2"),
+                         one["JOINS"].alias("JOINS1"), two["JOINS"].alias("JOINS2"))
+    # Dealt out before the dedup: a stored edge rarely repeats, and the tables of what a task has seen
+    # stay as small as the number of shuffle partitions makes them.
+    sides = ["CUST1", "CODE1", "CUST2", "CODE2"]
+    parts = int(cust_rel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return edges.repartition(parts, *sides).groupBy(*sides).agg(F.max("JOINS1").alias("JOINS1"), F.max("JOINS2").alias("JOINS2"))
+
+
+def both_directions(edges: DataFrame) -> DataFrame:
+    """Edges as stored plus flipped (V11: both are read), from the sides that can meet an account; an
+    edge that is its own flipped copy stands once."""
+    same = (F.col("CUST1") == F.col("CUST2")) & (F.col("CODE1") == F.col("CODE2"))
+    edges = edges.withColumns({"JOINS1": F.col("JOINS1") | (same & F.col("JOINS2")), "JOINS2": F.col("JOINS2") & ~same})
+    sym = symmetrise(edges, [("CUST1", "CUST2"), ("CODE1", "CODE2"), ("JOINS1", "JOINS2")])
+    return sym.where("JOINS1").select(F.col("CUST1").alias("CUSTNO"), "CODE1", F.col("CUST2").alias("CUSTNO2"), "CODE2")
 
 
 def account_owners(acct_rel: DataFrame, cust_rel: DataFrame, with_record: bool = False
@@ -65,12 +90,9 @@ def account_owners(acct_rel: DataFrame, cust_rel: DataFrame, with_record: bool =
     key matches nothing.
     """
     acct_side = ["ACCTCODE", "ACCTNOC", "RLENCODE", "CUSTNO"]
-    rel_side = ["CODE1", "CUSTNO2", "CODE2"]
     acc = primary_accounts(acct_rel).filter(F.col("CUSTNO").isNotNull())
     acc = acc.select(*OWNER_LAYOUT.rendered_values(150, acct_side)).distinct()
-    rel = both_directions(cust_rel).filter(F.col("CUSTNO").isNotNull())
-    rel = rel.select(F.rtrim("CUSTNO").alias("CUSTNO"),
-                     *OWNER_LAYOUT.rendered_values(150, rel_side)).distinct()
+    rel = both_directions(distinct_edges(cust_rel))
     # Each side is deduplicated on all its columns (an even shuffle); the join
     # then has its own exchange on CUSTNO, where AQE can split a hot customer.
     out = acc.join(rel, "CUSTNO").select(*OWNER_LAYOUT.names)
