@@ -27,7 +27,10 @@ from recsmith.sinks.generations import Generations
 from recsmith.sources import readers as RD
 from recsmith.sources.layout import Layout, binary_record
 
+# Files of an input, at least; and bytes of records that one task sorts and writes.
 FILES = 4
+FILE_BYTES = 64 << 20
+
 
 def _fresh(spark, name):
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
@@ -36,7 +39,9 @@ def _fresh(spark, name):
 def put(df, layout, order, name="in", is_binary=False):
     """A folder of record files that hold ``df`` in ``order`` (SQL expressions)."""
     path = _fresh(df.sparkSession, name)
-    rows = df.repartitionByRange(FILES, *[F.expr(o[:-5]).desc() if o.endswith(" DESC") else F.expr(o) for o in order])
+    width = layout.lrecl or max(f.end for f in layout.fields)
+    files = max(FILES, -(-df.count() * width // FILE_BYTES))
+    rows = df.repartitionByRange(files, *[F.expr(o[:-5]).desc() if o.endswith(" DESC") else F.expr(o) for o in order])
     rows = rows.sortWithinPartitions(*[F.expr(o[:-5]).desc() if o.endswith(" DESC") else F.expr(o) for o in order])
     if is_binary:
         W.write_records(rows.select(binary_record(layout).alias("value")), path)
