@@ -27,12 +27,16 @@ table gives no shard; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
+import unicodedata
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -185,48 +189,54 @@ def write_out_single(rules: np.ndarray, sizes: np.ndarray, lengths: np.ndarray,
     single = uses < 2
     if not single.any():
         return rules, sizes, lengths, seq
-    # Bodies of the rules that stay, then the sequence, as one row of symbols.
-    body = np.repeat(~single, sizes)
-    owner = np.concatenate([np.repeat(np.arange(len(sizes)), sizes)[body], np.full(len(seq), len(sizes))])
-    flat = np.concatenate([rules[body], seq])
+    # Bodies of all rules with the single ones written out; those of the rules that stay; the sequence.
+    first = np.cumsum(sizes) - sizes
     while True:
-        nested = flat >= base
-        nested[nested] = single[flat[nested].astype(np.int64) - base]
+        nested = single_symbols(rules, single, base)
         if not nested.any():
             break
-        flat, source = unfold(flat, nested, rules, sizes, base)
-        owner = owner[source]
+        rules, size = unfold(rules, nested, rules, first, sizes, base)
+        ends = np.concatenate([[0], np.cumsum(size)])
+        # A single rule is written out where it is used, so its own body is looked at no more.
+        sizes, first = ends[first + sizes] - ends[first], ends[first]
+    seq, _ = unfold(seq, single_symbols(seq, single, base), rules, first, sizes, base)
+    body = rules[np.repeat(~single, sizes)]
     number = np.cumsum(~single) - 1
-    symbol = flat >= base
-    flat[symbol] = base + number[flat[symbol].astype(np.int64) - base]
-    inside = owner < len(sizes)
-    return flat[inside], np.bincount(owner[inside], minlength=len(sizes))[~single], lengths[~single], flat[~inside]
+    for part in (body, seq):
+        symbol = part >= base
+        part[symbol] = base + number[part[symbol].astype(np.int64) - base]
+    return body, sizes[~single], lengths[~single], seq
 
 
-def unfold(seq: np.ndarray, nested: np.ndarray, rules: np.ndarray, sizes: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """``seq`` with the bodies of the ``nested`` symbols in their place, and for each symbol
-    of the result the one it comes from."""
+def single_symbols(symbols: np.ndarray, single: np.ndarray, base: int) -> np.ndarray:
+    """Which symbols stand for rules that are ``single``."""
+    nested = symbols >= base
+    nested[nested] = single[symbols[nested].astype(np.int64) - base]
+    return nested
+
+
+def unfold(seq: np.ndarray, nested: np.ndarray, rules: np.ndarray, first: np.ndarray, sizes: np.ndarray,
+           base: int) -> tuple[np.ndarray, np.ndarray]:
+    """``seq`` with the bodies of the ``nested`` symbols in their place, and how many symbols
+    each has become. Bodies start at ``first`` of ``rules`` and have ``sizes`` symbols."""
     size = np.ones(len(seq), np.int64)
+    begin = np.arange(len(rules), len(rules) + len(seq))
     rule = seq[nested].astype(np.int64) - base
-    size[nested] = sizes[rule]
-    source = np.repeat(np.arange(len(seq)), size)
-    out = seq[source]
-    start = np.cumsum(size) - size
-    inside = nested[source]
-    first = np.zeros(len(seq), np.int64)
-    first[nested] = (np.cumsum(sizes) - sizes)[rule]
-    out[inside] = rules[first[source[inside]] + np.flatnonzero(inside) - start[source[inside]]]
-    return out, source
+    size[nested], begin[nested] = sizes[rule], first[rule]
+    ends = np.cumsum(size)
+    source = np.repeat(begin - ends + size, size)
+    source += np.arange(len(source))
+    return np.concatenate([rules, seq])[source], size
 
 
 def expand(seq: np.ndarray, rules: np.ndarray, sizes: np.ndarray, base: int) -> np.ndarray:
     """The ids that symbols stand for."""
-    seq = seq.astype(np.uint32)
+    seq, first = seq.astype(np.uint32), np.cumsum(sizes) - sizes
     while True:
         nested = seq >= base
         if not nested.any():
             return seq
-        seq, _ = unfold(seq, nested, rules, sizes, base)
+        seq, _ = unfold(seq, nested, rules, first, sizes, base)
 
 
 def bits_of(values: np.ndarray) -> int:
@@ -263,7 +273,8 @@ class Shard:
         # Each rule is written out once, unless that takes far more than the shard itself.
         if int(self.lengths.sum()) <= 8 * int(self.sizes.sum()):
             written = expand(self.rules, self.rules, self.rule_sizes, self.base)
-            return unfold(self.sequence, self.sequence >= self.base, written, self.lengths, self.base)[0]
+            first = np.cumsum(self.lengths) - self.lengths
+            return unfold(self.sequence, self.sequence >= self.base, written, first, self.lengths, self.base)[0]
         return expand(self.sequence, self.rules, self.rule_sizes, self.base)
 
     def range(self, start: int, end: int) -> np.ndarray:
@@ -303,9 +314,109 @@ def shard_row(part: int, block: int, ids: list, docs: list[np.ndarray], vocab: i
 
 # ---- tokens --------------------------------------------------------------
 
+def char_kinds() -> np.ndarray:
+    """Kind of every code point to the tokenizers library: 1 letter, 2 number, 3 white space, 0 any other."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    chars = np.arange(0x110000, dtype="<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    kinds = np.zeros(0x110000, np.uint8)
+    for kind, name in enumerate((r"\p{L}+", r"\p{N}+", r"\s+"), 1):
+        for m in regex.finditer(name, chars):
+            kinds[m.start():m.end()] = kind
+    # Versions of Unicode differ in which characters they know: where two do, the library is asked.
+    known = {"L": 1, "N": 2}
+    other = np.fromiter((known.get(unicodedata.category(c)[0], 0) for c in chars), np.uint8, len(chars))
+    split = ByteLevel(add_prefix_space=False).pre_tokenize_str
+    for c in np.flatnonzero((kinds != other) & (kinds != 3)).tolist():
+        kinds[c] = 0 if len(split("!" + chr(c))) == 1 else 1 if len(split("a" + chr(c))) == 1 else 2
+    return kinds
+
+
+class ColumnSplitter:
+    """Where the pieces of ``SPLIT`` start in the UTF-8 bytes of many texts, found
+    for all of them at once. Letters and numbers are those of the library."""
+
+    SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+    def __init__(self):
+        self.kinds = char_kinds()
+
+    def byte_kinds(self, data: np.ndarray) -> np.ndarray:
+        """Kind of the character that each byte belongs to."""
+        kind = self.kinds[:256][data]
+        lead = np.flatnonzero(data >= 0xC0)
+        if len(lead):
+            more = np.concatenate([data, np.zeros(3, np.uint8)])
+            b0, b1, b2, b3 = (more[lead + k].astype(np.int32) & 0x3F for k in range(4))
+            two, four = data[lead] < 0xE0, data[lead] >= 0xF0
+            code = np.where(two, (b0 & 0x1F) << 6 | b1, (b0 & 0x0F) << 12 | b1 << 6 | b2)
+            code[four] = ((b0 & 0x07) << 18 | b1 << 12 | b2 << 6 | b3)[four]
+            own = self.kinds[code]
+            for k, part in enumerate((slice(None), slice(None), ~two, four)):
+                kind[lead[part] + k] = own[part]
+        return kind
+
+    def starts(self, data: np.ndarray, texts: np.ndarray, whole: np.ndarray) -> np.ndarray:
+        """Start of every piece, and the end of the bytes. ``texts``: where texts start, and
+        the end; those that are ``whole`` are one piece."""
+        n = len(data)
+        kind = self.byte_kinds(data)
+        new, first = np.zeros(n + 4, bool), np.zeros(n + 4, bool)
+        first[texts] = True
+        first[n:] = True
+        np.not_equal(kind[1:], kind[:-1], out=new[1:max(n, 1)])
+        new |= first
+        # The last white space before a word is apart from the ones before; a blank goes with the word.
+        word = np.flatnonzero(new[1:n] & ~first[1:n] & (kind[:-1] == 3)) + 1
+        last = word - 1
+        for _ in range(3):
+            last -= (data[last] & 0xC0) == 0x80
+        new[last] = True
+        new[word[data[word - 1] == 0x20]] = False
+        # 's and the like, where the apostrophe starts a piece.
+        quote = np.flatnonzero((data == 0x27) & new[:n])
+        quote = quote[new[quote + 1] & ~first[quote + 1]]
+        after = data[quote + 1]
+        short = quote[(after == 0x73) | (after == 0x74) | (after == 0x6D) | (after == 0x64)]
+        quote, after = quote[~first[quote + 2]], after[~first[quote + 2]]
+        second = data[quote + 2]
+        long = quote[((after == 0x6C) & (second == 0x6C)) | (((after == 0x72) | (after == 0x76)) & (second == 0x65))]
+        new[short + 1] = new[long + 1] = False
+        new[short + 2] = new[long + 3] = True
+        if whole.any():
+            new[:n] &= ~np.repeat(whole, np.diff(texts))
+            new |= first
+        return np.flatnonzero(new[:n + 1])
+
+
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a column of texts without nulls, and where each text starts, with the end."""
+    texts = texts.cast(pa.large_string())
+    _, offsets, data = texts.buffers()
+    if not len(texts) or data is None:
+        return np.empty(0, np.uint8), np.zeros(len(texts) + 1, np.int64)
+    at = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    return np.frombuffer(data, np.uint8)[at[0]:at[-1]], at - at[0]
+
+
+def byte_chars() -> np.ndarray:
+    """Code point that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    chars = np.zeros(256, "<u4")
+    chars[shown] = shown
+    chars[np.setdiff1d(np.arange(256), shown)] = 256 + np.arange(256 - len(shown))
+    return chars
+
+
+def plain_byte_level(tokenizer) -> bool:
+    """Does the tokenizer split by ``ColumnSplitter.SPLIT`` and nothing else?"""
+    split = json.loads(tokenizer.to_str())["pre_tokenizer"] or {}
+    return split.get("type") == "ByteLevel" and split.get("use_regex") is True and split.get("add_prefix_space") is False
+
+
 class PieceTokens(dict):
     """Ids of text pieces by the tokenizers library; new pieces of a batch are
-    encoded together and remembered. Pieces that begin with one space split the
+    encoded together and remembered, each different one looked up once a batch. Pieces that begin with one space split the
     same way when they stand in a row, so many are encoded as one text and told
     apart by the bytes their ids stand for."""
 
@@ -323,6 +434,11 @@ class PieceTokens(dict):
         if all(t.special and not (t.single_word or t.lstrip or t.rstrip or t.normalized) for t in added.values()):
             self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.splitter = Splitter(pattern)
+        self.columns = ColumnSplitter() if pattern == ColumnSplitter.SPLIT else None
+        # Pieces that are the library's own splits go to its model at once, each byte as its character.
+        t, self.model = self.tokenizer, None
+        if self.columns and t.normalizer is None and t.truncation is None and t.padding is None and plain_byte_level(t):
+            self.model, self.byte_chars = t.model, byte_chars()
         self.vocab = self.tokenizer.get_vocab_size()
         # A byte-level token has one character per byte.
         self.length = np.zeros(self.vocab, np.int64)
@@ -342,6 +458,8 @@ class PieceTokens(dict):
             self.update((p, ids.tobytes()) for p, ids in zip(whole, self._batch(whole)))
             self.tokenizer.encode_special_tokens = True
             pieces = set(pieces).difference(whole)
+        if self.model is not None:
+            return self._learn_by_model(list(pieces))
         for p in pieces:
             (rows if p[0] == " " and p[1:2].strip() else rest).append(p)
         groups = [rows[k:k + ROW_PIECES] for k in range(0, len(rows), ROW_PIECES)]
@@ -356,29 +474,67 @@ class PieceTokens(dict):
             self.update(zip(group, [data[a:z] for a, z in zip([0, *ends], ends)]))
         self.update((p, ids.tobytes()) for p, ids in zip(rest, self._batch(rest)))
 
-    def pieces(self, text: str) -> list[str]:
-        """Pieces of a text; an added token is one."""
-        if not any(t in text for t in self.added):
-            return self.splitter.split(text)
-        if self.cut is None:
-            return [text]
-        return [p for k, part in enumerate(self.cut.split(text))
-                for p in ([part] if k % 2 else self.splitter.split(part))]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def _learn_by_model(self, pieces: list[str]) -> None:
+        data, at = text_bytes(pa.array(pieces, pa.large_string()))
+        chars, at = self.byte_chars[data].tobytes().decode("utf-32-le"), at.tolist()
+        tokenize, ids, ends = self.model.tokenize, [], [0]
+        for a, z in zip(at, at[1:]):
+            ids += [t.id for t in tokenize(chars[a:z])]
+            ends.append(4 * len(ids))
+        out = np.array(ids, "<u4").tobytes()
+        self.update(zip(pieces, [out[a:z] for a, z in zip(ends, ends[1:])]))
+
+    def parts(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Texts cut at added tokens, which parts are one piece, and where each text's parts start, with the end."""
+        held = np.zeros(len(texts), bool)
+        for t in self.added:
+            held |= pc.match_substring(texts, t).to_numpy(zero_copy_only=False)
+        if not held.any():
+            return texts, held, np.arange(len(texts) + 1)
+        cut = [[t] if not h or self.cut is None else self.cut.split(t) for h, t in zip(held.tolist(), texts.to_pylist())]
+        ends = np.cumsum([0, *map(len, cut)])
+        whole = np.repeat(held, np.diff(ends))
+        if self.cut is not None:
+            whole &= (np.arange(ends[-1]) - np.repeat(ends[:-1], np.diff(ends))) % 2 == 1
+        return pa.array([p for part in cut for p in part], pa.large_string()), whole, ends
+
+    def pieces(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Pieces of all texts in a row, and where those of each text start, with the end; an added token is one."""
+        parts, whole, ends = self.parts(texts)
+        if self.columns is None:
+            split = [[t] if w else self.splitter.split(t) for w, t in zip(whole.tolist(), parts.to_pylist())]
+            at = np.cumsum([0, *map(len, split)])
+            return pa.array([p for part in split for p in part], pa.large_string()), at[ends]
+        data, at = text_bytes(parts)
+        starts = self.columns.starts(data, at, whole)
+        found = pa.LargeStringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts), pa.py_buffer(data))
+        return found, np.searchsorted(starts, at)[ends]
+
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.large_string())
         self.update(self.added)
-        split = [self.pieces(t) for t in texts]
-        fresh = set().union(*split).difference(self)
+        pieces, texts_at = self.pieces(texts)
+        pieces = pieces.dictionary_encode()
+        # Far cheaper than to_pylist, which makes a scalar of each.
+        names, of = pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), pieces.indices.to_numpy()
+        fresh = [p for p in names if p not in self]
         if len(self) + len(fresh) > TOKEN_CACHE:
             self.clear()
             self.update(self.added)
-            fresh = set().union(*split).difference(self)
+            fresh = [p for p in names if p not in self]
         self.learn(fresh)
-        out = [np.frombuffer(b"".join(map(self.__getitem__, pieces)), "<u4") for pieces in split]
+        known = list(map(self.__getitem__, names))
         for p in fresh:
             if len(p) > CACHED_PIECE:
                 del self[p]
-        return out
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        # Ids of the pieces of all texts in a row, each taken from its place among the different ones.
+        ends = np.concatenate([[0], np.cumsum(size[of])])
+        source = np.repeat((np.cumsum(size) - size)[of] - ends[:-1], size[of]) + np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(known), "<u4")[source]
+        cuts = ends[texts_at].tolist()
+        return [ids[a:z] for a, z in zip(cuts, cuts[1:])]
 
 
 _TOKENS: dict[str, PieceTokens] = {}
@@ -411,8 +567,7 @@ def write_shards(df: DataFrame, path: str, tokenizer_path: str, pattern: str, en
         ids, docs, held = [], [], 0
         end = np.array([end_id], np.uint32)
         for b in batches:
-            names, texts = (c.to_pylist() for c in b.columns)
-            for i, d in zip(names, tokens.encode(texts)):
+            for i, d in zip(b.column(0).to_pylist(), tokens.encode(b.column(1))):
                 ids.append(i)
                 docs.append(np.concatenate([d, end]))
                 held += len(docs[-1])

@@ -5,6 +5,7 @@ import json
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 import regex
@@ -323,6 +324,67 @@ def test_added_tokens_as_library(flags):
     assert (50256 in tokens.encode(texts)[0]) and tokens.encode(texts[-1:])[0].tolist() == tok.encode(texts[-1]).ids
 
 
+SPLITTER = repair_tokens.ColumnSplitter()
+ODD_CHARS = [*"aZsstdmrevl'''  \n\t5,.<|\x00\x85\xa0", *"é٣²Ⅷ漢😀\u3000\u2003\u200b\u0301\U00010400", "'ll", "'re", " '", "  '"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(ODD_CHARS), max_size=12).map("".join), max_size=12), st.booleans())
+def test_columns_split_as_the_pattern(texts, sliced):
+    col = pa.array(["x's"] + texts, pa.large_string()).slice(1) if sliced else pa.array(texts, pa.string())
+    data, at = repair_tokens.text_bytes(col)
+    starts = SPLITTER.starts(data, at, np.zeros(len(texts), bool)).tolist()
+    got = [data.tobytes()[a:z].decode() for a, z in zip(starts, starts[1:])]
+    assert got == [p for t in texts for p in regex.findall(public_tokenizers.PATTERN, t)]
+
+
+def test_pieces_are_split_and_encoded_by_the_batch(monkeypatch):
+    """No text is split on its own, each different piece is encoded once, and every way gives the library's ids."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
+        raw = f.read()
+    rng = random.Random(6)
+    texts = ["".join(rng.choices([*ODD_CHARS, " the", "<|endoftext|>", " nation"], k=rng.randint(0, 40))) for _ in range(300)] * 2
+    tok = Tokenizer.from_str(raw.decode())
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    spec = json.loads(raw)
+    spec["padding"] = {"strategy": {"Fixed": 0}, "direction": "Right", "pad_to_multiple_of": None, "pad_id": 0,
+                       "pad_type_id": 0, "pad_token": "!"}
+    other = repair_tokens.PieceTokens(json.dumps(spec).encode(), public_tokenizers.PATTERN)
+    assert other.model is None and [a.tolist() for a in other.encode(texts)] == want
+    other = repair_tokens.PieceTokens(raw, f"(?:{public_tokenizers.PATTERN})")
+    assert other.columns is None and [a.tolist() for a in other.encode(texts)] == want
+    tokens, learnt = repair_tokens.PieceTokens(raw, public_tokenizers.PATTERN), []
+    monkeypatch.setattr(tokens.splitter, "split", lambda text: pytest.fail("a text split on its own"))
+    learn = tokens.learn
+    monkeypatch.setattr(tokens, "learn", lambda pieces: (learnt.extend(pieces), learn(pieces)))
+    assert [a.tolist() for a in tokens.encode(pa.array(texts))] == want and len(set(learnt)) == len(learnt)
+    assert tokens.encode([]) == [] and [len(a) for a in tokens.encode(["", ""])] == [0, 0]
+
+
+def test_letters_are_those_of_the_library():
+    """Characters that only newer versions of Unicode know, and one of every 97 others."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
+        raw = f.read()
+    new = [0x558, 0x88F, 0xC5C, 0xA7CE, 0x10940, 0x16EA0, 0x323B0, 0x11DE0]
+    texts = [f"!{c}a{c}1{c} {c}'s{c} ; {c}" for c in map(chr, [*new, *(c for c in range(1, 0x110000, 97) if c >> 11 != 27)])]
+    tok = Tokenizer.from_str(raw.decode())
+    tokens = repair_tokens.PieceTokens(raw, public_tokenizers.PATTERN)
+    assert tokens.model is not None
+    assert [a.tolist() for a in tokens.encode(texts)] == [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_sequence_is_written_out_once(monkeypatch):
+    """Chains of rules with one use are put together in the rules, not by passes over the sequence."""
+    rng = np.random.default_rng(8)
+    passage = rng.integers(0, 40_000, 1500)
+    ids = np.concatenate([np.concatenate([passage, rng.integers(0, 40_000, 2000)]) for _ in range(20)])
+    passes, unfold = [], repair_tokens.unfold
+    monkeypatch.setattr(repair_tokens, "unfold", lambda seq, *a: (passes.append(len(seq)), unfold(seq, *a))[1])
+    rules, sizes, lengths, seq = repair_tokens.compress(ids, 50_257)
+    assert sum(n >= 20 * 2000 for n in passes) == 1 and len(passes) > 2
+    assert (repair_tokens.expand(seq, rules, sizes, 50_257) == ids).all() and lengths.max() == 1500
+
+
 def most_left(seq):
     """The largest number of non-overlapping occurrences of a pair, counted from the left."""
     count, last = {}, {}
