@@ -122,16 +122,20 @@ def occurrences(where: np.ndarray, live: np.ndarray, passes: int = 3) -> np.ndar
     return np.concatenate(found) if found else np.empty(0, np.int64)
 
 
-def chosen_places(keys: np.ndarray, at: np.ndarray, pairs: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places (of ``at``, with ``keys``) to replace, and the ranks of their pairs."""
+def chosen_places(keys: np.ndarray, place: np.ndarray, at: np.ndarray, pairs: np.ndarray,
+                  bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (of ``at``, with ``keys`` and their table ``place``) to replace, and the ranks of their pairs."""
     ranks, held = np.full(1 << bits, -1, np.int32), np.zeros(1 << bits, keys.dtype)
     own = slots(pairs, bits)
     ranks[own], held[own] = np.arange(len(pairs)), pairs
-    place = slots(keys, bits)
-    hit = np.flatnonzero((held[place] == keys) & (ranks[place] >= 0))
-    rank = ranks[place[hit]]
-    found = occurrences(at[hit], rank)
-    return at[hit[found]], rank[found]
+    hit = np.flatnonzero(held.take(place, mode="clip") == keys)
+    rank = ranks.take(place.take(hit), mode="clip")
+    if (rank < 0).any():
+        # The pair 0, 0 looks like a place without a pair.
+        hit, rank = hit[rank >= 0], rank[rank >= 0]
+    hit = at.take(hit)
+    found = occurrences(hit, rank)
+    return hit[found], rank[found]
 
 
 def compress(ids: np.ndarray, base: int, per_round: int = ROUND_RULES,
@@ -143,11 +147,13 @@ def compress(ids: np.ndarray, base: int, per_round: int = ROUND_RULES,
     at = np.arange(max(len(seq) - 1, 0))
     while len(at):
         wide = base + len(lengths) > 1 << 16
-        keys = pair_keys(seq[at], seq[at + 1], wide)
+        keys = pair_keys(seq.take(at), seq.take(at + 1), wide)
         pairs, every = frequent_pairs(keys, per_round, least, TABLE_BITS)
         if not len(pairs):
             break
-        place, rank = chosen_places(keys, at, pairs, TABLE_BITS)
+        # The table's places are the first bits of the filter's.
+        slot = slots(keys, FILTER_BITS).astype(np.int64)
+        place, rank = chosen_places(keys, slot >> (FILTER_BITS - TABLE_BITS), at, pairs, TABLE_BITS)
         # A pair that lost its places to better ones gets no symbol yet. The best pair loses
         # places only to itself (a short run of one id): then it is no longer looked at.
         won = np.bincount(rank, minlength=len(pairs)) >= 2
@@ -163,7 +169,7 @@ def compress(ids: np.ndarray, base: int, per_round: int = ROUND_RULES,
         frequent = np.zeros(1 << FILTER_BITS, bool)
         frequent[slots(every, FILTER_BITS)] = True
         view, keep = np.zeros(len(seq), bool), np.ones(len(seq), bool)
-        view[at[frequent[slots(keys, FILTER_BITS)]]] = True
+        view[at[frequent.take(slot, mode="clip")]] = True
         view[place] = True
         seq[place] = base + len(lengths) + rank.astype(np.int64)
         keep[place + 1] = False
@@ -171,8 +177,9 @@ def compress(ids: np.ndarray, base: int, per_round: int = ROUND_RULES,
         before = place[place > 0] - 1
         view[before] = True
         view[before[~keep[before]] - 1] = True
-        seq, view = seq[keep], view[keep]
-        at = np.flatnonzero(view[:-1])
+        keep = np.flatnonzero(keep)
+        seq = seq[keep]
+        at = np.flatnonzero(view[keep[:-1]])
         size = np.where(new < base, 1, 0).astype(np.int64)
         old = new >= base
         size[old] = lengths[new[old] - base]
@@ -244,15 +251,32 @@ def bits_of(values: np.ndarray) -> int:
 
 
 def pack_bits(values: np.ndarray, width: int) -> bytes:
-    """Numbers of ``width`` bits in a row."""
-    each = np.unpackbits(values.astype(">u4").view(np.uint8).reshape(-1, 4), axis=1)
-    return np.packbits(each[:, 32 - width:]).tobytes()
+    """Numbers of ``width`` bits in a row; eight of them fill ``width`` bytes."""
+    eight = np.append(values, np.zeros(-len(values) % 8, values.dtype)).reshape(-1, 8).T.astype(np.uint64)
+    out = np.zeros((width + 4, eight.shape[1]), np.uint8)
+    for k in range(8):
+        # Five bytes hold any number of up to 32 bits that starts inside the first.
+        first, skip = divmod(k * width, 8)
+        shifted = eight[k] << np.uint64(40 - width - skip)
+        for j in range((skip + width + 7) // 8):
+            out[first + j] |= (shifted >> np.uint64(32 - 8 * j)).astype(np.uint8)
+    return out[:width].T.tobytes()[:(len(values) * width + 7) // 8]
 
 
 def unpack_bits(data: bytes, width: int, n: int) -> np.ndarray:
-    each = np.zeros((n, 32), np.uint8)
-    each[:, 32 - width:] = np.unpackbits(np.frombuffer(data, np.uint8), count=n * width).reshape(n, width)
-    return np.packbits(each, axis=1).view(">u4").ravel().astype(np.uint32)
+    rows = (n + 7) // 8
+    each = np.zeros(rows * width, np.uint8)
+    each[:min(len(data), len(each))] = np.frombuffer(data, np.uint8)[:len(each)]
+    each = each.reshape(rows, width).T.astype(np.uint64)
+    out = np.empty((rows, 8), np.uint32)
+    for k in range(8):
+        first, skip = divmod(k * width, 8)
+        n_bytes = (skip + width + 7) // 8
+        value = each[first].copy()
+        for j in range(1, n_bytes):
+            value = value << np.uint64(8) | each[first + j]
+        out[:, k] = value >> np.uint64(8 * n_bytes - skip - width) & np.uint64((1 << width) - 1)
+    return out.ravel()[:n]
 
 
 class Shard:
@@ -324,8 +348,8 @@ def char_kinds() -> np.ndarray:
         for m in regex.finditer(name, chars):
             kinds[m.start():m.end()] = kind
     # Versions of Unicode differ in which characters they know: where two do, the library is asked.
-    known = {"L": 1, "N": 2}
-    other = np.fromiter((known.get(unicodedata.category(c)[0], 0) for c in chars), np.uint8, len(chars))
+    first = np.frombuffer("".join(map(unicodedata.category, chars)).encode(), np.uint8)[::2]
+    other = (first == ord("L")) + 2 * (first == ord("N"))
     split = ByteLevel(add_prefix_space=False).pre_tokenize_str
     for c in np.flatnonzero((kinds != other) & (kinds != 3)).tolist():
         kinds[c] = 0 if len(split("!" + chr(c))) == 1 else 1 if len(split("a" + chr(c))) == 1 else 2
