@@ -10,7 +10,8 @@ principle two fingerprints at most ``max_bits`` apart agree, in at least one
 part, up to a small radius; each distinct fingerprint is tabled under its part
 values, probes with the Hamming ball around its own, and the join's condition
 verifies the complete distance. Copies are aggregated to one fingerprint
-first, so a large group of copies is one table row.
+first, so a large group of copies is one table row. Both sides of the join are
+shuffled, whatever size the planner takes them for.
 
 Defined cases: null text counts as empty; rows with a null id get their
 fingerprint and the component's smallest non-null id (null if there is none);
@@ -96,7 +97,9 @@ def close_pairs(prints: DataFrame, fp: str = "fp", max_bits: int = 2, segments:
     for t, p in zip(tables[1:], probes[1:]):
         table, probe = table.union(t), probe.union(p)
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    return (probe.join(table, (probe.seg == table.seg) & (probe.key == table.key) & (F.col("a") < F.col("b")) & near)
+    # Never broadcast: the planner sizes the probes as if they were not exploded (34 a fingerprint, for two
+    # segments and two bits), and a side it takes for small would be gathered whole in the driver.
+    return (probe.hint("merge").join(table, (probe.seg == table.seg) & (probe.key == table.key) & (F.col("a") < F.col("b")) & near)
             .select("a", "b"))
 
 

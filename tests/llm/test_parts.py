@@ -221,6 +221,13 @@ def test_close_pairs_are_all_found(spark, segments, bits):
                    if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= bits}
 
 
+def test_probes_are_not_broadcast(spark):
+    """Their number is a multiple of the fingerprints' that the planner does not know."""
+    df = store(spark.createDataFrame([(k,) for k in range(20)], "fp long"), "prints")
+    plan = simhash.close_pairs(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_of_random_graphs(spark):
     rng = random.Random(11)
     edges = [(rng.randint(0, 400), rng.randint(0, 400)) for _ in range(260)]
