@@ -8,6 +8,7 @@ import public_tokenizers
 import tiktoken
 
 import corpus_pipeline
+from recsmith.llm import components as components_module, simhash as simhash_module
 from recsmith.llm.bpe_prefix import load_ranks
 from recsmith.llm.common import store
 from llm.test_queries import brute_spans, components, simhash
@@ -57,6 +58,21 @@ def test_one_document_of_each_group(stages):
     assert all(r["doc_id"] == least.get(comp[simhash(r["text"])]) for r in kept)
 
 
+def test_no_exploded_table_is_broadcast(spark, stages, monkeypatch):
+    """What near_dedup stores and returns, in the plans as first made."""
+    plans = []
+
+    def kept(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, name)
+    for module in (components_module, simhash_module):
+        monkeypatch.setattr(module, "store", kept)
+    out = corpus_pipeline.near_dedup(spark, stages[1], "")
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    exploded = [p for p in plans if "Generate explode" in p]
+    assert exploded and not any("Broadcast" in p for p in exploded)
+
+
 def test_no_base_span_is_left(stages):
     before = {(r["doc_id"], hashlib.md5((r["text"] or "")[:20].encode()).digest()): r for r in dicts(stages[2])}
     after = dicts(stages[3])
