@@ -21,7 +21,7 @@ from recsmith.plans import owners as OW
 from recsmith.plans import parties as PT
 from recsmith.plans import relationships as RL
 from recsmith.plans import report as RP
-from recsmith.session import scratch_path
+from recsmith.session import materialize, scratch_path
 from recsmith.sinks import writers as W
 from recsmith.sinks.generations import Generations
 from recsmith.sources import readers as RD
@@ -206,7 +206,8 @@ def owners_files(spark, sf):
     layout = Layout([f for f in OW.ACCOUNT_REL_LAYOUT.fields if f.name != "ACCTNOR"])
     odd = F.col("ACCTNOC").try_cast("long") % 2 == 1
     accounts = [put(acct.where(odd), layout, ["CUSTNO", "ACCTNOC"]), put(acct.where(~odd), layout, ["ACCTNOC DESC"])]
-    relations = put(roles.cust_rel(spark, sf), OW.CUST_REL_LAYOUT, ["CUST2", "CUST1", "CODE1", "CODE2"])
+    # Stored first: its distinct edges are counted, sampled and written.
+    relations = put(materialize(roles.cust_rel(spark, sf), "relations"), OW.CUST_REL_LAYOUT, ["CUST2", "CUST1", "CODE1", "CODE2"])
     gen = published(spark, "owners")
     FJ.owners_job(spark, accounts, relations, gen)
     return gen.lines("owners")

@@ -33,9 +33,10 @@ def owners_job(spark: SparkSession, accounts: Paths, relations: Paths, out: Gene
     file, by account, customer and second customer, out."""
     rows = owners.account_owners(read_fixed_text(spark, accounts, owners.ACCOUNT_REL_LAYOUT),
                                  read_fixed_text(spark, relations, owners.CUST_REL_LAYOUT))
-    # Of equal customers and accounts the other fields, as rendered, are what tells two lines apart.
-    ties = [F.rpad(f.name, f.width, " ") for f in owners.OWNER_LAYOUT.fields if f.name in ("ACCTCODE", "RLENCODE", "CODE1", "CODE2")]
-    return out.publish({"owners": (materialize(rows, "owners"), ["ACCTNOC", "CUSTNO", "CUSTNO2", *ties],
+    # Of equal customers and accounts the other fields, as rendered, are what tells two lines apart. They
+    # are stored as rendered, once, and not made anew to be sampled, dealt out and compared.
+    ties = {f.name: F.rpad(f.name, f.width, " ") for f in owners.OWNER_LAYOUT.fields if f.name in ("ACCTCODE", "RLENCODE", "CODE1", "CODE2")}
+    return out.publish({"owners": (materialize(rows.withColumns(ties), "owners"), ["ACCTNOC", "CUSTNO", "CUSTNO2", *ties],
                                    owners.OWNER_LAYOUT.render_expr())})
 
 

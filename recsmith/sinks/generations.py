@@ -22,11 +22,11 @@ import re
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recsmith.session import materialize
-from recsmith.sources.readers import SEQ, read_lines, record_numbers
+from recsmith.sources.readers import SEQ, record_numbers
 from recsmith.sources.recordfile import SEQUENCE
 
 # An output: its lines (column ``value``) and the columns that order them; or rows, the columns that
@@ -34,6 +34,17 @@ from recsmith.sources.recordfile import SEQUENCE
 Output = tuple[DataFrame, Sequence] | tuple[DataFrame, Sequence, Column]
 
 
+def place() -> list[Column]:
+    """Where a line stands: its part file, the first byte of its split, its place among the lines of a task."""
+    return [F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row")]
+
+
+def padded_number(name) -> Column:
+    """Number of a part file, as text that sorts like it."""
+    return F.lpad(F.regexp_extract(name, r"part-(\d+)", 1), 10, "0")
+
+
 class Generations:
     """The generations under one folder. ``keep``: how many stay (None: all). ``compression``: of
     the parts, as Spark's text writer names it ("gzip"); readers tell by the file names."""
@@ -77,8 +88,10 @@ class Generations:
         lines.write.mode("error").option("compression", self.compression).text(path)
         # With a set among them the aggregates are kept in a hash table of a row per file; without, Spark
         # sorts all lines by file, as texts have no fixed length.
-        written = read_lines(self.spark, path, SEQ).groupBy(F.element_at(F.split(F.col(SEQ)["file"], "/"), -1).alias("file")).agg(
-            F.count(F.lit(1)).alias("n"), F.min_by("value", SEQ).alias("first"), F.max_by("value", SEQ).alias("last"),
+        written = self.spark.read.text(path).select("value", *place())
+        here = F.struct("_block", "_row")
+        written = written.groupBy(F.col("_file").alias("file")).agg(
+            F.count(F.lit(1)).alias("n"), F.min_by("value", here).alias("first"), F.max_by("value", here).alias("last"),
             F.collect_set(F.lit(1)).alias("_hashed"))
         # One row per part file.
         parts = [{"file": r.file, "records": r.n, "first": r["first"], "last": r["last"]} for r in written.collect()]
@@ -106,14 +119,25 @@ class Generations:
         if not parts:
             return self.spark.createDataFrame([], f"value string, {SEQ} struct<{SEQUENCE}>")
         scan = self.spark.read.text([f"{p['path']}/{p['file']}" for p in parts])
-        number = F.lpad(F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1), 10, "0")
+        file_name = F.col("_metadata.file_name")
         return scan.select("value", F.struct(
-            F.lit(0).alias("input"), F.concat_ws("/", number, F.col("_metadata.file_name")).alias("file"),
+            F.lit(0).alias("input"), F.concat_ws("/", padded_number(file_name), file_name).alias("file"),
             F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias(SEQ))
 
     def lines(self, name: str, back: int = 0) -> DataFrame:
-        """``line_no`` (from 1) and ``value`` of an output."""
-        return record_numbers(self.read(name, back)).select("line_no", "value")
+        """``line_no`` (from 1) and ``value`` of an output. As ``record_numbers`` of ``read``; the order
+        of the parts is made of one row per split, not of every line."""
+        parts = self.manifest(back)["outputs"][name]
+        if not parts:
+            return record_numbers(self.read(name, back)).select("line_no", "value")
+        scan = self.spark.read.text([f"{p['path']}/{p['file']}" for p in parts])
+        rows = materialize(scan.select("value", *place()), "records")
+        splits = rows.groupBy(F.col("_file").alias("_f"), F.col("_block").alias("_b")).agg(
+            F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        before = Window.orderBy(padded_number("_f"), "_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
+        splits = splits.select("_f", "_b", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_off"))
+        out = rows.join(F.broadcast(splits), (F.col("_file") == F.col("_f")) & (F.col("_block") == F.col("_b")))
+        return out.select((F.col("_off") + F.col("_row") + 1).alias("line_no"), "value")
 
     # ------------------------------------------------------------- files
     def _path(self, number: int) -> str:

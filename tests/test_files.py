@@ -1,5 +1,6 @@
 """Record files: sequence over splits, binary source and sink, published generations, merges by position."""
 
+import json
 import os
 import random
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from recsmith.operators import joins as JN
 from recsmith.operators.dedup import first_per_key, first_record
+from recsmith.plans import files as FJ
 from recsmith.sinks import writers as W
 from recsmith.sinks.generations import Generations
 from recsmith.sources import readers as RD
@@ -317,3 +319,44 @@ def test_owner_edges_are_deduplicated_before_they_are_flipped(spark):
     got = [tuple(r) for r in OW.both_directions(OW.distinct_edges(rel)).select("CUSTNO", "CODE1", "CUSTNO2", "CODE2").collect()]
     assert len(got) == len(set(got)) and set(got) == want
     assert OW.distinct_edges(rel).count() < len(want)
+
+
+def test_lines_are_read_without_making_names_of_every_line(spark, tmp_path):
+    """Parts of ten thousand and more, several splits a part, parts beside each other in a task: numbers
+    follow the parts' numbers; part names are taken apart once a split."""
+    gen = Generations(spark, f"{tmp_path}/g")
+    gen.publish({"n": (spark.range(40).select(F.format_string("%06d", "id").alias("value")), ["value"])})
+    path, manifest = gen._path(1), gen.manifest()
+    parts, folder = manifest["outputs"]["n"], manifest["outputs"]["n"][0]["path"]
+    assert sum(p["records"] for p in parts) == 40 and all(p["first"] <= p["last"] for p in parts)
+    # Two parts that sort the other way round as text, the later one in several splits.
+    names = ["part-99999-x.txt", "part-100000-x.txt"]
+    for name, numbers in zip(names, (range(3), range(3, 5000))):
+        with open(f"{folder}/{name}", "w") as f:
+            f.writelines(f"{k:06d}\n" for k in numbers)
+    manifest["outputs"]["n"] = [{**parts[0], "file": n} for n in names]
+    gen._put(path, json.dumps(manifest), replace=True)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        out = gen.lines("n")
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert [(r.line_no, r.value) for r in sorted(out.collect())] == [(k + 1, f"{k:06d}") for k in range(5000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    # The stored lines carry no made-up name.
+    assert "_seq" not in plan
+
+
+def test_owner_file_sorts_stored_columns(spark, tmp_path, monkeypatch):
+    """Nothing is rendered anew to be sampled, dealt out and compared."""
+    given = []
+    monkeypatch.setattr(Generations, "publish", lambda self, outputs: given.append(outputs["owners"]) or 1)
+    for name, text in (("a", "01000000001 00000000007 ABC901\n"), ("r", "00000000007".ljust(20) + "X  " + "00000000008".ljust(20) + "Y  \n")):
+        with open(f"{tmp_path}/{name}", "w") as f:
+            f.write(text)
+    assert FJ.owners_job(spark, f"{tmp_path}/a", f"{tmp_path}/r", Generations(spark, f"{tmp_path}/g")) == 1
+    rows, order, value = given[0]
+    assert all(isinstance(o, str) and o in rows.columns for o in order) and set(order) == set(rows.columns)
+    assert {r.value for r in rows.select(value.alias("value")).collect()} == {
+        ("DP".ljust(5) + "01000000001".ljust(20) + "ABC" + "00000000007" + "X  " + "00000000008" + "Y  ").ljust(150)}
