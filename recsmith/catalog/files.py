@@ -37,16 +37,17 @@ def _fresh(spark, name):
 
 
 def put(df, layout, order, name="in", is_binary=False):
-    """A folder of record files that hold ``df`` in ``order`` (SQL expressions)."""
+    """A folder of record files that hold ``df`` in ``order`` (SQL expressions). Files are compressed, as
+    records are mostly blanks; each is read by one task."""
     path = _fresh(df.sparkSession, name)
     width = layout.lrecl or max(f.end for f in layout.fields)
     files = max(FILES, -(-df.count() * width // FILE_BYTES))
     rows = df.repartitionByRange(files, *[F.expr(o[:-5]).desc() if o.endswith(" DESC") else F.expr(o) for o in order])
     rows = rows.sortWithinPartitions(*[F.expr(o[:-5]).desc() if o.endswith(" DESC") else F.expr(o) for o in order])
     if is_binary:
-        W.write_records(rows.select(binary_record(layout).alias("value")), path)
+        W.write_records(rows.select(binary_record(layout).alias("value")), path, compressed=True)
     else:
-        W.write_lines(W.fixed_lines(rows, layout), path)
+        W.write_lines(W.fixed_lines(rows, layout), path, compression="gzip")
     return path
 
 

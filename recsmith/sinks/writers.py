@@ -43,16 +43,18 @@ def fixed_lines(df: DataFrame, layout: Layout, name: str = "value") -> DataFrame
     return df.select(layout.render_expr().alias(name))
 
 
-def write_lines(df: DataFrame, path: str, col: str = "value", mode: str = "overwrite") -> None:
-    df.select(col).write.mode(mode).text(path)
+def write_lines(df: DataFrame, path: str, col: str = "value", mode: str = "overwrite", compression: str = "none") -> None:
+    df.select(col).write.mode(mode).option("compression", compression).text(path)
 
 
-def write_records(df: DataFrame, path: str, col: str = "value") -> None:
+def write_records(df: DataFrame, path: str, col: str = "value", compressed: bool = False) -> None:
     """Binary records, one after the other, as parts in partition order; the parts of
-    this run replace those of an earlier one when it is committed."""
+    this run replace those of an earlier one when it is committed. ``compressed``: each part is packed, and
+    read by one task."""
     spark = df.sparkSession
     spark.dataSource.register(RecordFiles)
-    df.select(F.col(col).alias("value")).write.format("records").mode("append").option("path", qualified(spark, path)).save()
+    df.select(F.col(col).alias("value")).write.format("records").mode("append").option(
+        "compressed", str(compressed).lower()).option("path", qualified(spark, path)).save()
 
 
 def with_header(body: DataFrame, header_line: str, order: Sequence, name: str = "value",

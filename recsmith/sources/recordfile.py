@@ -6,7 +6,8 @@ after a record-type test only the records that pass it (the header fields of the
 others are all that is looked at). ``df.write.format("records")`` writes a ``binary`` column as
 such files: every task writes a part under a name of its own, and the commit lists the parts
 of successful tasks, in partition order, in ``_manifest.json``. Readers go by that list, so
-what a lost or repeated task left behind is never read.
+what a lost or repeated task left behind is never read. Parts may be compressed (zstd): records are mostly
+blanks. Such a part is one split, read from its start to its end batch by batch.
 
 Raw values come out of the source: text fields as they stand, packed decimals (``p``) as
 unscaled ``long`` (``string`` above 18 digits; missing where the bytes are no packed number).
@@ -35,6 +36,8 @@ SPLIT_BYTES = 64 << 20
 BATCH_BYTES = 4 << 20
 # Widest packed decimal whose digits (two a byte, less the sign) fit a long.
 LONG_BYTES = 9
+# Name's end of a compressed part; its size in the manifest is that of its records.
+PACKED_PART = ".zst"
 SEQUENCE = "input int, file string, block long, row long"
 
 
@@ -84,7 +87,8 @@ class RecordReader(DataSourceReader):
             for file, size in files_of(path):
                 if size % self.lrecl:
                     raise ValueError(f"{file}: {size} bytes are no whole records of {self.lrecl}")
-                out += [Split(number, path, file, at, min(at + self.split, size)) for at in range(0, size, self.split)]
+                split = max(size, 1) if file.endswith(PACKED_PART) else self.split
+                out += [Split(number, path, file, at, min(at + split, size)) for at in range(0, size, split)]
         # Spark wants a partition even where there are no records.
         return out or [Split(0, self.paths[0], "", 0, 0)]
 
@@ -93,10 +97,12 @@ class RecordReader(DataSourceReader):
             return
         system, _ = open_path(part.base)
         step = max(1, BATCH_BYTES // self.lrecl) * self.lrecl
-        with system.open_input_file(part.file) as f:
+        packed_part = part.file.endswith(PACKED_PART)
+        # A stream unpacks by the name's end.
+        with system.open_input_stream(part.file) if packed_part else system.open_input_file(part.file) as f:
             for at in range(part.start, part.end, step):
                 size = min(step, part.end - at)
-                data = f.read_at(size, at)
+                data = f.read(size) if packed_part else f.read_at(size, at)
                 if len(data) != size:
                     raise OSError(f"{part.file}: cut short at byte {at + len(data)}")
                 batch = self.decode(np.frombuffer(data, np.uint8).reshape(-1, self.lrecl), part, at)
@@ -159,13 +165,13 @@ class Part(WriterCommitMessage):
 
 
 class RecordWriter(DataSourceArrowWriter):
-    def __init__(self, path: str):
-        self.path, self.run = path, uuid.uuid4().hex[:12]
+    def __init__(self, path: str, compressed: bool = False):
+        self.path, self.run, self.end = path, uuid.uuid4().hex[:12], PACKED_PART if compressed else ""
 
     def write(self, iterator) -> Part:
         context = TaskContext.get()
         number = context.partitionId()
-        file = f"part-{number:05d}-{self.run}-{context.taskAttemptId()}"
+        file = f"part-{number:05d}-{self.run}-{context.taskAttemptId()}{self.end}"
         system, base = open_path(self.path)
         system.create_dir(base, recursive=True)
         size = 0
@@ -200,7 +206,7 @@ class RecordFiles(DataSource):
     """Options of a read: ``paths`` (JSON list, in input order), ``lrecl``, ``fields`` (JSON list of
     name, start, width, kind), ``where`` (JSON: field -> accepted raw values), ``split`` (bytes), and the
     schema: the fields wanted, and optionally a struct column for the record sequence. Option of
-    a write: ``path``."""
+    a write: ``path``, ``compressed`` ("true": parts are packed by zstd)."""
 
     @classmethod
     def name(cls) -> str:
@@ -210,4 +216,4 @@ class RecordFiles(DataSource):
         return RecordReader(self.options, schema.names)
 
     def writer(self, schema, overwrite: bool) -> RecordWriter:
-        return RecordWriter(self.options["path"])
+        return RecordWriter(self.options["path"], self.options.get("compressed", "") == "true")

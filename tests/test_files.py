@@ -360,3 +360,21 @@ def test_owner_file_sorts_stored_columns(spark, tmp_path, monkeypatch):
     assert all(isinstance(o, str) and o in rows.columns for o in order) and set(order) == set(rows.columns)
     assert {r.value for r in rows.select(value.alias("value")).collect()} == {
         ("DP".ljust(5) + "01000000001".ljust(20) + "ABC" + "00000000007" + "X  " + "00000000008" + "Y  ").ljust(150)}
+
+
+def test_compressed_records_read_the_same(spark, tmp_path):
+    """Rows, sequence and record-type test are those of plain parts, in far less room; a part is one split."""
+    df = packed_rows(spark, 5000).repartition(3).select(binary_record(PACKED).alias("value"))
+    df = spark.createDataFrame(df.collect(), "value binary").coalesce(3)
+    found, room = [], []
+    for compressed in (False, True):
+        path = f"{tmp_path}/{compressed}"
+        W.write_records(df, path, compressed=compressed)
+        read = RD.read_fixed_binary(spark, path, PACKED.lrecl, PACKED, sequence=RD.SEQ, split=2000)
+        rows = sorted(read.collect(), key=lambda r: r[RD.SEQ])
+        found.append([tuple(x for n, x in r.asDict().items() if n != RD.SEQ) for r in rows])
+        parts = json.load(open(f"{path}/_manifest.json"))["parts"]
+        room.append(sum(os.path.getsize(f"{path}/{p['file']}") for p in parts))
+        assert sum(p["bytes"] for p in parts) == 5000 * PACKED.lrecl
+        assert not compressed or read.rdd.getNumPartitions() == len([p for p in parts if p["bytes"]])
+    assert found[0] == found[1] and len(found[0]) == 5000 and room[1] < room[0]
